@@ -21,17 +21,46 @@ def transitions_table(spark: SparkSession, kind: str) -> DataFrame:
     return spark.createDataFrame(list(pairs), "from_status string, to_status string")
 
 
-def illegal_transitions(log: DataFrame, entity: str, order: str, status: str, kind: str = "task",
+def skew_safe_lag(df: DataFrame, key: str, order: Sequence[str], value: str, out: str = "prev",
+                  n_parts: int | None = None) -> DataFrame:
+    """``lag(value) over (partition by key order by order)`` that does not put
+    a hot key into one task.
+
+    Rows are range-partitioned on (key, order), so a key holding a third of
+    all rows spans many partitions.  Inside a partition the lag is a window
+    over (partition id, key); the first row of each chunk takes the last
+    value of the same key from the chunk just before it (one small row per
+    chunk), found with a join on (partition id - 1, key)."""
+    spark = df.sparkSession
+    n_parts = n_parts or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    ordered = [F.col(c) for c in order]
+    ranged = df.repartitionByRange(n_parts, F.col(key), *ordered).withColumn("_pid", F.spark_partition_id())
+    ranged = ranged.checkpoint(eager=True)  # partition ids must stay fixed for both uses below
+    w = Window.partitionBy("_pid", key).orderBy(*ordered)
+    local = ranged.withColumn(out, F.lag(value).over(w)).withColumn("_rn", F.row_number().over(w))
+    tails = ranged.groupBy("_pid", key).agg(F.max_by(F.col(value), F.struct(*ordered)).alias("_tail"))
+    # chunks of one key are contiguous partitions: the previous chunk is the
+    # highest partition id below this one that holds the key
+    heads = local.filter(F.col("_rn") == 1).select("_pid", key)
+    prev = heads.alias("h").join(tails.alias("t"), (F.col(f"h.{key}") == F.col(f"t.{key}")) & (F.col("t._pid") < F.col("h._pid"))) \
+        .groupBy(F.col("h._pid").alias("_pid"), F.col(f"h.{key}").alias(key)) \
+        .agg(F.max_by(F.col("t._tail"), F.col("t._pid")).alias("_carry"))
+    res = local.join(prev, ["_pid", key], "left")
+    res = res.withColumn(out, F.when(F.col("_rn") == 1, F.col("_carry")).otherwise(F.col(out)))
+    return res.drop("_pid", "_rn", "_carry")
+
+
+def illegal_transitions(log: DataFrame, entity: str, order: Sequence[str] | str, status: str, kind: str = "task",
                         allowed: DataFrame | None = None) -> DataFrame:
     """H1 on a status log: each consecutive (previous, next) pair per entity
-    that is not a legal transition.  ``lag`` needs the entity's rows in one
-    task; a status log per entity is short, so this is a bounded window."""
+    that is not a legal transition.  The previous status comes from a
+    skew-safe lag; the allowed table is tiny and broadcast."""
     spark = log.sparkSession
+    order = [order] if isinstance(order, str) else list(order)
     allowed = allowed if allowed is not None else transitions_table(spark, kind)
-    w = Window.partitionBy(entity).orderBy(order)
-    steps = log.select(entity, order, F.lag(status).over(w).alias("from_status"), F.col(status).alias("to_status")) \
-        .filter(F.col("from_status").isNotNull())
-    # the allowed table has a fixed handful of rows
+    steps = skew_safe_lag(log, entity, order, status, "from_status") \
+        .withColumn("to_status", F.col(status)).filter(F.col("from_status").isNotNull())
+    # a fixed handful of rows
     return steps.join(F.broadcast(allowed), ["from_status", "to_status"], "left_anti")
 
 
