@@ -38,16 +38,14 @@ _NAN_SLOT = np.finfo(np.float64).max
 
 def _tile(df: DataFrame, block: Sequence[str], id_col: str, tile_rows: int) -> DataFrame:
     """Adds ``_tile`` and ``_ntiles``: hash tiles, sized by the block's row count."""
-    keys = list(block) if block else ["_blk"]
-    if not block:
-        df = df.withColumn("_blk", F.lit(0))
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    ntiles = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(tile_rows))).cast("int")
-    counts = counts.select(*keys, ntiles.alias("_ntiles"))
-    # one row per block; AQE broadcasts it when small, else a plain join
-    out = df.join(counts, keys, "inner")
+    ntiles = lambda n: F.greatest(F.lit(1), F.ceil(n / F.lit(tile_rows))).cast("int")
     if not block:
-        out = out.drop("_blk")
+        # one block: its size is a single number (an action returning a scalar)
+        out = df.withColumn("_ntiles", ntiles(F.lit(df.count())))
+    else:
+        counts = df.groupBy(*block).agg(ntiles(F.count(F.lit(1))).alias("_ntiles"))
+        # one row per block; AQE broadcasts it when small, else a plain key join
+        out = df.join(counts, list(block), "inner")
     return out.withColumn("_tile", F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.col("_ntiles")).cast("int"))
 
 
@@ -152,6 +150,43 @@ def _round_kernel(order_cols, ascending, threshold):
     return run
 
 
+def _greedy_block_kernel(order_cols, ascending, threshold):
+    """Whole small block in one task (at most ``tile_rows`` rows): the
+    sequential greedy loop with nearest-accepted evidence, exactly as the
+    reference walks its queue."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.reset_index(drop=True)
+        rank = _local_rank(pdf, order_cols, ascending)
+        unit = _unit(pdf["_vec"].tolist())
+        ids = pdf["_id"].to_numpy()
+        prior = pdf["_prior"].to_numpy(dtype=bool)
+        d_all = 1.0 - unit @ unit.T
+        accepted = prior.copy()
+        out_id, out_st, out_nid, out_d = [], [], [], []
+        by_id = np.argsort(ids, kind="mergesort")
+        for i in np.argsort(rank, kind="mergesort"):
+            if prior[i]:
+                continue
+            cand = by_id[accepted[by_id]]  # accepted rows (all earlier), lowest id first
+            if len(cand):
+                d = d_all[i, cand]
+                dd = np.where(np.isnan(d), _NAN_SLOT, d)
+                j = int(np.argmin(dd))
+                nid, dist = ids[cand[j]], float(d[j])
+                broken = not np.isfinite(dist) or dist < 0.0 or dist > 2.0 + 1e-12
+                dup = (not broken) and dist <= threshold
+                st = "error" if broken else ("rejected" if dup else "accepted")
+            else:
+                nid, dist, st = None, np.nan, "accepted"
+            if st == "accepted":
+                accepted[i] = True
+            out_id.append(ids[i]), out_st.append(st), out_nid.append(nid), out_d.append(dist if nid is not None else None)
+        return pd.DataFrame({"_id": out_id, "_st": out_st, "_nid": pd.array(out_nid, dtype="object"),
+                             "_d": pd.array(out_d, dtype="float64")})
+
+    return run
+
+
 def _order_spec(order: Sequence[tuple[str, bool]] | None, id_col: str):
     order = list(order or []) + [(id_col, True)]
     cols = [c for c, _ in order]
@@ -264,17 +299,54 @@ def semantic_dedup_with_evidence(cands: DataFrame, block: Sequence[str], id_col:
     good = cands.filter(ok)
     bad = cands.filter(~ok).select(id_col, F.lit(codes.REJECTED).alias("status"),
                                    F.lit(codes.SEMANTIC_DEDUP_ERROR).alias("failure_code"))
-    status, rounds = semantic_greedy_dedup(good, block, id_col, vec_col, threshold, order, prior_accepted, tile_rows)
-    status = status.checkpoint(eager=True)
-    accepted_rows = good.join(status.filter(F.col("status") == codes.ACCEPTED).select(id_col), id_col, "left_semi")
-    near = nearest_neighbours(good, accepted_rows, block, id_col, vec_col, order, True, prior_accepted, tile_rows)
-    verdict = status.join(near, id_col, "left").withColumn(
-        "failure_code", F.when(F.col("status") == codes.REJECTED, F.lit(codes.DUPLICATE_SAMPLE)))
-    # a NaN/out-of-range distance to the nearest accepted row fails closed
-    broken = F.col("distance").isNotNull() & (F.isnan("distance") | (F.col("distance") < 0) | (F.col("distance") > 2 + 1e-12))
-    verdict = verdict.withColumn("status", F.when(broken, F.lit(codes.REJECTED)).otherwise(F.col("status"))) \
-        .withColumn("failure_code", F.when(broken, F.lit(codes.SEMANTIC_DEDUP_ERROR)).otherwise(F.col("failure_code")))
-    out = verdict.unionByName(bad, allowMissingColumns=True)
+    keys = list(block) if block else ["_blk"]
+    if block:
+        sizes = good.groupBy(*keys).agg(F.count(F.lit(1)).alias("_bn"))
+        g = good.join(sizes, keys)
+    else:
+        g = good.withColumn("_blk", F.lit(0)).withColumn("_bn", F.lit(good.count()))
+    small, large = g.filter(F.col("_bn") <= tile_rows), g.filter(F.col("_bn") > tile_rows)
+    parts = []
+    rounds = 0
+    # small blocks: one bounded task each, sequential greedy + evidence
+    order_cols, asc = _order_spec(order, id_col)
+    loc_cols = [f"_o_{c}" if c != id_col else "_id" for c in order_cols]
+    sm = _prepare(small, keys, id_col, vec_col, order_cols, {"_prior": F.lit(False)})
+    if prior_accepted is not None:
+        pa = prior_accepted if block else prior_accepted.withColumn("_blk", F.lit(0))
+        pa = pa.join(small.select(*keys).distinct(), keys, "left_semi")
+        p = _prepare(pa, keys, id_col, vec_col, [id_col], {"_prior": F.lit(True)})
+        for c in order_cols:
+            if c != id_col:
+                p = p.withColumn(f"_o_{c}", F.lit(None).cast(sm.schema[f"_o_{c}"].dataType))
+        sm = sm.unionByName(p)
+    id_type = sm.schema["_id"].dataType.simpleString()
+    ks = sm.groupBy(*keys).applyInPandas(_greedy_block_kernel(loc_cols, asc, threshold),
+                                         f"_id {id_type}, _st string, _nid {id_type}, _d double")
+    parts.append(ks.select(
+        F.col("_id").alias(id_col),
+        F.when(F.col("_st") == "accepted", F.lit(codes.ACCEPTED)).otherwise(F.lit(codes.REJECTED)).alias("status"),
+        F.col("_nid").alias("nearest_id"), F.col("_d").alias("distance"),
+        F.when(F.col("_st") == "rejected", F.lit(codes.DUPLICATE_SAMPLE))
+        .when(F.col("_st") == "error", F.lit(codes.SEMANTIC_DEDUP_ERROR)).alias("failure_code")))
+    # large blocks: rounds over tiles, then the evidence join
+    if large.limit(1).count() > 0:
+        lg = large.drop("_bn") if block else large.drop("_bn", "_blk")
+        status, rounds = semantic_greedy_dedup(lg, block, id_col, vec_col, threshold, order, prior_accepted, tile_rows)
+        status = status.checkpoint(eager=True)
+        accepted_rows = lg.join(status.filter(F.col("status") == codes.ACCEPTED).select(id_col), id_col, "left_semi")
+        near = nearest_neighbours(lg, accepted_rows, block, id_col, vec_col, order, True, prior_accepted, tile_rows)
+        verdict = status.join(near, id_col, "left").withColumn(
+            "failure_code", F.when(F.col("status") == codes.REJECTED, F.lit(codes.DUPLICATE_SAMPLE)))
+        # a NaN/out-of-range distance to the nearest accepted row fails closed
+        broken = F.col("distance").isNotNull() & (F.isnan("distance") | (F.col("distance") < 0) | (F.col("distance") > 2 + 1e-12))
+        verdict = verdict.withColumn("status", F.when(broken, F.lit(codes.REJECTED)).otherwise(F.col("status"))) \
+            .withColumn("failure_code", F.when(broken, F.lit(codes.SEMANTIC_DEDUP_ERROR)).otherwise(F.col("failure_code")))
+        parts.append(verdict.select(id_col, "status", "nearest_id", "distance", "failure_code"))
+    out = parts[0]
+    for p_ in parts[1:]:
+        out = out.unionByName(p_)
+    out = out.unionByName(bad, allowMissingColumns=True)
     return out, rounds
 
 

@@ -6,5 +6,5 @@ def load_all() -> None:
     """Import every plan module so its queries register."""
     import importlib
 
-    for m in ("selection", "jsongate", "vectors", "lifecycle", "export", "text", "reports"):
+    for m in ("selection", "jsongate", "vectors", "lifecycle", "export", "text", "reports", "streaming"):
         importlib.import_module(f"{__name__}.{m}")

@@ -153,8 +153,14 @@ def lineage_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ancestors(edges, "model_id", "parent_id")
 
 
-def _shingles(text_col, n: int = 8):
-    words = F.filter(F.split(F.regexp_replace(F.lower(text_col), r"[^\p{L}\p{N}]+", " "), " "), lambda w: w != "")
+def _words(text_col):
+    """Lower-cased words of a text (letters and digits, any script)."""
+    return F.filter(F.split(F.regexp_replace(F.lower(text_col), r"[^\p{L}\p{N}]+", " "), " "), lambda w: w != "")
+
+
+def _shingles(words, n: int = 8):
+    """n-word shingles of a word-array *column* (bound first: a lambda over
+    an inline expression would re-split the whole text for every shingle)."""
     grams = F.transform(F.sequence(F.lit(0), F.size(words) - n), lambda i: F.array_join(F.slice(words, i + 1, n), " "))
     return F.when(F.size(words) >= n, grams).otherwise(F.array().cast("array<string>"))
 
@@ -178,8 +184,8 @@ def eval_separation(spark: SparkSession, sf_dir: str) -> DataFrame:
     below the broadcast threshold, otherwise it shuffles on the shingle."""
     d = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     b = read_table(spark, sf_dir, "benchmark").select("item_id", "text")
-    ds = d.select("doc_id", F.explode(_shingles(F.col("text"))).alias("sh")).distinct()
-    bs = b.select("item_id", F.explode(_shingles(F.col("text"))).alias("sh")).distinct()
+    ds = d.select("doc_id", _words(F.col("text")).alias("w")).select("doc_id", F.explode(_shingles(F.col("w"))).alias("sh")).distinct()
+    bs = b.select("item_id", _words(F.col("text")).alias("w")).select("item_id", F.explode(_shingles(F.col("w"))).alias("sh")).distinct()
     j = ds.join(bs, "sh")
     return j.groupBy("doc_id").agg(F.countDistinct("sh").alias("shared_shingles"), F.countDistinct("item_id").alias("items"))
 

@@ -164,3 +164,28 @@ def rejection_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     reg = select_regression_events(spark, sf_dir).select(F.lit("ml_regression").alias("branch"), "status", "failure_code")
     cls = select_classification(spark, sf_dir).select(F.lit("ml_classification").alias("branch"), "status", "failure_code")
     return stats(reg.unionByName(cls), ["branch", "failure_code"])
+
+
+@query("exact_dedup_lineitem", """
+WITH x AS (
+  SELECT lpad(CAST(l_orderkey AS VARCHAR), 12, '0') || '-' || lpad(CAST(l_linenumber AS VARCHAR), 2, '0') || '-'
+           || lpad(CAST(l_partkey AS VARCHAR), 10, '0') || '-' || lpad(CAST(l_suppkey AS VARCHAR), 10, '0') AS sample_id,
+         l_partkey, l_suppkey, l_extendedprice FROM lineitem),
+f AS (
+  SELECT *, first_value(sample_id) OVER (PARTITION BY l_partkey, l_suppkey ORDER BY l_extendedprice DESC, sample_id) AS first_id
+  FROM x)
+SELECT sample_id, CASE WHEN sample_id = first_id THEN 'accepted' ELSE 'rejected' END AS status,
+       CASE WHEN sample_id = first_id THEN NULL ELSE first_id END AS duplicate_of
+FROM f
+""")
+def exact_dedup_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G1 on lineitem: (part, supplier) is the input identity, higher
+    extended price first; one sample per identity is accepted."""
+    li = read_table(spark, sf_dir, "lineitem")
+    sid = F.concat_ws("-", F.lpad(F.col("l_orderkey").cast("string"), 12, "0"),
+                      F.lpad(F.col("l_linenumber").cast("string"), 2, "0"),
+                      F.lpad(F.col("l_partkey").cast("string"), 10, "0"),
+                      F.lpad(F.col("l_suppkey").cast("string"), 10, "0"))
+    x = li.select(sid.alias("sample_id"), "l_partkey", "l_suppkey", "l_extendedprice")
+    out = exact_greedy_dedup(x, ["l_partkey", "l_suppkey"], [-F.col("l_extendedprice")], "sample_id")
+    return out.select("sample_id", _status("dedup_code").alias("status"), "duplicate_of")

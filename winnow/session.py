@@ -34,6 +34,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -70,3 +71,29 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def register_tables(spark: SparkSession, sf_dir: str) -> None:
     for t in TABLES:
         read_table(spark, sf_dir, t).createOrReplaceTempView(t)
+
+
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``winnow`` importable in Python workers (pandas UDF kernels
+    reference its functions): zip the package once and ``addPyFile`` it,
+    which distributes it to every executor through the driver."""
+    import zipfile
+
+    sc = spark.sparkContext
+    key = id(sc._jsc)
+    if key in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    out = os.path.join(tempfile.mkdtemp(prefix="winnow-pkg-"), "winnow.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    _SHIPPED.add(key)
