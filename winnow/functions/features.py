@@ -38,16 +38,19 @@ def feature_type_ok(doc: Column, raw: Column, name: str, kind: str) -> Column:
     raise ValueError(f"unknown feature kind {kind!r}")
 
 
-def feature_problem(text, contract: Sequence[tuple[str, str]]) -> Column:
+def feature_problem(text, contract: Sequence[tuple[str, str]], doc: Column | None = None, raw: Column | None = None,
+                    keys: Column | None = None) -> Column:
     """NULL when the feature object matches the contract, else the
-    reason (key mismatch first, then the first mistyped feature in contract order)."""
+    reason (key mismatch first, then the first mistyped feature in contract order).
+    ``doc``/``raw``/``keys`` may be passed as already-bound columns (see
+    ``with_feature_problem``) so the text is parsed once per row."""
     names = [n for n, _ in contract]
     if not names or len(set(names)) != len(names):
         raise ValueError("feature contract must contain unique ordered features")
     t = _c(text)
-    doc = F.try_parse_json(t)
-    raw = F.from_json(t, "map<string,string>")
-    keys = F.json_object_keys(t)
+    doc = doc if doc is not None else F.try_parse_json(t)
+    raw = raw if raw is not None else F.from_json(t, "map<string,string>")
+    keys = keys if keys is not None else F.json_object_keys(t)
     expected = F.array(*[F.lit(n) for n in names])
     missing = F.array_sort(F.array_except(expected, keys))
     extra = F.array_sort(F.array_except(keys, expected))
@@ -70,3 +73,16 @@ def typed_features(text, contract: Sequence[tuple[str, str]]) -> list[Column]:
 def canonical_features(cols: Sequence[str]) -> Column:
     """Key-sorted compact JSON of typed feature columns."""
     return F.to_json(F.struct(*[F.col(c) for c in sorted(cols)]))
+
+
+def with_feature_problem(df, text_col: str, contract: Sequence[tuple[str, str]], out: str = "problem",
+                         typed: bool = True):
+    """B8 (+ B7 typed columns) with the text parsed once per row: the VARIANT,
+    the raw value map and the key list are bound as columns first."""
+    t = F.col(text_col)
+    x = df.withColumns({"_fdoc": F.try_parse_json(t), "_fraw": F.from_json(t, "map<string,string>"),
+                        "_fkeys": F.json_object_keys(t)})
+    x = x.withColumn(out, feature_problem(t, contract, F.col("_fdoc"), F.col("_fraw"), F.col("_fkeys")))
+    if typed:
+        x = x.withColumns({n: F.try_variant_get(F.col("_fdoc"), f"$.{n}", KIND_TYPES[k]) for n, k in contract})
+    return x.drop("_fdoc", "_fraw", "_fkeys")

@@ -30,19 +30,18 @@ def strict_json_valid(text) -> Column:
     )
 
 
+# VARIANT type name -> JSON kind (decimals of scale 0 are integers)
+_KIND_MAP = {"OBJECT": "object", "ARRAY": "array", "STRING": "string", "BOOLEAN": "boolean", "VOID": "null",
+             "BIGINT": "integer", "INT": "integer", "SMALLINT": "integer", "TINYINT": "integer", "INTDEC": "integer",
+             "DECIMAL": "number", "DOUBLE": "number", "FLOAT": "number"}
+
+
 def json_kind(v) -> Column:
-    """JSON kind of a VARIANT: object, array, string, boolean, null, integer, number."""
-    s = F.schema_of_variant(_c(v))
-    return (
-        F.when(F.is_variant_null(_c(v)), F.lit("null"))
-        .when(s.startswith("OBJECT"), F.lit("object"))
-        .when(s.startswith("ARRAY"), F.lit("array"))
-        .when(s == "STRING", F.lit("string"))
-        .when(s == "BOOLEAN", F.lit("boolean"))
-        .when(s.isin("BIGINT", "INT", "SMALLINT", "TINYINT"), F.lit("integer"))
-        .when(s.startswith("DECIMAL") & s.endswith(",0)"), F.lit("integer"))
-        .otherwise(F.lit("number"))
-    )
+    """JSON kind of a VARIANT: object, array, string, boolean, null, integer,
+    number (NULL when absent).  ``schema_of_variant`` is evaluated once."""
+    name = F.regexp_extract(F.regexp_replace(F.schema_of_variant(_c(v)), r"^DECIMAL\(\d+,0\)$", "INTDEC"), r"^[A-Z]+", 0)
+    lookup = F.create_map(*[F.lit(x) for kv in _KIND_MAP.items() for x in kv])
+    return F.try_element_at(lookup, name)
 
 
 def json_depth(text) -> Column:

@@ -7,7 +7,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.features import canonical_features, feature_problem, typed_features
+from ..functions.features import canonical_features, with_feature_problem
 from ..functions.jsonops import canonical_json, json_depth, structured_json_gate
 from ..operators.jsonschema import check_against_schemas
 from ..session import read_table
@@ -188,8 +188,7 @@ FROM f
 def feature_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B8 check, then B7 ordered values and B6 canonical identity of valid rows."""
     d = damaged_features(spark, sf_dir)
-    checked = d.withColumn("problem", feature_problem(F.col("features"), FEATURE_CONTRACT))
-    typed = checked.select("l_orderkey", "l_linenumber", "problem", *typed_features(F.col("features"), FEATURE_CONTRACT))
+    typed = with_feature_problem(d, "features", FEATURE_CONTRACT, "problem")
     ok = F.col("problem").isNull()
     names = [n for n, _ in FEATURE_CONTRACT]
     return typed.select(
