@@ -99,11 +99,11 @@ def structured_json_gate(text, max_characters: int, max_depth: int) -> Column:
 
 def promote_field(doc_text, field: str, cast: str = "string"):
     """(column value, document without the field).  The value comes from
-    the VARIANT; the rest of the document is rebuilt from a string map so the
-    other values keep their text."""
+    the VARIANT; the rest of the document is a ``map<string,variant>`` without
+    the key, so every other value keeps its JSON form."""
     v = F.try_parse_json(_c(doc_text))
     value = F.try_variant_get(v, f"$.{field}", cast)
     rest = F.to_json(
-        F.map_filter(F.from_json(_c(doc_text), "map<string,string>"), lambda k, _v: k != F.lit(field))
+        F.map_filter(F.from_json(_c(doc_text), "map<string,variant>"), lambda k, _v: k != F.lit(field))
     )
     return value, rest

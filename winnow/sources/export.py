@@ -87,3 +87,24 @@ def publish(spark: SparkSession, parts: dict[str, DataFrame], root: str, sort_co
 def read_current(spark: SparkSession, root: str) -> dict:
     line = spark.read.text(f"{root.rstrip('/')}/_CURRENT").first()
     return json.loads(line[0])
+
+
+def first_present(*cols: Column) -> Column:
+    """Coalesce chain that, like Python ``or``, also skips empty text,
+    empty objects and JSON null."""
+    return F.coalesce(*[nonempty(c) for c in cols])
+
+
+def same_key_set(a_json: Column, b_json: Column) -> Column:
+    """Two JSON objects have the same set of top-level keys."""
+    return F.array_sort(F.json_object_keys(a_json)) == F.array_sort(F.json_object_keys(b_json))
+
+
+def relative_path_ok(path: Column) -> Column:
+    """Artifact paths must be relative (no leading slash)."""
+    return path.isNotNull() & ~path.startswith("/")
+
+
+def score_value(score: Column) -> Column:
+    """NUMERIC score as double, null safe."""
+    return score.cast("double")
