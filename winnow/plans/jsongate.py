@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.features import canonical_features, with_feature_problem
 from ..functions.jsonops import canonical_json, json_depth, structured_json_gate
 from ..operators.jsonschema import check_against_schemas
-from ..session import read_table
+from ..session import read_table, spread
 from .registry import query
 
 MAX_CHARS = 64
@@ -19,7 +19,7 @@ MAX_DEPTH = 3
 
 def damaged_props(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events.props plus damaged variants chosen by event_id, covering every gate code."""
-    ev = read_table(spark, sf_dir, "events").select("event_id", "props")
+    ev = spread(read_table(spark, sf_dir, "events").select("event_id", "props"))
     p = F.col("props")
     k = F.col("event_id") % 8
     text = (
@@ -145,7 +145,7 @@ FROM c
 """)
 def json_schema_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C1 with a per-row schema: events joined to a schema per event_type."""
-    ev = read_table(spark, sf_dir, "events").select("event_id", "event_type", "props")
+    ev = spread(read_table(spark, sf_dir, "events").select("event_id", "event_type", "props"))
     rows = ev.join(F.broadcast(schema_table(spark)), "event_type").withColumn("doc", F.parse_json("props"))
     checked = check_against_schemas(rows, "doc", "expected_schema")
     return checked.select("event_id", F.col("schema_error_count").alias("error_count"),
@@ -156,7 +156,7 @@ FEATURE_CONTRACT = (("line", "integer"), ("quantity", "float"), ("returned", "bo
 
 
 def damaged_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag")
+    li = spread(read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag"))
     n = F.col("l_linenumber")
     line = F.when(n == 5, F.concat(n.cast("string"), F.lit(".0"))).otherwise(n.cast("string"))
     qty = F.when(n == 2, F.col("l_quantity").cast("bigint").cast("string")).otherwise(F.col("l_quantity").cast("string"))

@@ -9,7 +9,7 @@ from ..functions import codes
 from ..functions.jsonops import structured_json_gate
 from ..operators.jsonschema import check_against_schema
 from ..operators.score import LinearRule, score
-from ..session import read_table
+from ..session import read_table, spread
 from .registry import query
 from .selection import select_classification
 
@@ -124,7 +124,7 @@ FROM t
 def hybrid_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K8: a model score decides (linear rule on value), a JSON text is
     attached, and the structured-JSON gate and schema check judge the row."""
-    ev = read_table(spark, sf_dir, "events").select("event_id", "user_id", "value")
+    ev = spread(read_table(spark, sf_dir, "events").select("event_id", "user_id", "value"))
     sc = (F.col("value") * 2 - 100).cast("decimal(12,2)")
     t = ev.select("event_id", F.concat(F.lit('{"score":'), sc.cast("string"), F.lit(',"user":'),
                                        F.col("user_id").cast("string"), F.lit("}")).alias("completion"))
@@ -182,7 +182,7 @@ def eval_separation(spark: SparkSession, sf_dir: str) -> DataFrame:
     (whole texts).  Holdout shingles are de-duplicated; the planner
     broadcasts that side only when its size is below the broadcast
     threshold, otherwise both sides shuffle on the shingle."""
-    d = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    d = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     b = read_table(spark, sf_dir, "benchmark").select("item_id", "text")
     # no distinct on the document side: the counts below are distinct, and
     # the (smaller) holdout side can then be joined without shuffling it

@@ -97,3 +97,13 @@ def ship_package(spark: SparkSession) -> None:
                     z.write(full, os.path.relpath(full, root))
     sc.addPyFile(out)
     _SHIPPED.add(key)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread CPU-heavy per-row work over all cores when the input has fewer
+    splits than the cluster has task slots (e.g. a single-row-group file).
+    On large inputs (more splits than slots) this is a no-op: no shuffle."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= slots:
+        return df
+    return df.repartition(slots)
