@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import codes
 from ..sources.export import json_line
 from ..sources.store import first_per_key, new_rows
-from ..session import read_table
+from ..session import read_table, spread
 from .registry import query
 
 
@@ -19,8 +19,8 @@ def export_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation and region have a fixed size (25 and 5 rows) and are broadcast;
     lineitem-orders, -customer and -part are key joins left to the planner
     (sort-merge at scale, AQE broadcast when a side turns out small)."""
-    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-                                                      "l_extendedprice", "l_discount", "l_returnflag")
+    li = spread(read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                                                             "l_extendedprice", "l_discount", "l_returnflag"))
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
@@ -128,7 +128,7 @@ def provenance_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = read_table(spark, sf_dir, "nation")
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    li = spread(read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
     s = read_table(spark, sf_dir, "supplier").select("s_suppkey")
     geo = F.broadcast(n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey).select("n_nationkey", "r_name"))
     x = (li.join(o, li.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey)

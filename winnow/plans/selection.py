@@ -10,7 +10,7 @@ from ..functions import codes
 from ..operators.dedup import exact_greedy_dedup
 from ..operators.validate import (ClassificationSettings, RegressionSettings, classification_verdict,
                                   regression_verdict)
-from ..session import read_table
+from ..session import read_table, spread
 from .registry import query
 
 REGRESSION = RegressionSettings(minimum=10.0, maximum=400.0)
@@ -181,7 +181,8 @@ FROM f
 def exact_dedup_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     """G1 on lineitem: (part, supplier) is the input identity, higher
     extended price first; one sample per identity is accepted."""
-    li = read_table(spark, sf_dir, "lineitem")
+    li = spread(read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                                                             "l_extendedprice"))
     sid = F.concat_ws("-", F.lpad(F.col("l_orderkey").cast("string"), 12, "0"),
                       F.lpad(F.col("l_linenumber").cast("string"), 2, "0"),
                       F.lpad(F.col("l_partkey").cast("string"), 10, "0"),
