@@ -319,3 +319,15 @@ def test_export_helpers_and_promotion(spark):
     r = df.select(first_present(F.col("a"), F.col("b"), F.col("c")).alias("fp"), same_key_set(F.col("c"), F.col("d")).alias("sk"),
                   relative_path_ok(F.col("p")).alias("rp"), v.alias("v"), rest.alias("rest")).first()
     assert (r.fp, r.sk, r.rp, r.v, r.rest) == ('{"a":1}', False, False, "E", '{"k":1}')
+
+
+def test_skew_safe_lag_matches_window(spark):
+    from pyspark.sql import Window
+
+    from winnow.operators.lifecycle import skew_safe_lag
+
+    rows = [("hot", i, f"s{i % 3}") for i in range(900)] + [(f"k{j}", i, f"s{i}") for j in range(20) for i in range(3)]
+    df = spark.createDataFrame(rows, "k string, o long, v string")
+    got = {(r.k, r.o): r.prev for r in skew_safe_lag(df, "k", ["o"], "v", "prev", n_parts=8).collect()}
+    want = {(r.k, r.o): r.prev for r in df.withColumn("prev", F.lag("v").over(Window.partitionBy("k").orderBy("o"))).collect()}
+    assert got == want
