@@ -10,10 +10,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winnow.llm import common, mixing, simhash
+from winnow.llm import common, line_dedup, mixing, quality, queries, simhash
 from winnow.session import read_table
 
-COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the compression classifier rejects go; it learns from the labelled
+    documents that are not held out."""
+    common.prepare(spark)
+    labels = read_table(spark, sf_dir, "labels").filter(~quality.held_out(F.col("doc_id")))
+    scored = quality.classify(docs, quality.fit(docs, labels))
+    return scored.filter("__predicted = 1").select(*docs.columns)
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated lines go from the texts; ``n_chars`` follows the text; every row stays."""
+    common.prepare(spark)
+    out = line_dedup.dedup_lines(docs)
+    return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,7 +42,14 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(docs)
 
 
-STAGES = [("simhash_near_dedup", near_dedup), ("mix_sources", mix)]
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row per document of the mix: token count and digests of its ids and of the decoded text."""
+    common.prepare(spark)
+    return queries.encoded_digests(spark, docs)
+
+
+STAGES = [("quality_classifier", keep_quality), ("line_dedup", dedup_lines), ("simhash_near_dedup", near_dedup),
+          ("mix_sources", mix), ("bpe_encode_decode", encode)]
 
 #: XXH64, zstandard, edit distance and BPE are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None

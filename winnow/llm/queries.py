@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import read_table
-from . import licenses, mixing, sharding, simhash
+from . import bpe, licenses, line_dedup, mixing, quality, sharding, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -109,3 +109,39 @@ mixed AS (
 ORACLES["op7_mix_sources"] = "WITH " + MIX_SQL.replace("{docs}", "documents") + """
 SELECT doc_id, size, source_size, target, copies * size AS taken FROM mixed
 """
+
+
+@query
+def op2_fuzzy_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.dedup_lines(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.col("__lines").alias("n_lines"), F.col("__removed").alias("n_removed"),
+                      F.sha2("text", 256).alias("text_sha256"), "text")
+
+
+@query
+def op4_compression_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    labels = read_table(spark, sf_dir, "labels").filter(~quality.held_out(F.col("doc_id")))
+    out = quality.classify(docs, quality.fit(docs, labels))
+    return out.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), F.col("__score").alias("score"),
+                      F.col("__predicted").alias("predicted"))
+
+
+def byte_bpe_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def encoded_digests(spark: SparkSession, docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256: digests of the real ids and texts."""
+    spec = bpe.read_spec(spark, tokenizer or byte_bpe_path())
+    ids = docs.select("doc_id", bpe.encode(F.col("text"), spec).alias("ids"))
+    joined = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return ids.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(joined, 256).alias("ids_sha256"),
+                      F.sha2(bpe.decode(F.col("ids"), spec), 256).alias("decoded_sha256"))
+
+
+@query
+def op8_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoded_digests(spark, read_table(spark, sf_dir, "documents"))
