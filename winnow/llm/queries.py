@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import read_table
-from . import bpe, licenses, line_dedup, mixing, quality, sharding, simhash
+from . import ann, bpe, cws, licenses, line_dedup, mixing, quality, sharding, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -145,3 +145,13 @@ def encoded_digests(spark: SparkSession, docs: DataFrame, tokenizer: str | None
 @query
 def op8_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded_digests(spark, read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cws.fingerprint_edits(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_graph_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
