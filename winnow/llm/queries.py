@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import read_table
-from . import ann, bpe, cws, licenses, line_dedup, mixing, quality, sharding, simhash
+from . import ann, bpe, cws, html_extract, licenses, line_dedup, mixing, quality, sharding, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -155,3 +155,9 @@ def op5_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_graph_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query
+def op9_host_suffix_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = html_extract.extract_main_text(read_table(spark, sf_dir, "pages"))
+    return out.select("page_id", "url", F.col("__text").alias("text"), F.length("__text").cast("long").alias("n_chars"))
