@@ -4,8 +4,10 @@ one occurrence per connected group."""
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from itertools import combinations
+from os.path import commonprefix
 
 import numpy as np
 import pandas as pd
@@ -130,6 +132,56 @@ def _texts(docs: DataFrame, places: DataFrame) -> DataFrame:
     return raw.select("h1", norm("raw").alias("norm"))
 
 
+def _distance_within(a: str, b: str, limit: int) -> bool:
+    """Is the edit distance (Levenshtein, code points) at most ``limit``?  Exact: bounds settle
+    most pairs, the others go through a bit-parallel computation (Myers, Hyyro)."""
+    if abs(len(a) - len(b)) > limit:
+        return False
+    p = len(commonprefix((a, b)))
+    a, b = a[p:], b[p:]
+    s = len(commonprefix((a[::-1], b[::-1])))
+    a, b = a[:len(a) - s], b[:len(b) - s]
+    if max(len(a), len(b)) <= limit:
+        return True
+    wa, wb = a.split(" "), b.split(" ")
+    if len(wa) == len(wb) and sum(max(len(x), len(y)) for x, y in zip(wa, wb) if x != y) <= limit:
+        return True
+    ca, cb = Counter(a), Counter(b)
+    if max((ca - cb).total(), (cb - ca).total()) > limit:
+        return False
+    # a column of the distance table as two bit vectors: where it rises and where it falls
+    where: dict[str, int] = {}
+    for i, c in enumerate(a):
+        where[c] = where.get(c, 0) | 1 << i
+    full, last = (1 << len(a)) - 1, 1 << len(a) - 1
+    up, down, distance = full, 0, len(a)
+    for at, c in enumerate(b):
+        match = where.get(c, 0)
+        same_diagonal = (((match & up) + up) ^ up) | match | down
+        rises = down | ~(same_diagonal | up) & full
+        falls = up & same_diagonal
+        distance += bool(rises & last) - bool(falls & last)
+        if distance - (len(b) - at - 1) > limit:
+            return False
+        rises, falls = rises << 1 | 1, falls << 1
+        up = (falls | ~(same_diagonal | rises)) & full
+        down = rises & same_diagonal & full
+    return distance <= limit
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose lines have at least the edit similarity."""
+
+    @F.pandas_udf("boolean")
+    def similar(x: pd.Series, y: pd.Series) -> pd.Series:
+        # 1e-9: a product such as 0.2 * 35 may fall short of the whole number it stands for
+        return pd.Series([_distance_within(s, t, int(max(len(s), len(t)) * (1 - similarity) + 1e-9)) for s, t in zip(x, y)], dtype=bool)
+
+    a, b = texts.select(F.col("h1").alias("a"), F.col("norm").alias("na")), texts.select(F.col("h1").alias("b"), F.col("norm").alias("nb"))
+    near = F.abs(F.length("na") - F.length("nb")) <= F.greatest(F.length("na"), F.length("nb")) * F.lit(1 - similarity) + F.lit(1e-9)
+    return pairs.join(a, "a").join(b, "b").filter(near).filter(similar("na", "nb")).select("a", "b")
+
+
 def repeated_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", max_bits: int = MAX_BITS,
                    similarity: float = SIMILARITY) -> DataFrame:
     """(doc_id, key, line): the places of all lines that repeat an earlier one.
@@ -149,15 +201,17 @@ def repeated_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     pairs = written(_candidates(groups.select("h1", "fp"), max_bits), "line-pairs")
     ends = written(pairs.select(F.col("a").alias("h1")).union(pairs.select("b")).distinct(), "line-ends")
     texts = written(_texts(base, groups.join(ends, "h1").select("doc_id", "key", "line", "h1")), "line-texts")
-    a, b = texts.select(F.col("h1").alias("a"), F.col("norm").alias("na")), texts.select(F.col("h1").alias("b"), F.col("norm").alias("nb"))
-    longer = F.greatest(F.length("na"), F.length("nb"))
-    # 1e-9: a product such as 0.2 * 35 may fall short of the whole number it stands for
-    allowed = F.floor(longer * F.lit(1 - similarity) + F.lit(1e-9)).cast("int")
-    # with a limit the distance is computed in a band and is -1 beyond the limit
-    distance = F.call_function("levenshtein", F.col("na"), F.col("nb"), F.col("allowed"))
-    close = pairs.join(a, "a").join(b, "b").withColumn("allowed", allowed).filter(
-        (F.abs(F.length("na") - F.length("nb")) <= F.col("allowed")) & (distance >= 0))
-    comp = connected_components(written(close.select("a", "b"), "line-links"))
+    # Groups are what counts: first each line with its smallest partner, then the pairs that
+    # this leaves in different groups. A dense group is settled by the first step, so that texts
+    # travel about once a line and not once a pair.
+    nearest = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    links = written(_verified(nearest, texts, similarity), "line-links")
+    comp = connected_components(links)
+    root_a, root_b = (comp.select(F.col("node").alias(e), F.col("root").alias(f"r{e}")) for e in "ab")
+    apart = pairs.join(root_a, "a", "left").join(root_b, "b", "left").filter(
+        F.coalesce("ra", "a") != F.coalesce("rb", "b")).join(nearest, ["a", "b"], "left_anti").select("a", "b")
+    more = written(_verified(apart, texts, similarity), "line-links")
+    comp = connected_components(links.unionByName(more))
 
     # one row per line that has more than one occurrence or a link, with the place to keep
     linked = groups.join(comp, groups["h1"] == comp["node"], "left").filter((F.col("n") > 1) | F.col("root").isNotNull())
