@@ -430,12 +430,23 @@ def test_bpe_equals_the_tokenizers_library(spark):
     tok = Tokenizer.from_file(byte_bpe_path())
     docs = fx.docs(spark).union(fx.docs(spark, [(500, "aaaa" * 3000 + " \n\n  \x85 x'll I'VE 123١² \x1c\x1f <|endoftext|><|endoftext", None, None, None, *([1] * 13))]))
     spec = bpe.read_spec(spark, byte_bpe_path())
-    out = docs.select("text", bpe.encode(F.col("text"), spec).alias("ids"))
-    got = out.select("text", "ids", bpe.decode(F.col("ids"), spec).alias("back")).collect()
+    out = bpe.encode_documents(docs.select("doc_id", "text", F.coalesce("text", F.lit("")).alias("whole"), "lang"), spec, decoded=True)
+    got = out.select("whole", F.col("__ids").alias("ids"), "__decoded", bpe.decode(F.col("__ids"), spec).alias("back")).collect()
+    assert len(got) == docs.count() and out.columns == ["doc_id", "whole", "lang", "__ids", "__decoded"]
     for r in got:
-        ids = tok.encode(r.text or "", add_special_tokens=False).ids
-        assert r.ids == ids and r.back == tok.decode(ids, skip_special_tokens=False) == (r.text or "")
-    assert fx.empty(spark).select(bpe.encode(F.col("text"), spec)).count() == 0
+        ids = tok.encode(r.whole, add_special_tokens=False).ids
+        assert r.ids == ids and r.back == r["__decoded"] == tok.decode(ids, skip_special_tokens=False) == r.whole
+    assert bpe.encode_documents(fx.empty(spark), spec).count() == 0
+
+
+def test_bpe_slices_hold_whole_rows():
+    from winnow.llm import bpe
+
+    big = bpe.TRIE_CHARS
+    for lengths in ([], [0], [5, big, 5], [big // 2] * 5, [3 * big], [0, 0, big + 1, 0]):
+        cut = list(bpe._slices(lengths))
+        assert [i for s, n in cut for i in range(s, s + n)] == list(range(len(lengths)))
+        assert all(n == 1 or sum(lengths[s:s + n]) <= big for s, n in cut)
 
 
 def test_bpe_fuzz_and_forgetting(monkeypatch):

@@ -11,15 +11,18 @@ from pathlib import Path
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, SparkSession
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 # Fixed value: the public pre-tokenisation pattern of byte-level BPE.
 BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 #: Bounds of a worker's memory: words whose ids are kept, pairs of tokens whose compatibility
-#: is kept, characters of text whose words are put into one trie.
-KEEP_WORDS, KEEP_PAIRS, TRIE_CHARS = 1 << 19, 1 << 20, 4 << 20
+#: is kept, bytes of text whose words are put into one trie.
+KEEP_WORDS, KEEP_PAIRS, TRIE_CHARS = 1 << 18, 1 << 18, 1 << 20
 #: A longer word is encoded but not kept.
 KEEP_WORD = 256
 
@@ -226,26 +229,44 @@ def read_spec(spark: SparkSession, path: str):
     return spark.sparkContext.broadcast(Path(path).read_text(encoding="utf-8"))
 
 
-def encode(text: Column, spec) -> Column:
-    """Ids (array<int>) of a whole text (null: empty); no token is added."""
+def _slices(lengths: list[int]) -> Iterator[tuple[int, int]]:
+    """(start, count) of consecutive rows of at most ``TRIE_CHARS`` together, or of one longer row."""
+    start = held = 0
+    for i, n in enumerate(lengths):
+        if i > start and held + n > TRIE_CHARS:
+            yield start, i - start
+            start = i
+            held = 0
+        held += n
+    if lengths:
+        yield start, len(lengths) - start
 
-    @F.pandas_udf("array<int>")
-    def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+
+def encode_documents(docs: DataFrame, spec, text: str = "text", decoded: bool = False) -> DataFrame:
+    """``docs`` without its text, with ``__ids`` (array<int>): the ids of the whole text (null:
+    empty), no token added; with ``decoded`` also ``__decoded``, the text of these ids.
+
+    Rows go through in slices of a bounded number of characters, whose words share a trie.
+    """
+    keep = [c for c in docs.columns if c != text]
+    schema = StructType([*[docs.schema[c] for c in keep], StructField("__ids", ArrayType(IntegerType())),
+                         *[StructField("__decoded", StringType())] * decoded])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = _encoder(spec.value)
-        for s in batches:
-            out: list[np.ndarray] = []
-            held: list[str] = []
-            chars = 0
-            for t in s:
-                held.append(t or "")
-                chars += len(held[-1])
-                if chars >= TRIE_CHARS:
-                    out.extend(enc.encode_texts(held))
-                    held, chars = [], 0
-            out.extend(enc.encode_texts(held))
-            yield pd.Series(out)
-
-    return ids(text)
+        for batch in batches:
+            column = batch.column(batch.schema.get_field_index(text))
+            lengths = pc.fill_null(pc.binary_length(column), 0).to_pylist()
+            for start, count in _slices(lengths):
+                part = batch.slice(start, count)
+                ids = list(enc.encode_texts([t or "" for t in column.slice(start, count).to_pylist()]))
+                offsets = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
+                made = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids)))]
+                if decoded:
+                    made.append(pa.array([enc.decode(x.tolist()) for x in ids], pa.string()))
+                yield pa.RecordBatch.from_arrays([*[part.column(part.schema.get_field_index(c)) for c in keep], *made], names=schema.names)
+
+    return docs.mapInArrow(run, schema)
 
 
 def decode(ids: Column, spec) -> Column:

@@ -136,10 +136,10 @@ def byte_bpe_path() -> str:
 def encoded_digests(spark: SparkSession, docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256: digests of the real ids and texts."""
     spec = bpe.read_spec(spark, tokenizer or byte_bpe_path())
-    ids = docs.select("doc_id", bpe.encode(F.col("text"), spec).alias("ids"))
-    joined = F.array_join(F.col("ids").cast("array<string>"), ",")
-    return ids.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(joined, 256).alias("ids_sha256"),
-                      F.sha2(bpe.decode(F.col("ids"), spec), 256).alias("decoded_sha256"))
+    coded = bpe.encode_documents(docs.select("doc_id", "text"), spec, decoded=True)
+    joined = F.array_join(F.col("__ids").cast("array<string>"), ",")
+    return coded.select("doc_id", F.size("__ids").cast("long").alias("n_tokens"), F.sha2(joined, 256).alias("ids_sha256"),
+                        F.sha2("__decoded", 256).alias("decoded_sha256"))
 
 
 @query
