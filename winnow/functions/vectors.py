@@ -40,8 +40,10 @@ def norm(a) -> Column:
 
 
 def cosine_distance(a, b) -> Column:
-    """1 - cos(a, b); NaN when a norm is zero (as pgvector)."""
-    return F.lit(1.0) - dot(a, b) / (norm(a) * norm(b))
+    """1 - cos(a, b), the similarity clipped to [-1, 1]; NaN when a norm is zero (as pgvector)."""
+    scale = norm(a) * norm(b)
+    cos = F.greatest(F.least(dot(a, b) / F.nullif(scale, F.lit(0.0)), F.lit(1.0)), F.lit(-1.0))
+    return F.when(scale == 0, F.lit(float("nan"))).otherwise(F.lit(1.0) - cos)
 
 
 def normalised(a) -> Column:

@@ -2,20 +2,21 @@
 
 Spark has no vector index, and the reference's rules are exact: a
 candidate is a duplicate iff its nearest *accepted* embedding is within
-the threshold, in queue order.  Pairs are therefore compared exactly, but
-never materialised as rows:
+the threshold, in queue order.  Pairs are therefore compared exactly:
 
 * rows of one block (dataset, embedding model) are hashed into
   ``ceil(n / tile_rows)`` tiles; each row is sent to every tile pair that
   contains its tile, so a block of any size (even one holding a third of
   all rows) is spread over many bounded tasks;
 * one ``applyInPandas`` task per tile pair normalises both tiles and does
-  one matrix product; it emits only per-row aggregates (best neighbour, or
-  flags), never the pairs themselves;
-* a second, partial aggregate per row combines the tile pairs.
-
-Queue order is compared inside each task from the order columns (a local
-sort of the rows at hand), so no global ranking window is needed.
+  one matrix product; it emits the best neighbour per row, or the pairs
+  within the threshold;
+* queue order is compared inside each task on the full (order, id) key, so
+  no global ranking window is needed and a row never meets itself.
+
+Greedy dedup computes its near pairs once, over distinct vectors only, and
+then works on the pairs alone.  The tile size decides how the work is cut,
+never what comes out.
 """
 
 from __future__ import annotations
@@ -24,9 +25,8 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import codes
 from ..functions.vectors import embedding_ok
@@ -61,12 +61,13 @@ def _local_rank(pdf: pd.DataFrame, order_cols: Sequence[str], ascending: Sequenc
     accepted rows come before every candidate."""
     if not len(pdf):
         return np.zeros(0, dtype=np.int64)
-    keys = pdf[list(order_cols)].copy()
-    idx = keys.sort_values(list(order_cols), ascending=list(ascending), kind="mergesort").index
+    keys = pdf[list(order_cols)].sort_values(list(order_cols), ascending=list(ascending), kind="mergesort")
+    before = keys.shift()
+    new = ~((keys == before) | (keys.isna() & before.isna())).all(axis=1)
     rank = np.empty(len(pdf), dtype=np.int64)
-    rank[pdf.index.get_indexer(idx)] = np.arange(len(pdf))
-    prior = pdf["_prior"].to_numpy(dtype=bool)
-    rank[prior] = -1
+    # equal keys (the query and the reference copy of one row) share a position
+    rank[pdf.index.get_indexer(keys.index)] = new.cumsum().to_numpy()
+    rank[pdf["_prior"].to_numpy(dtype=bool)] = -1
     return rank
 
 
@@ -77,6 +78,11 @@ def _unit(vectors) -> np.ndarray:
         return m / n
 
 
+def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Cosine distances; the similarity is clipped to [-1, 1], so equal vectors are at 0."""
+    return 1.0 - np.clip(a @ b.T, -1.0, 1.0)
+
+
 def _pair_blocks(pdf: pd.DataFrame):
     """(query rows, reference rows) index pairs to compare in this task."""
     a, b = int(pdf["_pa"].iloc[0]), int(pdf["_pb"].iloc[0])
@@ -104,8 +110,10 @@ def _nearest_kernel(order_cols, ascending, earlier_only):
             ri = ri[is_r[ri]]
             if not len(qi) or not len(ri):
                 continue
-            d = 1.0 - unit[qi] @ unit[ri].T
-            mask = rank[ri][None, :] < rank[qi][:, None] if earlier_only else ids[ri][None, :] != ids[qi][:, None]
+            d = _distances(unit[qi], unit[ri])
+            mask = ids[ri][None, :] != ids[qi][:, None]
+            if earlier_only:
+                mask &= rank[ri][None, :] < rank[qi][:, None]
             d = np.where(mask, d, np.inf)
             # NaN (zero vector) sorts after every number, as in the store's ORDER BY
             d = np.where(np.isnan(d), _NAN_SLOT, d)
@@ -117,7 +125,9 @@ def _nearest_kernel(order_cols, ascending, earlier_only):
             keep = np.isfinite(best)
             out_q.append(ids[qi][keep])
             out_r.append(ids[ri][order][j][keep])
-            out_d.append(np.where(best[keep] == _NAN_SLOT, np.nan, best[keep]))
+            # an undefined distance stays the largest number until the tile pairs are merged:
+            # as NaN it would arrive as a null and sort first
+            out_d.append(best[keep])
         if not out_q:
             return pd.DataFrame({"_id": ids[:0], "_nid": ids[:0], "_d": np.zeros(0)})
         return pd.DataFrame({"_id": np.concatenate(out_q), "_nid": np.concatenate(out_r), "_d": np.concatenate(out_d)})
@@ -125,64 +135,25 @@ def _nearest_kernel(order_cols, ascending, earlier_only):
     return run
 
 
-def _round_kernel(order_cols, ascending, threshold):
+def _edge_kernel(order_cols, ascending, threshold):
+    """Pairs within the threshold, the earlier row first; of prior rows only whether there is one."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.reset_index(drop=True)
         rank = _local_rank(pdf, order_cols, ascending)
         unit = _unit(pdf["_vec"].tolist())
-        state = pdf["_state"].to_numpy()
+        prior = pdf["_prior"].to_numpy(dtype=bool)
         ids = pdf["_id"].to_numpy()
-        res_id, res_acc, res_open = [], [], []
+        src, dst, by_prior = [ids[:0]], [ids[:0]], [np.zeros(0, dtype=bool)]
         for qi, ri in _pair_blocks(pdf):
-            qi = qi[state[qi] == "open"]
+            qi = qi[~prior[qi]]
             if not len(qi) or not len(ri):
                 continue
-            d = 1.0 - unit[qi] @ unit[ri].T
-            near = (d <= threshold) & (rank[ri][None, :] < rank[qi][:, None])
-            acc = (near & (state[ri] == "accepted")[None, :]).any(axis=1)
-            opn = (near & (state[ri] == "open")[None, :]).any(axis=1)
-            res_id.append(ids[qi]), res_acc.append(acc), res_open.append(opn)
-        if not res_id:
-            return pd.DataFrame({"_id": ids[:0], "_acc": np.zeros(0, bool), "_open": np.zeros(0, bool)})
-        return pd.DataFrame({"_id": np.concatenate(res_id), "_acc": np.concatenate(res_acc),
-                             "_open": np.concatenate(res_open)})
-
-    return run
-
-
-def _greedy_block_kernel(order_cols, ascending, threshold):
-    """Whole small block in one task (at most ``tile_rows`` rows): the
-    sequential greedy loop with nearest-accepted evidence, exactly as the
-    reference walks its queue."""
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.reset_index(drop=True)
-        rank = _local_rank(pdf, order_cols, ascending)
-        unit = _unit(pdf["_vec"].tolist())
-        ids = pdf["_id"].to_numpy()
-        prior = pdf["_prior"].to_numpy(dtype=bool)
-        d_all = 1.0 - unit @ unit.T
-        accepted = prior.copy()
-        out_id, out_st, out_nid, out_d = [], [], [], []
-        by_id = np.argsort(ids, kind="mergesort")
-        for i in np.argsort(rank, kind="mergesort"):
-            if prior[i]:
-                continue
-            cand = by_id[accepted[by_id]]  # accepted rows (all earlier), lowest id first
-            if len(cand):
-                d = d_all[i, cand]
-                dd = np.where(np.isnan(d), _NAN_SLOT, d)
-                j = int(np.argmin(dd))
-                nid, dist = ids[cand[j]], float(d[j])
-                broken = not np.isfinite(dist) or dist < 0.0 or dist > 2.0 + 1e-12
-                dup = (not broken) and dist <= threshold
-                st = "error" if broken else ("rejected" if dup else "accepted")
-            else:
-                nid, dist, st = None, np.nan, "accepted"
-            if st == "accepted":
-                accepted[i] = True
-            out_id.append(ids[i]), out_st.append(st), out_nid.append(nid), out_d.append(dist if nid is not None else None)
-        return pd.DataFrame({"_id": out_id, "_st": out_st, "_nid": pd.array(out_nid, dtype="object"),
-                             "_d": pd.array(out_d, dtype="float64")})
+            near = (_distances(unit[qi], unit[ri]) <= threshold) & (rank[ri][None, :] < rank[qi][:, None])
+            hit = near[:, prior[ri]].any(axis=1)
+            src.append(ids[qi][hit]), dst.append(ids[qi][hit]), by_prior.append(np.ones(hit.sum(), dtype=bool))
+            q, r = np.nonzero(near & ~prior[ri][None, :] & ~hit[:, None])
+            src.append(ids[ri][r]), dst.append(ids[qi][q]), by_prior.append(np.zeros(len(q), dtype=bool))
+        return pd.DataFrame({"_src": np.concatenate(src), "_dst": np.concatenate(dst), "_by_prior": np.concatenate(by_prior)})
 
     return run
 
@@ -222,68 +193,108 @@ def nearest_neighbours(queries: DataFrame, refs: DataFrame, block: Sequence[str]
     schema = f"_id {id_type}, _nid {id_type}, _d double"
     part = tiled.groupBy(*block, "_pa", "_pb").applyInPandas(_nearest_kernel(loc_cols, asc, earlier_only), schema)
     best = part.groupBy("_id").agg(F.min_by(F.struct("_nid", "_d"), F.struct("_d", "_nid")).alias("b"))
-    return best.select(F.col("_id").alias(id_col), F.col("b._nid").alias("nearest_id"), F.col("b._d").alias("distance"))
+    return best.select(F.col("_id").alias(id_col), F.col("b._nid").alias("nearest_id"),
+                       F.when(F.col("b._d") == float(_NAN_SLOT), F.lit(float("nan"))).otherwise(F.col("b._d")).alias("distance"))
+
+
+def _is_zero(vec: str) -> Column:
+    return F.forall(F.col(vec), lambda x: x == 0)
+
+
+def _queue(order: Sequence[tuple[str, bool]] | None, id_col: str) -> list[Column]:
+    cols, ascending = _order_spec(order, id_col)
+    return [F.col(c).asc_nulls_first() if a else F.col(c).desc_nulls_last() for c, a in zip(cols, ascending)]
+
+
+def _first_of(df: DataFrame, keys: Sequence[str], queue: Sequence[Column]) -> DataFrame:
+    """The first row of each key.  ``row_number() = 1`` is limited per key and task before
+    the shuffle, so a hot key sends one row per task."""
+    rn = F.row_number().over(Window.partitionBy(*keys).orderBy(*queue))
+    return df.withColumn("_rn", rn).filter("_rn = 1").drop("_rn")
+
+
+def _settle(edges: DataFrame) -> tuple[DataFrame, int]:
+    """Greedy statuses from (``_src`` earlier than ``_dst``) pairs: an end without an earlier
+    neighbour left is accepted and rejects its later ones; both leave with their pairs.  Every
+    round settles at least the earliest row left, so the loop ends by itself; ends that lose
+    all their pairs without a verdict are accepted (they appear as ``_src`` or not at all).
+    Returns the rejected ids and the number of rounds."""
+    rejected, rounds = None, 0
+    left = edges.checkpoint(eager=True)
+    while not left.isEmpty():
+        rounds += 1
+        waiting = left.select(F.col("_dst").alias("_w")).distinct()
+        free = left.join(waiting, left["_src"] == waiting["_w"], "left_anti")
+        gone = free.select(F.col("_dst").alias("_g")).distinct().checkpoint(eager=True)
+        rejected = gone if rejected is None else rejected.unionByName(gone)
+        left = left.join(gone, left["_dst"] == gone["_g"], "left_anti")
+        left = left.join(gone, left["_src"] == gone["_g"], "left_anti").checkpoint(eager=True)
+    return (edges.select(F.col("_dst").alias("_g")).limit(0) if rejected is None else rejected), rounds
 
 
 def semantic_greedy_dedup(cands: DataFrame, block: Sequence[str], id_col: str, vec_col: str, threshold: float,
                           order: Sequence[tuple[str, bool]] | None = None, prior_accepted: DataFrame | None = None,
-                          tile_rows: int = DEFAULT_TILE_ROWS, max_rounds: int = 10_000,
-                          checkpoint_every: int = 1) -> tuple[DataFrame, int]:
+                          tile_rows: int = DEFAULT_TILE_ROWS) -> tuple[DataFrame, int]:
     """In queue order, accept a candidate iff no accepted embedding
     (earlier candidate or prior store row) is within ``threshold`` (inclusive).
 
-    Rounds: an open candidate with an accepted earlier neighbour is
-    rejected; one whose earlier neighbours are all rejected is accepted.
-    The earliest open row is always decided, so the loop ends; it equals
-    the sequential greedy loop.  Decided rejections leave the working set.
-    State is checkpointed (reliable) every round so lineage stays short and
-    an executor loss recomputes one round at most.
+    Equal vectors: whatever the first of them meets, the later ones meet too, so only
+    the first takes part in the pairs and the others are duplicates.
 
-    Returns ((id, status), rounds)."""
-    spark = cands.sparkSession
-    ensure_checkpoint_dir(spark)
+    A zero vector has no distance to anything.  A candidate whose distances to all
+    accepted rows are undefined is an error: a zero vector with anything accepted before
+    it, and any row of a block in which only zero vectors are accepted, which happens if
+    the store holds no other or if the first candidate of a block without a store is zero.
+
+    Returns ((id, status accepted, rejected or error), rounds)."""
+    ensure_checkpoint_dir(cands.sparkSession)
+    keys = list(block) or ["_blk"]
     order_cols, asc = _order_spec(order, id_col)
     loc_cols = [f"_o_{c}" if c != id_col else "_id" for c in order_cols]
-    base = _prepare(cands, block, id_col, vec_col, order_cols, {"_prior": F.lit(False)})
+    queue = _queue(order, id_col)
+    rows = cands.withColumn("_zero", _is_zero(vec_col))
+    rows = rows if block else rows.withColumn("_blk", F.lit(0))
+    first = _first_of(rows, keys, queue).select(*keys, F.col(id_col).alias("_first"), F.col("_zero").alias("_first_zero"))
     if prior_accepted is not None:
-        p = _prepare(prior_accepted, block, id_col, vec_col, [id_col], {"_prior": F.lit(True)})
+        store = prior_accepted if block else prior_accepted.withColumn("_blk", F.lit(0))
+        held = store.groupBy(*keys).agg(F.bool_or(~_is_zero(vec_col)).alias("_store"))
+        first = first.join(held, keys, "left")
+    else:
+        store, first = None, first.withColumn("_store", F.lit(None).cast("boolean"))
+    # one row per block
+    mode = (F.when(F.col("_store"), F.lit("pairs")).when(F.col("_store").isNotNull(), F.lit("none"))
+            .when(F.col("_first_zero"), F.lit("first")).otherwise(F.lit("pairs")))
+    first = first.select(*keys, "_first", mode.alias("_mode")).checkpoint(eager=True)
+    rows = rows.join(first, keys)
+    usable = rows.filter((F.col("_mode") == "pairs") & ~F.col("_zero"))
+    hashed = usable.withColumn("_h1", F.xxhash64(vec_col)).withColumn("_h2", F.xxhash64(F.lit(1), vec_col))
+    reps = _first_of(hashed, [*keys, "_h1", "_h2"], queue)
+    base = _prepare(reps, keys, id_col, vec_col, order_cols, {"_prior": F.lit(False)})
+    if store is not None:
+        p = _prepare(store.filter(~_is_zero(vec_col)), keys, id_col, vec_col, [id_col], {"_prior": F.lit(True)})
         for c in order_cols:
             if c != id_col:
                 p = p.withColumn(f"_o_{c}", F.lit(None).cast(base.schema[f"_o_{c}"].dataType))
+        p = p.join(first.select(*keys), keys, "left_semi")
         base = base.unionByName(p)
-    state = base.withColumn("_state", F.when(F.col("_prior"), F.lit("accepted")).otherwise(F.lit("open")))
-    state = state.checkpoint(eager=True)
+    base = base.checkpoint(eager=True)
     id_type = base.schema["_id"].dataType.simpleString()
-    schema = f"_id {id_type}, _acc boolean, _open boolean"
-    decided = None  # accumulated decided candidates (id, status)
-    rounds = 0
-    while rounds < max_rounds:
-        n_open = state.filter(F.col("_state") == "open").limit(1).count()
-        if n_open == 0:
-            break
-        rounds += 1
-        tiled = _to_pairs(_tile(state, block, "_id", tile_rows))
-        flags = tiled.groupBy(*block, "_pa", "_pb").applyInPandas(_round_kernel(loc_cols, asc, threshold), schema)
-        flags = flags.groupBy("_id").agg(F.bool_or("_acc").alias("_acc"), F.bool_or("_open").alias("_opn"))
-        nxt = state.join(flags, "_id", "left").withColumn(
-            "_state",
-            F.when(F.col("_state") != "open", F.col("_state"))
-            .when(F.coalesce(F.col("_acc"), F.lit(False)), F.lit("rejected"))
-            .when(~F.coalesce(F.col("_opn"), F.lit(False)), F.lit("accepted"))
-            .otherwise(F.lit("open"))).drop("_acc", "_opn")
-        nxt = nxt.checkpoint(eager=True) if rounds % checkpoint_every == 0 else nxt
-        newly_rejected = nxt.filter((F.col("_state") == "rejected")).select("_id", "_state")
-        decided = newly_rejected if decided is None else decided.unionByName(newly_rejected)
-        # rejected rows never matter again: keep open and accepted only
-        state = nxt.filter(F.col("_state") != "rejected")
-        if rounds % 8 == 0 and decided is not None:
-            decided = decided.checkpoint(eager=True)
-    else:
-        raise RuntimeError(f"semantic dedup did not converge in {max_rounds} rounds")
-    final = state.filter(~F.col("_prior")).select("_id", "_state")
-    if decided is not None:
-        final = final.unionByName(decided)
-    return final.select(F.col("_id").alias(id_col), F.col("_state").alias("status")), rounds
+    tiled = _to_pairs(_tile(base, keys, "_id", tile_rows))
+    near = tiled.groupBy(*keys, "_pa", "_pb").applyInPandas(
+        _edge_kernel(loc_cols, asc, threshold), f"_src {id_type}, _dst {id_type}, _by_prior boolean").checkpoint(eager=True)
+    by_store = near.filter("_by_prior").select(F.col("_dst").alias("_g")).distinct()
+    pairs = near.filter(~F.col("_by_prior")).select("_src", "_dst")
+    pairs = pairs.join(by_store, pairs["_dst"] == by_store["_g"], "left_anti")
+    pairs = pairs.join(by_store, pairs["_src"] == by_store["_g"], "left_anti")
+    by_pair, rounds = _settle(pairs)
+    rejected = by_store.unionByName(by_pair)
+    kept = base.filter(~F.col("_prior")).select("_id").join(rejected, F.col("_id") == rejected["_g"], "left_anti")
+    kept = kept.select(F.col("_id").alias("_kept"))
+    verdict = (F.when((F.col("_mode") == "first") & (F.col(id_col) == F.col("_first")), F.lit("accepted"))
+               .when((F.col("_mode") != "pairs") | F.col("_zero"), F.lit("error"))
+               .when(F.col("_kept").isNotNull(), F.lit("accepted")).otherwise(F.lit("rejected")))
+    out = rows.select(id_col, "_mode", "_first", "_zero").join(kept, F.col(id_col) == F.col("_kept"), "left")
+    return out.select(id_col, verdict.alias("status")).checkpoint(eager=True), rounds
 
 
 def semantic_dedup_with_evidence(cands: DataFrame, block: Sequence[str], id_col: str, vec_col: str,
@@ -294,60 +305,21 @@ def semantic_dedup_with_evidence(cands: DataFrame, block: Sequence[str], id_col:
 
     Invalid embeddings fail closed (``semantic_dedup_error``).  Evidence for
     each candidate is its nearest accepted neighbour earlier in queue order
-    (or prior), kept even when the candidate is accepted."""
+    (or prior), kept even when the candidate is accepted; an undefined
+    distance comes after every number."""
     ok = embedding_ok(F.col(vec_col), dim)
     good = cands.filter(ok)
     bad = cands.filter(~ok).select(id_col, F.lit(codes.REJECTED).alias("status"),
                                    F.lit(codes.SEMANTIC_DEDUP_ERROR).alias("failure_code"))
-    keys = list(block) if block else ["_blk"]
-    if block:
-        sizes = good.groupBy(*keys).agg(F.count(F.lit(1)).alias("_bn"))
-        g = good.join(sizes, keys)
-    else:
-        g = good.withColumn("_blk", F.lit(0)).withColumn("_bn", F.lit(good.count()))
-    small, large = g.filter(F.col("_bn") <= tile_rows), g.filter(F.col("_bn") > tile_rows)
-    parts = []
-    rounds = 0
-    # small blocks: one bounded task each, sequential greedy + evidence
-    order_cols, asc = _order_spec(order, id_col)
-    loc_cols = [f"_o_{c}" if c != id_col else "_id" for c in order_cols]
-    sm = _prepare(small, keys, id_col, vec_col, order_cols, {"_prior": F.lit(False)})
-    if prior_accepted is not None:
-        pa = prior_accepted if block else prior_accepted.withColumn("_blk", F.lit(0))
-        pa = pa.join(small.select(*keys).distinct(), keys, "left_semi")
-        p = _prepare(pa, keys, id_col, vec_col, [id_col], {"_prior": F.lit(True)})
-        for c in order_cols:
-            if c != id_col:
-                p = p.withColumn(f"_o_{c}", F.lit(None).cast(sm.schema[f"_o_{c}"].dataType))
-        sm = sm.unionByName(p)
-    id_type = sm.schema["_id"].dataType.simpleString()
-    ks = sm.groupBy(*keys).applyInPandas(_greedy_block_kernel(loc_cols, asc, threshold),
-                                         f"_id {id_type}, _st string, _nid {id_type}, _d double")
-    parts.append(ks.select(
-        F.col("_id").alias(id_col),
-        F.when(F.col("_st") == "accepted", F.lit(codes.ACCEPTED)).otherwise(F.lit(codes.REJECTED)).alias("status"),
-        F.col("_nid").alias("nearest_id"), F.col("_d").alias("distance"),
-        F.when(F.col("_st") == "rejected", F.lit(codes.DUPLICATE_SAMPLE))
-        .when(F.col("_st") == "error", F.lit(codes.SEMANTIC_DEDUP_ERROR)).alias("failure_code")))
-    # large blocks: rounds over tiles, then the evidence join
-    if large.limit(1).count() > 0:
-        lg = large.drop("_bn") if block else large.drop("_bn", "_blk")
-        status, rounds = semantic_greedy_dedup(lg, block, id_col, vec_col, threshold, order, prior_accepted, tile_rows)
-        status = status.checkpoint(eager=True)
-        accepted_rows = lg.join(status.filter(F.col("status") == codes.ACCEPTED).select(id_col), id_col, "left_semi")
-        near = nearest_neighbours(lg, accepted_rows, block, id_col, vec_col, order, True, prior_accepted, tile_rows)
-        verdict = status.join(near, id_col, "left").withColumn(
-            "failure_code", F.when(F.col("status") == codes.REJECTED, F.lit(codes.DUPLICATE_SAMPLE)))
-        # a NaN/out-of-range distance to the nearest accepted row fails closed
-        broken = F.col("distance").isNotNull() & (F.isnan("distance") | (F.col("distance") < 0) | (F.col("distance") > 2 + 1e-12))
-        verdict = verdict.withColumn("status", F.when(broken, F.lit(codes.REJECTED)).otherwise(F.col("status"))) \
-            .withColumn("failure_code", F.when(broken, F.lit(codes.SEMANTIC_DEDUP_ERROR)).otherwise(F.col("failure_code")))
-        parts.append(verdict.select(id_col, "status", "nearest_id", "distance", "failure_code"))
-    out = parts[0]
-    for p_ in parts[1:]:
-        out = out.unionByName(p_)
-    out = out.unionByName(bad, allowMissingColumns=True)
-    return out, rounds
+    status, rounds = semantic_greedy_dedup(good, block, id_col, vec_col, threshold, order, prior_accepted, tile_rows)
+    accepted = good.join(status.filter(F.col("status") == "accepted").select(id_col), id_col, "left_semi")
+    near = nearest_neighbours(good, accepted, block, id_col, vec_col, order, True, prior_accepted, tile_rows)
+    out = status.join(near, id_col, "left").select(
+        id_col, F.when(F.col("status") == "accepted", F.lit(codes.ACCEPTED)).otherwise(F.lit(codes.REJECTED)).alias("status"),
+        "nearest_id", "distance",
+        F.when(F.col("status") == "rejected", F.lit(codes.DUPLICATE_SAMPLE))
+        .when(F.col("status") == "error", F.lit(codes.SEMANTIC_DEDUP_ERROR)).alias("failure_code"))
+    return out.unionByName(bad, allowMissingColumns=True), rounds
 
 
 def top1_against(df: DataFrame, query_vec: DataFrame, id_col: str, vec_col: str, exclude_id: bool = True) -> DataFrame:

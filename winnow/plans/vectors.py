@@ -84,6 +84,59 @@ def semantic_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("vec_id", "status", "failure_code", "nearest_id", F.round("distance", 9).alias("distance"))
 
 
+#: Blocks by label, a vector planted again under a new id, a zero vector, and a store of accepted ones.
+PLANTED_SQL = f"""
+WITH RECURSIVE planted AS (
+  SELECT vec_id AS id, label % 3 AS blk, CASE WHEN vec_id % 50 = 3 THEN list_transform(embedding::DOUBLE[], lambda x: 0.0) ELSE embedding::DOUBLE[] END AS v,
+         vec_id % 11 = 0 AS store, vec_id % 50 = 3 AS zero FROM embeddings
+  UNION ALL
+  SELECT vec_id + 1000000, label % 3, embedding::DOUBLE[], false, false FROM embeddings WHERE vec_id % 7 = 0 AND vec_id % 50 <> 3),
+c AS (SELECT *, row_number() OVER (ORDER BY id) AS rn FROM planted WHERE NOT store AND NOT zero),
+p AS (SELECT * FROM planted WHERE store AND NOT zero),
+blocked AS (SELECT DISTINCT c.rn FROM c JOIN p ON c.blk = p.blk AND list_cosine_distance(c.v, p.v) <= {THRESHOLD}),
+nb AS (
+  SELECT b.rn, list(a.rn) AS nbs FROM c a JOIN c b ON a.blk = b.blk AND a.rn < b.rn AND list_cosine_distance(a.v, b.v) <= {THRESHOLD}
+  GROUP BY b.rn),
+g(rn, acc) AS (
+  SELECT CAST(0 AS BIGINT), CAST([] AS BIGINT[])
+  UNION ALL
+  SELECT g.rn + 1,
+         CASE WHEN blocked.rn IS NOT NULL OR list_has_any(g.acc, coalesce(nb.nbs, [])) THEN g.acc ELSE list_append(g.acc, g.rn + 1) END
+  FROM g LEFT JOIN nb ON nb.rn = g.rn + 1 LEFT JOIN blocked ON blocked.rn = g.rn + 1
+  WHERE g.rn < (SELECT max(rn) FROM c)),
+fin AS (SELECT acc FROM g ORDER BY rn DESC LIMIT 1),
+ok AS (SELECT c.*, list_contains((SELECT acc FROM fin), c.rn) AS is_acc FROM c),
+held AS (SELECT id, blk, v, true AS old FROM p UNION ALL SELECT id, blk, v, false FROM ok WHERE is_acc),
+near AS (
+  SELECT q.id, r.id AS nid, list_cosine_distance(q.v, r.v) AS d
+  FROM ok q JOIN held r ON q.blk = r.blk AND (r.old OR r.id < q.id)
+  QUALIFY row_number() OVER (PARTITION BY q.id ORDER BY round(d, 12), r.id) = 1)
+SELECT ok.id, CASE WHEN is_acc THEN 'accepted' ELSE 'rejected' END AS status,
+       CASE WHEN is_acc THEN NULL ELSE 'duplicate_sample' END AS failure_code, round(near.d, 9) AS distance
+FROM ok LEFT JOIN near ON ok.id = near.id
+UNION ALL
+SELECT id, 'rejected', 'semantic_dedup_error', NULL FROM planted WHERE zero AND NOT store
+"""
+
+
+@query("semantic_dedup_blocks", PLANTED_SQL)
+def semantic_dedup_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G2 + G3 in several blocks, with exact copies, zero vectors and a store of accepted
+    vectors, over more than one tile."""
+    emb = read_table(spark, sf_dir, "embeddings")
+    v = F.col("embedding").cast("array<double>")
+    zero = F.col("vec_id") % 50 == 3
+    base = emb.select(F.col("vec_id").alias("id"), (F.col("label") % 3).alias("blk"), (F.col("vec_id") % 11 == 0).alias("store"),
+                      F.when(zero, F.transform(v, lambda x: F.lit(0.0))).otherwise(v).alias("v"))
+    copies = emb.filter((F.col("vec_id") % 7 == 0) & ~zero).select(
+        (F.col("vec_id") + 1000000).alias("id"), (F.col("label") % 3).alias("blk"), F.lit(False).alias("store"), v.alias("v"))
+    rows = base.unionByName(copies)
+    out, _ = semantic_dedup_with_evidence(rows.filter("NOT store").drop("store"), ["blk"], "id", "v", THRESHOLD, DIM,
+                                          prior_accepted=rows.filter("store").drop("store"), tile_rows=200)
+    # an undefined distance is shown as none
+    return out.select("id", "status", "failure_code", F.round(F.nanvl("distance", F.lit(None).cast("double")), 9).alias("distance"))
+
+
 @query("embedding_check", f"""
 WITH d AS (
   SELECT vec_id,
