@@ -8,7 +8,7 @@ import math
 
 import duckdb
 
-from ..session import TABLES
+from winnow.session import TABLES
 
 
 def _norm(v):

@@ -14,7 +14,7 @@ def _names():
 @pytest.mark.parametrize("name", _names())
 def test_query_matches_oracle(spark, name):
     import __spark_entry__ as e
-    from winnow.plans.oracle_check import compare
+    from oracle_check import compare
 
     df = e.queries()[name](spark, SF01)
     ok, a, b, raw = compare(df, e.oracle_sql()[name], SF01)

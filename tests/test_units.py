@@ -311,12 +311,14 @@ def test_scoring_and_ids(spark):
 
 def test_export_helpers_and_promotion(spark):
     from winnow.functions.jsonops import promote_field
-    from winnow.sources.export import first_present, relative_path_ok, same_key_set
+    from winnow.sources.export import first_object, first_present, relative_path_ok, same_key_set
 
     df = spark.createDataFrame([("", "{}", '{"a":1}', '{"b":1,"a":2}', "/abs/model.bin", '{"error_type":"E","k":1}')],
                                "a string, b string, c string, d string, p string, m string")
     v, rest = promote_field(F.col("m"), "error_type")
-    r = df.select(first_present(F.col("a"), F.col("b"), F.col("c")).alias("fp"), same_key_set(F.col("c"), F.col("d")).alias("sk"),
+    # objects: an empty one is skipped; texts: only the empty string is
+    assert df.select(first_present(F.col("a"), F.col("b"), F.col("c"))).first()[0] == "{}"
+    r = df.select(first_object(F.col("a"), F.col("b"), F.col("c")).alias("fp"), same_key_set(F.col("c"), F.col("d")).alias("sk"),
                   relative_path_ok(F.col("p")).alias("rp"), v.alias("v"), rest.alias("rest")).first()
     assert (r.fp, r.sk, r.rp, r.v, r.rest) == ('{"a":1}', False, False, "E", '{"k":1}')
 

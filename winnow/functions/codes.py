@@ -28,7 +28,7 @@ CHECK_STRUCTURED_JSON = "structured_json"
 CHECK_JSON_SCHEMA = "json_schema"
 CHECK_SEMANTIC_DEDUP = "semantic_dedup"
 CHECK_ML_VALIDATION = "ml_validation"
-CHECK_EXACT_DEDUP = "exact_dedup"
+CHECK_EXACT_DEDUP = "ml_exact_dedup"
 
 # sample statuses
 ACCEPTED = "accepted"

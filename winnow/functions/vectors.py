@@ -44,8 +44,3 @@ def cosine_distance(a, b) -> Column:
     scale = norm(a) * norm(b)
     cos = F.greatest(F.least(dot(a, b) / F.nullif(scale, F.lit(0.0)), F.lit(1.0)), F.lit(-1.0))
     return F.when(scale == 0, F.lit(float("nan"))).otherwise(F.lit(1.0) - cos)
-
-
-def normalised(a) -> Column:
-    n = norm(a)
-    return F.transform(_c(a), lambda x: x.cast("double") / n)

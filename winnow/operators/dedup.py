@@ -5,10 +5,12 @@ order is accepted unless an accepted sample of the store already holds the
 key; all others are ``duplicate_sample`` naming the lowest accepted match.
 Equality is transitive, so one pass is the greedy answer.
 
-Plan: ``min_by`` per key is a partial (map-side) aggregate, so a key that
-holds a third of all rows still shuffles one row per map task; the winners
-join back on the key (AQE splits a skewed probe side).  No window over a
-hot key, nothing through the driver.
+Plan: the winner and the row count per key are a partial (map-side)
+aggregate, so a key that holds a third of all rows shuffles one row per map
+task.  Keys with one row need no join.  The winners of the others are
+checkpointed, so the join back reads plain shuffles on both sides, which
+adaptive execution can split where a key is hot.  Keys are compared
+null-safe.  No window over a hot key, nothing through the driver.
 """
 
 from __future__ import annotations
@@ -32,12 +34,14 @@ def exact_greedy_dedup(cands: DataFrame, key_cols: Sequence[str], order: Sequenc
     """
     keys = list(scope_cols) + list(key_cols)
     order_struct = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)], F.col(id_col).alias("_oid"))
-    first = cands.groupBy(*keys).agg(F.min_by(F.col(id_col), order_struct).alias("_first_id"))
-    out = cands.join(first, keys, "left")
+    first = cands.groupBy(*keys).agg(F.min(order_struct).alias("_f"), F.count(F.lit(1)).alias("_n"))
+    winners = first.filter("_n > 1").select(*[F.col(k).alias(f"_w_{k}") for k in keys], F.col("_f._oid").alias("_first_id"))
+    out = _null_safe_join(cands, winners.checkpoint(eager=True), keys, "_w_")
     if accepted is not None:
         aid = accepted_id or id_col
         prior = accepted.groupBy(*keys).agg(F.min(F.col(aid)).alias("_prior_id"))
-        out = out.join(prior, keys, "left")
+        prior = prior.select(*[F.col(k).alias(f"_a_{k}") for k in keys], "_prior_id")
+        out = _null_safe_join(out, prior.checkpoint(eager=True), keys, "_a_")
     else:
         out = out.withColumn("_prior_id", F.lit(None).cast(cands.schema[id_col].dataType))
     dup_of = F.coalesce(F.col("_prior_id"), F.when(F.col(id_col) != F.col("_first_id"), F.col("_first_id")))
@@ -46,3 +50,9 @@ def exact_greedy_dedup(cands: DataFrame, key_cols: Sequence[str], order: Sequenc
         .withColumn("dedup_code", F.when(F.col("duplicate_of").isNotNull(), F.lit(codes.DUPLICATE_SAMPLE)))
         .drop("_first_id", "_prior_id")
     )
+
+
+def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: str) -> DataFrame:
+    """Left join on ``keys`` to ``prefix + key`` columns of ``right``, which go again."""
+    on = [F.col(k).eqNullSafe(F.col(prefix + k)) for k in keys]
+    return left.join(right, on, "left").drop(*[prefix + k for k in keys])

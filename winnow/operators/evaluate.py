@@ -69,7 +69,8 @@ def evaluate_llm(df: DataFrame, s: LLMSettings, id_col: str = "generation_id", t
         id_col, F.lit(codes.REJECTED).alias("status"), F.col("schema_code").alias("failure_code"), "evidence", "canonical_text")
     passed = sc.filter(F.col("schema_code").isNull())
     if embed is not None:
-        passed = passed.withColumn("_emb", embed(F.col("canonical_text")))
+        # once per surviving row: the dedup below reads the vectors several times
+        passed = passed.withColumn("_emb", embed(F.col("canonical_text"))).checkpoint(eager=True)
     else:
         passed = passed.withColumn("_emb", F.col(embedding_col))
     passed = passed.withColumn("_model", F.lit(s.embedding_model))

@@ -29,8 +29,8 @@ def skew_safe_lag(df: DataFrame, key: str, order: Sequence[str], value: str, out
     Rows are range-partitioned on (key, order), so a key holding a third of
     all rows spans many partitions.  Inside a partition the lag is a window
     over (partition id, key); the first row of each chunk takes the last
-    value of the same key from the chunk just before it (one small row per
-    chunk), found with a join on (partition id - 1, key)."""
+    value of the same key from the chunk before it (a lag over one small row
+    per chunk)."""
     spark = df.sparkSession
     n_parts = n_parts or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     ordered = [F.col(c) for c in order]
@@ -39,12 +39,9 @@ def skew_safe_lag(df: DataFrame, key: str, order: Sequence[str], value: str, out
     w = Window.partitionBy("_pid", key).orderBy(*ordered)
     local = ranged.withColumn(out, F.lag(value).over(w)).withColumn("_rn", F.row_number().over(w))
     tails = ranged.groupBy("_pid", key).agg(F.max_by(F.col(value), F.struct(*ordered)).alias("_tail"))
-    # chunks of one key are contiguous partitions: the previous chunk is the
-    # highest partition id below this one that holds the key
-    heads = local.filter(F.col("_rn") == 1).select("_pid", key)
-    prev = heads.alias("h").join(tails.alias("t"), (F.col(f"h.{key}") == F.col(f"t.{key}")) & (F.col("t._pid") < F.col("h._pid"))) \
-        .groupBy(F.col("h._pid").alias("_pid"), F.col(f"h.{key}").alias(key)) \
-        .agg(F.max_by(F.col("t._tail"), F.col("t._pid")).alias("_carry"))
+    # the chunk before: the highest partition id below this one that holds the key; one row
+    # per key and partition
+    prev = tails.withColumn("_carry", F.lag("_tail").over(Window.partitionBy(key).orderBy("_pid"))).drop("_tail")
     res = local.join(prev, ["_pid", key], "left")
     res = res.withColumn(out, F.when(F.col("_rn") == 1, F.col("_carry")).otherwise(F.col(out)))
     return res.drop("_pid", "_rn", "_carry")
@@ -64,14 +61,6 @@ def illegal_transitions(log: DataFrame, entity: str, order: Sequence[str] | str,
     return steps.join(F.broadcast(allowed), ["from_status", "to_status"], "left_anti")
 
 
-def is_legal(kind: str, from_status: Column, to_status: Column) -> Column:
-    pairs = codes.RUN_TRANSITIONS if kind == "run" else codes.TASK_TRANSITIONS
-    cond = F.lit(False)
-    for a, b in pairs:
-        cond = cond | ((from_status == a) & (to_status == b))
-    return cond
-
-
 def resume_stage(has_generation, has_validation, has_sample) -> Column:
     """H2: sample -> complete, validation -> finalize, generation -> validate, else execute."""
     g, v, s = (F.col(x) if isinstance(x, str) else x for x in (has_generation, has_validation, has_sample))
@@ -79,12 +68,20 @@ def resume_stage(has_generation, has_validation, has_sample) -> Column:
             .otherwise(F.lit("execute")))
 
 
+def id_order(df: DataFrame, id_col: str) -> Column:
+    """Insertion order of an id: by number, or for text ids (``GE009999`` before ``GE0010000``)
+    by length and then text, so that a growing width does not reorder them."""
+    if df.schema[id_col].dataType.simpleString() == "string":
+        return F.struct(F.length(id_col).alias("_len"), F.col(id_col).alias("_id"))
+    return F.struct(F.col(id_col).alias("_id"))
+
+
 def first_child(children: DataFrame, parent_key: str, child_id: str, cols: Sequence[str] | None = None,
                 prefix: str = "") -> DataFrame:
     """D4 (``LEFT JOIN LATERAL ... ORDER BY id LIMIT 1``) as a partial
     aggregate: one row per parent holding the child with the lowest id."""
     cols = list(cols) if cols else [c for c in children.columns if c != parent_key]
-    packed = F.min_by(F.struct(*[F.col(c) for c in cols]), F.col(child_id))
+    packed = F.min_by(F.struct(*[F.col(c) for c in cols]), id_order(children, child_id))
     agg = children.groupBy(parent_key).agg(packed.alias("_first"))
     return agg.select(parent_key, *[F.col("_first")[c].alias(prefix + c) for c in cols])
 
@@ -107,12 +104,7 @@ def latest_resumable_run(runs: DataFrame, keys: Sequence[str] = ("model_id", "da
                          id_col: str = "run_id", open_states: Sequence[str] = ("created", "running")) -> DataFrame:
     """per key the open run with the highest id (``max_by``, partial aggregate)."""
     open_runs = runs.filter(F.col("status").isin(*open_states))
-    return open_runs.groupBy(*keys).agg(F.max(F.col(id_col)).alias(id_col))
-
-
-def queue_order(tasks: DataFrame, priority: str = "priority", id_col: str = "task_id") -> list[Column]:
-    """queue order as sort columns (priority desc, id)."""
-    return [F.col(priority).desc(), F.col(id_col).asc()]
+    return open_runs.groupBy(*keys).agg(F.max_by(F.col(id_col), id_order(open_runs, id_col)).alias(id_col))
 
 
 def run_counters(tasks: DataFrame, run_col: str = "run_id", status: str = "status") -> DataFrame:

@@ -6,26 +6,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def ancestors(edges: DataFrame, child: str, parent: str, max_depth: int = 10_000) -> DataFrame:
+def ancestors(edges: DataFrame, child: str, parent: str) -> DataFrame:
     """(child, ancestor, depth) for every ancestor reachable through
-    ``parent``; one join per level, frontier checkpointed each level
-    (reliable checkpoints: an executor loss replays one level)."""
+    ``parent``, with its smallest depth; one join per level, frontier
+    checkpointed each level (reliable checkpoints: an executor loss replays
+    one level).  A level keeps only pairs not found before, so the loop ends
+    at the last new pair, whatever the depth; a row in a cycle is its own
+    ancestor (see ``cycles``)."""
     e = edges.filter(F.col(parent).isNotNull()).select(F.col(child).alias("_c"), F.col(parent).alias("_p"))
-    frontier = e.select(F.col("_c").alias(child), F.col("_p").alias("ancestor"), F.lit(1).alias("depth"))
+    frontier = e.distinct().select(F.col("_c").alias(child), F.col("_p").alias("ancestor"), F.lit(1).alias("depth"))
     frontier = frontier.checkpoint(eager=True)
-    parts = [frontier]
-    depth = 1
+    found = frontier
+    level = 1
     # parents that are not themselves rows still step to their own parent by the same rule
-    while depth < max_depth:
-        nxt = frontier.join(e, frontier["ancestor"] == e["_c"]).select(
-            F.col(child), F.col("_p").alias("ancestor"), (F.col("depth") + 1).alias("depth"))
-        nxt = nxt.checkpoint(eager=True)
-        if nxt.limit(1).count() == 0:
-            break
-        parts.append(nxt)
-        frontier = nxt
-        depth += 1
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select(child, "ancestor", F.col("depth").cast("int"))
+    while not frontier.isEmpty():
+        level += 1
+        step = frontier.join(e, frontier["ancestor"] == e["_c"]).select(F.col(child), F.col("_p").alias("ancestor")).distinct()
+        frontier = step.join(found.select(child, "ancestor"), [child, "ancestor"], "left_anti") \
+            .withColumn("depth", F.lit(level)).checkpoint(eager=True)
+        found = found.unionByName(frontier)
+        if level % 16 == 0:  # keep the union short
+            found = found.checkpoint(eager=True)
+    return found.select(child, "ancestor", F.col("depth").cast("int"))
+
+
+def cycles(closure: DataFrame, child: str) -> DataFrame:
+    """Rows that are their own ancestor, with the length of their cycle."""
+    return closure.filter(F.col(child) == F.col("ancestor")).select(child, F.col("depth").alias("length"))

@@ -12,45 +12,58 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
-PRED_SCHEMA = "prediction double, probabilities array<struct<label:string,probability:double>>"
-
-
 def score(df: DataFrame, keep: Sequence[str], features: Sequence[str], make_model: Callable[[], object],
           mode: str, pipeline_id: str, classes: Sequence[str] = (), want_probabilities: bool = False) -> DataFrame:
     """One prediction per row.  ``make_model()`` returns an object with
     ``predict(X) -> array`` and optionally ``predict_proba(X) -> matrix``.
-    C9: exactly one finite scalar per row and one probability per class,
-    else the batch fails (the task error channel)."""
+    C9: exactly one finite scalar (regression) or text (classification) per row
+    and one probability per class.  A row that breaks this, or a batch for which
+    the model raises or returns another shape, has no prediction and carries
+    ``error_type`` and ``error_message`` for ``fail_tasks`` (H5); the job goes on."""
     keep, features = list(keep), list(features)
     in_types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     pred_type = "string" if mode == "classification" else "double"
     schema = ", ".join(f"{c} {in_types[c]}" for c in keep) + f", mode string, pipeline_id string, prediction {pred_type}" \
-        + ", probabilities array<struct<label:string,probability:double>>, feature_order array<string>, used_probability_api boolean"
+        + ", probabilities array<struct<label:string,probability:double>>, feature_order array<string>, used_probability_api boolean, error_type string, error_message string"
+
+    def predictions(model, x: np.ndarray) -> tuple[list, list, list]:
+        """Per row: prediction, probabilities, what is wrong."""
+        n = len(x)
+        pred = np.asarray(model.predict(x))
+        if pred.shape != (n,):
+            raise ValueError("model must return one scalar result per row")
+        if mode == "regression":
+            values = [float(v) for v in pred]
+            wrong = [None if np.isfinite(v) else "model returned a non-finite prediction" for v in values]
+        else:
+            values = [v.item() if isinstance(v, np.generic) else v for v in pred]
+            wrong = [None if isinstance(v, str) else "model returned a class that is not text" for v in values]
+        probs: list = [None] * n
+        if want_probabilities:
+            pm = np.asarray(model.predict_proba(x), dtype="float64")
+            if pm.shape != (n, len(classes)):
+                raise ValueError("model must return one probability per class and row")
+            probs = [[{"label": c, "probability": float(p)} for c, p in zip(classes, row)] for row in pm]
+        return [None if w else v for v, w in zip(values, wrong)], [None if w else p for p, w in zip(probs, wrong)], wrong
 
     def run(batches):
         model = make_model()
         for pdf in batches:
-            x = pdf[features].to_numpy()
-            pred = np.asarray(model.predict(x))
-            if pred.ndim != 1 or len(pred) != len(pdf):
-                raise ValueError("model must return one scalar result per row")
             out = pdf[keep].copy()
             out["mode"] = mode
             out["pipeline_id"] = pipeline_id
-            if mode == "regression":
-                pred = pred.astype("float64")
-                if not np.isfinite(pred).all():
-                    raise ValueError("model returned a non-finite prediction")
-            out["prediction"] = pred
-            probs = None
-            if want_probabilities:
-                pm = np.asarray(model.predict_proba(x), dtype="float64")
-                if pm.ndim != 2 or pm.shape != (len(pdf), len(classes)):
-                    raise ValueError("model must return one probability per class and row")
-                probs = [[{"label": c, "probability": float(p)} for c, p in zip(classes, row)] for row in pm]
-            out["probabilities"] = probs if probs is not None else [None] * len(pdf)
+            kind = ["ValueError"] * len(pdf)
+            try:
+                values, probs, wrong = predictions(model, pdf[features].to_numpy())
+            except Exception as exc:  # whatever a supplied model raises concerns the rows of its batch
+                values, probs, wrong = [None] * len(pdf), [None] * len(pdf), [str(exc) or "model failed"] * len(pdf)
+                kind = [type(exc).__name__] * len(pdf)
+            out["prediction"] = pd.Series(values, index=out.index, dtype="float64" if mode == "regression" else "object")
+            out["probabilities"] = probs
             out["feature_order"] = [features] * len(pdf)
             out["used_probability_api"] = bool(want_probabilities)
+            out["error_type"] = [k if w else None for k, w in zip(kind, wrong)]
+            out["error_message"] = wrong
             yield out
 
     return df.select(*keep, *[c for c in features if c not in keep]).mapInPandas(run, schema)

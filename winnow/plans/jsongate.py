@@ -95,8 +95,7 @@ def canonical_props(spark: SparkSession, sf_dir: str) -> DataFrame:
     (user_id, event_type, props given in another key order)."""
     ev = read_table(spark, sf_dir, "events")
     doc = F.concat(F.lit('{"user_id":'), F.col("user_id").cast("string"), F.lit(',"props":'), F.col("props"),
-                   F.lit(',"event_type":'), F.to_json(F.struct(F.col("event_type").alias("e")))[7:10**6] if False
-                   else F.concat(F.lit('"'), F.col("event_type"), F.lit('"')), F.lit("}"))
+                   F.lit(',"event_type":'), F.expr("substring(to_json(struct(event_type AS e)), 6)"))
     return ev.select("event_id", canonical_json(doc).alias("canonical"))
 
 

@@ -18,7 +18,7 @@ from .selection import select_classification
 WITH c AS (@select_classification@)
 SELECT d.source AS model, CAST(count(*) AS BIGINT) AS n,
        round(avg(CASE WHEN (d.n_chars >= 1000) = (l.quality = 1) THEN 1.0 ELSE 0.0 END), 6) AS accuracy,
-       round(avg(CASE WHEN c.status = 'accepted' THEN 1.0 ELSE 0.0 END), 6) AS json_stability,
+       round(avg(CASE WHEN c.status = 'accepted' THEN 1.0 ELSE 0.0 END), 6) AS valid_share,
        quantile_cont(d.n_chars, 0.5) AS latency_p50, quantile_cont(d.n_chars, 0.9) AS latency_p90
 FROM labels l JOIN documents d ON l.doc_id = d.doc_id JOIN c ON c.doc_id = l.doc_id
 GROUP BY d.source
@@ -35,7 +35,7 @@ def trial_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     ok = F.when(F.col("status") == codes.ACCEPTED, 1.0).otherwise(0.0)
     return x.groupBy(F.col("source").alias("model")).agg(
         F.count(F.lit(1)).alias("n"), F.round(F.avg(hit), 6).alias("accuracy"),
-        F.round(F.avg(ok), 6).alias("json_stability"),
+        F.round(F.avg(ok), 6).alias("valid_share"),
         F.percentile(F.col("n_chars").cast("double"), F.lit(0.5)).alias("latency_p50"),
         F.percentile(F.col("n_chars").cast("double"), F.lit(0.9)).alias("latency_p90"))
 

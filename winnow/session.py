@@ -42,8 +42,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint directory.
 
     The cluster names a shared folder in ``spark.checkpoint.dir``; it is
-    used as is.  Only when it is unset (local tests) a scratch folder is
-    created.  Lineage is always cut with reliable ``checkpoint()``, never
+    used as is.  Only when it is unset on one machine (local tests) a scratch
+    folder is created; on a cluster that is an error.  Lineage is always cut with reliable ``checkpoint()``, never
     ``localCheckpoint()``, so a lost executor does not lose state.
     """
     sc = spark.sparkContext
@@ -51,8 +51,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    one_machine = sc.master.startswith("local") and not sc.master.startswith("local-cluster")
+    if not conf_dir and not one_machine:
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if not conf_dir:
-        # tests only: no shared folder is configured
+        # one machine, no shared folder configured
         conf_dir = tempfile.mkdtemp(prefix="winnow-ckpt-", dir=os.environ.get("WINNOW_SCRATCH", "/tmp"))
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir

@@ -3,9 +3,9 @@
 
 Records are built as one JSON ``line`` column (keys sorted, nulls kept),
 globally sorted by sample id and written as text into a new version
-directory.  A ``_CURRENT`` manifest naming the version is written last:
-readers follow the manifest, so a failed export leaves the previous
-version in force (Spark publishes directories, not single files).
+directory.  A numbered manifest naming the version is added last and none
+is ever replaced: readers follow the highest one, so a failed export leaves
+the previous version in force (Spark publishes directories, not single files).
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from ..functions import codes
 from ..operators.validate import assert_empty
@@ -40,23 +41,19 @@ def export_scan(samples: DataFrame, tasks: DataFrame, generations: DataFrame, va
 
 
 def consistency_violations(rows: DataFrame, branch: str, dataset_id: str | None = None) -> DataFrame:
-    """Branch and dataset match; accepted <=> is_valid; accepted has no
-    failure; rejected has a code.  Adds ``violation`` naming the first rule broken."""
+    """Branch and dataset match; accepted <=> is_valid (a missing one is
+    neither); accepted has no failure code and no reason; rejected has a code.  Adds ``violation`` naming the first rule broken."""
     acc = F.col("status") == codes.ACCEPTED
     ds = (F.col("dataset_id") != dataset_id) if dataset_id is not None else F.lit(False)
-    why = (F.when(F.col("model_type") != branch, F.lit("branch_mismatch"))
+    reason = F.col("failure_reason").isNotNull() if "failure_reason" in rows.columns else F.lit(False)
+    why = (F.when(~F.col("model_type").eqNullSafe(F.lit(branch)), F.lit("branch_mismatch"))
            .when(ds, F.lit("dataset_mismatch"))
-           .when(acc != F.col("is_valid"), F.lit("validity_mismatch"))
-           .when(acc & F.col("failure_code").isNotNull(), F.lit("accepted_with_failure"))
+           .when(~acc.eqNullSafe(F.col("is_valid")), F.lit("validity_mismatch"))
+           .when(acc & (F.col("failure_code").isNotNull() | reason), F.lit("accepted_with_failure"))
            .when(~acc & F.col("failure_code").isNull(), F.lit("rejected_without_code")))
     return rows.withColumn("violation", why).filter(F.col("violation").isNotNull())
 
 
-def nonempty(c: Column) -> Column:
-    """Python ``or`` skips empty strings and objects: map them to NULL."""
-    return F.when(~F.trim(c).isin("", "{}", "[]", "null"), c)
-
-
 def json_line(cols: dict[str, Column]) -> Column:
     """One compact JSON object, keys sorted, nulls kept."""
     fields = [cols[k].alias(k) for k in sorted(cols)]
@@ -66,9 +63,9 @@ def json_line(cols: dict[str, Column]) -> Column:
 def publish(spark: SparkSession, parts: dict[str, DataFrame], root: str, sort_col: str = "sample_id",
             violations: DataFrame | None = None) -> str:
     """Write every part (``branch/status`` -> frame with ``line``) into
-    a fresh version directory, then switch the ``_CURRENT`` manifest.
-    Checks run before anything is written; any failure leaves the previous
-    manifest in force."""
+    a fresh version directory, then add the next manifest.  Checks run
+    before anything is written; any failure leaves the previous manifest in
+    force.  One export at a time is assumed."""
     if violations is not None:
         assert_empty(violations, "export consistency")
     version = uuid.uuid4().hex[:12]
@@ -79,20 +76,36 @@ def publish(spark: SparkSession, parts: dict[str, DataFrame], root: str, sort_co
         # one global sort by sample id (code-point order = UTF-8 byte order)
         df.orderBy(sort_col).select("line").write.mode("errorifexists").text(path)
         written[name] = path
-    manifest = spark.createDataFrame([(json.dumps({"version": version, "parts": written}, sort_keys=True),)], "value string")
-    manifest.coalesce(1).write.mode("overwrite").text(f"{root.rstrip('/')}/_CURRENT")
+    number = 1 + max((m["number"] for m in _manifests(spark, root)), default=0)
+    manifest = spark.createDataFrame([(json.dumps({"number": number, "version": version, "parts": written}, sort_keys=True),)], "value string")
+    manifest.coalesce(1).write.mode("append").text(f"{root.rstrip('/')}/manifests")
     return version
 
 
+def _manifests(spark: SparkSession, root: str) -> list[dict]:
+    """One small line per export so far."""
+    try:
+        return [json.loads(r[0]) for r in spark.read.text(f"{root.rstrip('/')}/manifests").collect()]
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+
+
 def read_current(spark: SparkSession, root: str) -> dict:
-    line = spark.read.text(f"{root.rstrip('/')}/_CURRENT").first()
-    return json.loads(line[0])
+    """The manifest in force: the highest number."""
+    return max(_manifests(spark, root), key=lambda m: m["number"])
 
 
-def first_present(*cols: Column) -> Column:
-    """Coalesce chain that, like Python ``or``, also skips empty text,
-    empty objects and JSON null."""
-    return F.coalesce(*[nonempty(c) for c in cols])
+def first_present(*texts: Column) -> Column:
+    """B17 for text: Python ``or`` skips null and the empty string; ``{}`` is a text like any other."""
+    return F.coalesce(*[F.when(t != "", t) for t in texts])
+
+
+def first_object(*objects: Column) -> Column:
+    """B17 for JSON objects given as text: Python ``or`` skips null and an object without members."""
+    empty = r"\s*(\{\s*\}|null)?\s*"
+    return F.coalesce(*[F.when(~o.rlike(f"^{empty}$"), o) for o in objects])
 
 
 def same_key_set(a_json: Column, b_json: Column) -> Column:
@@ -103,8 +116,3 @@ def same_key_set(a_json: Column, b_json: Column) -> Column:
 def relative_path_ok(path: Column) -> Column:
     """Artifact paths must be relative (no leading slash)."""
     return path.isNotNull() & ~path.startswith("/")
-
-
-def score_value(score: Column) -> Column:
-    """NUMERIC score as double, null safe."""
-    return score.cast("double")

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -35,7 +35,9 @@ def table_path(root: str, table: str) -> str:
 def read_store(spark: SparkSession, root: str, table: str) -> DataFrame | None:
     try:
         return spark.read.parquet(table_path(root, table))
-    except AnalysisException:
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":  # a store that cannot be read is not an empty one
+            raise
         return None
 
 
@@ -91,8 +93,3 @@ def import_tasks_once(spark: SparkSession, incoming: DataFrame, root: str, order
 def lookup(df: DataFrame, key: str, values: DataFrame) -> DataFrame:
     """Key lookups as a semi join (never one call per row)."""
     return df.join(values.select(key).distinct(), key, "left_semi")
-
-
-def assign_sequential(df: DataFrame, order: Sequence, col: str = "seq") -> DataFrame:
-    """Row order inside one small batch (used for line numbers of one file)."""
-    return df.withColumn(col, F.row_number().over(Window.orderBy(*order)))

@@ -8,7 +8,6 @@ offset inside the split."""
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -17,17 +16,11 @@ from pyspark.sql import functions as F
 from ..functions import codes
 from ..functions.features import feature_problem
 from ..functions.jsonops import json_kind, strict_json_valid
-from ..functions.text import non_blank
-from ..operators.jsonschema import UnsupportedSchema, check_schema
+from ..functions.text import non_blank, trimmed
+from ..operators.jsonschema import schema_problem
 
 LLM_KEYS = ("task_id", "prompt", "messages", "expected_schema")
 ML_KEYS = ("task_id", "features")
-MAX_DISTINCT_SCHEMAS = 512
-
-
-def first_line_per_key(df: DataFrame, key: str, line: str) -> DataFrame:
-    """Lowest line per key (a partial aggregate; a hot key is not gathered)."""
-    return df.groupBy(key).agg(F.min(line).alias("_first_line"))
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -35,12 +28,13 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     raw = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_split"),
         F.monotonically_increasing_id().alias("_mid"), F.col("value").alias("text"))
-    raw = raw.checkpoint(eager=True)  # ids must be the same for both uses below
+    # the ids depend on the splits alone, which a scan of the same files cuts the same way;
+    # one small row per split is all that is written
     splits = raw.groupBy("file", "_split").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
     w = Window.partitionBy("file").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
     # one row per file split: small
-    splits = splits.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-    return raw.join(F.broadcast(splits.select("file", "_split", "_off", "_m0")), ["file", "_split"]) \
+    splits = splits.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0))).checkpoint(eager=True)
+    return raw.join(splits.select("file", "_split", "_off", "_m0"), ["file", "_split"]) \
         .select("file", (F.col("_off") + F.col("_mid") - F.col("_m0") + 1).alias("line"), "text")
 
 
@@ -53,8 +47,9 @@ def _object_keys_problem(text: Column, allowed: Sequence[str]) -> Column:
 def llm_line_problem(text: Column) -> Column:
     """Row rules of an LLM task line, first failure wins (NULL = valid)."""
     v = F.try_parse_json(text)
-    has_prompt = F.try_variant_get(v, "$.prompt", "variant").isNotNull()
-    has_msgs = F.try_variant_get(v, "$.messages", "variant").isNotNull()
+    # a JSON null is as good as absent
+    has_prompt = F.coalesce(json_kind(F.try_variant_get(v, "$.prompt", "variant")) != "null", F.lit(False))
+    has_msgs = F.coalesce(json_kind(F.try_variant_get(v, "$.messages", "variant")) != "null", F.lit(False))
     msgs = F.try_variant_get(v, "$.messages", "array<struct<role:string,content:string>>")
     msg_keys_ok = F.forall(F.try_variant_get(v, "$.messages", "array<variant>"),
                            lambda m: (json_kind(m) == "object")
@@ -79,12 +74,13 @@ def llm_line_problem(text: Column) -> Column:
 
 
 def _finish(lines: DataFrame, problem: Column, key_path: str, mode: str) -> tuple[DataFrame, DataFrame]:
-    x = lines.withColumn("problem", problem).withColumn("task_id", F.try_variant_get(F.try_parse_json("text"), key_path, "string"))
+    x = lines.withColumn("problem", problem).withColumn("task_id", trimmed(F.try_variant_get(F.try_parse_json("text"), key_path, "string")))
     ok = x.filter(F.col("problem").isNull())
-    firsts = ok.groupBy("task_id").agg(F.min_by(F.struct("file", "line"), F.struct("file", "line")).alias("_f"))
-    ok = ok.join(firsts, "task_id", "left")
-    dup = (F.col("_f.file") != F.col("file")) | (F.col("_f.line") != F.col("line"))
-    x2 = ok.withColumn("problem", F.when(dup, F.concat(F.lit("duplicate task_id "), F.col("task_id")))).drop("_f")
+    # only ids that repeat are joined back, from a checkpoint, so that a hot id can be split
+    firsts = ok.groupBy("task_id").agg(F.min(F.struct("file", "line")).alias("_f"), F.count(F.lit(1)).alias("_n"))
+    ok = ok.join(firsts.filter("_n > 1").select("task_id", "_f").checkpoint(eager=True), "task_id", "left")
+    dup = F.col("_f").isNotNull() & ((F.col("_f.file") != F.col("file")) | (F.col("_f.line") != F.col("line")))
+    x2 = ok.withColumn("problem", F.when(dup, F.concat(F.lit("duplicate task_id "), F.col("task_id")))).drop("_f").select(*x.columns)
     bad = x.filter(F.col("problem").isNotNull()).unionByName(x2.filter(F.col("problem").isNotNull()))
     good = x2.filter(F.col("problem").isNull()).drop("problem")
     if mode == "failfast":
@@ -99,8 +95,8 @@ def _finish(lines: DataFrame, problem: Column, key_path: str, mode: str) -> tupl
 
 def load_llm_tasks(spark: SparkSession, path: str, mode: str = "failfast") -> tuple[DataFrame, DataFrame]:
     """A1: (valid tasks, quarantine).  ``failfast`` raises naming the first
-    bad line; ``permissive`` returns both tables.  Each distinct
-    expected_schema is checked once (size-checked collect of distinct schemas)."""
+    bad line; ``permissive`` returns both tables.  Schemas are checked in the
+    tasks that hold them, however many there are."""
     lines = read_lines(spark, path)
     good, bad = _finish(lines, llm_line_problem(F.col("text")), "$.task_id", "permissive")
     v = F.try_parse_json("text")
@@ -108,20 +104,10 @@ def load_llm_tasks(spark: SparkSession, path: str, mode: str = "failfast") -> tu
                        F.try_variant_get(v, "$.prompt", "string").alias("prompt"),
                        F.try_variant_get(v, "$.messages", "array<struct<role:string,content:string>>").alias("messages"),
                        F.to_json(F.try_variant_get(v, "$.expected_schema", "variant")).alias("expected_schema"))
-    schemas = good.select("expected_schema").distinct().limit(MAX_DISTINCT_SCHEMAS + 1).collect()
-    if len(schemas) > MAX_DISTINCT_SCHEMAS:
-        raise ValueError("too many distinct expected schemas")
-    broken = []
-    for r in schemas:
-        try:
-            check_schema(json.loads(r[0]))
-        except UnsupportedSchema as exc:
-            broken.append((r[0], str(exc)))
-    if broken:
-        bt = spark.createDataFrame(broken, "expected_schema string, _why string")
-        moved = good.join(F.broadcast(bt), "expected_schema")
-        bad = bad.unionByName(moved.select("file", "line", F.concat(F.lit("invalid expected_schema: "), F.col("_why")).alias("problem")))
-        good = good.join(F.broadcast(bt.select("expected_schema")), "expected_schema", "left_anti")
+    good = good.withColumn("_why", schema_problem(F.col("expected_schema")))
+    bad = bad.unionByName(good.filter(F.col("_why").isNotNull()).select(
+        "file", "line", F.concat(F.lit("invalid expected_schema: "), F.col("_why")).alias("problem")))
+    good = good.filter(F.col("_why").isNull()).drop("_why")
     if mode == "failfast":
         first = bad.orderBy("file", "line").limit(1).collect()
         if first:
@@ -144,7 +130,8 @@ def load_ml_tasks(spark: SparkSession, path: str, contract: Sequence[tuple[str,
                .when(~strict_json_valid(t), F.lit("invalid JSON"))
                .when(json_kind(v) != "object", F.lit("record must be an object"))
                .when(_object_keys_problem(t, ML_KEYS).isNotNull(), _object_keys_problem(t, ML_KEYS))
-               .when(~non_blank(F.try_variant_get(v, "$.task_id", "string")), F.lit("task_id must be a non-blank string"))
+               .when((json_kind(F.try_variant_get(v, "$.task_id", "variant")) != "string")
+                     | ~non_blank(F.try_variant_get(v, "$.task_id", "string")), F.lit("task_id must be a non-blank string"))
                .when(feats.isNull(), F.lit("features are required"))
                .otherwise(feature_problem(F.get_json_object(t, "$.features"), contract)))
     good, bad = _finish(lines, problem, "$.task_id", mode)

@@ -11,25 +11,28 @@ is a batch step over the accumulated rows, not per micro-batch.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..sources.store import new_rows, read_store, table_path
+from ..sources.store import first_per_key, new_rows, read_store, table_path
 
 
 def run_incremental(spark: SparkSession, source_dir: str, schema: StructType, stage: Callable[[DataFrame], DataFrame],
                     store_root: str, table: str, key: list[str], checkpoint: str,
-                    max_files_per_trigger: int = 1) -> None:
+                    max_files_per_trigger: int = 1, order: Sequence[Column] | None = None) -> None:
     """Process every file in ``source_dir`` not yet processed, then stop
-    (``availableNow``).  ``stage`` maps a micro-batch to store rows."""
+    (``availableNow``).  ``stage`` maps a micro-batch to store rows.  Of rows of
+    a batch with one key the first in ``order`` stays (default: by all columns),
+    so a replay keeps the same one."""
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
         rows = stage(batch)
         existing = read_store(spark, store_root, table)
-        fresh = new_rows(rows.dropDuplicates(key), existing, key)
+        first = first_per_key(rows, key, order or [F.col(c) for c in rows.columns])
+        fresh = new_rows(first, existing, key)
         if existing is not None:
             fresh = fresh.select(*existing.columns)
         fresh.write.mode("append").parquet(table_path(store_root, table))
