@@ -7,6 +7,10 @@ that a repeated key keeps its last value, as a strict JSON parser does.
 
 from __future__ import annotations
 
+import json
+import re
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -64,9 +68,29 @@ def json_depth(text) -> Column:
     return acc["mx"] + 1
 
 
+#: A JSON string, or the exponent of a number outside strings.
+_EXPONENT = re.compile(r'"(?:[^"\\]|\\.)*"|e([+-]?)0*(\d+)')
+
+
+def canonical_text(text: str) -> str | None:
+    """One JSON text with keys sorted at every level, compact, numbers in their shortest form
+    with the kind kept (``1.0`` stays a float, ``1e-7`` has no padded exponent); null if invalid."""
+    try:
+        out = json.dumps(json.loads(text), ensure_ascii=False, sort_keys=True, separators=(",", ":"), allow_nan=False)
+    except ValueError:
+        return None
+    return _EXPONENT.sub(lambda m: m[0] if m[2] is None else f"e{m[1].replace('+', '')}{m[2]}", out)
+
+
 def canonical_json(text) -> Column:
-    """Keys sorted at every level, compact (VARIANT prints keys in byte order)."""
-    return F.to_json(F.try_parse_json(_c(text)))
+    """``canonical_text`` of a column.  VARIANT printing would turn ``1.0`` into ``1``, so the
+    few calls of the JSON codec run in Arrow batches."""
+
+    @F.pandas_udf("string")
+    def canonical(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: None if t is None else canonical_text(t))
+
+    return canonical(_c(text))
 
 
 def has_non_finite(text) -> Column:
