@@ -146,16 +146,38 @@ def run_outcome(counters: DataFrame) -> DataFrame:
         .withColumn("error_message", F.when(failed, F.format_string("%d item(s) failed", F.col("failed_items"))))
 
 
-def finalize_tasks(tasks: DataFrame, samples: DataFrame) -> DataFrame:
-    """H4: task status derived from its first sample (single source of truth);
-    returns tasks with the new status and a ``conflict`` flag for finalized
-    tasks whose stored status disagrees with the sample."""
-    s = first_child(samples.select("task_id", "sample_id", F.col("status").alias("sample_status")), "task_id", "sample_id")
-    out = tasks.join(s, "task_id", "left")
-    terminal = F.col("status").isin(codes.ACCEPTED, codes.REJECTED)
-    conflict = F.col("sample_status").isNotNull() & terminal & (F.col("status") != F.col("sample_status"))
-    return out.withColumn("conflict", conflict).withColumn(
-        "status", F.when(F.col("sample_status").isNotNull() & ~terminal, F.col("sample_status")).otherwise(F.col("status")))
+def finalize(tasks: DataFrame, verdicts: DataFrame, samples: DataFrame, prefix: str = "SA00") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """H4: (new samples, tasks with their new status, conflicts) of a batch of verdicts.
+
+    ``verdicts``: task_id, generation_id, status and whatever else a sample carries;
+    ``samples``: the samples stored so far.  A generation that has a sample keeps it: the
+    verdict must agree with it, and a task still generating or validating takes its status
+    (the repair after a stop between the two writes).  Without one, a validating task takes the
+    verdict and a sample is made, numbered on from the highest stored number (B15).  Anything
+    else is a conflict and changes nothing; callers raise on it (``assert_empty``).
+    """
+    from ..functions.text import assign_ids, parse_id
+
+    stored = first_child(samples.select("generation_id", "sample_id", F.col("status").alias("sample_status")), "generation_id", "sample_id")
+    j = verdicts.join(stored, "generation_id", "left").join(
+        tasks.select("task_id", F.col("status").alias("task_status")), "task_id", "left")
+    has, t, s = F.col("sample_id").isNotNull(), F.col("task_status"), F.col("sample_status")
+    final = t.isin(codes.ACCEPTED, codes.REJECTED)
+    conflict = (F.when(t.isNull(), F.lit("unknown task"))
+                .when(~F.col("status").isin(codes.ACCEPTED, codes.REJECTED), F.lit("unsupported sample status"))
+                .when(has & (s != F.col("status")), F.lit("sample status conflicts with validation"))
+                .when(has & final & (t != s), F.lit("task status conflicts with sample"))
+                .when(has & ~final & ~t.isin("generating", "validating"), F.lit("illegal task transition"))
+                .when(~has & (t != "validating"), F.lit("illegal task transition")))
+    j = j.withColumn("conflict", conflict).checkpoint(eager=True)
+    conflicts = j.filter(F.col("conflict").isNotNull()).select("task_id", "generation_id", "conflict")
+    good = j.filter(F.col("conflict").isNull())
+    top = samples.agg(F.max(parse_id(F.col("sample_id"))["counter"])).first()[0]
+    fresh = good.filter(F.col("sample_id").isNull()).select(*verdicts.columns)
+    fresh = assign_ids(fresh, prefix, ["task_id", "generation_id"], 0 if top is None else top + 1, "sample_id")
+    decided = good.select("task_id", F.coalesce(s, F.col("status")).alias("_new")).dropDuplicates(["task_id"])
+    out = tasks.join(decided, "task_id", "left").withColumn("status", F.coalesce("_new", "status")).drop("_new")
+    return fresh, out, conflicts
 
 
 def fail_tasks(tasks: DataFrame, failures: DataFrame) -> DataFrame:

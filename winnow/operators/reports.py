@@ -28,6 +28,11 @@ def export_summary(samples: DataFrame, dims: Sequence[str] = ("branch", "dataset
     return samples.groupBy(*dims).pivot("status", [codes.ACCEPTED, codes.REJECTED]).agg(F.count(F.lit(1))).fillna(0)
 
 
-def order_free_checksum(lines: DataFrame, col: str = "line"):
-    """K6: order-independent checksum: sum of xxhash64 as a decimal."""
-    return F.sum(F.xxhash64(F.col(col)).cast("decimal(38,0)"))
+def counts_by_pattern(tables: dict[str, tuple[DataFrame, str]], pattern: str) -> DataFrame:
+    """(table, n) rows of each table whose id matches a LIKE pattern; a count per task, nothing else moves."""
+    parts = [df.filter(F.col(c).cast("string").like(pattern)).agg(F.count(F.lit(1)).alias("n")).select(F.lit(t).alias("table"), "n")
+             for t, (df, c) in sorted(tables.items())]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -179,36 +179,72 @@ FROM ds JOIN bs ON ds.sh = bs.sh GROUP BY ds.doc_id
 """)
 def eval_separation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K5: documents sharing normalised 8-word shingles with benchmark items
-    (whole texts).  Holdout shingles are de-duplicated; the planner
-    broadcasts that side only when its size is below the broadcast
-    threshold, otherwise both sides shuffle on the shingle."""
+    (whole texts).  A shingle travels as two 64-bit hashes and never as text;
+    only shingles that some benchmark item has survive the semi join; distinct
+    counts are counts of pre-aggregated groups, without an expand."""
     d = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     b = read_table(spark, sf_dir, "benchmark").select("item_id", "text")
-    # no distinct on the document side: the counts below are distinct, and
-    # the (smaller) holdout side can then be joined without shuffling it
-    ds = d.select("doc_id", _words(F.col("text")).alias("w")).select("doc_id", F.explode(_shingles(F.col("w"))).alias("sh"))
-    bs = b.select("item_id", _words(F.col("text")).alias("w")).select("item_id", F.explode(_shingles(F.col("w"))).alias("sh")).distinct()
-    j = ds.join(bs, "sh")
-    return j.groupBy("doc_id").agg(F.countDistinct("sh").alias("shared_shingles"), F.countDistinct("item_id").alias("items"))
+
+    def hashed(df: DataFrame, key: str) -> DataFrame:
+        grams = df.select(key, _words(F.col("text")).alias("w")).select(key, F.explode(_shingles(F.col("w"))).alias("sh"))
+        return grams.select(key, F.xxhash64("sh").alias("h1"), F.xxhash64(F.lit(1), "sh").alias("h2"))
+
+    items = hashed(b, "item_id").distinct().checkpoint(eager=True)
+    hits = hashed(d, "doc_id").join(items.select("h1", "h2").distinct(), ["h1", "h2"], "left_semi").distinct().checkpoint(eager=True)
+    shared = hits.groupBy("doc_id").agg(F.count(F.lit(1)).alias("shared_shingles"))
+    of_items = hits.join(items, ["h1", "h2"]).select("doc_id", "item_id").distinct().groupBy("doc_id").agg(F.count(F.lit(1)).alias("items"))
+    return shared.join(of_items, "doc_id").select("doc_id", "shared_shingles", "items")
+
+
+@query("eval_exact_overlap", """
+SELECT d.doc_id, CAST(count(DISTINCT b.item_id) AS BIGINT) AS items
+FROM documents d JOIN benchmark b ON md5(lower(trim(d.text))) = md5(lower(trim(b.text))) GROUP BY d.doc_id
+""")
+def eval_exact_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5: documents whose whole text is a benchmark item's, by digest."""
+    digest = F.md5(F.lower(F.trim("text")))
+    d = read_table(spark, sf_dir, "documents").select("doc_id", digest.alias("digest"))
+    b = read_table(spark, sf_dir, "benchmark").select("item_id", digest.alias("digest")).distinct()
+    return d.join(b, "digest").select("doc_id", "item_id").distinct().groupBy("doc_id").agg(F.count(F.lit(1)).alias("items"))
+
+
+@query("training_documents", """
+WITH hit AS (@eval_separation@)
+SELECT doc_id, lang, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM hit WHERE shared_shingles >= 1)
+""")
+def training_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5, the filter: documents without a shingle of the benchmark."""
+    hit = eval_separation(spark, sf_dir).select("doc_id")
+    return read_table(spark, sf_dir, "documents").select("doc_id", "lang", "source").join(hit, "doc_id", "left_anti")
 
 
 @query("dataset_card", """
 WITH ok AS (SELECT d.* FROM documents d JOIN (@source_rules@) r ON d.doc_id = r.doc_id WHERE r.problem IS NULL)
 SELECT lang, CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(length(text)) AS BIGINT) AS n_chars,
        CAST(count(DISTINCT text) AS BIGINT) AS n_distinct_texts, CAST(count(DISTINCT source) AS BIGINT) AS n_sources,
-       min(doc_id) AS first_doc, max(doc_id) AS last_doc
+       min(doc_id) AS first_doc, max(doc_id) AS last_doc,
+       CAST(sum(CAST(('0x' || substr(md5(text), 1, 15)) AS BIGINT)) AS VARCHAR) AS checksum
 FROM ok GROUP BY lang
 """)
 def dataset_card(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K6: card of the accepted documents (those passing the source rules)."""
+    """K6: card of the accepted documents (those passing the source rules), with
+    an order-independent checksum.  Length and digest are taken in the scan;
+    no text is shuffled; distinct counts are counts of pre-aggregated groups."""
     from .text import source_rules
 
     ok = source_rules(spark, sf_dir).filter(F.col("problem").isNull()).select("doc_id")
-    d = read_table(spark, sf_dir, "documents").join(ok, "doc_id")
-    return d.groupBy("lang").agg(
-        F.count(F.lit(1)).alias("n_docs"), F.sum(F.length("text")).cast("bigint").alias("n_chars"),
-        F.countDistinct("text").alias("n_distinct_texts"), F.countDistinct("source").alias("n_sources"),
-        F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"))
+    d = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "source", F.length("text").alias("chars"), F.md5("text").alias("digest"))
+    by = d.join(ok, "doc_id").groupBy("lang", "source", "digest").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+    by = by.checkpoint(eager=True)
+    texts = by.groupBy("lang", "digest").agg(F.sum("n").alias("n")).groupBy("lang").agg(F.count(F.lit(1)).alias("n_distinct_texts"))
+    sources = by.groupBy("lang", "source").agg(F.sum("n").alias("n")).groupBy("lang").agg(F.count("source").alias("n_sources"))
+    # the join keeps each document once, so a group's checksum is its digest times its rows
+    total = F.sum(F.conv(F.substring("digest", 1, 15), 16, 10).cast("decimal(38,0)") * F.col("n")).cast("decimal(38,0)").cast("string")
+    card = by.groupBy("lang").agg(F.sum("n").alias("n_docs"), F.sum("chars").cast("bigint").alias("n_chars"),
+                                  F.min("low").alias("first_doc"), F.max("high").alias("last_doc"), total.alias("checksum"))
+    return card.join(texts, "lang").join(sources, "lang").select(
+        "lang", "n_docs", "n_chars", "n_distinct_texts", "n_sources", "first_doc", "last_doc", "checksum")
 
 
 @query("score_batch", """

@@ -52,8 +52,8 @@ def parse_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("source_rules", """
 WITH d AS (
-  SELECT doc_id, source AS task_id, text AS prompt,
-         row_number() OVER (PARTITION BY source ORDER BY doc_id) AS rn FROM documents)
+  SELECT doc_id, md5(text) AS task_id, text AS prompt,
+         row_number() OVER (PARTITION BY md5(text) ORDER BY doc_id) AS rn FROM documents)
 SELECT doc_id,
        CASE WHEN task_id IS NULL OR regexp_replace(task_id, '^\\s+|\\s+$', '', 'g') = '' THEN 'blank_task_id'
             WHEN prompt IS NULL OR regexp_replace(prompt, '^\\s+|\\s+$', '', 'g') = '' THEN 'blank_prompt'
@@ -61,15 +61,16 @@ SELECT doc_id,
 FROM d
 """)
 def source_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents read as task lines (task_id = source, prompt =
-    text): non-blank id and prompt over the whole text; a repeated id is an
-    error on every line after the first."""
-    from ..sources.tasks import first_line_per_key
-
-    d = read_table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("task_id"), F.col("text").alias("prompt"))
-    firsts = first_line_per_key(d, "task_id", "doc_id")
-    x = d.join(firsts, "task_id", "left")
+    """Documents read as task lines (task_id = MD5 of the text,
+    prompt = text): non-blank id and prompt over the whole text; a repeated
+    id is an error on every line after the first.  The text is looked at in
+    the scan only; ids and one flag are shuffled, and only ids that repeat
+    are joined back."""
+    d = read_table(spark, sf_dir, "documents").select(
+        "doc_id", F.md5("text").alias("task_id"), non_blank("text").alias("has_prompt"))
+    firsts = d.groupBy("task_id").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"))
+    firsts = firsts.filter("n > 1").select("task_id", "first").checkpoint(eager=True)
     problem = (F.when(~non_blank("task_id"), F.lit("blank_task_id"))
-               .when(~non_blank("prompt"), F.lit("blank_prompt"))
-               .when(F.col("doc_id") != F.col("_first_line"), F.lit("duplicate_task_id")))
-    return x.select("doc_id", problem.alias("problem"))
+               .when(~F.col("has_prompt"), F.lit("blank_prompt"))
+               .when(F.col("doc_id") != F.col("first"), F.lit("duplicate_task_id")))
+    return d.join(firsts, "task_id", "left").select("doc_id", problem.alias("problem"))
