@@ -143,3 +143,60 @@ def test_equal_vectors_are_at_distance_zero(spark):
     got = [r[0] for r in df.select(cosine_distance("v", "v")).collect()]
     assert min(got) >= 0.0 and max(got) < 1e-12
     assert codes.CHECK_EXACT_DEDUP == "ml_exact_dedup"
+
+
+def _python_gate(text, max_characters, max_depth):
+    """The contract with Python's own parser: an independent check of the column expressions."""
+    import math
+
+    if text is None or not text.strip():
+        return codes.EMPTY_OUTPUT
+    if len(text) > max_characters:
+        return codes.TOO_LONG_OUTPUT
+
+    def refuse(_):
+        raise ValueError
+
+    try:
+        value = json.loads(text, parse_constant=refuse)
+    except ValueError:
+        return codes.INVALID_JSON
+    if not isinstance(value, dict):
+        return codes.WRONG_TYPE
+
+    def walk(v, depth):
+        kids = list(v.values()) if isinstance(v, dict) else v if isinstance(v, list) else []
+        bad = isinstance(v, float) and not math.isfinite(v)
+        below = [walk(k, depth + 1) for k in kids]
+        return bad or any(b for b, _ in below), max([depth, *(d for _, d in below)])
+
+    bad, depth = walk(value, 1)
+    return codes.NAN_DETECTED if bad else codes.MAX_DEPTH_EXCEEDED if depth > max_depth else None
+
+
+def test_json_gate_and_canonical_text_against_python(spark):
+    import random
+
+    from winnow.functions.jsonops import canonical_json, structured_json_gate
+
+    rng = random.Random(9)
+
+    def value(depth):
+        kind = rng.randrange(9 if depth else 6)
+        if kind < 6:
+            return [rng.randrange(-99, 99), rng.choice([1.0, 0.5, 1e-7, 2.5e300, -0.25]), rng.choice(["a", "e+10", "x\"y\\", "é\n{[", "1e-07"]), True, None, {}][kind]
+        if kind == 6:
+            return [value(depth - 1) for _ in range(rng.randrange(3))]
+        return {rng.choice(["b", "a", "z y", "a-b", "é"]): value(depth - 1) for _ in range(rng.randrange(4))}
+
+    texts = [json.dumps({"k": value(4), "a": value(2)}, ensure_ascii=rng.random() < 0.5, indent=rng.choice([None, 1])) for _ in range(150)]
+    texts += [t[:rng.randrange(len(t))] for t in texts[:40]] + [t.replace(":", "", 1) for t in texts[40:50]] + ['{"a":1e999}', '{"a":NaN}', '{"a":Infinity}', "[1]", "7", "null", '"s"',
+              "{'a':1}", '{"a":1,}', '{"a":01}', '{"a":"1e999"}', '{"a":[[[[[1]]]]]}', "", "  ", " ", '{"a":"' + "x" * 600 + '"}', '{"a":1} x', '{"a":"\t"}', "{}"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, None])], "i int, t string")
+    rows = df.select("i", "t", structured_json_gate(F.col("t"), 400, 5).alias("code"), canonical_json(F.col("t")).alias("canonical")).collect()
+    wrong = [(r.t, r.code, _python_gate(r.t, 400, 5)) for r in rows if r.code != _python_gate(r.t, 400, 5)]
+    assert not wrong, wrong[:5]
+    for r in rows:
+        if r.code is None:
+            assert json.loads(r.canonical) == json.loads(r.t)
+            assert "1e-07" not in r.canonical.replace('"1e-07"', "")

@@ -133,10 +133,12 @@ def provenance_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     geo = F.broadcast(n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey).select("n_nationkey", "r_name"))
     x = (li.join(o, li.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey)
          .join(geo, c.c_nationkey == geo.n_nationkey).join(s, li.l_suppkey == s.s_suppkey))
-    line_key = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    return x.groupBy(F.col("r_name").alias("region")).agg(
-        F.count(F.lit(1)).alias("n_lines"), F.countDistinct("o_orderkey").alias("n_orders"),
-        F.countDistinct("c_custkey").alias("n_customers"), F.countDistinct(line_key).alias("n_distinct_lines"))
+    # counted up level by level, so that no distinct count multiplies the lines
+    lines = x.groupBy("r_name", "c_custkey", "o_orderkey", "l_linenumber", "l_partkey", "l_suppkey").agg(F.count(F.lit(1)).alias("n"))
+    orders = lines.groupBy("r_name", "c_custkey", "o_orderkey").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("d"))
+    customers = orders.groupBy("r_name", "c_custkey").agg(F.sum("n").alias("n"), F.sum("d").alias("d"), F.count(F.lit(1)).alias("o"))
+    return customers.groupBy(F.col("r_name").alias("region")).agg(
+        F.sum("n").alias("n_lines"), F.sum("o").alias("n_orders"), F.count(F.lit(1)).alias("n_customers"), F.sum("d").alias("n_distinct_lines"))
 
 
 @query("left_count", """
