@@ -79,7 +79,7 @@ def levenshtein(a, b):
 
 
 def line_simhash(norm):
-    ws = norm.split()
+    ws = set(norm.split(" "))
     ones = [sum(xx(w.encode(), 0) >> i & 1 for w in ws) for i in range(64)]
     return sum(1 << i for i in range(64) if ones[i] * 2 > len(ws))
 

@@ -3,7 +3,7 @@ one occurrence per connected group."""
 
 from __future__ import annotations
 
-import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from itertools import combinations
@@ -24,26 +24,54 @@ SIMILARITY = 0.8
 #: Words of lines gathered before a batch is hashed; bounds a worker's memory.
 BLOCK_WORDS = 1 << 16
 
-_WORDS = re.compile(r"\w+")
-_LINES = "doc_id long, key long, line int, h1 long, h2 long, fp long"
+#: Distinct words whose hashes a worker keeps.
+KEEP_WORDS = 1 << 18
+
+#: ASCII signs other than the underscore become spaces.
+_SIGNS = bytes(32 if c < 128 and not (chr(c).isalnum() or chr(c) in "_\n") else c for c in range(256))
+_LINES = "doc_id long, key long, line int, h1 long, h2 long, fp long, size int"
+
+
+def _normal_lines(text: str) -> list[list[bytes]]:
+    """The words of each line: lower case, split at ASCII signs and white space; of a line of
+    signs only its non-blank characters, as one word; a blank line has none."""
+    out = [line.split() for line in text.lower().encode("utf-8", "replace").translate(_SIGNS).split(b"\n")]
+    if not all(out):
+        raw = text.split("\n")
+        for i, words in enumerate(out):
+            if not words:
+                signs = "".join(raw[i].split()).encode("utf-8", "replace")
+                out[i] = [signs] if signs else []
+    return out
 
 
 def normalise(line: str) -> str:
-    """Lower case, the words (letters, digits, underscores) joined by one space; a line of
-    signs only keeps its non-blank characters; a blank line gives the empty string."""
-    words = _WORDS.findall(line.lower())
-    return " ".join(words) if words else "".join(line.split())
+    """The normal form of one line: its words joined by one space."""
+    return b" ".join(_normal_lines(line.replace("\n", " "))[0]).decode("utf-8", "replace")
+
+
+class _WordHashes(dict):
+    """XXH64 of words, kept for words seen before."""
 
+    def __init__(self):
+        from xxhash import xxh64_intdigest
 
-def _simhash(words: list[bytes], counts: list[int]) -> np.ndarray:
-    """SimHash of consecutive runs of words; ``counts`` has the length of each run.
+        super().__init__()
+        self.digest = xxh64_intdigest
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= KEEP_WORDS:
+            self.clear()
+        h = self[word] = self.digest(word)
+        return h
+
+
+def _simhash(h: np.ndarray, counts: list[int]) -> np.ndarray:
+    """SimHash of consecutive runs of word hashes; ``counts`` has the length of each run.
 
     The 64 counters of a run are bytes of eight integers, one for each bit of a byte, so
     that a word costs eight additions; runs are summed in pieces of at most 255 words.
     """
-    from xxhash import xxh64_intdigest
-
-    h = np.fromiter(map(xxh64_intdigest, words), dtype=np.uint64, count=len(words))
     lanes = (h[:, None] >> np.arange(8, dtype=np.uint64)) & np.uint64(0x0101010101010101)
     n = np.asarray(counts)
     pieces = -(-n // 255)
@@ -57,39 +85,43 @@ def _simhash(words: list[bytes], counts: list[int]) -> np.ndarray:
 
 
 def _hash_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """A row per non-blank line: where it stands, a 128-bit hash of its normal form, its SimHash."""
+    """A row per non-blank line: where it stands, a 128-bit hash and the length of its normal
+    form, the SimHash of its distinct words (a word that fills half of a line would else be
+    the whole fingerprint)."""
     from xxhash import xxh3_128_digest
 
-    rows: list[tuple[int, int, int]] = []
+    known = _WordHashes()
+    rows: list[tuple] = []
     digests: list[bytes] = []
-    words: list[bytes] = []
+    hashes = array("Q")
     counts: list[int] = []
 
     def flush() -> pd.DataFrame:
         halves = np.frombuffer(b"".join(digests), dtype=">i8").astype(np.int64).reshape(-1, 2)
-        out = pd.DataFrame(rows, columns=["doc_id", "key", "line"])
+        out = pd.DataFrame(rows, columns=["doc_id", "key", "line", "size"])
         out["doc_id"] = out["doc_id"].astype("Int64")
-        out["line"] = out["line"].astype("int32")
-        out["h1"], out["h2"], out["fp"] = halves[:, 0], halves[:, 1], _simhash(words, counts)
-        for held in (rows, digests, words, counts):
-            held.clear()
-        return out
+        out = out.astype({"line": "int32", "size": "int32"})
+        out["h1"], out["h2"], out["fp"] = halves[:, 0], halves[:, 1], _simhash(np.frombuffer(hashes, dtype=np.uint64).copy(), counts)
+        for held in (rows, digests, hashes, counts):
+            del held[:]
+        return out[["doc_id", "key", "line", "h1", "h2", "fp", "size"]]
 
     for batch in batches:
         for doc_id, key, text in zip(batch["doc_id"].astype("Int64").tolist(), batch["key"].tolist(), batch["text"].tolist()):
             if not text:
                 continue
-            for i, line in enumerate(text.split("\n")):
-                norm = normalise(line)
-                if not norm:
+            doc_id = None if doc_id is pd.NA else doc_id
+            for i, words in enumerate(_normal_lines(text)):
+                if not words:
                     continue
-                own = norm.encode("utf-8", "replace")
-                rows.append((None if doc_id is pd.NA else doc_id, key, i))
+                own = b" ".join(words)
+                # code points: bytes that do not continue a character
+                rows.append((doc_id, key, i, len(own) if own.isascii() else len(own.decode("utf-8", "replace"))))
                 digests.append(xxh3_128_digest(own))
-                own = own.split()
-                words.extend(own)
-                counts.append(len(own))
-                if len(words) >= BLOCK_WORDS:
+                distinct = set(words)
+                hashes.extend(map(known.__getitem__, distinct))
+                counts.append(len(distinct))
+                if len(hashes) >= BLOCK_WORDS:
                     yield flush()
     if rows:
         yield flush()
@@ -105,18 +137,23 @@ def _blocks(fp: Column, max_bits: int) -> list[Column]:
     return [F.shiftleft(block[i], width).bitwiseOR(block[j]) for i, j in combinations(range(m), 2)]
 
 
-def _candidates(lines: DataFrame, max_bits: int) -> DataFrame:
-    """(a, b), a < b, of different lines (by ``h1``) within ``max_bits`` bits, once a pair:
-    a pair counts under the first key it shares, inside the join condition."""
-    keys = F.array(*[F.struct(F.lit(k).alias("way"), x.alias("block")) for k, x in enumerate(_blocks(F.col("fp"), max_bits))])
-    dealt = lines.select("h1", "fp", F.explode(keys).alias("k")).select("h1", "fp", "k.way", "k.block")
-    left = dealt.select(*[F.col(c).alias(f"{c}_a") for c in dealt.columns])
-    right = dealt.select(*[F.col(c).alias(f"{c}_b") for c in dealt.columns])
-    shared = [a == b for a, b in zip(_blocks(F.col("fp_a"), max_bits), _blocks(F.col("fp_b"), max_bits))]
-    first = F.coalesce(*[F.when(c, F.lit(k)) for k, c in enumerate(shared)])
-    on = ((F.col("way_a") == F.col("way_b")) & (F.col("block_a") == F.col("block_b")) & (F.col("h1_a") < F.col("h1_b"))
-          & (F.bit_count(F.col("fp_a").bitwiseXOR(F.col("fp_b"))) <= max_bits) & (first == F.col("way_a")))
-    return left.join(right, on).select(F.col("h1_a").alias("a"), F.col("h1_b").alias("b"))
+def _near_fingerprints(classes: DataFrame, max_bits: int, similarity: float) -> DataFrame:
+    """(fa, fb), fa < fb: fingerprints within ``max_bits`` bits whose lines' lengths (``low`` to
+    ``high`` in a class) allow the similarity, once a pair: a pair counts under the first key
+    it shares, inside the join condition."""
+    keys = F.array(*[F.shiftleft(F.lit(k).cast("long"), 40).bitwiseOR(x) for k, x in enumerate(_blocks(F.col("fp"), max_bits))])
+    sizes = F.shiftleft(F.col("low").cast("long"), 32).bitwiseOR(F.col("high").cast("long"))
+    dealt = classes.select("fp", sizes.alias("sizes"), F.explode(keys).alias("block"))
+    left = dealt.select(F.col("fp").alias("fa"), F.col("sizes").alias("sa"), F.col("block").alias("ba"))
+    right = dealt.select(F.col("fp").alias("fb"), F.col("sizes").alias("sb"), F.col("block").alias("bb"))
+    shared = [a == b for a, b in zip(_blocks(F.col("fa"), max_bits), _blocks(F.col("fb"), max_bits))]
+    first = F.coalesce(*[F.when(c, F.lit(k).cast("long")) for k, c in enumerate(shared)])
+    low, high = (lambda c: F.shiftright(c, 32)), (lambda c: c.bitwiseAND(F.lit((1 << 32) - 1)))
+    # half a character of slack: the exact check comes with the texts
+    lengths = (high(F.col("sa")) + 0.5 >= low(F.col("sb")) * F.lit(similarity)) & (high(F.col("sb")) + 0.5 >= low(F.col("sa")) * F.lit(similarity))
+    on = ((F.col("ba") == F.col("bb")) & (F.col("fa") < F.col("fb")) & (F.bit_count(F.col("fa").bitwiseXOR(F.col("fb"))) <= max_bits)
+          & lengths & (first == F.shiftright(F.col("ba"), 40)))
+    return left.join(right, on).select("fa", "fb")
 
 
 def _texts(docs: DataFrame, places: DataFrame) -> DataFrame:
@@ -187,7 +224,7 @@ def repeated_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     """(doc_id, key, line): the places of all lines that repeat an earlier one.
 
     Lines with the same normal form are one line.  Different lines are linked if their
-    SimHash fingerprints over words differ in at most ``max_bits`` bits and their edit
+    SimHash fingerprints over distinct words differ in at most ``max_bits`` bits and their edit
     similarity is at least ``similarity``; linked lines form connected groups.  The first
     occurrence of a group, by doc_id (null last), row key and line number, is not listed.
     ``key`` tells rows with the same id apart; fully equal rows share their places.
@@ -195,23 +232,40 @@ def repeated_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     base = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), row_key(docs).alias("key"), F.col(f"`{text}`").alias("text"))
     lines = written(base.mapInPandas(_hash_lines, _LINES), "lines")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key", "line")
-    groups = lines.groupBy("h1", "h2", "fp").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
-    groups = written(groups.select("h1", "h2", "fp", "first.*", "n"), "line-groups")
-
-    pairs = written(_candidates(groups.select("h1", "fp"), max_bits), "line-pairs")
-    ends = written(pairs.select(F.col("a").alias("h1")).union(pairs.select("b")).distinct(), "line-ends")
-    texts = written(_texts(base, groups.join(ends, "h1").select("doc_id", "key", "line", "h1")), "line-texts")
-    # Groups are what counts: first each line with its smallest partner, then the pairs that
-    # this leaves in different groups. A dense group is settled by the first step, so that texts
-    # travel about once a line and not once a pair.
-    nearest = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    links = written(_verified(nearest, texts, similarity), "line-links")
+    groups = lines.groupBy("h1", "h2", "fp", "size").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
+    groups = written(groups.select("h1", "h2", "fp", "size", "first.*", "n"), "line-groups")
+    classes = groups.groupBy("fp").agg(F.min("size").alias("low"), F.max("size").alias("high"), F.min("h1").alias("head"), F.count(F.lit(1)).alias("members"))
+    classes = written(classes, "line-classes")
+    near = written(_near_fingerprints(classes, max_bits, similarity), "line-near")
+    many = classes.filter("members > 1").select("fp", "head")
+
+    # the lines that any pair can have, with their texts
+    touched = written(near.select(F.col("fa").alias("fp")).union(near.select("fb")).union(many.select("fp")).distinct(), "line-touched")
+    members = written(groups.join(touched, "fp", "left_semi"), "line-members")
+    texts = written(_texts(base, members.select("doc_id", "key", "line", "h1")), "line-texts")
+
+    # Groups are what counts, not pairs: first one line of each fingerprint with the others of its
+    # fingerprint and with one line of each near fingerprint; then all lines of two fingerprints that
+    # this leaves in different groups.
+    heads = written(classes.join(touched, "fp", "left_semi").select("fp", "head"), "line-heads")
+    head_a, head_b = (heads.select(F.col("fp").alias(f"f{e}"), F.col("head").alias(e)) for e in "ab")
+    stars = members.join(many, "fp").filter(F.col("h1") != F.col("head")).select(F.col("head").alias("a"), F.col("h1").alias("b"))
+    pairs = near.join(head_a, "fa").join(head_b, "fb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    pairs = written(stars.unionByName(pairs), "line-pairs")
+    links = written(_verified(pairs, texts, similarity), "line-links")
     comp = connected_components(links)
-    root_a, root_b = (comp.select(F.col("node").alias(e), F.col("root").alias(f"r{e}")) for e in "ab")
-    apart = pairs.join(root_a, "a", "left").join(root_b, "b", "left").filter(
-        F.coalesce("ra", "a") != F.coalesce("rb", "b")).join(nearest, ["a", "b"], "left_anti").select("a", "b")
+    rooted = members.select("fp", "h1").join(comp, F.col("h1") == F.col("node"), "left")
+    rooted = written(rooted.select("fp", "h1", F.coalesce("root", "h1").alias("root")), "line-rooted")
+    span = written(rooted.groupBy("fp").agg(F.min("root").alias("low"), F.max("root").alias("high")), "line-spans")
+    span_a, span_b = (span.select(F.col("fp").alias(f"f{e}"), F.col("low").alias(f"l{e}"), F.col("high").alias(f"g{e}")) for e in "ab")
+    both = near.unionByName(many.select(F.col("fp").alias("fa"), F.col("fp").alias("fb")))
+    unsettled = both.join(span_a, "fa").join(span_b, "fb").filter(F.least("la", "lb") != F.greatest("ga", "gb")).select("fa", "fb")
+    side_a, side_b = (rooted.select(F.col("fp").alias(f"f{e}"), F.col("h1").alias(e), F.col("root").alias(f"r{e}")) for e in "ab")
+    apart = unsettled.join(side_a, "fa").join(side_b, "fb").filter((F.col("ra") != F.col("rb")) & ((F.col("fa") != F.col("fb")) | (F.col("a") < F.col("b"))))
+    apart = apart.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).join(pairs, ["a", "b"], "left_anti")
     more = written(_verified(apart, texts, similarity), "line-links")
-    comp = connected_components(links.unionByName(more))
+    if not more.isEmpty():
+        comp = connected_components(links.unionByName(more))
 
     # one row per line that has more than one occurrence or a link, with the place to keep
     linked = groups.join(comp, groups["h1"] == comp["node"], "left").filter((F.col("n") > 1) | F.col("root").isNotNull())
