@@ -49,6 +49,12 @@ def same(left: list[Column], right: list[Column]) -> Column:
     return cond
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """A join side that grows with the corpus: the join is by shuffle at every size.  Else a
+    small input would broadcast it, and what is measured on small inputs would not carry over."""
+    return df.hint("merge")
+
+
 def row_key(df: DataFrame) -> Column:
     """A 64-bit key of all columns of a row (columns of types that cannot be hashed are left out)."""
     usable = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]

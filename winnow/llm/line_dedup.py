@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import row_key, same, written
+from .common import row_key, same, shuffled, written
 from .components import connected_components
 
 #: Fingerprints of lines link at this many differing bits or fewer ...
@@ -164,7 +164,7 @@ def _texts(docs: DataFrame, places: DataFrame) -> DataFrame:
         return s.map(normalise)
 
     p = places.select(F.col("doc_id").alias("p_doc"), F.col("key").alias("p_key"), "line", "h1")
-    at = docs.join(p, same([docs["doc_id"], docs["key"]], [F.col("p_doc"), F.col("p_key")]))
+    at = docs.join(shuffled(p), same([docs["doc_id"], docs["key"]], [F.col("p_doc"), F.col("p_key")]))
     raw = at.select("h1", F.get(F.split("text", "\n"), F.col("line")).alias("raw")).dropDuplicates(["h1"])
     return raw.select("h1", norm("raw").alias("norm"))
 
@@ -275,7 +275,7 @@ def repeated_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
         linked.filter(F.col("root").isNull()).select("h1", "h2", place.alias("keep")))
     kept = written(kept.select(F.col("h1").alias("k1"), F.col("h2").alias("k2"), F.col("keep.doc_id").alias("k_doc"),
                                F.col("keep.key").alias("k_key"), F.col("keep.line").alias("k_line")), "line-keep")
-    j = lines.join(kept, (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2")))
+    j = lines.join(shuffled(kept), (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2")))
     first = same([F.col("doc_id"), F.col("key"), F.col("line")], [F.col("k_doc"), F.col("k_key"), F.col("k_line")])
     return j.filter(~first).select("doc_id", "key", "line").distinct()
 
@@ -304,7 +304,7 @@ def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **o
         return pd.DataFrame(out, columns=["text", "lines", "removed"])
 
     keyed = docs.withColumn("__row", row_key(docs))
-    j = keyed.join(gone, same([F.col(f"`{doc_id}`").cast("long"), F.col("__row")], [F.col("__id"), F.col("__key")]), "left")
+    j = keyed.join(shuffled(gone), same([F.col(f"`{doc_id}`").cast("long"), F.col("__row")], [F.col("__id"), F.col("__key")]), "left")
     j = j.withColumn("__cut", cut(F.col(f"`{text}`"), F.col("__gone")))
     cols = [F.col("__cut.text").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns]
     return j.select(*cols, F.col("__cut.lines").alias("__lines"), F.col("__cut.removed").alias("__removed"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, gapless_rank, row_key, same, uniform, written
+from .common import WORD, gapless_rank, row_key, same, shuffled, uniform, written
 
 #: Weights of the sources in code point order, null last, repeating.
 WEIGHTS = (5, 2, 1)
@@ -82,7 +82,7 @@ def mix_documents(docs: DataFrame, **options) -> DataFrame:
                      .filter("__copies > 0"), "mix-copies")
     id_col = F.col(f"`{options.get('doc_id', 'doc_id')}`")
     keyed = docs.withColumn("__row", row_key(docs))
-    j = keyed.join(copies, id_col.eqNullSafe(F.col("__id")) & (F.col("__row") == F.col("__key")))
+    j = keyed.join(shuffled(copies), id_col.eqNullSafe(F.col("__id")) & (F.col("__row") == F.col("__key")))
     names = [F.col(f"`{c}`") for c in docs.columns]
     single = j.filter("__rows = 1").select(*names, "__copies")
     repeated = j.filter("__rows > 1").dropDuplicates(["__id", "__key"]).select(*names, "__copies")

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import row_key, same, written
+from .common import row_key, same, shuffled, written
 from .components import connected_components
 
 SHINGLE_WORDS = 4
@@ -149,7 +149,7 @@ def drop_near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc
                             (F.col("root") == F.col("r")) & F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("key") == F.col("__key")))
     chosen = written(same_rows.groupBy("__id", "__key").agg(F.count(F.lit(1)).alias("__rows")), "kept")
     keyed = docs.withColumn("__row", row_key(docs))
-    j = keyed.join(chosen, same([F.col(f"`{doc_id}`"), F.col("__row")], [F.col("__id"), F.col("__key")]))
+    j = keyed.join(shuffled(chosen), same([F.col(f"`{doc_id}`"), F.col("__row")], [F.col("__id"), F.col("__key")]))
     names = [F.col(f"`{c}`") for c in docs.columns]
     single = j.filter("__rows = 1").select(*names)
     repeated = j.filter("__rows > 1").dropDuplicates(["__id", "__key"]).select(*names)
