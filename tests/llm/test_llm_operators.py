@@ -137,6 +137,55 @@ def test_line_dedup_matches_brute_force(spark):
     assert got[0].__fields__[:-2] == df.columns
 
 
+def edited_lines(rng, n_edits):
+    """Pairs (line, copy with edited words) of many lengths whose edit similarity is 0.8 or more."""
+    from winnow.llm.line_dedup import _distance_within
+
+    out = []
+    for n in list(range(5, 60, 2)) * 4:
+        w = [rng.choice(fx.WORDS) + rng.choice("abcdefgh") + str(rng.randrange(50)) for _ in range(n)]
+        v = list(w)
+        for i in rng.sample(range(n), n_edits):
+            kind = rng.randrange(3)
+            v[i] = "q" + v[i][1:] if kind == 0 else rng.choice(fx.WORDS) if kind == 1 else v[i] + " " + rng.choice(fx.WORDS)
+        a, b = " ".join(w), " ".join(v)
+        if _distance_within(a, b, int(max(len(a), len(b)) * 0.2 + 1e-9)):
+            out.append((a, b))
+    return out
+
+
+@pytest.mark.parametrize("n_edits, recall", [(1, {9: 1.0, 19: 1.0, 49: 1.0, 99: 1.0}), (2, {9: 0.6, 19: 0.75, 49: 0.9, 99: 0.9})])
+def test_fuzzy_line_recall_by_length_without_a_bit_cut(spark, n_edits, recall):
+    import random
+
+    from winnow.llm.line_dedup import dedup_lines
+
+    pairs = edited_lines(random.Random(11), n_edits)
+    assert len(pairs) > 60
+    data = [(i, t) for k, (a, b) in enumerate(pairs) for i, t in ((2 * k, a), (2 * k + 1, b))]
+    df = spark.createDataFrame([(i, t, None, None, None, *([1] * 13)) for i, t in data], fx.SCHEMA)
+    left = {r.doc_id: r.text for r in dedup_lines(df, any_bits=True).collect()}
+    assert all(left[2 * k] == a for k, (a, _) in enumerate(pairs))  # different lines stay
+    low = 0
+    for high, share in recall.items():
+        of = [k for k, (a, _) in enumerate(pairs) if low < len(a.split()) <= high]
+        low = high
+        if of:
+            found = sum(left[2 * k + 1] == "" for k in of) / len(of)
+            assert found >= share, (high, found)
+
+
+def test_lines_without_a_bit_cut_match_brute_force(spark):
+    from winnow.llm.line_dedup import dedup_lines
+
+    data = [(1, "alpha beta gamma delta\nétrévisions"), (2, "alpha beta gamma delts\nétrévisiont"), (3, "the quick brown fox jumps over a dog\nxy"),
+            (4, "the quick brown fox jumped over a dog\nx"), (5, "a quick brown fox jumped over a dog"), (6, "nothing like any other line")]
+    want, _ = brute_line_dedup(data, 64, 0.8)
+    df = spark.createDataFrame([(i, t, None, None, None, *([1] * 13)) for i, t in data], fx.SCHEMA)
+    assert sorted((r.doc_id, r.text) for r in dedup_lines(df, any_bits=True).collect()) == want
+    assert dedup_lines(fx.empty(spark), any_bits=True).count() == 0
+
+
 def test_line_dedup_keeps_rows_and_handles_awkward_ones(spark):
     from winnow.llm.line_dedup import dedup_lines
 

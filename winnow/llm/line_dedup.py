@@ -3,6 +3,7 @@ one occurrence per connected group."""
 
 from __future__ import annotations
 
+import math
 from array import array
 from collections import Counter
 from collections.abc import Iterator
@@ -29,7 +30,7 @@ KEEP_WORDS = 1 << 18
 
 #: ASCII signs other than the underscore become spaces.
 _SIGNS = bytes(32 if c < 128 and not (chr(c).isalnum() or chr(c) in "_\n") else c for c in range(256))
-_LINES = "doc_id long, key long, line int, h1 long, h2 long, fp long, size int"
+_LINES = "doc_id long, key long, line int, h1 long, h2 long, fp long, size int, ends array<long>"
 
 
 def _normal_lines(text: str) -> list[list[bytes]]:
@@ -84,10 +85,41 @@ def _simhash(h: np.ndarray, counts: list[int]) -> np.ndarray:
     return np.packbits(set_bits, axis=2, bitorder="little").reshape(-1, 8).copy().view("<i8").ravel()
 
 
-def _hash_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _end_lengths(n: int, similarity: float) -> set[int]:
+    """How many units are taken at either end of a line of ``n``: the power of two between a quarter
+    and a half of it, the one below unless it is short, and those of the shortest line that can be similar."""
+    out = set()
+    for m in {n, max(2, int(n * similarity))}:
+        q = 1 << max(0, (m // 2).bit_length() - 1)
+        out |= {q, q // 2} if q >= 8 else {q}
+    return out
+
+
+def _ends(words: list[bytes], similarity: float) -> list[int]:
+    """Hashes of a line's first words and of its last ones, at a few lengths that similar lines have in
+    common; of a single word its characters.  Lines that differ in one place share an end."""
+    from xxhash import xxh3_64_intdigest
+
+    units, glue = (words, b" ") if len(words) > 1 else (words[0].decode("utf-8", "replace"), "")
+    if len(units) < 2:
+        return []
+    out = []
+    for q in sorted(_end_lengths(len(units), similarity)):
+        for seed, part in ((2 * q, units[:q]), (2 * q + 1, units[-q:])):
+            joined = glue.join(part)
+            joined = joined if isinstance(joined, bytes) else b"\0" + joined.encode("utf-8", "replace")
+            out.append(xxh3_64_intdigest(joined, seed) - (1 << 63))
+    return out
+
+
+def _hash_lines(ends: float | None):
+    return lambda batches: _hashed(batches, ends)
+
+
+def _hashed(batches: Iterator[pd.DataFrame], ends: float | None) -> Iterator[pd.DataFrame]:
     """A row per non-blank line: where it stands, a 128-bit hash and the length of its normal
     form, the SimHash of its distinct words (a word that fills half of a line would else be
-    the whole fingerprint)."""
+    the whole fingerprint), and the hashes of its ends for the similarity ``ends``, if given."""
     from xxhash import xxh3_128_digest
 
     known = _WordHashes()
@@ -98,13 +130,13 @@ def _hash_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     def flush() -> pd.DataFrame:
         halves = np.frombuffer(b"".join(digests), dtype=">i8").astype(np.int64).reshape(-1, 2)
-        out = pd.DataFrame(rows, columns=["doc_id", "key", "line", "size"])
+        out = pd.DataFrame(rows, columns=["doc_id", "key", "line", "size", "ends"])
         out["doc_id"] = out["doc_id"].astype("Int64")
         out = out.astype({"line": "int32", "size": "int32"})
         out["h1"], out["h2"], out["fp"] = halves[:, 0], halves[:, 1], _simhash(np.frombuffer(hashes, dtype=np.uint64).copy(), counts)
         for held in (rows, digests, hashes, counts):
             del held[:]
-        return out[["doc_id", "key", "line", "h1", "h2", "fp", "size"]]
+        return out[["doc_id", "key", "line", "h1", "h2", "fp", "size", "ends"]]
 
     for batch in batches:
         for doc_id, key, text in zip(batch["doc_id"].astype("Int64").tolist(), batch["key"].tolist(), batch["text"].tolist()):
@@ -116,7 +148,8 @@ def _hash_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     continue
                 own = b" ".join(words)
                 # code points: bytes that do not continue a character
-                rows.append((doc_id, key, i, len(own) if own.isascii() else len(own.decode("utf-8", "replace"))))
+                rows.append((doc_id, key, i, len(own) if own.isascii() else len(own.decode("utf-8", "replace")),
+                             [] if ends is None else _ends(words, ends)))
                 digests.append(xxh3_128_digest(own))
                 distinct = set(words)
                 hashes.extend(map(known.__getitem__, distinct))
@@ -163,9 +196,11 @@ def _texts(docs: DataFrame, places: DataFrame) -> DataFrame:
     def norm(s: pd.Series) -> pd.Series:
         return s.map(normalise)
 
-    p = places.select(F.col("doc_id").alias("p_doc"), F.col("key").alias("p_key"), "line", "h1")
+    p = places.groupBy(F.col("doc_id").alias("p_doc"), F.col("key").alias("p_key")).agg(F.collect_list(F.struct("line", "h1")).alias("at"))
     at = docs.join(shuffled(p), same([docs["doc_id"], docs["key"]], [F.col("p_doc"), F.col("p_key")]))
-    raw = at.select("h1", F.get(F.split("text", "\n"), F.col("line")).alias("raw")).dropDuplicates(["h1"])
+    cut = at.select("at", F.split("text", "\n").alias("lines"))
+    found = cut.select(F.explode(F.transform("at", lambda x: F.struct(x["h1"].alias("h1"), F.get("lines", x["line"]).alias("raw")))).alias("x"))
+    raw = found.select("x.h1", "x.raw").dropDuplicates(["h1"])
     return raw.select("h1", norm("raw").alias("norm"))
 
 
@@ -219,21 +254,63 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
     return pairs.join(a, "a").join(b, "b").filter(near).filter(similar("na", "nb")).select("a", "b")
 
 
+def _links_by_ends(groups: DataFrame, base: DataFrame, links: DataFrame, comp: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): links between lines that share an end, whatever their fingerprints, besides ``links``
+    whose components are ``comp``; enough to join every group, not every pair of it.
+
+    First each line with one line of those of its end and about its length; then, inside the
+    join condition, the pairs that this leaves in different groups.
+    """
+    keys = groups.select("h1", "size", "ends", F.explode("ends").alias("k"))
+    other = groups.select(F.col("h1").alias("o"), F.col("size").alias("o_size"), F.explode("ends").alias("ok"))
+    lengths = lambda x, y: F.abs(x - y) <= F.greatest(x, y) * F.lit(1 - similarity) + F.lit(1e-9)
+    on = (F.col("k") == F.col("ok")) & (F.col("h1") != F.col("o")) & lengths(F.col("size"), F.col("o_size"))
+    held = written(keys.join(shuffled(other), on, "left_semi"), "line-ends")
+    places = groups.join(shuffled(held.select("h1").distinct()), "h1", "left_semi")
+    texts = written(_texts(base, places.select("doc_id", "key", "line", "h1")), "line-end-texts")
+
+    steps = F.floor(F.log(F.col("size").cast("double")) / F.lit(-math.log(similarity)))
+    by_length = held.withColumn("step", steps)
+    heads = by_length.groupBy("k", "step").agg(F.min("h1").alias("a"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    in_comp = lambda df: df.join(comp, F.col("h1") == F.col("node"), "left").withColumn("root", F.coalesce("root", "h1")).drop("node")
+    roots = written(in_comp(held.select("h1").distinct()), "line-end-roots")
+    ra, rb = (roots.select(F.col("h1").alias(e), F.col("root").alias(f"r{e}")) for e in "ab")
+    stars = by_length.join(shuffled(heads), ["k", "step"]).filter("h1 <> a").select("a", F.col("h1").alias("b")).distinct()
+    stars = written(stars.join(ra, "a").join(rb, "b").filter("ra <> rb").select("a", "b"), "line-end-stars")
+    first = written(_verified(stars, texts, similarity), "line-end-links")
+    if not first.isEmpty():
+        comp = connected_components(links.unionByName(first))
+    roots = written(in_comp(held.select("h1").distinct()), "line-end-roots")
+    rooted = written(held.join(shuffled(roots), "h1"), "line-end-rooted")
+    split = rooted.groupBy("k").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("k")
+    sides = written(rooted.join(shuffled(split), "k").join(shuffled(texts), "h1"), "line-end-sides")
+    left, right = (sides.select(F.col("k").alias(f"k{e}"), F.col("h1").alias(e), F.col("size").alias(f"s{e}"), F.col("ends").alias(f"e{e}"),
+                                F.col("root").alias(f"r{e}"), F.col("norm").alias(f"n{e}")) for e in "ab")
+    limit = F.floor(F.greatest("sa", "sb") * F.lit(1 - similarity) + F.lit(1e-9)).cast("int")
+    # a pair counts under the first end it shares; equal ones inside the limit give their distance, others -1
+    near = F.call_function("levenshtein", F.col("na"), F.col("nb"), limit) >= 0
+    on = ((F.col("ka") == F.col("kb")) & (F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & lengths(F.col("sa"), F.col("sb"))
+          & (F.get(F.array_intersect("ea", "eb"), F.lit(0)) == F.col("ka")) & near)
+    return first.unionByName(written(left.join(shuffled(right), on).select("a", "b"), "line-end-links"))
+
+
 def repeated_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", max_bits: int = MAX_BITS,
-                   similarity: float = SIMILARITY) -> DataFrame:
+                   similarity: float = SIMILARITY, any_bits: bool = False) -> DataFrame:
     """(doc_id, key, line): the places of all lines that repeat an earlier one.
 
     Lines with the same normal form are one line.  Different lines are linked if their
     SimHash fingerprints over distinct words differ in at most ``max_bits`` bits and their edit
-    similarity is at least ``similarity``; linked lines form connected groups.  The first
+    similarity is at least ``similarity``; linked lines form connected groups.  With
+    ``any_bits`` the similarity alone decides: lines that share their first or last words (about
+    an eighth of the line or more) are compared too, however many bits they differ in.  The first
     occurrence of a group, by doc_id (null last), row key and line number, is not listed.
     ``key`` tells rows with the same id apart; fully equal rows share their places.
     """
     base = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), row_key(docs).alias("key"), F.col(f"`{text}`").alias("text"))
-    lines = written(base.mapInPandas(_hash_lines, _LINES), "lines")
+    lines = written(base.mapInPandas(_hash_lines(similarity if any_bits else None), _LINES), "lines")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key", "line")
-    groups = lines.groupBy("h1", "h2", "fp", "size").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
-    groups = written(groups.select("h1", "h2", "fp", "size", "first.*", "n"), "line-groups")
+    groups = lines.groupBy("h1", "h2", "fp", "size").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"), F.any_value("ends").alias("ends"))
+    groups = written(groups.select("h1", "h2", "fp", "size", "first.*", "n", "ends"), "line-groups")
     classes = groups.groupBy("fp").agg(F.min("size").alias("low"), F.max("size").alias("high"), F.min("h1").alias("head"), F.count(F.lit(1)).alias("members"))
     classes = written(classes, "line-classes")
     near = written(_near_fingerprints(classes, max_bits, similarity), "line-near")
@@ -265,6 +342,10 @@ def repeated_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     apart = apart.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).join(pairs, ["a", "b"], "left_anti")
     more = written(_verified(apart, texts, similarity), "line-links")
     if not more.isEmpty():
+        links = links.unionByName(more)
+        comp = connected_components(links)
+    if any_bits:
+        more = _links_by_ends(groups, base, links, comp, similarity)
         comp = connected_components(links.unionByName(more))
 
     # one row per line that has more than one occurrence or a link, with the place to keep
@@ -275,7 +356,7 @@ def repeated_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
         linked.filter(F.col("root").isNull()).select("h1", "h2", place.alias("keep")))
     kept = written(kept.select(F.col("h1").alias("k1"), F.col("h2").alias("k2"), F.col("keep.doc_id").alias("k_doc"),
                                F.col("keep.key").alias("k_key"), F.col("keep.line").alias("k_line")), "line-keep")
-    j = lines.join(shuffled(kept), (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2")))
+    j = lines.drop("ends").join(shuffled(kept), (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2")))
     first = same([F.col("doc_id"), F.col("key"), F.col("line")], [F.col("k_doc"), F.col("k_key"), F.col("k_line")])
     return j.filter(~first).select("doc_id", "key", "line").distinct()
 

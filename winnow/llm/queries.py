@@ -113,7 +113,7 @@ SELECT doc_id, size, source_size, target, copies * size AS taken FROM mixed
 
 @query
 def op2_fuzzy_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = line_dedup.dedup_lines(read_table(spark, sf_dir, "documents"))
+    out = line_dedup.dedup_lines(read_table(spark, sf_dir, "documents"), any_bits=True)
     return out.select("doc_id", F.col("__lines").alias("n_lines"), F.col("__removed").alias("n_removed"),
                       F.sha2("text", 256).alias("text_sha256"), "text")
 
