@@ -419,6 +419,24 @@ def test_license_scan_of_texts_and_lines(spark):
 
 # ---------------------------------------------------------------- 7 mixing
 
+def test_whole_licence_texts_under_their_headings(spark):
+    from winnow.llm import licenses
+
+    old = [("MIT", "Released under the MIT License."), ("MIT", "Licensed under the MIT License."), ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
+           ("GPL-3.0-only", "This work is licensed under the GNU General Public License, version 3."), ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
+           ("CC-BY-4.0", "Licensed under CC BY 4.0."), ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."), ("CC0-1.0", "Released under CC0 1.0."),
+           ("MPL-2.0", "This project is licensed under the Mozilla Public License 2.0"), ("AGPL-3.0-only", "SPDX-License-Identifier: AGPL-3.0-only")]
+    bsd = licenses._BSD_3.format("copyright holder").replace("1. ", "* ").replace("2. ", "* ").replace("3. ", "* ")
+    whole = [("MIT", "The MIT License (MIT)\n\nCopyright (c) 2020 Jane Doe\n\n" + licenses._MIT), *licenses.TEXTS.items(),
+             ("BSD-3-Clause", "BSD 3-Clause License\n\nCopyright (c) 2020, Jane Doe\nAll rights reserved.\n\n" + bsd),
+             ("Apache-2.0", licenses.TEXTS["Apache-2.0"].replace("[yyyy] [name of copyright owner]", "2020 Jane Doe")),
+             ("GPL-3.0-only", licenses._unwrapped(licenses.TEXTS["GPL-3.0-only"]))]
+    df = spark.createDataFrame([(k, t, None, None, None, *([1] * 13)) for k, (_, t) in enumerate(old + whole)], fx.SCHEMA)
+    got = {r.doc_id: r for r in licenses.scan_licenses(df, licenses.known_digests(spark)).collect()}
+    assert [got[k].license_id for k in range(len(got))] == [i for i, _ in old + whole]
+    assert all(got[k].line_licenses == i for k, (i, _) in enumerate(old))
+
+
 def brute_targets(sizes):
     order = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + [None] * (None in sizes)
     w = {s: (5, 2, 1)[i % 3] for i, s in enumerate(order)}

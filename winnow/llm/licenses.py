@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .license_texts import TEXTS
+
 # Equivalent spellings (left) and the one kept (right), after the public
 # list of the SPDX licence matching guidelines.
 EQUIVALENT = [
@@ -46,15 +50,62 @@ _BSD_2 = """Redistribution and use in source and binary forms, with or without m
 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
 
 THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+_BSD_3 = _BSD_2.replace("\n\nTHIS SOFTWARE", "\n\n3. Neither the name of the {} nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.\n\nTHIS SOFTWARE")
+#: Names of the licences in headings and notices.
+_NAMES = {
+    "MIT": ["MIT License", "MIT License (MIT)"], "ISC": ["ISC License"], "Zlib": ["zlib License"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "Simplified BSD License", "2-Clause BSD License"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "New BSD License", "Modified BSD License", "3-Clause BSD License"],
+    "Apache-2.0": ["Apache License, Version 2.0", "Apache License 2.0", "Apache 2.0 License"],
+    "GPL-2.0-only": ["GNU General Public License, version 2", "GNU General Public License v2.0", "GPL v2", "GPLv2"],
+    "GPL-3.0-only": ["GNU General Public License, version 3", "GNU General Public License v3.0", "GPL v3", "GPLv3"],
+    "LGPL-2.1-only": ["GNU Lesser General Public License, version 2.1", "GNU Lesser General Public License v2.1", "LGPL v2.1", "LGPLv2.1"],
+    "LGPL-3.0-only": ["GNU Lesser General Public License, version 3", "GNU Lesser General Public License v3.0", "LGPL v3", "LGPLv3"],
+    "AGPL-3.0-only": ["GNU Affero General Public License, version 3", "GNU Affero General Public License v3.0", "AGPL v3", "AGPLv3"],
+    "MPL-2.0": ["Mozilla Public License, Version 2.0", "Mozilla Public License 2.0", "MPL 2.0"],
+    "BSL-1.0": ["Boost Software License, Version 1.0", "Boost Software License 1.0"], "Unlicense": ["Unlicense"],
+    "CC0-1.0": ["CC0 1.0", "CC0 1.0 Universal"],
+    **{f"CC-{k}-4.0": [f"CC {k} 4.0", f"Creative Commons {v} 4.0 International License", f"Creative Commons {v} 4.0 License"]
+       for k, v in {"BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-ND": "Attribution-NoDerivatives", "BY-NC": "Attribution-NonCommercial",
+                    "BY-NC-SA": "Attribution-NonCommercial-ShareAlike", "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}.items()},
+}
+_NOTICES = ["Licensed under {}.", "Released under {}.", "Distributed under {}.", "This work is licensed under {}.", "This project is licensed under {}.",
+            "This software is licensed under {}.", "This software is released under {}.", "This file is licensed under {}.", "This content is licensed under {}.",
+            "Available under {}.", "License: {}."]
+
+
+def _unwrapped(text: str) -> str:
+    return "\n\n".join(" ".join(p.split()) for p in re.split(r"\n[ \t]*\n", text))
+
+
+def _full_texts() -> list[tuple[str, str]]:
+    """Each licence's text, plain and under its usual headings; those with an appendix also without it;
+    those whose lines break before "copyright", which reads as a copyright statement, also unwrapped."""
+    texts = [("MIT", _MIT), ("ISC", _ISC), ("Zlib", _ZLIB), ("BSD-2-Clause", _BSD_2),
+             *[("BSD-3-Clause", _BSD_3.format(who)) for who in ("copyright holder", "author", "project", "organization")], *TEXTS.items()]
+    # bullets are signs and fall away, but numbers do not
+    texts += [(i, re.sub(r"(?m)^\d\. ", "", t)) for i, t in texts if i.startswith("BSD-") and t != TEXTS.get(i)]
+    for i, t in list(texts):
+        for mark in ("END OF TERMS AND CONDITIONS", "How to Apply These Terms to Your New"):
+            if mark in t:
+                texts.append((i, t[:t.rindex(mark)] + (mark if mark.startswith("END") else "")))
+        if re.search(r"(?mi)^[^\n]*\S[^\n]*\n[ \t]*(copyright[ \t]|\(c\)|©)", t):
+            texts.append((i, _unwrapped(t)))
+    out = []
+    for i, t in texts:
+        out.append((i, t))
+        if len(t) < 5000:
+            rights = "All rights reserved.\n\n"
+            for name in _NAMES.get(i, []):
+                out += [(i, f"{head}\n\n{r}{t}") for head in (name, f"The {name}") for r in ("", rights)]
+            out.append((i, rights + t))
+    return out
+
+
 KNOWN = [
-    ("MIT", _MIT), ("MIT", "The MIT License\n\n" + _MIT), ("MIT", "MIT License\n\n" + _MIT), ("ISC", _ISC),
-    ("ISC", "ISC License\n\n" + _ISC), ("Zlib", _ZLIB), ("Zlib", "zlib License\n\n" + _ZLIB), ("BSD-2-Clause", _BSD_2),
-    ("MIT", "Released under the MIT License."), ("MIT", "Licensed under the MIT License."),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("GPL-3.0-only", "This work is licensed under the GNU General Public License, version 3."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."), ("CC-BY-4.0", "Licensed under CC BY 4.0."),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."), ("CC0-1.0", "Released under CC0 1.0."),
-    ("LicenseRef-all-rights-reserved", "All rights reserved."),
+    *_full_texts(), ("LicenseRef-all-rights-reserved", "All rights reserved."),
+    *[(i, notice.format(x)) for i, names in _NAMES.items() for name in names for x in (name, f"the {name}") for notice in _NOTICES],
+    *[(i, f"SPDX-License-Identifier: {i}") for i in dict.fromkeys([*_NAMES, *TEXTS])],
 ]
 
 #: A line that opens with a copyright statement and a year or holder is left out.
