@@ -567,6 +567,23 @@ def test_blocks_of_awkward_markup():
     assert main("<article>" + "<div>" * 3000 + "deep" + "</div>" * 3000) == ["deep"]
 
 
+def test_names_of_wrappers_headings_and_anchors_lose_no_text(spark):
+    from winnow.llm.html_extract import blocks, extract_main_text
+
+    main = lambda h: [t for t, role in blocks(h) if role == "main"]
+    kept = lambda h: [t for t, role in blocks(h) if role != "marked"]
+    assert main("<div class='site has-sidebar'><article class='post has-comments'><h2 id='related-work'>Work</h2><section id='search'><p class='notice'>one"
+                "</section></article><div class=sidebar>side</div></div>") == ["Work", "one"]
+    assert main("<div class='widget'>w<article><p>a</article>x</div><p>y") == ["a"]
+    assert main("<div class=sidebar><aside><article>teaser</article></aside></div><main><p>m<nav>n</nav></main>") == ["m"]
+    assert kept("<div class='site has-sidebar'><p>text</p><div class='ad-slot'>ad</div><div id='comments'>c</div></div>") == ["text"]
+    pages = [(0, "http://a/0", "<div id=content-form class=widget><p>words of one page alone, in a wrapper with a poor name</p><nav>n</nav></div>"),
+             (1, "http://a/1", "<div class=widget><p>the second page has words of its own too</p></div>"), (2, "http://a/2", "<nav>n</nav>")]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    assert [r["__text"] for r in extract_main_text(df).orderBy("page_id").collect()] == [
+        "words of one page alone, in a wrapper with a poor name", "the second page has words of its own too", ""]
+
+
 def brute_extract(pages, run=5, covered=0.8):
     """All pairs of pages of a host, all common runs of words."""
     from winnow.llm.html_extract import blocks

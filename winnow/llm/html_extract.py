@@ -28,12 +28,17 @@ BLOCKS = {"address", "article", "aside", "blockquote", "body", "caption", "cente
           "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "head",
           "header", "hgroup", "hr", "html", "legend", "li", "main", "menu", "nav", "ol", "p", "pre", "search", "section",
           "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul"}
-#: Words of a class, id or role that name page furniture, a notice, an advert or reader comments.
+#: A class, id or role made of these words alone names page furniture, a notice, an advert or reader comments.
 FURNITURE = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "adsense", "banner", "breadcrumb", "breadcrumbs",
              "comment", "comments", "commentlist", "complementary", "contentinfo", "cookie", "cookies", "consent", "disqus",
              "footer", "form", "gdpr", "login", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice",
              "notices", "pagination", "popup", "promo", "promoted", "related", "replies", "respond", "search", "share",
              "sharing", "sidebar", "signup", "skyscraper", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget"}
+#: Words that may stand beside them in such a name.
+_BESIDE = {"area", "bar", "block", "box", "container", "content", "inner", "item", "link", "links", "list", "message", "outer", "panel", "section", "site",
+           "slot", "top", "bottom", "left", "right", "unit", "wrap", "wrapper", "global", "page", "primary", "secondary"}
+#: Elements whose names are anchors of the text: id for a section; class and id for headings and paragraphs.
+_ANCHORS = {"section": ("class", "role"), **dict.fromkeys(("h1", "h2", "h3", "h4", "h5", "h6", "p", "a", "li", "dt", "dd"), ("role",))}
 #: An opening tag that ends an open paragraph, as browsers do.
 _CLOSES_P = BLOCKS - {"body", "html", "head"}
 
@@ -47,22 +52,31 @@ _NAMES = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\
 _PART = re.compile(r"[a-z0-9]+")
 
 
-def _is_furniture(attributes: str, words: set[str] = FURNITURE) -> bool:
+def _names_furniture(name: str, words: set[str]) -> bool:
+    parts = set(_PART.findall(name))
+    return not words.isdisjoint(parts) and parts <= words | _BESIDE
+
+
+def _hides_or_names(attributes: str, words: set[str] = FURNITURE, which: tuple[str, ...] = ("class", "id", "role")) -> tuple[bool, bool]:
+    """Does the element hide its text; does a whole name among its classes, id and role name furniture?"""
+    named = False
     for name, *values in _NAMES.findall(attributes):
         name, value = name.lower(), "".join(values).lower()
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and "display:none" in value.replace(" ", ""):
-            return True
-        if name in ("class", "id", "role") and not words.isdisjoint(_PART.findall(value)):
-            return True
-    return False
+            return True, named
+        named = named or name in which and any(_names_furniture(x, words) for x in value.split())
+    return False, named
 
 
-def blocks(page: str | None) -> list[tuple[str, str]]:
+def blocks(page: str | None, names: bool = True) -> list[tuple[str, str]]:
     """(text, role) of each non-empty block of a page, in page order, without markup, scripts
     and styles.  Roles: ``MARKED`` if the page itself names it as menu, header, footer, sidebar,
     form, notice, advert or comments; ``MAIN_TEXT`` inside an article or main element; else ``OPEN``.
     Character references are decoded, white space is one space, trimmed.  A missing end tag
     is closed with its parent; a page cut off in a tag ends there.
+
+    A name marks an element only if it is a whole name of furniture ("sidebar", not "has-sidebar"), and not
+    what holds a main element or the page's only article.  Without ``names`` only elements and hidden text are marked.
     """
     out: list[tuple[str, str]] = []
     # name, marked, in main, muted: in marked inline text, which leaves the block around it whole
@@ -70,6 +84,8 @@ def blocks(page: str | None) -> list[tuple[str, str]]:
     parts: list[str] = []
     marked = in_main = muted = False
     text, at = page or "", 0
+    unnamed = {"main"} | ({"article"} if len(re.findall(r"<article[\s>]", text, re.I)) == 1 else set())
+    by_name = -1  # depth of the element whose name marks what is in it
 
     def end_block() -> None:
         if parts:
@@ -118,22 +134,38 @@ def blocks(page: str | None) -> list[tuple[str, str]]:
                 close(deep)
         if name in VOID or m[0].endswith("/>"):
             continue
+        by_name = by_name if by_name < len(open_tags) else -1
+        hidden, named = _hides_or_names(m[3], _NOT_THE_ARTICLE if name == "article" else FURNITURE, _ANCHORS.get(name, ("class", "id", "role")))
+        named = named and names and name not in ("html", "body", "main")
         if name == "article":
-            furniture = _is_furniture(m[3], _NOT_THE_ARTICLE)
+            furniture = hidden or named
         elif name == "header" and in_main:  # the article's own
-            furniture = False
+            furniture = named = False
         else:
-            furniture = name in DROPPED or name not in ("html", "body", "main") and _is_furniture(m[3])
+            furniture = name in DROPPED or hidden and name not in ("html", "body", "main") or named
+        if name in unnamed and by_name >= 0 and not furniture:
+            end_block()
+            marked, by_name = False, -1
+        if named and not marked and not hidden and name not in DROPPED:
+            by_name = len(open_tags)
         if furniture and not marked:
             if name in BLOCKS:
                 end_block()
             muted = name not in BLOCKS
+        elif furniture and not named:
+            by_name = -1  # the element itself is furniture, whatever it is in
         marked, in_main = marked or furniture, in_main or name in MAIN
         open_tags.append((name, marked, in_main, muted))
     end_block()
     return out
 
 
+def judged(page: str | None) -> list[tuple[str, str]]:
+    """The blocks of a page; if names mark all its text, they do not tell furniture, and are not heeded."""
+    found = blocks(page)
+    return found if any(role != MARKED for _, role in found) else blocks(page, names=False)
+
+
 def _suffixes(run: int):
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """The starts in the page's stream of words with the hash of their next ``run`` words;
@@ -143,7 +175,7 @@ def _suffixes(run: int):
         for batch in batches:
             rows = []
             for host, key, page in zip(batch["host"].tolist(), batch["key"].tolist(), batch["html"].tolist()):
-                for b, (text, role) in enumerate(blocks(page)):
+                for b, (text, role) in enumerate(judged(page)):
                     if role == MAIN_TEXT:
                         continue
                     words = text.split(" ")
@@ -199,7 +231,7 @@ def extract_main_text(pages: DataFrame, page_html: str = "html", url: str = "url
     def main_text(html_texts: pd.Series, drop: pd.Series) -> pd.Series:
         out = []
         for page, numbers in zip(html_texts, drop):
-            found = [(i, t) for i, (t, role) in enumerate(blocks(page)) if role != MARKED]
+            found = [(i, t) for i, (t, role) in enumerate(judged(page)) if role != MARKED]
             dropped = frozenset(numbers) if numbers is not None else frozenset()
             out.append("\n".join([t for i, t in found if i not in dropped] or [t for _, t in found]))
         return pd.Series(out)
