@@ -399,6 +399,31 @@ def test_collision_rate_is_generalised_jaccard(spark):
     assert abs(same - true) < 0.08
 
 
+def test_registered_sample_count_is_close_to_generalised_jaccard(spark):
+    import random
+
+    from winnow.llm import cws
+
+    rng = random.Random(8)
+    pairs = []
+    for k in range(300):
+        a = [rng.choice(fx.WORDS) + str(rng.randrange(9)) for _ in range(80)]
+        share = 0.02 + 0.6 * k / 300
+        b = [w if rng.random() > share else rng.choice(fx.WORDS) + str(rng.randrange(9)) for w in a]
+        pairs.append((k, " ".join(a), " ".join(b)))
+    flat = spark.createDataFrame([(2 * k + e, t) for k, *ab in pairs for e, t in enumerate(ab)], "k int, text string")
+    s = {r.k: r.signature for r in cws.signatures(flat, ["k"], "text").collect()}
+    errors = []
+    for k, a, b in pairs:
+        x, y = collections.Counter(a.split()), collections.Counter(b.split())
+        p, q = s[2 * k], s[2 * k + 1]
+        n = len(p) // cws.DIGITS
+        got = sum(p[i * 8:i * 8 + 8] == q[i * 8:i * 8 + 8] for i in range(n)) / n
+        errors.append(got - sum((x & y).values()) / sum((x | y).values()))
+    assert math.sqrt(sum(e * e for e in errors) / len(errors)) < 0.075 and max(map(abs, errors)) < 0.3  # four standard errors
+    assert abs(sum(errors) / len(errors)) < 0.02
+
+
 # ---------------------------------------------------------------- 6 licences
 
 def test_license_scan_of_texts_and_lines(spark):
