@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import read_table
-from . import ann, bpe, cws, html_extract, licenses, line_dedup, mixing, quality, sharding, simhash
+from . import ann, bpe, cws, html_extract, licenses, line_dedup, merkle, mixing, quality, sharding, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -161,3 +161,74 @@ def op10_graph_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_host_suffix_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = html_extract.extract_main_text(read_table(spark, sf_dir, "pages"))
     return out.select("page_id", "url", F.col("__text").alias("text"), F.length("__text").cast("long").alias("n_chars"))
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    fields = lambda n: merkle.leaf_digest(*map(F.col, ("doc_id", "source", "lang")), n, F.col("text"))
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, F.lit(False))
+    leaves = docs.select("doc_id", "lang", fields(F.col("n_chars")).alias("leaf"),
+                         F.when(tampered, fields(F.col("n_chars") + 1)).alias("changed"))
+    proven = merkle.inclusion_proofs(leaves, "lang", [F.col("doc_id")])
+    out = proven.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+                        merkle.fold(F.coalesce("changed", "leaf"), F.col("path")).alias("folded_root"))
+    return out.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+ORACLES["op12_merkle_manifest"] = """
+WITH RECURSIVE
+crc_steps AS (
+  SELECT list(v ORDER BY i) AS steps FROM (
+    SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+                          lambda c, z: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS v
+    FROM range(256) AS b(i))),
+flagged AS (
+  SELECT d.*, doc_id IS NOT NULL AND xor(4294967295, list_reduce(
+    list_concat([4294967295::BIGINT], list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+    lambda c, b: xor(c // 256, steps[xor(c % 256, b) + 1]))) % 7 = 0 AS tampered
+  FROM documents d, crc_steps),
+digests AS (
+  SELECT doc_id, coalesce('+' || lang, '') AS tree,
+         sha256(a || n || b) AS leaf, sha256(a || CASE WHEN tampered THEN n1 ELSE n END || b) AS seen
+  FROM (
+    SELECT *, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+              || coalesce(strlen(lang) || ':' || lang, '-') AS a,
+           coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS n,
+           coalesce(strlen((n_chars + 1)::VARCHAR) || ':' || (n_chars + 1), '-') AS n1,
+           coalesce(strlen(text) || ':' || text, '-') AS b
+    FROM flagged)),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS r, count(*) OVER (PARTITION BY tree) AS n
+  FROM digests),
+nodes AS (
+  SELECT tree, 0 AS h, r AS i, leaf AS d, n FROM ranked
+  UNION ALL
+  SELECT tree, h + 1, i // 2, sha256(string_agg(d, '' ORDER BY i)), (n + 1) // 2 FROM nodes WHERE n > 1 GROUP BY tree, h, i // 2, n),
+subroots AS (
+  SELECT tree, d AS subroot, h AS height, row_number() OVER (ORDER BY tree) - 1 AS r, count(*) OVER () AS n FROM nodes WHERE n = 1),
+tops AS (
+  SELECT 0 AS h, r AS i, subroot AS d, n FROM subroots
+  UNION ALL
+  SELECT h + 1, i // 2, sha256(string_agg(d, '' ORDER BY i)), (n + 1) // 2 FROM tops WHERE n > 1 GROUP BY h, i // 2, n),
+tree_paths AS (
+  SELECT s.tree, s.subroot, s.height, (SELECT d FROM tops WHERE n = 1) AS root,
+         coalesce(list(CASE WHEN t.d IS NULL THEN '' WHEN (s.r >> l.h) % 2 = 1 THEN 'L' || t.d ELSE 'R' || t.d END ORDER BY l.h)
+                  FILTER (l.h IS NOT NULL), []) AS path
+  FROM subroots s LEFT JOIN (SELECT DISTINCT h FROM tops WHERE n > 1) l ON true
+  LEFT JOIN tops t ON t.h = l.h AND t.i = xor(s.r >> l.h, 1) GROUP BY ALL),
+leaf_paths AS (
+  SELECT k.doc_id, k.tree, k.r, k.leaf, k.seen,
+         coalesce(list(CASE WHEN o.d IS NULL THEN '' WHEN (k.r >> l.h) % 2 = 1 THEN 'L' || o.d ELSE 'R' || o.d END ORDER BY l.h)
+                  FILTER (l.h IS NOT NULL), []) AS path
+  FROM ranked k LEFT JOIN (SELECT DISTINCT tree, h FROM nodes WHERE n > 1) l ON k.tree = l.tree
+  LEFT JOIN nodes o ON o.tree = k.tree AND o.h = l.h AND o.i = xor(k.r >> l.h, 1) GROUP BY ALL),
+whole AS (
+  SELECT l.doc_id, l.leaf, l.seen, t.subroot, t.root, list_concat(l.path, t.path) AS path FROM leaf_paths l JOIN tree_paths t USING (tree)),
+folded AS (
+  SELECT *, list_reduce(list_concat([seen], path), lambda a, p: sha256(
+    CASE WHEN p[1] = 'L' THEN substr(p, 2) || a ELSE a || substr(p, 2) END)) AS folded_root FROM whole)
+SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(path, lambda p: substr(p, 2)), '')) AS proof_sha256,
+       folded_root, folded_root = root AS verified
+FROM folded
+"""
