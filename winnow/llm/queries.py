@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import read_table
-from . import ann, bpe, cws, hard_negatives, html_extract, licenses, line_dedup, merkle, mixing, quality, sharding, simhash
+from . import ann, bpe, cws, hard_negatives, html_extract, licenses, line_dedup, merkle, mixing, quality, sharding, simhash, subword_lm
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -260,3 +260,18 @@ ranked AS (
     AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score)
 SELECT anchor_id, positive_id, rank::INT AS rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 10
 """
+
+
+def piece_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query
+def op13_lattice_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = subword_lm.score_texts(docs, ~subword_lm.held_out(F.col("doc_id")), subword_lm.read_vocabulary(piece_path()))
+    return out.select("doc_id", subword_lm.held_out(F.col("doc_id")).alias("held_out"), F.col("__n_tokens").alias("n_tokens"),
+                      F.col("__n_known").alias("n_known"), F.col("__train_tokens").alias("train_tokens"),
+                      F.col("__base_score").alias("base_score"), F.col("__score").alias("score"))
