@@ -6,25 +6,34 @@ Arrow batches.  Probabilities are asked for only when required."""
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
+
 
 def score(df: DataFrame, keep: Sequence[str], features: Sequence[str], make_model: Callable[[], object],
-          mode: str, pipeline_id: str, classes: Sequence[str] = (), want_probabilities: bool = False) -> DataFrame:
+          mode: str, pipeline_id: str, classes: Sequence[str] = (), want_probabilities: bool = False,
+          latency: bool = False) -> DataFrame:
     """One prediction per row.  ``make_model()`` returns an object with
     ``predict(X) -> array`` and optionally ``predict_proba(X) -> matrix``.
     C9: exactly one finite scalar (regression) or text (classification) per row
     and one probability per class.  A row that breaks this, or a batch for which
     the model raises or returns another shape, has no prediction and carries
-    ``error_type`` and ``error_message`` for ``fail_tasks`` (H5); the job goes on."""
+    ``error_type`` and ``error_message`` for ``fail_tasks`` (H5); the job goes on.
+
+    I2: with ``latency`` each output also carries ``latency_ms``, its equal share of the time that the
+    model took for its batch, failed batches included; ``latency_histogram`` and
+    ``observed_latency`` sum it up."""
     keep, features = list(keep), list(features)
     in_types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     pred_type = "string" if mode == "classification" else "double"
     schema = ", ".join(f"{c} {in_types[c]}" for c in keep) + f", mode string, pipeline_id string, prediction {pred_type}" \
-        + ", probabilities array<struct<label:string,probability:double>>, feature_order array<string>, used_probability_api boolean, error_type string, error_message string"
+        + ", probabilities array<struct<label:string,probability:double>>, feature_order array<string>, used_probability_api boolean, error_type string, error_message string" \
+        + (", latency_ms double" if latency else "")
 
     def predictions(model, x: np.ndarray) -> tuple[list, list, list]:
         """Per row: prediction, probabilities, what is wrong."""
@@ -53,22 +62,42 @@ def score(df: DataFrame, keep: Sequence[str], features: Sequence[str], make_mode
             out["mode"] = mode
             out["pipeline_id"] = pipeline_id
             kind = ["ValueError"] * len(pdf)
+            began = time.perf_counter()
             try:
                 values, probs, wrong = predictions(model, pdf[features].to_numpy())
             except Exception as exc:  # whatever a supplied model raises concerns the rows of its batch
                 values, probs, wrong = [None] * len(pdf), [None] * len(pdf), [str(exc) or "model failed"] * len(pdf)
                 kind = [type(exc).__name__] * len(pdf)
+            took = 1000 * (time.perf_counter() - began) / max(len(pdf), 1)
             out["prediction"] = pd.Series(values, index=out.index, dtype="float64" if mode == "regression" else "object")
             out["probabilities"] = probs
             out["feature_order"] = [features] * len(pdf)
             out["used_probability_api"] = bool(want_probabilities)
             out["error_type"] = [k if w else None for k, w in zip(kind, wrong)]
             out["error_message"] = wrong
+            if latency:
+                out["latency_ms"] = took
             yield out
 
     return df.select(*keep, *[c for c in features if c not in keep]).mapInPandas(run, schema)
 
 
+def latency_histogram(scored: DataFrame, dims: Sequence[str] = ("pipeline_id",)) -> DataFrame:
+    """(dims, up_to_ms, n, total_ms, max_ms) by powers of two of a millisecond.  Partial sums
+    per task; histograms of several runs add up."""
+    up_to = F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(F.col("latency_ms"), F.lit(2.0**-20)))))
+    return scored.groupBy(*dims, up_to.alias("up_to_ms")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("latency_ms").alias("total_ms"), F.max("latency_ms").alias("max_ms"))
+
+
+def observed_latency(scored: DataFrame, name: str = "latency") -> tuple[DataFrame, Observation]:
+    """The frame to write and the metrics that are there once it was written: outputs, their
+    total and longest time, and those that failed.  Costs no job of its own."""
+    seen = Observation(name)
+    return scored.observe(seen, F.count(F.lit(1)).alias("n"), F.sum("latency_ms").alias("total_ms"), F.max("latency_ms").alias("max_ms"),
+                          F.count("error_type").alias("failed")), seen
+
+
 class LinearRule:
     """A deterministic model for tests and examples: w . x + b."""
 

@@ -33,8 +33,8 @@ def store(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         F.when(llm & (i % 2 == 1), F.lit('{"type":"object","required":["n"]}')).when(llm & (i % 4 == 0), F.lit("{}")).alias("expected_schema"))
     generations = d.select(
         fmt("GE%d", i).alias("generation_id"), fmt('{"n": %d}', n).alias("raw_output"),
-        F.when(llm & (i % 3 != 0), fmt('{"n":%d}', n)).when(~llm, F.when(i % 3 == 0, fmt('{"prediction":"high"}')).otherwise(fmt('{"pipeline_id":"generic","prediction":"low","probabilities":{"high":0.25,"low":0.75}}'))).alias("parsed_output"),
-        F.when(llm, F.lit('{"component_profile":' + _PROFILE + "}")).otherwise(F.lit('{"artifact_identity":"models/a.bin","pipeline_id":"from_generation"}')).alias("metadata"))
+        F.when(llm & (i % 3 != 0), fmt('{"n":%d}', n)).when(~llm, F.when((i % 3 == 0) & (i % 7 == 0), fmt('{"pipeline_id":null,"prediction":"high"}')).when((i % 3 == 0) & (i % 7 == 1), fmt('{"pipeline_id":7,"prediction":"high"}')).when(i % 3 == 0, fmt('{"prediction":"high"}')).otherwise(fmt('{"pipeline_id":"generic","prediction":"low","probabilities":{"high":0.25,"low":0.75}}'))).alias("parsed_output"),
+        F.when(llm, F.lit('{"component_profile":' + _PROFILE + "}")).when(i % 11 == 0, F.lit('{"artifact_identity":null,"pipeline_id":"from_generation"}')).when(i % 13 == 0, F.lit("{}")).otherwise(F.lit('{"artifact_identity":"models/a.bin","pipeline_id":"from_generation"}')).alias("metadata"))
     validations = d.select(
         fmt("VA%d", i).alias("validation_id"), F.lit("v001").alias("validator_version"), good.alias("is_valid"), share.alias("score"),
         code.alias("failure_code"), reason.alias("failure_reason"),
@@ -44,7 +44,8 @@ def store(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         src.alias("run_id"), src.alias("model_id"), F.col("lang").alias("dataset_id"), F.lit("v001").alias("selector_version"),
         F.when(i % 5 == 0, F.lit("")).when(i % 5 == 1, F.lit("{}")).alias("completion"),
         F.when(good, F.lit("accepted")).otherwise(F.lit("rejected")).alias("status"), F.when(good, share).alias("score"),
-        code.alias("failure_code"), reason.alias("failure_reason"), F.lit("{}").alias("metadata"),
+        code.alias("failure_code"), reason.alias("failure_reason"),
+        F.when(llm, F.lit("{}")).otherwise(F.lit('{"artifact_identity":"models/s.bin","pipeline_id":"from_sample"}')).alias("metadata"),
         F.timestamp_seconds(F.lit(1700000000) + i).alias("created_at"))
     sources = doc.select("source", llm.alias("llm")).distinct()
     runs = sources.select(F.col("source").alias("run_id"), F.lit("config_v001").alias("config_id"))
@@ -94,19 +95,23 @@ def export_llm_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("export_ml_records", _SQL + """
+, m AS (
+  SELECT *, CASE WHEN i % 3 <> 0 THEN 'generic' WHEN i % 7 IN (0, 1) THEN NULL WHEN i % 13 = 0 AND i % 11 <> 0 THEN 'from_sample' ELSE 'from_generation' END AS pid,
+         CASE WHEN i % 11 = 0 THEN NULL WHEN i % 13 = 0 THEN 'models/s.bin' ELSE 'models/a.bin' END AS artifact
+  FROM q WHERE NOT llm)
 SELECT 'SA' || i AS sample_id, status AS sample_status,
   json_object(
     'dataset_id', lang,
     'decision', json_object('prediction', CASE WHEN i % 3 = 0 THEN 'high' ELSE 'low' END,
                             'probabilities', CASE WHEN i % 3 <> 0 THEN json('{"high":0.25,"low":0.75}') END, 'score', share),
     'disposition', disposition, 'model', json_object('model_id', source, 'model_name', 'model of ' || source, 'model_type', 'ml'),
-    'pipeline', json_object('artifact_identity', 'models/a.bin', 'pipeline_id', CASE WHEN i % 3 = 0 THEN 'from_generation' ELSE 'generic' END),
+    'pipeline', json_object('artifact_identity', artifact, 'pipeline_id', pid),
     'provenance', provenance, 'sample_id', 'SA' || i, 'sample_type', 'ml', 'status', status,
     'task', json_object('features', json_object('even', i % 2 = 0, 'n_chars', n), 'task_id', 'TA' || i),
     'validation', json_object('evidence', evidence, 'failure_code', code, 'failure_reason', reason, 'is_valid', good,
                               'validation_id', 'VA' || i, 'validator_version', 'v001'))::VARCHAR AS line,
-  CAST(NULL AS VARCHAR) AS problem
-FROM q WHERE NOT llm
+  CASE WHEN pid IS NULL THEN 'pipeline identity is missing' WHEN artifact IS NULL THEN 'artifact identity is missing' END AS problem
+FROM m
 """)
 def export_ml_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A7 + A10 + C8 of the ml branch."""

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ..functions import codes
 from ..functions.jsonops import structured_json_gate
 from ..operators.jsonschema import check_against_schema
-from ..operators.score import LinearRule, score
+from ..operators.ranking import select_top
+from ..operators.score import LinearRule, latency_histogram, score
 from ..session import read_table, spread
 from .registry import query
 from .selection import select_classification
@@ -143,8 +144,7 @@ SELECT model_id, ancestor, CAST(depth AS INTEGER) AS depth FROM a
 """)
 def lineage_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K4: every ancestor of every model through parent_model_id
-    (parent = key // 2 over supplier; 0 is the root).  Iterative joins, one
-    per level; each level's frontier is checkpointed so lineage stays short."""
+    (parent = key // 2 over supplier; 0 is the root), by path doubling."""
     from ..operators.lineage import ancestors
 
     s = read_table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("model_id"))
@@ -197,14 +197,20 @@ def eval_separation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("eval_exact_overlap", """
+WITH d AS (
+  SELECT doc_id, text FROM documents
+  UNION ALL SELECT 1000000000 + item_id, '  ' || text || ' ' FROM benchmark WHERE item_id % 3 = 0)
 SELECT d.doc_id, CAST(count(DISTINCT b.item_id) AS BIGINT) AS items
-FROM documents d JOIN benchmark b ON md5(lower(trim(d.text))) = md5(lower(trim(b.text))) GROUP BY d.doc_id
+FROM d JOIN benchmark b ON md5(lower(trim(d.text))) = md5(lower(trim(b.text))) GROUP BY d.doc_id
 """)
 def eval_exact_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K5: documents whose whole text is a benchmark item's, by digest."""
+    """K5: documents whose whole text is a benchmark item's, by digest.  Copies of every third
+    item are planted under ids of their own."""
     digest = F.md5(F.lower(F.trim("text")))
-    d = read_table(spark, sf_dir, "documents").select("doc_id", digest.alias("digest"))
-    b = read_table(spark, sf_dir, "benchmark").select("item_id", digest.alias("digest")).distinct()
+    items = read_table(spark, sf_dir, "benchmark")
+    planted = items.filter(F.col("item_id") % 3 == 0).select((F.col("item_id") + 1000000000).alias("doc_id"), F.concat(F.lit("  "), "text", F.lit(" ")).alias("text"))
+    d = read_table(spark, sf_dir, "documents").select("doc_id", "text").unionByName(planted).select("doc_id", digest.alias("digest"))
+    b = items.select("item_id", digest.alias("digest")).distinct()
     return d.join(b, "digest").select("doc_id", "item_id").distinct().groupBy("doc_id").agg(F.count(F.lit(1)).alias("items"))
 
 
@@ -261,3 +267,46 @@ def score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = score(li, ["l_orderkey", "l_linenumber", "l_partkey"], ["l_quantity", "f_line", "f_flag"],
               lambda: LinearRule([100.0, 10.0, 1.0]), "regression", "linear_rule_v1")
     return s.select("l_orderkey", "l_linenumber", "l_partkey", "mode", "prediction")
+
+
+_TOP_SQL = """
+WITH e AS (SELECT event_id, event_type, CASE WHEN event_id % 17 = 0 THEN NULL WHEN event_id % 19 = 0 THEN 'NaN'::DOUBLE ELSE round(value) END AS score FROM events),
+r AS (
+  SELECT event_id, row_number() OVER (PARTITION BY event_type ORDER BY score DESC, event_id) AS r, count(*) OVER (PARTITION BY event_type) AS n
+  FROM e WHERE score IS NOT NULL AND NOT isnan(score))
+SELECT e.event_id, e.event_type, coalesce(r.r <= {wanted}, false) AS selected FROM e LEFT JOIN r ON e.event_id = r.event_id
+"""
+
+
+def _scored_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole-number scores (so that many tie), some missing, some not a number."""
+    k = F.col("event_id")
+    score = F.when(k % 17 == 0, F.lit(None).cast("double")).when(k % 19 == 0, F.lit(float("nan"))).otherwise(F.round("value"))
+    return read_table(spark, sf_dir, "events").select("event_id", "event_type", score.alias("score"))
+
+
+@query("top_share", _TOP_SQL.replace("{wanted}", "ceil(round(0.15 * n, 6))"))
+def top_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K7: the best 15 % of each event type by score, ties by id."""
+    return select_top(_scored_events(spark, sf_dir), "event_type", "score", "event_id", share=0.15).select("event_id", "event_type", "selected")
+
+
+@query("top_n", _TOP_SQL.replace("{wanted}", "100"))
+def top_n(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K7: the best 100 rows of each event type by score, ties by id."""
+    return select_top(_scored_events(spark, sf_dir), "event_type", "score", "event_id", n=100).select("event_id", "event_type", "selected")
+
+
+@query("score_latency", """
+SELECT 'linear_rule_v1' AS pipeline_id, CAST(count(*) AS BIGINT) AS n, true AS all_measured, true AS totals_agree FROM lineitem
+""")
+def score_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every output has a latency; the histogram's total is the sum over all outputs.  The
+    milliseconds differ from run to run, so only what holds for each of them is returned."""
+    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity", F.col("l_linenumber").cast("double").alias("f_line"))
+    s = score(li, ["l_orderkey"], ["l_quantity", "f_line"], lambda: LinearRule([100.0, 10.0]), "regression", "linear_rule_v1", latency=True)
+    s = s.checkpoint(eager=True)  # the times of one run, read twice
+    rows = s.groupBy("pipeline_id").agg(F.count(F.lit(1)).alias("n"), F.every(F.col("latency_ms") >= 0).alias("all_measured"), F.sum("latency_ms").alias("total"))
+    whole = latency_histogram(s, ["pipeline_id"]).groupBy("pipeline_id").agg(F.sum("n").alias("hn"), F.sum("total_ms").alias("htotal"))
+    agree = (F.col("n") == F.col("hn")) & (F.abs(F.col("total") - F.col("htotal")) <= 1e-9 * F.col("total"))
+    return rows.join(whole, "pipeline_id").select("pipeline_id", "n", "all_measured", agree.alias("totals_agree"))

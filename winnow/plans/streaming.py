@@ -8,10 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import codes
-from ..operators.dedup import exact_greedy_dedup
 from ..operators.validate import regression_verdict
 from ..session import read_table, shared_dir
-from ..streaming.incremental import run_incremental
+from ..streaming.incremental import current_selection, run_incremental
 from .registry import query
 from .selection import REGRESSION
 
@@ -20,9 +19,9 @@ from .selection import REGRESSION
 SELECT event_id, status, failure_code, score, duplicate_of FROM (@select_regression_events@)
 """)
 def incremental_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """H8: events arrive as daily files in a shared folder; the stream
-    validates each file once into the store, then the greedy dedup runs
-    over the store.  The result equals the one-shot selection."""
+    """H8: events arrive as daily files in a shared folder; the stream judges each file
+    once, dedup included, and reads only the buckets of its state that a batch
+    touches.  The result equals the one-shot selection, whatever the order of the files."""
     run = shared_dir(spark, f"incremental-{uuid.uuid4().hex[:8]}")
     inbox, store, ckpt = f"{run}/inbox", f"{run}/store", f"{run}/_stream"
     ev = read_table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value", "ts")
@@ -35,12 +34,6 @@ def incremental_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.col("value").alias("prediction"))
         return regression_verdict(b, REGRESSION).select("event_id", "user_id", "event_type", "value", "failure_code", "score")
 
-    run_incremental(spark, inbox, schema, stage, store, "verdicts", ["event_id"], ckpt, max_files_per_trigger=8)
-    judged = spark.read.parquet(f"{store}/verdicts")
-    passed = judged.filter(F.col("failure_code").isNull())
-    dd = exact_greedy_dedup(passed, ["user_id", "event_type"], [-F.col("value")], "event_id") \
-        .select("event_id", "dedup_code", "duplicate_of")
-    out = judged.join(dd, "event_id", "left")
-    code = F.coalesce("failure_code", "dedup_code")
-    return out.select("event_id", F.when(code.isNull(), F.lit(codes.ACCEPTED)).otherwise(F.lit(codes.REJECTED)).alias("status"),
-                      code.alias("failure_code"), "score", "duplicate_of")
+    keys = ["user_id", "event_type"]
+    run_incremental(spark, inbox, schema, stage, store, "event_id", keys, [-F.col("value")], ckpt, max_files_per_trigger=8, buckets=8)
+    return current_selection(spark, store, "event_id", keys).select("event_id", "status", "failure_code", "score", "duplicate_of")

@@ -61,8 +61,9 @@ def _member(doc: Column, key: str) -> Column:
     return F.to_json(F.try_variant_get(F.try_parse_json(doc), f"$.{key}", "variant"))
 
 
-def _text_member(doc: Column, key: str) -> Column:
-    return F.try_variant_get(F.try_parse_json(doc), f"$.{key}", "string")
+def _text_kind(value: Column) -> Column:
+    """A JSON text; null for every other kind, JSON null included."""
+    return F.when(F.schema_of_variant(value) == "STRING", F.try_variant_get(value, "$", "string"))
 
 
 def _instant(ts: Column) -> Column:
@@ -117,9 +118,10 @@ def llm_records(rows: DataFrame) -> DataFrame:
 
 
 def ml_records(rows: DataFrame) -> DataFrame:
-    """A10: as ``llm_records`` for an ML export scan."""
+    """A10: as ``llm_records`` for an ML export scan.  An identity is taken from the first document
+    that has its key, whatever stands there, and must then be a non-blank text."""
     c = F.col
-    pick = lambda key, *docs: F.coalesce(*[_text_member(d, key) for d in docs])
+    pick = lambda key, *docs: _text_kind(F.coalesce(*[F.try_variant_get(F.try_parse_json(d), f"$.{key}", "variant") for d in docs]))
     pipeline = pick("pipeline_id", c("parsed_output"), c("generation_metadata"), c("sample_metadata"))
     artifact = pick("artifact_identity", c("generation_metadata"), c("sample_metadata"))
     problem = (F.when(c("model_type") != "ml", F.lit("not an ml row"))
