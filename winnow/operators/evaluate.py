@@ -48,14 +48,15 @@ def evaluate_llm(df: DataFrame, s: LLMSettings, id_col: str = "generation_id", t
     """Structured JSON -> JSON Schema -> semantic dedup.
 
     ``embed`` maps the canonical text column to an embedding column (e.g. a
-    pandas UDF); it runs only on rows that passed the first two stages.
+    pandas UDF); it runs only on rows that passed the first two stages, and its result is
+    returned as ``embedding`` (null for the others), to be stored.
     ``prior_accepted``: (dataset, id, embedding) of samples already accepted."""
     gate = df.withColumn("_gate", structured_json_gate(F.col(text_col), s.max_characters, s.max_json_depth))
     g_fail = gate.filter(F.col("_gate").isNotNull()).select(
         id_col, F.lit(codes.REJECTED).alias("status"), F.col("_gate").alias("failure_code"),
         evidence(codes.CHECK_STRUCTURED_JSON, F.lit(False), F.col("_gate"),
                  F.to_json(F.struct(F.lit("structured JSON contract failed").alias("message")))).alias("evidence"),
-        F.lit(None).cast("string").alias("canonical_text"))
+        F.lit(None).cast("string").alias("canonical_text"), F.lit(None).cast("array<double>").alias("embedding"))
     ok = gate.filter(F.col("_gate").isNull()).withColumn("canonical_text", canonical_json(F.col(text_col)))
     ev1 = evidence(codes.CHECK_STRUCTURED_JSON, F.lit(True), F.lit(None),
                    F.to_json(F.struct(F.length("canonical_text").alias("canonical_characters"))))
@@ -66,7 +67,8 @@ def evaluate_llm(df: DataFrame, s: LLMSettings, id_col: str = "generation_id", t
     sc = sc.withColumn("evidence", F.concat("evidence", evidence(codes.CHECK_JSON_SCHEMA, F.col("schema_code").isNull(),
                                                                   F.col("schema_code"), details)))
     s_fail = sc.filter(F.col("schema_code").isNotNull()).select(
-        id_col, F.lit(codes.REJECTED).alias("status"), F.col("schema_code").alias("failure_code"), "evidence", "canonical_text")
+        id_col, F.lit(codes.REJECTED).alias("status"), F.col("schema_code").alias("failure_code"), "evidence", "canonical_text",
+        F.lit(None).cast("array<double>").alias("embedding"))
     passed = sc.filter(F.col("schema_code").isNull())
     if embed is not None:
         # once per surviving row: the dedup below reads the vectors several times
@@ -82,8 +84,8 @@ def evaluate_llm(df: DataFrame, s: LLMSettings, id_col: str = "generation_id", t
     d3 = F.to_json(F.struct(F.lit(s.embedding_model).alias("embedding_model_id"), F.col("nearest_id").alias("nearest_sample_id"),
                             F.col("distance").alias("cosine_distance"), F.lit(s.max_cosine_distance).alias("max_cosine_distance")))
     v = verdict.withColumn("_ev3", evidence(codes.CHECK_SEMANTIC_DEDUP, F.col("failure_code").isNull(), F.col("failure_code"), d3))
-    sem = passed.select(id_col, "evidence", "canonical_text").join(v, id_col).select(
-        id_col, "status", "failure_code", F.concat("evidence", "_ev3").alias("evidence"), "canonical_text")
+    sem = passed.select(id_col, "evidence", "canonical_text", F.col("_emb").cast("array<double>").alias("embedding")).join(v, id_col).select(
+        id_col, "status", "failure_code", F.concat("evidence", "_ev3").alias("evidence"), "canonical_text", "embedding")
     return g_fail.unionByName(s_fail).unionByName(sem)
 
 

@@ -6,5 +6,5 @@ def load_all() -> None:
     """Import every plan module so its queries register."""
     import importlib
 
-    for m in ("selection", "jsongate", "vectors", "lifecycle", "export", "records", "store_ops", "text", "reports", "streaming"):
+    for m in ("selection", "jsongate", "vectors", "lifecycle", "export", "records", "store_ops", "text", "reports", "streaming", "runs"):
         importlib.import_module(f"{__name__}.{m}")
