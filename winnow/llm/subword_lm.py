@@ -18,7 +18,7 @@ from .common import shuffled, written
 #: Rounds that fit the pieces' weights to the training words.
 ROUNDS = 2
 #: A token with at least this share of all training tokens is looked up where its text is: at most so many.
-FREQUENT = 20_000
+FREQUENT = 200_000
 #: Distinct words that a worker counts before it passes them on; bytes of words whose lattices are laid out together.
 KEEP_WORDS, BATCH_BYTES = 1 << 18, 1 << 17
 _MARK = "▁".encode()
