@@ -697,6 +697,40 @@ def test_ann_small_and_awkward(spark):
     assert nearest(df.filter("vec_id = 301"), F.lit(True)).count() == 0
 
 
+def test_ann_repeated_ids_and_lengths(spark):
+    """An id may stand for several vectors, and vectors of other lengths are searched among their own."""
+    from winnow.llm.ann import nearest
+
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (5, [0.0, 1.0]), (20, [0.0, 2.0]), (100, [1.0, 2.0, 3.0]), (101, [3.0, 2.0, 1.0]), (102, [1.0, 0.0, 0.0]), (103, [2.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in nearest(df, F.col("vec_id").isin(20, 100, 103), 20).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    assert sorted(got.pop(20)) == [(1, 0, 2.0), (2, 5, 2.0), (3, 0, 0.0)]
+    assert sorted(got.pop(100)) == [(1, 101, 10.0), (2, 102, 1.0)]
+    assert not got  # the only vector of its length has nobody to meet
+
+
+def test_ann_recall_over_shards_and_lanes(spark, monkeypatch):
+    from winnow.llm import ann
+
+    monkeypatch.setattr(ann, "QUERY_BLOCK", 50)
+    monkeypatch.setattr(ann, "LANE_BLOCKS", 2)
+    rng = np.random.default_rng(6)
+    x = np.float32(rng.normal(size=(10000, 16)))
+    x[7000:] = x[:3000] + 0.05 * np.float32(rng.normal(size=(3000, 16)))  # near copies
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>").repartition(8)
+    got = collections.defaultdict(set)
+    for r in ann.nearest(df, F.col("vec_id") % 50 == 0, 20, shard_rows=1500).collect():
+        got[r.query_id].add(r.vec_id)
+    hit, y = 0, x.astype(float)
+    for i in range(0, 10000, 50):
+        s = y @ y[i]
+        s[i] = -np.inf
+        hit += len(set(np.argsort(-s, kind="stable")[:20].tolist()) & got[i])
+    assert len(got) == 200 and hit >= 0.95 * 20 * 200
+
+
 def test_ann_recall_on_the_given_vectors(spark):
     import __spark_entry__ as e
 
@@ -724,11 +758,14 @@ def test_contract_columns(spark):
             "op7_": {"doc_id": "bigint", "size": "bigint", "source_size": "bigint", "target": "double", "taken": "bigint"},
             "op8_": {"doc_id": "bigint", "n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"},
             "op9_": {"page_id": "bigint", "url": "string", "text": "string", "n_chars": "bigint"},
-            "op10_": {"query_id": "bigint", "rank": "int", "vec_id": "bigint", "score": "double"}}
+            "op10_": {"query_id": "bigint", "rank": "int", "vec_id": "bigint", "score": "double"},
+            "op11_": {"anchor_id": "bigint", "positive_id": "bigint", "rank": "int", "negative_id": "bigint", "positive_score": "bigint", "negative_score": "bigint"},
+            "op12_": {"doc_id": "bigint", "leaf": "string", "subroot": "string", "root": "string", "proof_sha256": "string", "folded_root": "string", "verified": "boolean"},
+            "op13_": {"doc_id": "bigint", "held_out": "boolean", "n_tokens": "bigint", "n_known": "bigint", "train_tokens": "bigint", "base_score": "double", "score": "double"}}
     queries = e.queries()
     for prefix, types in want.items():
         (name,) = [q for q in queries if q.startswith(prefix)]
         df = queries[name](spark, SF)
         assert dict(df.dtypes) == types, name
         assert df.count() > 0
-    assert len([q for q in queries if q.startswith("op")]) == 10
+    assert len([q for q in queries if q.startswith("op")]) == 13
