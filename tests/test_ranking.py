@@ -108,3 +108,22 @@ def test_closure_of_chains_diamonds_and_cycles(spark):
     assert {(r.m, r.ancestor): r.depth for r in rows} == want and len(rows) == len(want)
     assert {r.m: r.length for r in cycles(got, "m").collect()} == {1000: 3, 1001: 3, 1002: 3}
     assert ancestors(spark.createDataFrame([], "m long, p long"), "m", "p").count() == 0
+
+
+def test_percentiles_match_sorting(spark):
+    import numpy as np
+    from winnow.operators.ranking import exact_percentiles
+
+    rows = [(g, s, i) for g, s, i in hot_rows() if g != "odd"] + [("one", 4.5, 1), ("two", 1.0, 1), ("two", 2.0, 2)]
+    df = spark.createDataFrame(rows, "ds string, score double, id long").repartition(8)
+    shares = {"low": 0.0, "p3": 0.03, "half": 0.5, "p90": 0.9, "top": 1.0}
+    got = {r.ds: r for r in exact_percentiles(df, "ds", "score", shares).collect()}
+    by = {}
+    for g, s, _ in rows:
+        if s is not None and not math.isnan(s):
+            by.setdefault(g, []).append(s)
+    assert set(got) == set(by)
+    for g, own in by.items():
+        for name, q in shares.items():
+            assert math.isclose(got[g][name], np.percentile(own, 100 * q), rel_tol=1e-12, abs_tol=1e-12), (g, name)
+    assert exact_percentiles(df.limit(0), "ds", "score", shares).count() == 0

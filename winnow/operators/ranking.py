@@ -66,3 +66,38 @@ def select_top(df: DataFrame, group: str, score: str, id_col: str, share: float
     edge_rows = edge_rows.join(sure, F.col(group).eqNullSafe(F.col("_sgroup")), "left")
     settled = edge_rows.select(*df.columns, (F.col("_rank") <= F.col("_want") - F.coalesce("_sure", F.lit(0))).alias("selected"))
     return met.filter("_place <> 'edge'").select(*df.columns, (F.col("_place") == "in").alias("selected")).unionByName(settled)
+
+
+def exact_percentiles(df: DataFrame, group: str, value: str, shares: dict[str, float]) -> DataFrame:
+    """(group, one column per name of ``shares``): the exact percentiles, interpolated between the two
+    values at share * (n - 1).
+
+    No group's values are gathered: the sketch's grid brackets each percentile, values below the
+    bracket are counted, and only those inside are ranked, by ranges.  Null and NaN values do not count.
+    """
+    v = F.col(value).cast("double")
+    rows = df.select(F.col(group).alias("_group"), v.alias("_v")).filter(v.isNotNull() & ~F.isnan(v))
+    grid = F.percentile_approx("_v", [i / GRID for i in range(GRID + 1)], ACCURACY)
+    stats = rows.groupBy("_group").agg(F.count(F.lit(1)).alias("_n"), grid.alias("_grid")).checkpoint(eager=True)
+    asked = F.explode(F.array(*[F.struct(F.lit(name).alias("name"), F.lit(float(q)).alias("q")) for name, q in shares.items()]))
+    wanted = stats.select("_group", "_n", "_grid", asked.alias("_a")).withColumn("_pos", F.col("_a.q") * (F.col("_n") - 1))
+    # the steps below the lower and above the upper of the two values, two more for the sketch's error
+    down, up = F.floor(F.floor("_pos") / F.col("_n") * GRID) - 2, F.ceil((F.ceil("_pos") + 1) / F.col("_n") * GRID) + 2
+    edge = lambda i: F.when((i >= 0) & (i <= GRID), F.element_at("_grid", F.least(F.greatest(i, F.lit(0)), F.lit(GRID)).cast("int") + 1))
+    wanted = wanted.select(F.col("_group").alias("_g"), F.col("_a.name").alias("_name"), "_pos", edge(down).alias("_low"), edge(up).alias("_high"))
+    wanted = wanted.checkpoint(eager=True)  # a row for each group and percentile
+    met = rows.join(wanted, F.col("_group").eqNullSafe(F.col("_g")))
+    below = met.filter(F.col("_v") < F.col("_low")).groupBy("_g", "_name").agg(F.count(F.lit(1)).alias("_below")).select(
+        F.col("_g").alias("_bg"), F.col("_name").alias("_bname"), "_below")
+    inside = met.filter((F.col("_low").isNull() | (F.col("_v") >= F.col("_low"))) & (F.col("_high").isNull() | (F.col("_v") <= F.col("_high"))))
+    # equal values cannot be told apart, so a value's rows are dealt by a number of their own
+    inside = inside.select("_g", "_name", "_pos", "_v", F.monotonically_increasing_id().alias("_tie"))
+    ranked = range_rank(inside, ["_g", "_name"], [F.col("_v"), F.col("_tie")], "_rank")
+    ranked = ranked.join(below, F.col("_g").eqNullSafe(F.col("_bg")) & (F.col("_name") == F.col("_bname")), "left")
+    place = F.col("_rank") - 1 + F.coalesce("_below", F.lit(0))
+    lower, upper = F.floor("_pos"), F.ceil("_pos")
+    ends = ranked.groupBy("_g", "_name").agg(F.max("_pos").alias("_pos"), F.max(F.when(place == lower, F.col("_v"))).alias("_lo"),
+                                             F.max(F.when(place == upper, F.col("_v"))).alias("_hi"))
+    between = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (F.col("_pos") - F.floor("_pos"))
+    picked = ends.select("_g", "_name", F.when(F.col("_lo") == F.col("_hi"), F.col("_lo")).otherwise(between).alias("_p"))
+    return picked.groupBy(F.col("_g").alias(group)).agg(*[F.max(F.when(F.col("_name") == name, F.col("_p"))).alias(name) for name in shares])

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import codes
 from ..functions.jsonops import structured_json_gate
 from ..operators.jsonschema import check_against_schema
-from ..operators.ranking import select_top
+from ..operators.ranking import exact_percentiles, select_top
 from ..operators.score import LinearRule, latency_histogram, score
 from ..session import read_table, spread
 from .registry import query
@@ -27,18 +27,32 @@ GROUP BY d.source
 def trial_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K2 per model (source): accuracy of a length rule against the quality
     label, share of valid outputs, and the length distribution standing in
-    for latency (exact percentiles)."""
+    for latency (exact percentiles without a buffer per model)."""
     lab = read_table(spark, sf_dir, "labels")
     doc = read_table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars")
     cls = select_classification(spark, sf_dir).select("doc_id", "status")
     x = lab.join(doc, "doc_id").join(cls, "doc_id")
     hit = F.when((F.col("n_chars") >= 1000) == (F.col("quality") == 1), 1.0).otherwise(0.0)
     ok = F.when(F.col("status") == codes.ACCEPTED, 1.0).otherwise(0.0)
-    return x.groupBy(F.col("source").alias("model")).agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.avg(hit), 6).alias("accuracy"),
-        F.round(F.avg(ok), 6).alias("valid_share"),
-        F.percentile(F.col("n_chars").cast("double"), F.lit(0.5)).alias("latency_p50"),
-        F.percentile(F.col("n_chars").cast("double"), F.lit(0.9)).alias("latency_p90"))
+    x = x.select(F.col("source").alias("model"), hit.alias("hit"), ok.alias("ok"), "n_chars").checkpoint(eager=True)
+    shares = x.groupBy("model").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("hit"), 6).alias("accuracy"), F.round(F.avg("ok"), 6).alias("valid_share"))
+    times = exact_percentiles(x, "model", "n_chars", {"latency_p50": 0.5, "latency_p90": 0.9}).withColumnRenamed("model", "_m")
+    return shares.join(times, F.col("model").eqNullSafe(F.col("_m")), "left").drop("_m")
+
+
+@query("json_stability", """
+SELECT e.event_type AS model, CAST(count(*) AS BIGINT) AS n, CAST(count(*) FILTER (g.failure_code IS NULL) AS BIGINT) AS stable,
+       round(avg(CASE WHEN g.failure_code IS NULL THEN 1.0 ELSE 0.0 END), 6) AS json_stability
+FROM (@structured_json_gate@) g JOIN events e ON e.event_id = g.event_id GROUP BY e.event_type
+""")
+def json_stability(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2: per model, the share of its raw outputs that the structured JSON gate lets through."""
+    from .jsongate import MAX_CHARS, MAX_DEPTH, damaged_props
+
+    outputs = damaged_props(spark, sf_dir).select("event_id", structured_json_gate(F.col("text"), MAX_CHARS, MAX_DEPTH).isNull().cast("int").alias("ok"))
+    e = read_table(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("model"))
+    return outputs.join(e, "event_id").groupBy("model").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("ok").alias("stable"), F.round(F.avg(F.col("ok").cast("double")), 6).alias("json_stability"))
 
 
 @query("compare_generations", """

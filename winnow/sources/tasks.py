@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import codes
-from ..functions.features import feature_problem
+from ..functions.features import with_feature_problem
 from ..functions.jsonops import json_kind, strict_json_valid
 from ..functions.text import non_blank, trimmed
 from ..operators.jsonschema import schema_problem
@@ -44,96 +44,93 @@ def _object_keys_problem(text: Column, allowed: Sequence[str]) -> Column:
     return F.when(F.size(extra) > 0, F.concat(F.lit("unknown keys: "), F.array_join(F.array_sort(extra), ", ")))
 
 
-def llm_line_problem(text: Column) -> Column:
-    """Row rules of an LLM task line, first failure wins (NULL = valid)."""
-    v = F.try_parse_json(text)
-    # a JSON null is as good as absent
-    has_prompt = F.coalesce(json_kind(F.try_variant_get(v, "$.prompt", "variant")) != "null", F.lit(False))
-    has_msgs = F.coalesce(json_kind(F.try_variant_get(v, "$.messages", "variant")) != "null", F.lit(False))
-    msgs = F.try_variant_get(v, "$.messages", "array<struct<role:string,content:string>>")
-    msg_keys_ok = F.forall(F.try_variant_get(v, "$.messages", "array<variant>"),
-                           lambda m: (json_kind(m) == "object")
-                           & (F.size(F.array_except(F.json_object_keys(F.to_json(m)), F.array(F.lit("role"), F.lit("content")))) == 0))
-    schema_kind = json_kind(F.try_variant_get(v, "$.expected_schema", "variant"))
-    return (
-        F.when(~non_blank(text), F.lit("blank record"))
-        .when(~strict_json_valid(text), F.lit("invalid JSON"))
-        .when(json_kind(v) != "object", F.lit("record must be an object"))
-        .when(_object_keys_problem(text, LLM_KEYS).isNotNull(), _object_keys_problem(text, LLM_KEYS))
-        .when(json_kind(F.try_variant_get(v, "$.task_id", "variant")) != "string", F.lit("task_id must be a string"))
-        .when(~non_blank(F.try_variant_get(v, "$.task_id", "string")), F.lit("task_id must not be blank"))
-        .when(has_prompt == has_msgs, F.lit("exactly one of prompt or messages is required"))
-        .when(has_prompt & ((json_kind(F.try_variant_get(v, "$.prompt", "variant")) != "string")
-                            | ~non_blank(F.try_variant_get(v, "$.prompt", "string"))), F.lit("prompt must be a non-blank string"))
-        .when(has_msgs & (msgs.isNull() | (F.size(msgs) == 0)), F.lit("messages must be a non-empty list"))
-        .when(has_msgs & ~msg_keys_ok, F.lit("messages have unknown keys"))
-        .when(has_msgs & ~F.forall(msgs, lambda m: m["role"].isin(*codes.ROLES) & non_blank(m["content"])),
-              F.lit("messages need a known role and non-blank content"))
-        .when(schema_kind != "object", F.lit("expected_schema must be an object"))
-    )
+def _bound(lines: DataFrame, allowed: Sequence[str]) -> DataFrame:
+    """Each line parsed once: the document, whether it is strict JSON, its kind, keys that may not be there, the id."""
+    x = lines.withColumns({"_doc": F.try_parse_json("text"), "_strict": strict_json_valid("text")})
+    return x.withColumns({"_kind": json_kind(F.col("_doc")), "_extra": _object_keys_problem(F.col("text"), allowed),
+                          "_id": F.try_variant_get("_doc", "$.task_id", "variant")}).withColumns(
+        {"_id_kind": json_kind(F.col("_id")), "task_id": trimmed(F.try_variant_get("_id", "$", "string"))})
+
 
+def _record_rules() -> Column:
+    """The rules that both kinds of lines share, first failure wins."""
+    return (F.when(~non_blank("text"), F.lit("blank record")).when(~F.col("_strict"), F.lit("invalid JSON"))
+            .when(F.col("_kind") != "object", F.lit("record must be an object")).when(F.col("_extra").isNotNull(), F.col("_extra")))
 
-def _finish(lines: DataFrame, problem: Column, key_path: str, mode: str) -> tuple[DataFrame, DataFrame]:
-    x = lines.withColumn("problem", problem).withColumn("task_id", trimmed(F.try_variant_get(F.try_parse_json("text"), key_path, "string")))
-    ok = x.filter(F.col("problem").isNull())
+
+def _finish(judged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(good, quarantine) of written lines with ``problem`` and ``task_id``; a repeated id is a problem of all but its first line."""
+    ok = judged.filter(F.col("problem").isNull())
     # only ids that repeat are joined back, from a checkpoint, so that a hot id can be split
     firsts = ok.groupBy("task_id").agg(F.min(F.struct("file", "line")).alias("_f"), F.count(F.lit(1)).alias("_n"))
-    ok = ok.join(firsts.filter("_n > 1").select("task_id", "_f").checkpoint(eager=True), "task_id", "left")
+    firsts = firsts.filter("_n > 1").select(F.col("task_id").alias("_repeated"), "_f").checkpoint(eager=True)
+    met = ok.join(firsts, F.col("task_id") == F.col("_repeated"), "left")
     dup = F.col("_f").isNotNull() & ((F.col("_f.file") != F.col("file")) | (F.col("_f.line") != F.col("line")))
-    x2 = ok.withColumn("problem", F.when(dup, F.concat(F.lit("duplicate task_id "), F.col("task_id")))).drop("_f").select(*x.columns)
-    bad = x.filter(F.col("problem").isNotNull()).unionByName(x2.filter(F.col("problem").isNotNull()))
-    good = x2.filter(F.col("problem").isNull()).drop("problem")
-    if mode == "failfast":
-        first = bad.orderBy("file", "line").limit(1).collect()
-        if first:
-            r = first[0]
-            raise ValueError(f"{r['file']}: line {r['line']}: {r['problem']}")
-        if lines.limit(1).count() == 0:
-            raise ValueError("task file is empty")
-    return good, bad.select("file", "line", "problem")
+    bad = judged.filter(F.col("problem").isNotNull()).select("file", "line", "problem").unionByName(
+        met.filter(dup).select("file", "line", F.concat(F.lit("duplicate task_id "), F.col("task_id")).alias("problem")))
+    return met.filter(~F.coalesce(dup, F.lit(False))).select(*[c for c in judged.columns if c != "problem"]), bad
+
+
+def _fail_fast(bad: DataFrame, judged: DataFrame) -> None:
+    first = bad.orderBy("file", "line").limit(1).collect()
+    if first:
+        raise ValueError(f"{first[0]['file']}: line {first[0]['line']}: {first[0]['problem']}")
+    if judged.isEmpty():
+        raise ValueError("task file is empty")
 
 
 def load_llm_tasks(spark: SparkSession, path: str, mode: str = "failfast") -> tuple[DataFrame, DataFrame]:
     """A1: (valid tasks, quarantine).  ``failfast`` raises naming the first
-    bad line; ``permissive`` returns both tables.  Schemas are checked in the
-    tasks that hold them, however many there are."""
-    lines = read_lines(spark, path)
-    good, bad = _finish(lines, llm_line_problem(F.col("text")), "$.task_id", "permissive")
-    v = F.try_parse_json("text")
-    good = good.select("file", "line", "task_id",
-                       F.try_variant_get(v, "$.prompt", "string").alias("prompt"),
-                       F.try_variant_get(v, "$.messages", "array<struct<role:string,content:string>>").alias("messages"),
-                       F.to_json(F.try_variant_get(v, "$.expected_schema", "variant")).alias("expected_schema"))
-    good = good.withColumn("_why", schema_problem(F.col("expected_schema")))
+    bad line; ``permissive`` returns both tables.  A line is parsed once and its
+    verdict written; schemas are checked in the tasks that hold them, however many there are."""
+    x = _bound(read_lines(spark, path), LLM_KEYS).withColumns({
+        "_prompt": F.try_variant_get("_doc", "$.prompt", "variant"), "_messages": F.try_variant_get("_doc", "$.messages", "variant"),
+        "_schema": F.try_variant_get("_doc", "$.expected_schema", "variant")})
+    x = x.withColumns({
+        # a JSON null is as good as absent
+        "_has_prompt": F.coalesce(json_kind(F.col("_prompt")) != "null", F.lit(False)),
+        "_has_messages": F.coalesce(json_kind(F.col("_messages")) != "null", F.lit(False)),
+        "prompt": F.try_variant_get("_prompt", "$", "string"),
+        "messages": F.try_variant_get("_messages", "$", "array<struct<role:string,content:string>>"),
+        "expected_schema": F.to_json("_schema"), "_schema_kind": json_kind(F.col("_schema"))})
+    message_keys_ok = F.forall(F.try_variant_get("_messages", "$", "array<variant>"),
+                               lambda m: (json_kind(m) == "object")
+                               & (F.size(F.array_except(F.json_object_keys(F.to_json(m)), F.array(F.lit("role"), F.lit("content")))) == 0))
+    problem = (
+        _record_rules()
+        .when(F.col("_id_kind") != "string", F.lit("task_id must be a string"))
+        .when(~non_blank("task_id"), F.lit("task_id must not be blank"))
+        .when(F.col("_has_prompt") == F.col("_has_messages"), F.lit("exactly one of prompt or messages is required"))
+        .when(F.col("_has_prompt") & ((json_kind(F.col("_prompt")) != "string") | ~non_blank("prompt")), F.lit("prompt must be a non-blank string"))
+        .when(F.col("_has_messages") & (F.col("messages").isNull() | (F.size("messages") == 0)), F.lit("messages must be a non-empty list"))
+        .when(F.col("_has_messages") & ~message_keys_ok, F.lit("messages have unknown keys"))
+        .when(F.col("_has_messages") & ~F.forall("messages", lambda m: m["role"].isin(*codes.ROLES) & non_blank(m["content"])),
+              F.lit("messages need a known role and non-blank content"))
+        .when(F.col("_schema_kind") != "object", F.lit("expected_schema must be an object"))
+    )
+    judged = x.withColumn("problem", problem).select("file", "line", "task_id", "prompt", "messages", "expected_schema", "problem").checkpoint(eager=True)
+    good, bad = _finish(judged)
+    good = good.withColumn("_why", schema_problem(F.col("expected_schema"))).checkpoint(eager=True)
     bad = bad.unionByName(good.filter(F.col("_why").isNotNull()).select(
         "file", "line", F.concat(F.lit("invalid expected_schema: "), F.col("_why")).alias("problem")))
-    good = good.filter(F.col("_why").isNull()).drop("_why")
     if mode == "failfast":
-        first = bad.orderBy("file", "line").limit(1).collect()
-        if first:
-            raise ValueError(f"{first[0]['file']}: line {first[0]['line']}: {first[0]['problem']}")
-        if lines.limit(1).count() == 0:
-            raise ValueError("task file is empty")
-    return good, bad
+        _fail_fast(bad, judged)
+    return good.filter(F.col("_why").isNull()).drop("_why"), bad
 
 
 def load_ml_tasks(spark: SparkSession, path: str, contract: Sequence[tuple[str, str]],
                   mode: str = "failfast") -> tuple[DataFrame, DataFrame]:
     """A2: as A1, plus the typed feature contract."""
-    from ..functions.features import typed_features
-
-    lines = read_lines(spark, path)
-    t = F.col("text")
-    v = F.try_parse_json(t)
-    feats = F.to_json(F.try_variant_get(v, "$.features", "variant"))
-    problem = (F.when(~non_blank(t), F.lit("blank record"))
-               .when(~strict_json_valid(t), F.lit("invalid JSON"))
-               .when(json_kind(v) != "object", F.lit("record must be an object"))
-               .when(_object_keys_problem(t, ML_KEYS).isNotNull(), _object_keys_problem(t, ML_KEYS))
-               .when((json_kind(F.try_variant_get(v, "$.task_id", "variant")) != "string")
-                     | ~non_blank(F.try_variant_get(v, "$.task_id", "string")), F.lit("task_id must be a non-blank string"))
-               .when(feats.isNull(), F.lit("features are required"))
-               .otherwise(feature_problem(F.get_json_object(t, "$.features"), contract)))
-    good, bad = _finish(lines, problem, "$.task_id", mode)
-    ft = F.get_json_object(F.col("text"), "$.features")
-    return good.select("file", "line", "task_id", *typed_features(ft, contract), ft.alias("features_json")), bad
+    x = _bound(read_lines(spark, path), ML_KEYS).withColumn("features_json", F.get_json_object("text", "$.features"))
+    x = with_feature_problem(x, "features_json", contract, "_features")
+    problem = (
+        _record_rules()
+        .when((F.col("_id_kind") != "string") | ~non_blank("task_id"), F.lit("task_id must be a non-blank string"))
+        .when(F.to_json(F.try_variant_get("_doc", "$.features", "variant")).isNull(), F.lit("features are required"))
+        .otherwise(F.col("_features")))
+    names = [n for n, _ in contract]
+    judged = x.withColumn("problem", problem).select("file", "line", "task_id", *names, "features_json", "problem").checkpoint(eager=True)
+    good, bad = _finish(judged)
+    if mode == "failfast":
+        _fail_fast(bad, judged)
+    return good, bad
