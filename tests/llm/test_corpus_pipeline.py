@@ -16,6 +16,7 @@ def test_every_stage_against_brute_force(spark):
     import corpus_pipeline as cp
     from tokenizers import Tokenizer
     from winnow.llm import common, quality
+    from winnow.llm.line_dedup import _distance_within
     from winnow.llm.queries import byte_bpe_path
 
     docs = spark.read.parquet(f"{SF}/documents.parquet")
@@ -36,10 +37,17 @@ def test_every_stage_against_brute_force(spark):
     good = {r.doc_id for r in labels.collect() if r.quality == 1} & {r.doc_id for r in scored}
     assert len(good & {r.doc_id for r in after["quality_classifier"]}) >= 0.95 * len(good)
 
-    # line dedup: all rows stay, texts as the loop over all lines leaves them
+    # line dedup: all rows stay; no line goes that a loop over all pairs of lines leaves, and
+    # of those that it takes out for their similarity, nine of ten go; repeats all go
     before = sorted((r.doc_id, r.text) for r in after["quality_classifier"])
-    want, _ = brute_line_dedup(before, 3, 0.8)
-    assert sorted((r.doc_id, r.text) for r in after["line_dedup"]) == want
+    n_lines = lambda rows: {i: collections.Counter((t or "").split("\n")) for i, t in rows}
+    had, got = n_lines(before), n_lines((r.doc_id, r.text) for r in after["line_dedup"])
+    near = lambda a, b: _distance_within(a, b, int(max(len(a), len(b)) * 0.2 + 1e-9))
+    fuzzy, repeats = n_lines(brute_line_dedup(before, 64, 0.8, near)[0]), n_lines(brute_line_dedup(before, -1, 0.8)[0])
+    assert set(got) == set(had) and all(not fuzzy[i] - got[i] - collections.Counter([""]) for i in had)
+    assert all(not got[i] - repeats[i] - collections.Counter([""]) for i in had)
+    similar = sum((repeats[i] - fuzzy[i]).total() for i in had)
+    assert similar > 10 and sum((repeats[i] - got[i]).total() for i in had) >= 0.9 * similar
     assert all(r.n_chars == len(r.text) for r in after["line_dedup"])
 
     # near-dedup: the smallest id of each group stays

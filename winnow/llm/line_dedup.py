@@ -6,12 +6,14 @@ from __future__ import annotations
 import math
 from array import array
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from functools import lru_cache
 from itertools import combinations
 from os.path import commonprefix
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,8 +27,12 @@ SIMILARITY = 0.8
 #: Words of lines gathered before a batch is hashed; bounds a worker's memory.
 BLOCK_WORDS = 1 << 16
 
-#: Distinct words whose hashes a worker keeps.
-KEEP_WORDS = 1 << 18
+#: Lines of at most so many words are also keyed by what is left without any two of their words ...
+FEW_WORDS = 9
+#: ... and from here on, below twice as many, by their first and last words without any one of them.
+END_WORDS = FEW_WORDS // 2 + 1
+#: Lines of at most so many characters are compared inside the join; longer ones have cheaper bounds outside.
+SHORT_LINE = 64
 
 #: ASCII signs other than the underscore become spaces.
 _SIGNS = bytes(32 if c < 128 and not (chr(c).isalnum() or chr(c) in "_\n") else c for c in range(256))
@@ -51,23 +57,7 @@ def normalise(line: str) -> str:
     return b" ".join(_normal_lines(line.replace("\n", " "))[0]).decode("utf-8", "replace")
 
 
-class _WordHashes(dict):
-    """XXH64 of words, kept for words seen before."""
-
-    def __init__(self):
-        from xxhash import xxh64_intdigest
-
-        super().__init__()
-        self.digest = xxh64_intdigest
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= KEEP_WORDS:
-            self.clear()
-        h = self[word] = self.digest(word)
-        return h
-
-
-def _simhash(h: np.ndarray, counts: list[int]) -> np.ndarray:
+def _simhash(h: np.ndarray, counts: Sequence[int]) -> np.ndarray:
     """SimHash of consecutive runs of word hashes; ``counts`` has the length of each run.
 
     The 64 counters of a run are bytes of eight integers, one for each bit of a byte, so
@@ -85,30 +75,50 @@ def _simhash(h: np.ndarray, counts: list[int]) -> np.ndarray:
     return np.packbits(set_bits, axis=2, bitorder="little").reshape(-1, 8).copy().view("<i8").ravel()
 
 
-def _end_lengths(n: int, similarity: float) -> set[int]:
+@lru_cache(maxsize=1 << 12)
+def _end_lengths(n: int, similarity: float) -> tuple[int, ...]:
     """How many units are taken at either end of a line of ``n``: the power of two between a quarter
     and a half of it, the one below unless it is short, and those of the shortest line that can be similar."""
     out = set()
     for m in {n, max(2, int(n * similarity))}:
         q = 1 << max(0, (m // 2).bit_length() - 1)
         out |= {q, q // 2} if q >= 8 else {q}
-    return out
+    return tuple(sorted(out))
+
+
+def _without(words: list[bytes], most: int) -> set[tuple[bytes, ...]]:
+    """The words without any ``most`` or fewer of them, in order."""
+    at = range(len(words))
+    return {tuple(w for i, w in enumerate(words) if i not in gone) for k in range(most + 1) for gone in combinations(at, k)}
 
 
 def _ends(words: list[bytes], similarity: float) -> list[int]:
     """Hashes of a line's first words and of its last ones, at a few lengths that similar lines have in
-    common; of a single word its characters.  Lines that differ in one place share an end."""
+    common; of a single word its characters.  Lines that differ in one place share an end.
+
+    Two edited words can spoil both ends of a short line.  Up to ``FEW_WORDS`` words, the line
+    without any two or fewer of its words is a key as well; from there to below twice
+    ``2 * END_WORDS``, each end of ``END_WORDS`` words without any one: of two edits, one end has one
+    at most.  Replaced, added and lost words all count as one edit.
+    """
     from xxhash import xxh3_64_intdigest
 
-    units, glue = (words, b" ") if len(words) > 1 else (words[0].decode("utf-8", "replace"), "")
+    n, few = len(words), len(words) > 1
+    units = words if few else words[0].decode("utf-8", "replace")
     if len(units) < 2:
         return []
     out = []
-    for q in sorted(_end_lengths(len(units), similarity)):
+    for q in _end_lengths(len(units), similarity):
         for seed, part in ((2 * q, units[:q]), (2 * q + 1, units[-q:])):
-            joined = glue.join(part)
-            joined = joined if isinstance(joined, bytes) else b"\0" + joined.encode("utf-8", "replace")
+            joined = b" ".join(part) if few else b"\0" + part.encode("utf-8", "replace")
             out.append(xxh3_64_intdigest(joined, seed) - (1 << 63))
+    more: list[tuple[int, set]] = []
+    if 4 <= n <= FEW_WORDS:
+        more.append((1 << 32, {w for w in _without(words, 2) if len(w) > 2}))
+    if FEW_WORDS <= n < 4 * END_WORDS:
+        more += [((1 << 32) + 1, _without(words[:END_WORDS], 1)), ((1 << 32) + 2, _without(words[-END_WORDS:], 1))]
+    for seed, parts in more:
+        out.extend(xxh3_64_intdigest(b" ".join(part), seed) - (1 << 63) for part in parts)
     return out
 
 
@@ -116,47 +126,49 @@ def _hash_lines(ends: float | None):
     return lambda batches: _hashed(batches, ends)
 
 
-def _hashed(batches: Iterator[pd.DataFrame], ends: float | None) -> Iterator[pd.DataFrame]:
+def _hashed(batches: Iterator[pa.RecordBatch], ends: float | None) -> Iterator[pa.RecordBatch]:
     """A row per non-blank line: where it stands, a 128-bit hash and the length of its normal
     form, the SimHash of its distinct words (a word that fills half of a line would else be
     the whole fingerprint), and the hashes of its ends for the similarity ``ends``, if given."""
-    from xxhash import xxh3_128_digest
+    from xxhash import xxh3_128_digest, xxh64_intdigest
 
-    known = _WordHashes()
-    rows: list[tuple] = []
+    ids: list[int | None] = []
+    keys, at, sizes, counts, n_ends, end_hashes, hashes = (array(c) for c in "qiiiiqQ")
     digests: list[bytes] = []
-    hashes = array("Q")
-    counts: list[int] = []
 
-    def flush() -> pd.DataFrame:
+    def flush() -> pa.RecordBatch:
         halves = np.frombuffer(b"".join(digests), dtype=">i8").astype(np.int64).reshape(-1, 2)
-        out = pd.DataFrame(rows, columns=["doc_id", "key", "line", "size", "ends"])
-        out["doc_id"] = out["doc_id"].astype("Int64")
-        out = out.astype({"line": "int32", "size": "int32"})
-        out["h1"], out["h2"], out["fp"] = halves[:, 0], halves[:, 1], _simhash(np.frombuffer(hashes, dtype=np.uint64).copy(), counts)
-        for held in (rows, digests, hashes, counts):
+        fp = _simhash(np.array(hashes, dtype=np.uint64), counts)
+        offsets = np.concatenate(([0], np.cumsum(n_ends, dtype=np.int32))).astype(np.int32)
+        columns = [pa.array(ids, pa.int64()), np.array(keys, dtype=np.int64), np.array(at, dtype=np.int32), halves[:, 0], halves[:, 1], fp,
+                   np.array(sizes, dtype=np.int32), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.array(end_hashes, dtype=np.int64)))]
+        for held in (ids, keys, at, sizes, counts, n_ends, end_hashes, hashes, digests):
             del held[:]
-        return out[["doc_id", "key", "line", "h1", "h2", "fp", "size", "ends"]]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["doc_id", "key", "line", "h1", "h2", "fp", "size", "ends"])
 
     for batch in batches:
-        for doc_id, key, text in zip(batch["doc_id"].astype("Int64").tolist(), batch["key"].tolist(), batch["text"].tolist()):
+        for doc_id, key, text in zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("doc_id", "key", "text"))):
             if not text:
                 continue
-            doc_id = None if doc_id is pd.NA else doc_id
             for i, words in enumerate(_normal_lines(text)):
                 if not words:
                     continue
                 own = b" ".join(words)
+                distinct = set(words)
+                ids.append(doc_id)
+                keys.append(key)
+                at.append(i)
                 # code points: bytes that do not continue a character
-                rows.append((doc_id, key, i, len(own) if own.isascii() else len(own.decode("utf-8", "replace")),
-                             [] if ends is None else _ends(words, ends)))
+                sizes.append(len(own) if own.isascii() else len(own.decode("utf-8", "replace")))
                 digests.append(xxh3_128_digest(own))
-                distinct = set(words)
-                hashes.extend(map(known.__getitem__, distinct))
+                hashes.extend(map(xxh64_intdigest, distinct))
                 counts.append(len(distinct))
+                found = () if ends is None else _ends(words, ends)
+                end_hashes.extend(found)
+                n_ends.append(len(found))
                 if len(hashes) >= BLOCK_WORDS:
                     yield flush()
-    if rows:
+    if ids:
         yield flush()
 
 
@@ -241,57 +253,62 @@ def _distance_within(a: str, b: str, limit: int) -> bool:
     return distance <= limit
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose lines have at least the edit similarity."""
+def _similar(similarity: float):
+    """A column function of two normal forms: do they have at least the edit similarity?"""
 
     @F.pandas_udf("boolean")
     def similar(x: pd.Series, y: pd.Series) -> pd.Series:
         # 1e-9: a product such as 0.2 * 35 may fall short of the whole number it stands for
         return pd.Series([_distance_within(s, t, int(max(len(s), len(t)) * (1 - similarity) + 1e-9)) for s, t in zip(x, y)], dtype=bool)
 
-    a, b = texts.select(F.col("h1").alias("a"), F.col("norm").alias("na")), texts.select(F.col("h1").alias("b"), F.col("norm").alias("nb"))
-    near = F.abs(F.length("na") - F.length("nb")) <= F.greatest(F.length("na"), F.length("nb")) * F.lit(1 - similarity) + F.lit(1e-9)
-    return pairs.join(a, "a").join(b, "b").filter(near).filter(similar("na", "nb")).select("a", "b")
+    return similar
 
 
-def _links_by_ends(groups: DataFrame, base: DataFrame, links: DataFrame, comp: DataFrame, similarity: float) -> DataFrame:
-    """(a, b): links between lines that share an end, whatever their fingerprints, besides ``links``
-    whose components are ``comp``; enough to join every group, not every pair of it.
+def _near_lengths(x: Column, y: Column, similarity: float) -> Column:
+    """Can lines of these lengths have the edit similarity?"""
+    return F.abs(x - y) <= F.greatest(x, y) * F.lit(1 - similarity) + F.lit(1e-9)
 
-    First each line with one line of those of its end and about its length; then, inside the
-    join condition, the pairs that this leaves in different groups.
-    """
-    keys = groups.select("h1", "size", "ends", F.explode("ends").alias("k"))
+
+def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose lines have at least the edit similarity."""
+    a, b = texts.select(F.col("h1").alias("a"), F.col("norm").alias("na")), texts.select(F.col("h1").alias("b"), F.col("norm").alias("nb"))
+    both = pairs.join(a, "a").join(b, "b").filter(_near_lengths(F.length("na"), F.length("nb"), similarity))
+    return both.filter(_similar(similarity)("na", "nb")).select("a", "b")
+
+
+def _held_ends(groups: DataFrame, similarity: float) -> DataFrame:
+    """(h1, size, k): the ends that a line shares with another one of about its length."""
+    keys = groups.select("h1", "size", F.explode("ends").alias("k"))
     other = groups.select(F.col("h1").alias("o"), F.col("size").alias("o_size"), F.explode("ends").alias("ok"))
-    lengths = lambda x, y: F.abs(x - y) <= F.greatest(x, y) * F.lit(1 - similarity) + F.lit(1e-9)
-    on = (F.col("k") == F.col("ok")) & (F.col("h1") != F.col("o")) & lengths(F.col("size"), F.col("o_size"))
-    held = written(keys.join(shuffled(other), on, "left_semi"), "line-ends")
-    places = groups.join(shuffled(held.select("h1").distinct()), "h1", "left_semi")
-    texts = written(_texts(base, places.select("doc_id", "key", "line", "h1")), "line-end-texts")
-
-    steps = F.floor(F.log(F.col("size").cast("double")) / F.lit(-math.log(similarity)))
-    by_length = held.withColumn("step", steps)
+    on = (F.col("k") == F.col("ok")) & (F.col("h1") != F.col("o")) & _near_lengths(F.col("size"), F.col("o_size"), similarity)
+    return written(keys.join(shuffled(other), on, "left_semi"), "line-ends")
+
+
+def _end_stars(held: DataFrame, similarity: float) -> DataFrame:
+    """(a, b), a < b: each line with one line of those of its end and about its length."""
+    step = F.floor(F.log(F.col("size").cast("double")) / F.lit(-math.log(similarity)))
+    by_length = held.select("k", "h1", step.alias("step"))
     heads = by_length.groupBy("k", "step").agg(F.min("h1").alias("a"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    in_comp = lambda df: df.join(comp, F.col("h1") == F.col("node"), "left").withColumn("root", F.coalesce("root", "h1")).drop("node")
-    roots = written(in_comp(held.select("h1").distinct()), "line-end-roots")
-    ra, rb = (roots.select(F.col("h1").alias(e), F.col("root").alias(f"r{e}")) for e in "ab")
-    stars = by_length.join(shuffled(heads), ["k", "step"]).filter("h1 <> a").select("a", F.col("h1").alias("b")).distinct()
-    stars = written(stars.join(ra, "a").join(rb, "b").filter("ra <> rb").select("a", "b"), "line-end-stars")
-    first = written(_verified(stars, texts, similarity), "line-end-links")
-    if not first.isEmpty():
-        comp = connected_components(links.unionByName(first))
-    roots = written(in_comp(held.select("h1").distinct()), "line-end-roots")
-    rooted = written(held.join(shuffled(roots), "h1"), "line-end-rooted")
-    split = rooted.groupBy("k").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("k")
-    sides = written(rooted.join(shuffled(split), "k").join(shuffled(texts), "h1"), "line-end-sides")
+    return by_length.join(shuffled(heads), ["k", "step"]).filter("h1 <> a").select("a", F.col("h1").alias("b"))
+
+
+def _apart_by_ends(held: DataFrame, rooted: DataFrame, groups: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """(a, b), a < b: similar lines that share an end and are in different groups of ``rooted``.
+
+    A pair counts under the first end it shares.  Short lines are compared inside the join
+    condition, longer ones as they leave the join: no candidate is written."""
+    at = held.join(shuffled(rooted), "h1")
+    split = at.groupBy("k").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("k")
+    open_ends = at.join(shuffled(split), "k", "left_semi").join(shuffled(groups.select("h1", "ends")), "h1")
+    sides = written(open_ends.join(shuffled(texts), "h1"), "line-end-sides")
     left, right = (sides.select(F.col("k").alias(f"k{e}"), F.col("h1").alias(e), F.col("size").alias(f"s{e}"), F.col("ends").alias(f"e{e}"),
                                 F.col("root").alias(f"r{e}"), F.col("norm").alias(f"n{e}")) for e in "ab")
     limit = F.floor(F.greatest("sa", "sb") * F.lit(1 - similarity) + F.lit(1e-9)).cast("int")
-    # a pair counts under the first end it shares; equal ones inside the limit give their distance, others -1
-    near = F.call_function("levenshtein", F.col("na"), F.col("nb"), limit) >= 0
-    on = ((F.col("ka") == F.col("kb")) & (F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & lengths(F.col("sa"), F.col("sb"))
-          & (F.get(F.array_intersect("ea", "eb"), F.lit(0)) == F.col("ka")) & near)
-    return first.unionByName(written(left.join(shuffled(right), on).select("a", "b"), "line-end-links"))
+    short = F.greatest("sa", "sb") <= SHORT_LINE
+    on = ((F.col("ka") == F.col("kb")) & (F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & _near_lengths(F.col("sa"), F.col("sb"), similarity)
+          & (F.get(F.array_intersect("ea", "eb"), F.lit(0)) == F.col("ka"))
+          & (~short | (F.call_function("levenshtein", F.col("na"), F.col("nb"), limit) >= 0)))
+    return left.join(shuffled(right), on).filter(_similar(similarity)("na", "nb")).select("a", "b")
 
 
 def repeated_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", max_bits: int = MAX_BITS,
@@ -301,13 +318,17 @@ def repeated_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     Lines with the same normal form are one line.  Different lines are linked if their
     SimHash fingerprints over distinct words differ in at most ``max_bits`` bits and their edit
     similarity is at least ``similarity``; linked lines form connected groups.  With
-    ``any_bits`` the similarity alone decides: lines that share their first or last words (about
-    an eighth of the line or more) are compared too, however many bits they differ in.  The first
-    occurrence of a group, by doc_id (null last), row key and line number, is not listed.
-    ``key`` tells rows with the same id apart; fully equal rows share their places.
+    ``any_bits`` the similarity alone decides: lines that share an end (``_ends``) are compared
+    too, however many bits they differ in.  The first occurrence of a group, by doc_id (null
+    last), row key and line number, is not listed.  ``key`` tells rows with the same id apart;
+    fully equal rows share their places.
+
+    Groups are what counts, not pairs.  First each line is compared with one line of its
+    fingerprint, of each near fingerprint and of each of its ends; then the lines that this
+    leaves in different groups, all of them; what these add merges groups found before.
     """
     base = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), row_key(docs).alias("key"), F.col(f"`{text}`").alias("text"))
-    lines = written(base.mapInPandas(_hash_lines(similarity if any_bits else None), _LINES), "lines")
+    lines = written(base.mapInArrow(_hash_lines(similarity if any_bits else None), _LINES), "lines")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key", "line")
     groups = lines.groupBy("h1", "h2", "fp", "size").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"), F.any_value("ends").alias("ends"))
     groups = written(groups.select("h1", "h2", "fp", "size", "first.*", "n", "ends"), "line-groups")
@@ -317,36 +338,45 @@ def repeated_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     many = classes.filter("members > 1").select("fp", "head")
 
     # the lines that any pair can have, with their texts
-    touched = written(near.select(F.col("fa").alias("fp")).union(near.select("fb")).union(many.select("fp")).distinct(), "line-touched")
-    members = written(groups.join(touched, "fp", "left_semi"), "line-members")
-    texts = written(_texts(base, members.select("doc_id", "key", "line", "h1")), "line-texts")
-
-    # Groups are what counts, not pairs: first one line of each fingerprint with the others of its
-    # fingerprint and with one line of each near fingerprint; then all lines of two fingerprints that
-    # this leaves in different groups.
-    heads = written(classes.join(touched, "fp", "left_semi").select("fp", "head"), "line-heads")
+    touched = near.select(F.col("fa").alias("fp")).union(near.select("fb")).union(many.select("fp")).distinct()
+    members = written(groups.join(shuffled(touched), "fp", "left_semi").select("fp", "h1", "doc_id", "key", "line"), "line-members")
+    held = _held_ends(groups, similarity) if any_bits else None
+    places = members.select("doc_id", "key", "line", "h1")
+    if any_bits:
+        at_ends = groups.join(shuffled(held.select("h1").distinct()), "h1", "left_semi")
+        places = places.unionByName(at_ends.select("doc_id", "key", "line", "h1")).distinct()
+    texts = written(_texts(base, places), "line-texts")
+
+    heads = classes.select("fp", "head")
     head_a, head_b = (heads.select(F.col("fp").alias(f"f{e}"), F.col("head").alias(e)) for e in "ab")
     stars = members.join(many, "fp").filter(F.col("h1") != F.col("head")).select(F.col("head").alias("a"), F.col("h1").alias("b"))
-    pairs = near.join(head_a, "fa").join(head_b, "fb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    pairs = written(stars.unionByName(pairs), "line-pairs")
-    links = written(_verified(pairs, texts, similarity), "line-links")
-    comp = connected_components(links)
-    rooted = members.select("fp", "h1").join(comp, F.col("h1") == F.col("node"), "left")
-    rooted = written(rooted.select("fp", "h1", F.coalesce("root", "h1").alias("root")), "line-rooted")
-    span = written(rooted.groupBy("fp").agg(F.min("root").alias("low"), F.max("root").alias("high")), "line-spans")
+    pairs = stars.unionByName(near.join(head_a, "fa").join(head_b, "fb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+    if any_bits:
+        pairs = pairs.unionByName(_end_stars(held, similarity))
+    pairs = written(pairs.distinct(), "line-pairs")
+    comp = connected_components(_verified(pairs, texts, similarity))
+    rooted = texts.select("h1").join(comp, F.col("h1") == F.col("node"), "left")
+    rooted = written(rooted.select("h1", F.coalesce("root", "h1").alias("root"), F.col("root").isNotNull().alias("linked")), "line-rooted")
+
+    # the rest of what can be linked: lines of one or two near fingerprints, lines of an end
+    in_fp = written(members.select("fp", "h1").join(rooted.select("h1", "root"), "h1"), "line-members-rooted")
+    span = in_fp.groupBy("fp").agg(F.min("root").alias("low"), F.max("root").alias("high"))
     span_a, span_b = (span.select(F.col("fp").alias(f"f{e}"), F.col("low").alias(f"l{e}"), F.col("high").alias(f"g{e}")) for e in "ab")
     both = near.unionByName(many.select(F.col("fp").alias("fa"), F.col("fp").alias("fb")))
     unsettled = both.join(span_a, "fa").join(span_b, "fb").filter(F.least("la", "lb") != F.greatest("ga", "gb")).select("fa", "fb")
-    side_a, side_b = (rooted.select(F.col("fp").alias(f"f{e}"), F.col("h1").alias(e), F.col("root").alias(f"r{e}")) for e in "ab")
+    side_a, side_b = (in_fp.select(F.col("fp").alias(f"f{e}"), F.col("h1").alias(e), F.col("root").alias(f"r{e}")) for e in "ab")
     apart = unsettled.join(side_a, "fa").join(side_b, "fb").filter((F.col("ra") != F.col("rb")) & ((F.col("fa") != F.col("fb")) | (F.col("a") < F.col("b"))))
     apart = apart.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).join(pairs, ["a", "b"], "left_anti")
-    more = written(_verified(apart, texts, similarity), "line-links")
-    if not more.isEmpty():
-        links = links.unionByName(more)
-        comp = connected_components(links)
+    more = _verified(apart, texts, similarity)
     if any_bits:
-        more = _links_by_ends(groups, base, links, comp, similarity)
-        comp = connected_components(links.unionByName(more))
+        more = more.unionByName(_apart_by_ends(held, rooted.select("h1", "root"), groups, texts, similarity))
+
+    # a link between two groups links their roots: the groups found stay as they are
+    ra, rb = (rooted.select(F.col("h1").alias(e), F.col("root").alias(f"r{e}")) for e in "ab")
+    merged = connected_components(written(more.join(ra, "a").join(rb, "b").select("ra", "rb"), "line-merges"), "ra", "rb")
+    merged = merged.withColumnRenamed("root", "into")
+    comp = rooted.join(merged, F.col("root") == F.col("node"), "left").filter(F.col("linked") | F.col("into").isNotNull())
+    comp = comp.select(F.col("h1").alias("node"), F.coalesce("into", "root").alias("root"))
 
     # one row per line that has more than one occurrence or a link, with the place to keep
     linked = groups.join(comp, groups["h1"] == comp["node"], "left").filter((F.col("n") > 1) | F.col("root").isNotNull())
