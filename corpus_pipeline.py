@@ -24,9 +24,9 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated lines go from the texts; ``n_chars`` follows the text; every row stays."""
+    """Repeated lines and lines similar to earlier ones go from the texts; ``n_chars`` follows the text; every row stays."""
     common.prepare(spark)
-    out = line_dedup.dedup_lines(docs)
+    out = line_dedup.dedup_lines(docs, any_bits=True)
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
