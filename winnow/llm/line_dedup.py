@@ -276,6 +276,12 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
     return both.filter(_similar(similarity)("na", "nb")).select("a", "b")
 
 
+def _free_shuffles(df: DataFrame) -> None:
+    """Executors drop the shuffle files of a finished step once the driver has collected what refers
+    to it.  The two largest steps here are done early: asked now, their files do not stay for the rest."""
+    df.sparkSession._jvm.System.gc()
+
+
 def _held_ends(groups: DataFrame, similarity: float) -> DataFrame:
     """(h1, size, k): the ends that a line shares with another one of about its length."""
     keys = groups.select("h1", "size", F.explode("ends").alias("k"))
@@ -335,17 +341,20 @@ def repeated_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     classes = groups.groupBy("fp").agg(F.min("size").alias("low"), F.max("size").alias("high"), F.min("h1").alias("head"), F.count(F.lit(1)).alias("members"))
     classes = written(classes, "line-classes")
     near = written(_near_fingerprints(classes, max_bits, similarity), "line-near")
+    _free_shuffles(near)
     many = classes.filter("members > 1").select("fp", "head")
 
     # the lines that any pair can have, with their texts
     touched = near.select(F.col("fa").alias("fp")).union(near.select("fb")).union(many.select("fp")).distinct()
     members = written(groups.join(shuffled(touched), "fp", "left_semi").select("fp", "h1", "doc_id", "key", "line"), "line-members")
     held = _held_ends(groups, similarity) if any_bits else None
+    _free_shuffles(near)
     places = members.select("doc_id", "key", "line", "h1")
     if any_bits:
         at_ends = groups.join(shuffled(held.select("h1").distinct()), "h1", "left_semi")
         places = places.unionByName(at_ends.select("doc_id", "key", "line", "h1")).distinct()
     texts = written(_texts(base, places), "line-texts")
+    _free_shuffles(near)
 
     heads = classes.select("fp", "head")
     head_a, head_b = (heads.select(F.col("fp").alias(f"f{e}"), F.col("head").alias(e)) for e in "ab")
