@@ -20,8 +20,8 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, S
 # Fixed value: the public pre-tokenisation pattern of byte-level BPE.
 BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-#: Bounds of a worker's memory: words whose ids are kept, pairs of tokens whose compatibility
-#: is kept, bytes of text whose words are put into one trie.
+#: Bounds of a worker's memory: words whose ids are kept, pairs of tokens whose compatibility is
+#: kept (and edges that fall back), bytes of text whose words are put into one trie.
 KEEP_WORDS, KEEP_PAIRS, TRIE_CHARS = 1 << 18, 1 << 18, 1 << 20
 #: A longer word is encoded but not kept.
 KEEP_WORD = 256
@@ -84,19 +84,15 @@ class TrieEncoder:
                 raise ValueError("a token that two merges make is not supported")
             self.across[x, y], self.parts[xy], self.made_at[xy] = rank, (x, y), rank
         self.never = len(pairs)
-        #: lengths, longest first, that a token may have at the end of a prefix with these last three bytes
-        ends: dict[bytes, set[int]] = defaultdict(set)
-        for t in self.ids:
-            if len(t) > 2:
-                ends[t[-3:]].add(len(t))
-        self.sizes = {k: (*sorted(v, reverse=True), 2, 1) for k, v in ends.items()}
-        self.longest, self.single = max(map(len, self.ids)), [bytes((b,)) for b in range(256)]
+        self._build_automaton()
         self.length = {i: len(t) for i, t in self.bytes_of.items()}
         self.special = special
         self.split_special = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(special, key=len, reverse=True)) + ")") if special else None
         self.rare_words, self.plain_words = regex.compile(BYTE_LEVEL_PATTERN).findall, _plain_pattern().findall
+        #: ids of words seen lately, and of those seen before them
         self.known: dict[str, tuple[int, ...]] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
+        self.pairs: dict[int, bool] = {}
         self.whole: dict[int, bool] = {}
 
     def compatible(self, left: int, right: int) -> bool:
@@ -131,56 +127,94 @@ class TrieEncoder:
             got = self.whole[token] = len(parts) == 1
         return got
 
+    def _build_automaton(self) -> None:
+        """Aho-Corasick automaton of the tokens: a state is the longest end of the bytes read that
+        begins a token.  ``step[state << 8 | byte]`` holds the trie's edges, and, as they are met,
+        those that fall back; ``ends[state]`` the tokens that end there as (id, bytes), longest first."""
+        step, token_at, shorter = {}, {}, [0]
+        for token, i in self.ids.items():
+            state = 0
+            for b in token:
+                state = step.setdefault(state << 8 | b, len(shorter))
+                if state == len(shorter):
+                    shorter.append(0)
+            token_at[state] = (i, len(token))
+        below: dict[int, list[tuple[int, int]]] = defaultdict(list)
+        for edge, state in step.items():
+            below[edge >> 8].append((edge & 255, state))
+        ends: list[tuple[tuple[int, int], ...]] = [()] * len(shorter)
+        level = [0]
+        while level:  # by length: what a state falls back to is shorter
+            after = []
+            for state in level:
+                for b, child in below.get(state, ()):
+                    back = shorter[state]
+                    while back and back << 8 | b not in step:
+                        back = shorter[back]
+                    shorter[child] = step.get(back << 8 | b, 0) if state else 0
+                    own = token_at.get(child)
+                    ends[child] = ((own, *ends[shorter[child]]) if own else ends[shorter[child]])
+                    after.append(child)
+            level = after
+        self.step, self.shorter, self.ends = step, shorter, ends
+        self.n_edges = len(step)
+
+    def _fall_back(self, state: int, byte: int) -> int:
+        """The state after a byte that no edge of ``state`` has; kept as an edge while there is room."""
+        at = state
+        while at and at << 8 | byte not in self.step:
+            at = self.shorter[at]
+        found = self.step.get(at << 8 | byte, 0)
+        if len(self.step) < self.n_edges + KEEP_PAIRS:
+            self.step[state << 8 | byte] = found
+        return found
+
     def encode_words(self, words: set[bytes]) -> dict[bytes, tuple[int, ...]]:
+        """Ids of each word.  The trie is its sorted words: in that order they are its depth-first
+        walk, and a word goes on from the node that ends the prefix it shares with the one before."""
         if len(self.pairs) > KEEP_PAIRS:
             self.pairs.clear()
-        trie: dict = {}
-        for w in words:
-            node = trie
-            for b in w:
-                node = node.setdefault(b, {})
-            node[-1] = w
         out: dict[bytes, tuple[int, ...]] = {}
-        last = [0]  # the last token of each prefix of the node's prefix
-        longest, one = self.longest, self.single
-        todo = [(bytes((b,)), 1, n) for b, n in trie.items()]  # the end of the prefix, its length, its node
-        ids, pairs, sizes, length = self.ids, self.pairs, self.sizes, self.length
-        while todo:
-            end, depth, node = todo.pop()
-            del last[depth:]
-            for size in sizes.get(end[-3:], (2, 1)):
-                token = ids.get(end[-size:]) if size <= depth else None
-                if token is None:
-                    continue
-                if size < depth:
-                    left = last[depth - size]
-                    fits = pairs.get((left, token))
-                    if fits is None:
-                        fits = self.is_whole(token) and self.compatible(left, token)
-                        pairs[left, token] = fits
-                else:
-                    fits = self.is_whole(token)
-                if fits:
-                    last.append(token)
+        ends, pairs, step, length = self.ends, self.pairs, self.step, self.length
+        last, states = [0], [0]  # of each prefix of the node's prefix: its last token, its state
+        before = b""
+        for word in sorted(words):
+            depth = 0
+            for x, y in zip(before, word):
+                if x != y:
                     break
-            for b, n in node.items():
-                if b != -1:
-                    todo.append(((end + one[b])[-longest:], depth + 1, n))
-                    continue
-                at, tokens = depth, []
-                while at:
-                    tokens.append(last[at])
-                    at -= length[last[at]]
-                out[n] = tuple(reversed(tokens))
+                depth += 1
+            del last[depth + 1:], states[depth + 1:]
+            state = states[depth]
+            for b in word[depth:]:
+                depth += 1
+                state = step[state << 8 | b] if state << 8 | b in step else self._fall_back(state, b)
+                for token, size in ends[state]:
+                    pair = last[depth - size] << 32 | token if size < depth else -1 - token
+                    fits = pairs.get(pair)
+                    if fits is None:
+                        fits = pairs[pair] = self.is_whole(token) and (pair < 0 or self.compatible(pair >> 32, token))
+                    if fits:
+                        last.append(token)
+                        break
+                states.append(state)
+            at, tokens = depth, []
+            while at:
+                tokens.append(last[at])
+                at -= length[last[at]]
+            out[word] = tuple(reversed(tokens))
+            before = word
         return out
 
     def encode_texts(self, texts: list[str]) -> Iterator[np.ndarray]:
         """Ids of each text, in order; the texts of a call share a trie."""
         cut = [self._pieces(t) for t in texts]
-        new = {w for pieces in cut for p in pieces if isinstance(p, list) for w in p if w not in self.known}
-        if len(self.known) > KEEP_WORDS:
-            self.known.clear()
-            new = {w for pieces in cut for p in pieces if isinstance(p, list) for w in p}
+        if len(self.known) > KEEP_WORDS // 2:  # words of the last calls stay, older ones go
+            self.known, self.older = {}, self.known
+        new = set(chain.from_iterable(p for pieces in cut for p in pieces if isinstance(p, list))).difference(self.known)
+        for w in new & self.older.keys():
+            self.known[w] = self.older[w]
+            new.remove(w)
         as_bytes = {w: w.encode("utf-8", "replace") for w in new}
         coded = self.encode_words(set(as_bytes.values()))
         once = {w: coded[b] for w, b in as_bytes.items() if len(b) > KEEP_WORD}
@@ -199,7 +233,9 @@ class TrieEncoder:
             yield np.array(got, dtype=np.int32)
 
     def words(self, text: str) -> list[str]:
-        return (self.rare_words if text and max(text) > "\uffff" else self.plain_words)(text)
+        # a character above U+FFFF takes two units of UTF-16
+        rare = not text.isascii() and len(text.encode("utf-16-le", "surrogatepass")) > 2 * len(text)
+        return (self.rare_words if rare else self.plain_words)(text)
 
     def _pieces(self, text: str) -> list[list[str] | int]:
         """Runs of words, and the ids of special tokens between them."""
