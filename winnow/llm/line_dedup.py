@@ -285,9 +285,10 @@ def _free_shuffles(df: DataFrame) -> None:
 def _held_ends(groups: DataFrame, similarity: float) -> DataFrame:
     """(h1, size, k): the ends that a line shares with another one of about its length."""
     keys = groups.select("h1", "size", F.explode("ends").alias("k"))
-    other = groups.select(F.col("h1").alias("o"), F.col("size").alias("o_size"), F.explode("ends").alias("ok"))
-    on = (F.col("k") == F.col("ok")) & (F.col("h1") != F.col("o")) & _near_lengths(F.col("size"), F.col("o_size"), similarity)
-    return written(keys.join(shuffled(other), on, "left_semi"), "line-ends")
+    # no column is renamed on either side: then one shuffle serves both
+    x, y = (lambda c: F.col(f"x.{c}")), (lambda c: F.col(f"y.{c}"))
+    on = (x("k") == y("k")) & (x("h1") != y("h1")) & _near_lengths(x("size"), y("size"), similarity)
+    return written(keys.alias("x").join(shuffled(keys).alias("y"), on, "left_semi"), "line-ends")
 
 
 def _end_stars(held: DataFrame, similarity: float) -> DataFrame:
