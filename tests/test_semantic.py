@@ -80,3 +80,38 @@ def test_a_row_is_not_its_own_neighbour(spark):
     refs = df.orderBy("id", ascending=False)
     got = nearest_neighbours(df, refs, [], "id", "v").collect()
     assert {r.id for r in got} == set(range(1, 20)) and all(r.nearest_id < r.id for r in got)
+
+
+@pytest.mark.parametrize("head_rows", [7, 40])
+def test_any_head_size_equals_the_queue_loop(spark, head_rows):
+    from winnow.operators.similarity import semantic_greedy_dedup
+
+    cands, prior = _data(5)
+    want = {i: s for i, (s, code, _) in queue_loop(cands, prior, 0.2).items() if code != codes.SEMANTIC_DEDUP_ERROR}
+    df = spark.createDataFrame(cands, "ds string, id long, pr int, v array<double>").repartition(3)
+    store = spark.createDataFrame(prior, "ds string, id long, v array<double>")
+    out, rounds = semantic_greedy_dedup(df, ["ds"], "id", "v", 0.2, [("pr", False)], store, 37, head_rows)
+    assert {r.id: r.status for r in out.collect() if r.status != "error"} == want and rounds > 1
+
+
+def test_many_queries_meet_few_references_once(spark):
+    """All rows against the accepted ones: each query goes to one tile of references, not to all tiles of rows."""
+    from winnow.operators.similarity import _cross
+
+    q = spark.range(4000).selectExpr("0 AS b", "id AS _id", "false AS _r")
+    r = spark.range(5).selectExpr("0 AS b", "id AS _id", "true AS _r")
+    met = _cross(q.unionByName(r), ["b"], 10)
+    assert met.filter("NOT _r").count() == 4000 and met.filter("_r").count() == 5 * met.select("_qt").distinct().count()
+
+
+def test_pairs_are_made_inside_a_head_only(spark, monkeypatch):
+    """2,000 rows within the threshold of each other: the first head has pairs, the rest is covered by its one accepted row."""
+    from winnow.operators import similarity
+
+    made = []
+    settle = similarity._settle
+    monkeypatch.setattr(similarity, "_settle", lambda pairs: made.append(pairs.count()) or settle(pairs))
+    df = spark.range(2000).selectExpr("id", "array(1.0D, id / 1e6) AS v")
+    out, rounds = similarity.semantic_greedy_dedup(df, [], "id", "v", 0.1, head_rows=100)
+    assert [r.id for r in out.filter("status = 'accepted'").collect()] == [0]
+    assert rounds == 1 and sum(made) <= 103 * 102 / 2

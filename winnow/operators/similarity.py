@@ -12,16 +12,20 @@ the threshold, in queue order.  Pairs are therefore compared exactly:
   one matrix product; it emits the best neighbour per row, or the pairs
   within the threshold;
 * queue order is compared inside each task on the full (order, id) key, so
-  no global ranking window is needed and a row never meets itself.
-
-Greedy dedup computes its near pairs once, over distinct vectors only, and
-then works on the pairs alone.  The tile size decides how the work is cut,
-never what comes out.
+  no global ranking window is needed and a row never meets itself;
+* queries and references are tiled apart, so that many queries against few
+  references (all rows against the accepted ones) cost their product only.
+
+Greedy dedup goes over distinct vectors in heads of the queue: near pairs are
+made inside a head only, and what its accepted rows cover leaves the queue at
+once.  No pair of two rejected rows of different heads is ever made.  The tile
+and head sizes decide how the work is cut, never what comes out.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -33,6 +37,10 @@ from ..functions.vectors import embedding_ok
 from ..session import ensure_checkpoint_dir
 
 DEFAULT_TILE_ROWS = 2048
+#: A tile of queries or references that are tiled apart: so many tiles' rows, at most so many rows; its products are made by strips.
+CROSS_TILES, CROSS_ROWS, STRIP_ROWS = 16, 8192, 512
+#: Rows of the queue whose pairs are made at once; doubled, to at most so many times, while there are fewer pairs per row than this.
+HEAD_ROWS, HEAD_GROWTH, FEW_PAIRS = 8192, 4, 4
 _NAN_SLOT = np.finfo(np.float64).max
 
 
@@ -96,35 +104,53 @@ def _pair_blocks(pdf: pd.DataFrame):
         yield ib, ia
 
 
+def _cross(rows: DataFrame, block: Sequence[str], tile_rows: int) -> DataFrame:
+    """Rows marked ``_r`` (reference) or not (query): every tile of queries meets every tile of
+    references of its block once, as (``_qt``, ``_rt``)."""
+    size = max(tile_rows, min(CROSS_TILES * tile_rows, CROSS_ROWS))
+    ntiles = lambda mark: F.ceil(F.count_if(mark) / F.lit(size)).cast("int")
+    sizes = rows.groupBy(*block).agg(ntiles(~F.col("_r")).alias("_nq"), ntiles(F.col("_r")).alias("_nr"))
+    # one row per block, as in _tile; a block without queries or references goes
+    sizes = sizes.filter("_nq > 0 AND _nr > 0")
+    x = rows.join(sizes, list(block)) if block else rows.crossJoin(sizes)
+    other = F.explode(F.sequence(F.lit(0), F.when(F.col("_r"), F.col("_nq")).otherwise(F.col("_nr")) - 1)).alias("_other")
+    own = F.pmod(F.xxhash64(F.col("_id").cast("string")), F.when(F.col("_r"), F.col("_nr")).otherwise(F.col("_nq"))).cast("int")
+    x = x.select("*", own.alias("_own"), other)
+    return x.withColumns({"_qt": F.when(F.col("_r"), F.col("_other")).otherwise(F.col("_own")),
+                          "_rt": F.when(F.col("_r"), F.col("_own")).otherwise(F.col("_other"))}).drop("_own", "_other", "_nq", "_nr")
+
+
+def _strips(rows: np.ndarray):
+    for at in range(0, len(rows), STRIP_ROWS):
+        yield rows[at:at + STRIP_ROWS]
+
+
 def _nearest_kernel(order_cols, ascending, earlier_only):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.reset_index(drop=True)
         rank = _local_rank(pdf, order_cols, ascending)
         unit = _unit(pdf["_vec"].tolist())
-        is_q = pdf["_q"].to_numpy(dtype=bool)
         is_r = pdf["_r"].to_numpy(dtype=bool)
         ids = pdf["_id"].to_numpy()
+        queries, refs = np.nonzero(~is_r)[0], np.nonzero(is_r)[0]
         out_q, out_r, out_d = [], [], []
-        for qi, ri in _pair_blocks(pdf):
-            qi = qi[is_q[qi]]
-            ri = ri[is_r[ri]]
-            if not len(qi) or not len(ri):
-                continue
+        # tie on distance -> lowest reference id: order refs by id first
+        ri = refs[np.argsort(ids[refs], kind="mergesort")]
+        for qi in _strips(queries):
+            if not len(ri):
+                break
             d = _distances(unit[qi], unit[ri])
+            # NaN (zero vector) sorts after every number, as in the store's ORDER BY
+            d[np.isnan(d)] = _NAN_SLOT
             mask = ids[ri][None, :] != ids[qi][:, None]
             if earlier_only:
                 mask &= rank[ri][None, :] < rank[qi][:, None]
-            d = np.where(mask, d, np.inf)
-            # NaN (zero vector) sorts after every number, as in the store's ORDER BY
-            d = np.where(np.isnan(d), _NAN_SLOT, d)
-            # tie on distance -> lowest reference id: order refs by id first
-            order = np.argsort(ids[ri], kind="mergesort")
-            d = d[:, order]
+            d[~mask] = np.inf
             j = np.argmin(d, axis=1)
             best = d[np.arange(len(qi)), j]
             keep = np.isfinite(best)
             out_q.append(ids[qi][keep])
-            out_r.append(ids[ri][order][j][keep])
+            out_r.append(ids[ri][j][keep])
             # an undefined distance stays the largest number until the tile pairs are merged:
             # as NaN it would arrive as a null and sort first
             out_d.append(best[keep])
@@ -135,25 +161,35 @@ def _nearest_kernel(order_cols, ascending, earlier_only):
     return run
 
 
-def _edge_kernel(order_cols, ascending, threshold):
-    """Pairs within the threshold, the earlier row first; of prior rows only whether there is one."""
+def _edge_kernel(threshold):
+    """Pairs within the threshold as places in the queue, the earlier row first."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.reset_index(drop=True)
-        rank = _local_rank(pdf, order_cols, ascending)
+        pos = pdf["_pos"].to_numpy()
         unit = _unit(pdf["_vec"].tolist())
-        prior = pdf["_prior"].to_numpy(dtype=bool)
-        ids = pdf["_id"].to_numpy()
-        src, dst, by_prior = [ids[:0]], [ids[:0]], [np.zeros(0, dtype=bool)]
+        src, dst = [pos[:0]], [pos[:0]]
         for qi, ri in _pair_blocks(pdf):
-            qi = qi[~prior[qi]]
             if not len(qi) or not len(ri):
                 continue
-            near = (_distances(unit[qi], unit[ri]) <= threshold) & (rank[ri][None, :] < rank[qi][:, None])
-            hit = near[:, prior[ri]].any(axis=1)
-            src.append(ids[qi][hit]), dst.append(ids[qi][hit]), by_prior.append(np.ones(hit.sum(), dtype=bool))
-            q, r = np.nonzero(near & ~prior[ri][None, :] & ~hit[:, None])
-            src.append(ids[ri][r]), dst.append(ids[qi][q]), by_prior.append(np.zeros(len(q), dtype=bool))
-        return pd.DataFrame({"_src": np.concatenate(src), "_dst": np.concatenate(dst), "_by_prior": np.concatenate(by_prior)})
+            q, r = np.nonzero((_distances(unit[qi], unit[ri]) <= threshold) & (pos[ri][None, :] < pos[qi][:, None]))
+            src.append(pos[ri][r]), dst.append(pos[qi][q])
+        return pd.DataFrame({"_src": np.concatenate(src), "_dst": np.concatenate(dst)})
+
+    return run
+
+
+def _cover_kernel(threshold):
+    """Places of the queries that have a reference within the threshold."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        unit = _unit(pdf["_vec"].tolist())
+        is_r = pdf["_r"].to_numpy(dtype=bool)
+        pos = pdf["_pos"].to_numpy()
+        queries, refs = np.nonzero(~is_r)[0], unit[is_r]
+        out = [np.zeros(0, dtype=np.int64)]
+        for qi in _strips(queries):
+            if len(refs):
+                out.append(pos[qi][(_distances(unit[qi], refs) <= threshold).any(axis=1)].astype(np.int64))
+        return pd.DataFrame({"_g": np.concatenate(out)})
 
     return run
 
@@ -179,19 +215,19 @@ def nearest_neighbours(queries: DataFrame, refs: DataFrame, block: Sequence[str]
     Returns (id, nearest_id, distance) for queries with a neighbour."""
     order_cols, asc = _order_spec(order, id_col)
     loc_cols = [f"_o_{c}" if c != id_col else "_id" for c in order_cols]
-    q = _prepare(queries, block, id_col, vec_col, order_cols, {"_q": F.lit(True), "_r": F.lit(False), "_prior": F.lit(False)})
-    r = _prepare(refs, block, id_col, vec_col, order_cols, {"_q": F.lit(False), "_r": F.lit(True), "_prior": F.lit(False)})
+    q = _prepare(queries, block, id_col, vec_col, order_cols, {"_r": F.lit(False), "_prior": F.lit(False)})
+    r = _prepare(refs, block, id_col, vec_col, order_cols, {"_r": F.lit(True), "_prior": F.lit(False)})
     rows = q.unionByName(r)
     if prior_refs is not None:
-        p = _prepare(prior_refs, block, id_col, vec_col, [id_col], {"_q": F.lit(False), "_r": F.lit(True), "_prior": F.lit(True)})
+        p = _prepare(prior_refs, block, id_col, vec_col, [id_col], {"_r": F.lit(True), "_prior": F.lit(True)})
         for c in order_cols:
             if c != id_col:
                 p = p.withColumn(f"_o_{c}", F.lit(None).cast(rows.schema[f"_o_{c}"].dataType))
         rows = rows.unionByName(p)
-    tiled = _to_pairs(_tile(rows, block, "_id", tile_rows))
+    tiled = _cross(rows, block, tile_rows)
     id_type = rows.schema["_id"].dataType.simpleString()
     schema = f"_id {id_type}, _nid {id_type}, _d double"
-    part = tiled.groupBy(*block, "_pa", "_pb").applyInPandas(_nearest_kernel(loc_cols, asc, earlier_only), schema)
+    part = tiled.groupBy(*block, "_qt", "_rt").applyInPandas(_nearest_kernel(loc_cols, asc, earlier_only), schema)
     best = part.groupBy("_id").agg(F.min_by(F.struct("_nid", "_d"), F.struct("_d", "_nid")).alias("b"))
     return best.select(F.col("_id").alias(id_col), F.col("b._nid").alias("nearest_id"),
                        F.when(F.col("b._d") == float(_NAN_SLOT), F.lit(float("nan"))).otherwise(F.col("b._d")).alias("distance"))
@@ -232,9 +268,54 @@ def _settle(edges: DataFrame) -> tuple[DataFrame, int]:
     return (edges.select(F.col("_dst").alias("_g")).limit(0) if rejected is None else rejected), rounds
 
 
+def _places(df: DataFrame, order_cols: Sequence[str], ascending: Sequence[bool]) -> DataFrame:
+    """Adds ``_pos``, a number that grows along the queue (equal keys share it; nulls come last,
+    as in ``_local_rank``): the range's number and the rank in it."""
+    n = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    queue = [F.col(c).asc_nulls_last() if a else F.col(c).desc_nulls_last() for c, a in zip(order_cols, ascending)]
+    ranged = df.repartitionByRange(n, *queue).withColumn("_pid", F.spark_partition_id())
+    rank = F.dense_rank().over(Window.partitionBy("_pid").orderBy(*queue))
+    return ranged.withColumn("_pos", F.shiftleft(F.col("_pid").cast("long"), 33) + rank).drop("_pid")
+
+
+def _covered(queries: DataFrame, refs: DataFrame, keys: Sequence[str], threshold: float, tile_rows: int) -> DataFrame:
+    """``_g``: places of the queries within the threshold of a reference of their block."""
+    cols = [*keys, "_id", "_vec", "_pos"]
+    rows = queries.select(*cols, F.lit(False).alias("_r")).unionByName(refs.select(*cols, F.lit(True).alias("_r")))
+    return _cross(rows, keys, tile_rows).groupBy(*keys, "_qt", "_rt").applyInPandas(_cover_kernel(threshold), "_g long").distinct()
+
+
+def _accept(queue: DataFrame, keys: Sequence[str], threshold: float, tile_rows: int, head_rows: int) -> tuple[DataFrame, int]:
+    """G2 on distinct vectors: (the accepted rows, number of rounds).
+
+    Each round takes a head of the queue (all blocks together), settles it by its own pairs, and removes
+    all later rows that its accepted rows cover.  The pairs of a round are bounded by the head, and all other comparisons are those of
+    a row with an accepted one before it."""
+    none = queue.limit(0)
+    kept, left, rounds, size = [], queue, 0, head_rows
+    while n := left.count():
+        rounds += 1
+        head, later = left, None
+        if n > size:
+            cut = left.agg(F.percentile_approx("_pos", size / n, 10_000)).first()[0]
+            head, later = left.filter(F.col("_pos") <= cut), left.filter(F.col("_pos") > cut)
+        tiled = _to_pairs(_tile(head, keys, "_id", tile_rows))
+        pairs = tiled.groupBy(*keys, "_pa", "_pb").applyInPandas(_edge_kernel(threshold), "_src long, _dst long").checkpoint(eager=True)
+        rejected, _ = _settle(pairs)
+        new = head.join(rejected, head["_pos"] == rejected["_g"], "left_anti").checkpoint(eager=True)
+        kept.append(new)
+        if later is None:
+            break
+        gone = _covered(later, new, keys, threshold, tile_rows)
+        left = later.join(gone, later["_pos"] == gone["_g"], "left_anti").checkpoint(eager=True)
+        if size < HEAD_GROWTH * head_rows and pairs.count() <= FEW_PAIRS * size:
+            size *= 2
+    return reduce(DataFrame.unionByName, kept, none), rounds
+
+
 def semantic_greedy_dedup(cands: DataFrame, block: Sequence[str], id_col: str, vec_col: str, threshold: float,
                           order: Sequence[tuple[str, bool]] | None = None, prior_accepted: DataFrame | None = None,
-                          tile_rows: int = DEFAULT_TILE_ROWS) -> tuple[DataFrame, int]:
+                          tile_rows: int = DEFAULT_TILE_ROWS, head_rows: int = HEAD_ROWS) -> tuple[DataFrame, int]:
     """In queue order, accept a candidate iff no accepted embedding
     (earlier candidate or prior store row) is within ``threshold`` (inclusive).
 
@@ -269,26 +350,12 @@ def semantic_greedy_dedup(cands: DataFrame, block: Sequence[str], id_col: str, v
     usable = rows.filter((F.col("_mode") == "pairs") & ~F.col("_zero"))
     hashed = usable.withColumn("_h1", F.xxhash64(vec_col)).withColumn("_h2", F.xxhash64(F.lit(1), vec_col))
     reps = _first_of(hashed, [*keys, "_h1", "_h2"], queue)
-    base = _prepare(reps, keys, id_col, vec_col, order_cols, {"_prior": F.lit(False)})
+    base = _places(_prepare(reps, keys, id_col, vec_col, order_cols, {}), loc_cols, asc).select(*keys, "_id", "_vec", "_pos").checkpoint(eager=True)
     if store is not None:
-        p = _prepare(store.filter(~_is_zero(vec_col)), keys, id_col, vec_col, [id_col], {"_prior": F.lit(True)})
-        for c in order_cols:
-            if c != id_col:
-                p = p.withColumn(f"_o_{c}", F.lit(None).cast(base.schema[f"_o_{c}"].dataType))
-        p = p.join(first.select(*keys), keys, "left_semi")
-        base = base.unionByName(p)
-    base = base.checkpoint(eager=True)
-    id_type = base.schema["_id"].dataType.simpleString()
-    tiled = _to_pairs(_tile(base, keys, "_id", tile_rows))
-    near = tiled.groupBy(*keys, "_pa", "_pb").applyInPandas(
-        _edge_kernel(loc_cols, asc, threshold), f"_src {id_type}, _dst {id_type}, _by_prior boolean").checkpoint(eager=True)
-    by_store = near.filter("_by_prior").select(F.col("_dst").alias("_g")).distinct()
-    pairs = near.filter(~F.col("_by_prior")).select("_src", "_dst")
-    pairs = pairs.join(by_store, pairs["_dst"] == by_store["_g"], "left_anti")
-    pairs = pairs.join(by_store, pairs["_src"] == by_store["_g"], "left_anti")
-    by_pair, rounds = _settle(pairs)
-    rejected = by_store.unionByName(by_pair)
-    kept = base.filter(~F.col("_prior")).select("_id").join(rejected, F.col("_id") == rejected["_g"], "left_anti")
+        p = _prepare(store.filter(~_is_zero(vec_col)), keys, id_col, vec_col, [id_col], {"_pos": F.lit(-1).cast("long")})
+        by_store = _covered(base, p.join(first.select(*keys), keys, "left_semi"), keys, threshold, tile_rows)
+        base = base.join(by_store, base["_pos"] == by_store["_g"], "left_anti").checkpoint(eager=True)
+    kept, rounds = _accept(base, keys, threshold, tile_rows, head_rows)
     kept = kept.select(F.col("_id").alias("_kept"))
     verdict = (F.when((F.col("_mode") == "first") & (F.col(id_col) == F.col("_first")), F.lit("accepted"))
                .when((F.col("_mode") != "pairs") | F.col("_zero"), F.lit("error"))
