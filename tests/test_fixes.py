@@ -200,3 +200,24 @@ def test_json_gate_and_canonical_text_against_python(spark):
         if r.code is None:
             assert json.loads(r.canonical) == json.loads(r.t)
             assert "1e-07" not in r.canonical.replace('"1e-07"', "")
+
+
+def test_provenance_chain_deals_lines_by_their_number(spark, tmp_path, monkeypatch):
+    """Repeated suppliers, orders and lines count as often as the join makes them; a task's share of lines does not grow with them."""
+    from winnow import session
+    from winnow.plans.export import provenance_chain
+
+    def table(name, schema, rows):
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+
+    table("region", "r_regionkey int, r_name string", [(0, "R"), (1, "S")])
+    table("nation", "n_nationkey int, n_name string, n_regionkey int", [(0, "N", 0), (1, "M", 1)])
+    table("customer", "c_custkey long, c_nationkey int", [(1, 0), (2, 1), (2, 1), (3, 0)])
+    table("orders", "o_orderkey long, o_custkey long", [(10, 1), (11, 1), (11, 1), (12, 2), (13, None)])
+    table("supplier", "s_suppkey long", [(5,), (6,), (6,)])
+    table("lineitem", "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long",
+          [(10, 1, 1, 5), (10, 1, 1, 5), (10, 2, None, 6), (11, 1, 1, 6), (12, 1, 1, 5), (12, 2, 1, 7), (13, 1, 1, 5), (None, 1, 1, 5)])
+    monkeypatch.setattr(session, "PARTITION_ROWS", 1)
+    assert session.partitions_for(spark.range(100)) == 100
+    out = {r.region: tuple(r)[1:] for r in provenance_chain(spark, str(tmp_path)).collect()}
+    assert out == {"R": (8, 2, 1, 3), "S": (2, 1, 1, 1)}

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import codes
 from ..sources.export import json_line
 from ..sources.store import first_per_key, new_rows
-from ..session import read_table, spread
+from ..session import partitions_for, read_table, spread
 from .registry import query
 
 
@@ -123,22 +123,28 @@ GROUP BY r_name
 """)
 def provenance_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The full chain region -> nation -> customer -> order -> line ->
-    supplier; each line reached once (composite line key)."""
+    supplier; each line reached once (composite line key).
+
+    Lines are dealt by order into as many partitions as their number asks for and counted there, with
+    each supplier's rows as a weight; only one row per order goes on to customers and regions."""
     r = read_table(spark, sf_dir, "region")
     n = read_table(spark, sf_dir, "nation")
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    li = spread(read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
-    s = read_table(spark, sf_dir, "supplier").select("s_suppkey")
+    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    s = read_table(spark, sf_dir, "supplier").groupBy("s_suppkey").agg(F.count(F.lit(1)).alias("_s"))
+    parts = partitions_for(li)
     geo = F.broadcast(n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey).select("n_nationkey", "r_name"))
-    x = (li.join(o, li.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey)
-         .join(geo, c.c_nationkey == geo.n_nationkey).join(s, li.l_suppkey == s.s_suppkey))
     # counted up level by level, so that no distinct count multiplies the lines
-    lines = x.groupBy("r_name", "c_custkey", "o_orderkey", "l_linenumber", "l_partkey", "l_suppkey").agg(F.count(F.lit(1)).alias("n"))
-    orders = lines.groupBy("r_name", "c_custkey", "o_orderkey").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("d"))
-    customers = orders.groupBy("r_name", "c_custkey").agg(F.sum("n").alias("n"), F.sum("d").alias("d"), F.count(F.lit(1)).alias("o"))
-    return customers.groupBy(F.col("r_name").alias("region")).agg(
-        F.sum("n").alias("n_lines"), F.sum("o").alias("n_orders"), F.count(F.lit(1)).alias("n_customers"), F.sum("d").alias("n_distinct_lines"))
+    lines = li.repartition(parts, "l_orderkey").groupBy("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").agg(F.count(F.lit(1)).alias("n"))
+    lines = lines.join(s, lines.l_suppkey == s.s_suppkey).select("l_orderkey", (F.col("n") * F.col("_s")).alias("n"))
+    per_order = lines.groupBy("l_orderkey").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("d"))
+    orders = o.repartition(parts, "o_orderkey").groupBy("o_orderkey", "o_custkey").agg(F.count(F.lit(1)).alias("_o"))
+    per_customer = per_order.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).groupBy("o_custkey").agg(
+        F.sum(F.col("n") * F.col("_o")).alias("n"), F.sum("d").alias("d"), F.count(F.lit(1)).alias("o"))
+    owners = c.join(geo, c.c_nationkey == geo.n_nationkey).groupBy("c_custkey", "r_name").agg(F.count(F.lit(1)).alias("_c"))
+    return per_customer.join(owners, F.col("o_custkey") == F.col("c_custkey")).groupBy(F.col("r_name").alias("region")).agg(
+        F.sum(F.col("n") * F.col("_c")).alias("n_lines"), F.sum("o").alias("n_orders"), F.count(F.lit(1)).alias("n_customers"), F.sum("d").alias("n_distinct_lines"))
 
 
 @query("left_count", """
