@@ -109,3 +109,42 @@ def test_hashed_vectors_of_texts(spark):
     assert v.shape == (7, 64) and (v[0] == v[6]).all() and (v[3] == v[4]).all()
     assert np.allclose(np.linalg.norm(v[[0, 1, 2, 5]], axis=1), 1, atol=1e-6)
     assert v[0] @ v[1] > 0.9 > 0.5 > abs(v[0] @ v[2])
+
+
+def test_due_work_is_derived_once_per_change(spark, tmp_path, monkeypatch):
+    """A resumed run asks the store what is due when it starts and after a stage has worked, not before every stage."""
+    from winnow.operators import run as run_module
+    from winnow.plans.runs import ml_branch, register_models
+
+    asked = []
+    due = run_module.due
+    monkeypatch.setattr(run_module, "due", lambda *a: asked.append(1) or due(*a))
+    root = f"{tmp_path}/store"
+    register_models(spark, root)
+    branch = ml_branch(spark, spark.createDataFrame([(1, 5.0, 2), (2, 5.0, 2), (3, 7.0, 13)], "k long, price double, size long"))
+    run_module.run_branch(spark, root, branch, stop_after="evaluate")
+    assert len(asked) == 2
+    run_id = run_module.run_branch(spark, root, branch)
+    assert len(asked) == 3
+    got = {r.source_id: r.status for r in run_module.task_statuses(spark, root, run_id).collect()}
+    assert got == {"1": "accepted", "2": "rejected", "3": "failed"}
+
+
+def test_ml_evaluation_makes_its_rows_once(spark):
+    from pyspark.sql import functions as F
+
+    from winnow.operators.evaluate import evaluate_ml
+    from winnow.operators.validate import RegressionSettings
+
+    made = spark.sparkContext.accumulator(0)
+
+    def key(i):
+        made.add(1)
+        return str(i % 2)
+
+    rows = spark.range(6).select(F.col("id").cast("string").alias("sample_id"), F.lit("d").alias("dataset_id"), F.lit("p").alias("pipeline_id"),
+                                 F.lit("regression").alias("mode"), F.col("id").cast("double").alias("prediction"),
+                                 F.lit(None).cast("array<struct<label:string,probability:double>>").alias("probabilities"),
+                                 F.udf(key, "string").asNondeterministic()("id").alias("feature"))
+    out = evaluate_ml(rows, RegressionSettings(minimum=0.0, maximum=100.0), ["feature"]).collect()
+    assert sum(r.status == "accepted" for r in out) == 2 and made.value == 6

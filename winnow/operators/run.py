@@ -202,12 +202,15 @@ def run_branch(spark: SparkSession, root: str, branch: Branch, stop_after: str |
         _transition(spark, root, run_id, "running")
     if stop_after == "import":
         return run_id
+    pending = None  # what is due changes only by a stage's work
     for stage, name, work in (("execute", "execute", lambda x: _execute(spark, root, branch, x)),
                               ("validate", "evaluate", lambda x: _evaluate(spark, root, branch, x)),
                               ("finalize", "finalize", lambda x: _finalize(spark, root, branch, run_id, x))):
-        items = due(spark, root, run_id).filter(F.col("resume_stage") == stage).checkpoint(eager=True)
+        pending = due(spark, root, run_id).checkpoint(eager=True) if pending is None else pending
+        items = pending.filter(F.col("resume_stage") == stage)
         if not items.isEmpty():
             work(items)
+            pending = None
         if stop_after == name:
             return run_id
     counters = run_counters(task_statuses(spark, root, run_id))

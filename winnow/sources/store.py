@@ -151,7 +151,8 @@ def _commit_part(spark: SparkSession, rows: DataFrame, root: str, table: str, ke
     sliced.repartition("_slice").write.partitionBy("_slice").parquet(f"{path}/_part={part}")
     back = spark.read.schema(sliced.schema).option("basePath", f"{path}/_part={part}").parquet(f"{path}/_part={part}")
     keyed = back.select("_slice", F.xxhash64(*key).alias("_h"), _key_text(key).alias("_k"))
-    index = keyed.groupBy("_slice").applyInPandas(_filter_of, "_slice int, bits long, low string, high string, held binary")
+    # a stated number of partitions is kept: the few bytes of keys would else become one task
+    index = keyed.repartition(slices, "_slice").groupBy("_slice").applyInPandas(_filter_of, "_slice int, bits long, low string, high string, held binary")
     index.write.parquet(f"{_index_path(root, table)}/_part={part}")
     n, low, high = keyed.agg(F.count(F.lit(1)), F.min("_k"), F.max("_k")).first()
     if n:
