@@ -231,6 +231,39 @@ def brute_fingerprint(t, k=4):
     return sum(1 << i for i in range(64) if ones[i] * 2 > len(sh))
 
 
+def test_lines_of_a_large_end_meet_in_tiles(spark, monkeypatch):
+    import random
+
+    from winnow.llm import line_dedup
+
+    monkeypatch.setattr(line_dedup, "FEW_LINES", 8)
+    monkeypatch.setattr(line_dedup, "TILE_LINES", (40, 40))
+    rng = random.Random(21)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    start = [word() for _ in range(8)]
+    tails = [[word() for _ in range(9)] for _ in range(3)]
+    lines = [" ".join(start + [word() if i == k % 9 else w for i, w in enumerate(tails[k % 3])]) for k in range(90)]
+    lines += [" ".join(start + [word() for _ in range(9)]) for _ in range(30)]
+    ends = [line_dedup._ends(x.encode().split(), 0.8) for x in lines]
+    groups = spark.createDataFrame([(i, len(x), e) for i, (x, e) in enumerate(zip(lines, ends))], "h1 long, size int, ends array<long>")
+    texts = spark.createDataFrame(list(enumerate(lines)), "h1 long, norm string")
+    rooted = groups.selectExpr("h1", "h1 AS root")
+    held = line_dedup._held_ends(groups, 0.8)
+    got = [tuple(r) for r in line_dedup._apart_by_ends(held, rooted, groups, texts, 0.8).collect()]
+
+    def parts(links):
+        root = list(range(len(lines)))
+        for a, b in links:
+            root = [root[a] if r == root[b] else r for r in root]
+        return sorted(sorted(i for i, r in enumerate(root) if r == x) for x in set(root))
+
+    near = [(a, b) for a, b in itertools.combinations(range(len(lines)), 2)
+            if set(ends[a]) & set(ends[b]) and line_dedup._distance_within(lines[a], lines[b], int(max(len(lines[a]), len(lines[b])) * 0.2 + 1e-9))]
+    assert all(x in set(near) for x in got) and parts(got) == parts(near) and len(parts(near)) == 33
+    # not a row for each pair: before, each of the pairs was one
+    assert len(near) > 1200 and len(set(got)) < 6 * len(lines)
+
+
 def test_fingerprint_in_blocks(monkeypatch):
     from winnow.llm import simhash
 

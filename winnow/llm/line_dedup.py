@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import math
 from array import array
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 from itertools import combinations
@@ -33,6 +33,14 @@ FEW_WORDS = 9
 END_WORDS = FEW_WORDS // 2 + 1
 #: Lines of at most so many characters are compared inside the join; longer ones have cheaper bounds outside.
 SHORT_LINE = 64
+#: Up to so many lines of an end are compared in a join, so that its pairs grow with the lines ...
+FEW_LINES = 32
+#: ... and more in tiles of about an eighth of them, within these bounds, two tiles at a time.
+TILE_LINES = (512, 2048)
+#: More lines of one group than that are met by way of one of them.
+MANY_OF_GROUP = 8
+#: Characters and pairs of characters are counted in so many classes for bounds of the edit distance.
+CHAR_CLASSES, PAIR_CLASSES = 64, 256
 
 #: ASCII signs other than the underscore become spaces.
 _SIGNS = bytes(32 if c < 128 and not (chr(c).isalnum() or chr(c) in "_\n") else c for c in range(256))
@@ -233,6 +241,13 @@ def _distance_within(a: str, b: str, limit: int) -> bool:
     ca, cb = Counter(a), Counter(b)
     if max((ca - cb).total(), (cb - ca).total()) > limit:
         return False
+    return _distance(a, b, limit) <= limit
+
+
+def _distance(a: str, b: str, limit: int) -> int:
+    """The edit distance, or ``limit`` + 1 once it is known to be larger than ``limit``."""
+    if not a:
+        return len(b)
     # a column of the distance table as two bit vectors: where it rises and where it falls
     where: dict[str, int] = {}
     for i, c in enumerate(a):
@@ -246,11 +261,11 @@ def _distance_within(a: str, b: str, limit: int) -> bool:
         falls = up & same_diagonal
         distance += bool(rises & last) - bool(falls & last)
         if distance - (len(b) - at - 1) > limit:
-            return False
+            return limit + 1
         rises, falls = rises << 1 | 1, falls << 1
         up = (falls | ~(same_diagonal | rises)) & full
         down = rises & same_diagonal & full
-    return distance <= limit
+    return distance
 
 
 def _similar(similarity: float):
@@ -299,23 +314,99 @@ def _end_stars(held: DataFrame, similarity: float) -> DataFrame:
     return by_length.join(shuffled(heads), ["k", "step"]).filter("h1 <> a").select("a", F.col("h1").alias("b"))
 
 
+def _counted(codes: list[np.ndarray], classes: int) -> np.ndarray:
+    """How often each of ``classes`` stands in each list of codes."""
+    at = np.repeat(np.arange(len(codes)), [len(c) for c in codes]) * classes + np.concatenate([*codes, np.zeros(0, np.int64)])
+    return np.bincount(at, minlength=len(codes) * classes).reshape(len(codes), classes).astype(np.int32)
+
+
+def _linked_in_tiles(similarity: float):
+    """A function of two tiles of the lines of one end: the similar pairs of lines with different
+    roots, without those whose roots the pairs before already link.
+
+    One edit changes the counts of characters by two at most and those of pairs of characters by four.
+    Of a group with many lines left, one is the centre: a line whose distance to it is above another's
+    by more than the limit is too far from that other.  What these bounds leave gets the exact
+    distance.  A pair counts under the first end it shares.
+    """
+
+    def linked(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["tile", "size", "h1"])
+        h1, root, tile, key = rows["h1"].tolist(), rows["root"].tolist(), rows["tile"].to_numpy(), int(rows["k"].iloc[0])
+        norm, ends = rows["norm"].tolist(), [set(e) for e in rows["ends"]]
+        first = [{e: i for i, e in reversed([*enumerate(x)])} for x in rows["ends"]]
+        size = np.array([len(t) for t in norm])
+        codes = [np.frombuffer(t.encode("utf-32-le", "replace"), dtype="<u4").astype(np.int64) for t in norm]
+        chars = _counted([c % CHAR_CLASSES for c in codes], CHAR_CLASSES)
+        pairs = _counted([(c[:-1] * 31 + c[1:]) % PAIR_CLASSES for c in codes], PAIR_CLASSES)
+        groups = {r: i for i, r in enumerate(dict.fromkeys(root))}
+        own = [groups[r] for r in root]
+        of = np.array(own)  # joined groups have one number
+        one_tile, out = tile[0] == tile[-1], []
+        centres: dict[int, int] = {}
+        to_centre: dict[int, int] = {}
+
+        def not_far(i: int, left: list[tuple[int, int]]) -> list[tuple[int, int]]:
+            if len(left) <= MANY_OF_GROUP:
+                return left
+            c = centres.setdefault(own[left[0][0]], left[0][0])
+            whole = _distance(norm[i], norm[c], 1 << 31)
+            for j, _ in left:
+                if j not in to_centre:
+                    to_centre[j] = _distance(norm[j], norm[c], 1 << 31)
+            return [(j, most) for j, most in left if abs(whole - to_centre[j]) <= most]
+
+        for i in range(len(h1)):
+            at = np.arange(i + 1, len(h1)) if one_tile else np.flatnonzero(tile > tile[i])
+            limit = (np.maximum(size[at], size[i]) * (1 - similarity) + 1e-9).astype(np.int64)
+            gap = np.abs(size[at] - size[i])
+            near = (gap <= limit) & (of[at] != of[i])
+            at, limit, gap = at[near], limit[near], gap[near]
+            near = np.abs(chars[at] - chars[i]).sum(axis=1) + gap <= 2 * limit
+            at, limit = at[near], limit[near]
+            near = np.abs(pairs[at] - pairs[i]).sum(axis=1) <= 4 * limit
+            left = defaultdict(list)
+            for j, most in zip(at[near].tolist(), limit[near].tolist()):
+                left[own[j]].append((j, most))
+            for j, most in (x for group in left.values() if of[group[0][0]] != of[i] for x in not_far(i, group)):
+                a, b = (i, j) if h1[i] < h1[j] else (j, i)
+                shared = ends[a] & ends[b]
+                if of[i] == of[j] or min(shared, key=first[a].__getitem__) != key or not _distance_within(norm[a], norm[b], most):
+                    continue
+                out.append((h1[a], h1[b]))
+                of[of == of[j]] = of[i]
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return linked
+
+
 def _apart_by_ends(held: DataFrame, rooted: DataFrame, groups: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """(a, b), a < b: similar lines that share an end and are in different groups of ``rooted``.
+    """(a, b), a < b: pairs of similar lines that share an end, enough to link all groups of ``rooted`` that any
+    such pair links.
 
-    A pair counts under the first end it shares.  Short lines are compared inside the join
-    condition, longer ones as they leave the join: no candidate is written."""
+    A pair counts under the first end it shares.  Ends of a few lines are joined: short lines are
+    compared inside the join condition, longer ones as they leave the join, and no candidate is written.
+    The lines of any other end are dealt into tiles that meet two at a time, so that a task's share is
+    bounded, no pair is a row and no line is left out."""
     at = held.join(shuffled(rooted), "h1")
-    split = at.groupBy("k").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("k")
-    open_ends = at.join(shuffled(split), "k", "left_semi").join(shuffled(groups.select("h1", "ends")), "h1")
+    split = at.groupBy("k").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("lines")).filter("low <> high")
+    open_ends = at.join(shuffled(split.select("k", "lines")), "k").join(shuffled(groups.select("h1", "ends")), "h1")
     sides = written(open_ends.join(shuffled(texts), "h1"), "line-end-sides")
-    left, right = (sides.select(F.col("k").alias(f"k{e}"), F.col("h1").alias(e), F.col("size").alias(f"s{e}"), F.col("ends").alias(f"e{e}"),
-                                F.col("root").alias(f"r{e}"), F.col("norm").alias(f"n{e}")) for e in "ab")
+    few = sides.filter(F.col("lines") <= FEW_LINES)
+    left, right = (few.select(F.col("k").alias(f"k{e}"), F.col("h1").alias(e), F.col("size").alias(f"s{e}"), F.col("ends").alias(f"e{e}"),
+                              F.col("root").alias(f"r{e}"), F.col("norm").alias(f"n{e}")) for e in "ab")
     limit = F.floor(F.greatest("sa", "sb") * F.lit(1 - similarity) + F.lit(1e-9)).cast("int")
     short = F.greatest("sa", "sb") <= SHORT_LINE
     on = ((F.col("ka") == F.col("kb")) & (F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & _near_lengths(F.col("sa"), F.col("sb"), similarity)
           & (F.get(F.array_intersect("ea", "eb"), F.lit(0)) == F.col("ka"))
           & (~short | (F.call_function("levenshtein", F.col("na"), F.col("nb"), limit) >= 0)))
-    return left.join(shuffled(right), on).filter(_similar(similarity)("na", "nb")).select("a", "b")
+    by_pairs = left.join(shuffled(right), on).filter(_similar(similarity)("na", "nb")).select("a", "b")
+
+    tiles = F.ceil(F.col("lines") / F.least(F.greatest(F.col("lines") / 8, F.lit(TILE_LINES[0])), F.lit(TILE_LINES[1]))).cast("int")
+    many = sides.filter(F.col("lines") > FEW_LINES).withColumn("tile", F.pmod(F.xxhash64("h1"), tiles).cast("int"))
+    met = many.select("k", "h1", "size", "root", "ends", "norm", "tile", F.explode(F.sequence(F.lit(0), tiles - 1)).alias("other"))
+    met = met.groupBy("k", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"))
+    return by_pairs.unionByName(met.applyInPandas(_linked_in_tiles(similarity), "a long, b long"))
 
 
 def repeated_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", max_bits: int = MAX_BITS,
