@@ -476,6 +476,13 @@ def test_registered_sample_count_is_close_to_generalised_jaccard(spark):
 
 # ---------------------------------------------------------------- 6 licences
 
+def test_known_licences_start_no_python_in_executors(spark):
+    from winnow.llm import licenses
+
+    plan = licenses.known_digests(spark)._jdf.queryExecution().executedPlan().toString()
+    assert "LocalTableScan" in plan and "ExistingRDD" not in plan
+
+
 def test_license_scan_of_texts_and_lines(spark):
     from winnow.llm import licenses
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -131,7 +132,9 @@ def tidy(text: Column) -> Column:
 
 def known_digests(spark: SparkSession, known: list[tuple[str, str]] = KNOWN) -> DataFrame:
     """(license_id, digest) of the known licences: as many rows as the list has, a fixed size."""
-    df = spark.createDataFrame(known, "license_id string, text string")
+    # an Arrow table becomes a local relation: a list of rows would start Python workers in the executors
+    ids, texts = (pa.array([x[i] for x in known], pa.string()) for i in (0, 1))
+    df = spark.createDataFrame(pa.table({"license_id": ids, "text": texts}))
     whole = tidy(F.replace(canonical(F.col("text")), F.lit("\n"), F.lit(" ")))
     # an exchange-free aggregate over a local list; a digest under two ids keeps the first
     return df.select("license_id", F.sha2(whole, 256).alias("digest")).groupBy("digest").agg(
