@@ -264,6 +264,19 @@ def test_lines_of_a_large_end_meet_in_tiles(spark, monkeypatch):
     assert len(near) > 1200 and len(set(got)) < 6 * len(lines)
 
 
+def test_tables_of_line_dedup_go_when_its_lines_are_known(spark):
+    from winnow.llm.line_dedup import dedup_lines
+    from winnow.session import shared_dir
+
+    folder = shared_dir(spark, "winnow-llm").removeprefix("file:")
+    there = lambda: set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    before = there()
+    data = [(1, "one two three four five\nsix seven eight nine ten"), (2, "one two three four fives\nsix seven eight nine ten"), (3, None)]
+    out = dedup_lines(spark.createDataFrame(data, "doc_id long, text string"), any_bits=True)
+    assert {x.rpartition("-")[0] for x in there() - before} == {"lines-gone"}
+    assert {r.doc_id: r.text for r in out.collect()} == {1: data[0][1], 2: "", 3: None}
+
+
 def test_fingerprint_in_blocks(monkeypatch):
     from winnow.llm import simhash
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import row_key, same, shuffled, written
+from .common import row_key, same, scratch, shuffled, written
 from .components import connected_components
 
 #: Fingerprints of lines link at this many differing bits or fewer ...
@@ -197,16 +197,16 @@ def _near_fingerprints(classes: DataFrame, max_bits: int, similarity: float) ->
     keys = F.array(*[F.shiftleft(F.lit(k).cast("long"), 40).bitwiseOR(x) for k, x in enumerate(_blocks(F.col("fp"), max_bits))])
     sizes = F.shiftleft(F.col("low").cast("long"), 32).bitwiseOR(F.col("high").cast("long"))
     dealt = classes.select("fp", sizes.alias("sizes"), F.explode(keys).alias("block"))
-    left = dealt.select(F.col("fp").alias("fa"), F.col("sizes").alias("sa"), F.col("block").alias("ba"))
-    right = dealt.select(F.col("fp").alias("fb"), F.col("sizes").alias("sb"), F.col("block").alias("bb"))
-    shared = [a == b for a, b in zip(_blocks(F.col("fa"), max_bits), _blocks(F.col("fb"), max_bits))]
+    # no column is renamed on either side: then one shuffle serves both
+    x, y = (lambda c: F.col(f"x.{c}")), (lambda c: F.col(f"y.{c}"))
+    shared = [a == b for a, b in zip(_blocks(x("fp"), max_bits), _blocks(y("fp"), max_bits))]
     first = F.coalesce(*[F.when(c, F.lit(k).cast("long")) for k, c in enumerate(shared)])
     low, high = (lambda c: F.shiftright(c, 32)), (lambda c: c.bitwiseAND(F.lit((1 << 32) - 1)))
     # half a character of slack: the exact check comes with the texts
-    lengths = (high(F.col("sa")) + 0.5 >= low(F.col("sb")) * F.lit(similarity)) & (high(F.col("sb")) + 0.5 >= low(F.col("sa")) * F.lit(similarity))
-    on = ((F.col("ba") == F.col("bb")) & (F.col("fa") < F.col("fb")) & (F.bit_count(F.col("fa").bitwiseXOR(F.col("fb"))) <= max_bits)
-          & lengths & (first == F.shiftright(F.col("ba"), 40)))
-    return left.join(right, on).select("fa", "fb")
+    lengths = (high(x("sizes")) + 0.5 >= low(y("sizes")) * F.lit(similarity)) & (high(y("sizes")) + 0.5 >= low(x("sizes")) * F.lit(similarity))
+    on = ((x("block") == y("block")) & (x("fp") < y("fp")) & (F.bit_count(x("fp").bitwiseXOR(y("fp"))) <= max_bits)
+          & lengths & (first == F.shiftright(x("block"), 40)))
+    return dealt.alias("x").join(shuffled(dealt).alias("y"), on).select(x("fp").alias("fa"), y("fp").alias("fb"))
 
 
 def _texts(docs: DataFrame, places: DataFrame) -> DataFrame:
@@ -426,10 +426,12 @@ def repeated_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     leaves in different groups, all of them; what these add merges groups found before.
     """
     base = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), row_key(docs).alias("key"), F.col(f"`{text}`").alias("text"))
-    lines = written(base.mapInArrow(_hash_lines(similarity if any_bits else None), _LINES), "lines")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key", "line")
-    groups = lines.groupBy("h1", "h2", "fp", "size").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"), F.any_value("ends").alias("ends"))
-    groups = written(groups.select("h1", "h2", "fp", "size", "first.*", "n", "ends"), "line-groups")
+    with scratch():  # the ends of a line are kept once a group, not once an occurrence
+        hashed = written(base.mapInArrow(_hash_lines(similarity if any_bits else None), _LINES), "lines")
+        groups = hashed.groupBy("h1", "h2", "fp", "size").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"), F.any_value("ends").alias("ends"))
+        groups = written(groups.select("h1", "h2", "fp", "size", "first.*", "n", "ends"), "line-groups", lasting=True)
+        lines = written(hashed.select("doc_id", "key", "line", "h1", "h2"), "line-places", lasting=True)
     classes = groups.groupBy("fp").agg(F.min("size").alias("low"), F.max("size").alias("high"), F.min("h1").alias("head"), F.count(F.lit(1)).alias("members"))
     classes = written(classes, "line-classes")
     near = written(_near_fingerprints(classes, max_bits, similarity), "line-near")
@@ -487,7 +489,7 @@ def repeated_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
         linked.filter(F.col("root").isNull()).select("h1", "h2", place.alias("keep")))
     kept = written(kept.select(F.col("h1").alias("k1"), F.col("h2").alias("k2"), F.col("keep.doc_id").alias("k_doc"),
                                F.col("keep.key").alias("k_key"), F.col("keep.line").alias("k_line")), "line-keep")
-    j = lines.drop("ends").join(shuffled(kept), (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2")))
+    j = lines.join(shuffled(kept), (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2")))
     first = same([F.col("doc_id"), F.col("key"), F.col("line")], [F.col("k_doc"), F.col("k_key"), F.col("k_line")])
     return j.filter(~first).select("doc_id", "key", "line").distinct()
 
@@ -500,9 +502,11 @@ def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **o
     one blank line.  A text whose lines all repeat earlier ones becomes empty.  Lines taken
     out are gathered per document only, and no list is longer than the document.
     """
-    places = repeated_lines(docs, text=text, doc_id=doc_id, **options)
-    gone = places.groupBy(F.col("doc_id").alias("__id"), F.col("key").alias("__key")).agg(F.collect_list("line").alias("__gone"))
-    gone = written(gone, "lines-gone")
+    with scratch():
+        places = repeated_lines(docs, text=text, doc_id=doc_id, **options)
+        gone = places.groupBy(F.col("doc_id").alias("__id"), F.col("key").alias("__key")).agg(F.collect_list("line").alias("__gone"))
+        gone = written(gone, "lines-gone", lasting=True)
+    _free_shuffles(gone)
 
     @F.pandas_udf("text string, lines long, removed long")
     def cut(texts: pd.Series, removed: pd.Series) -> pd.DataFrame:
