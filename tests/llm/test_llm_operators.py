@@ -440,6 +440,17 @@ def test_fingerprints_edits_and_neighbours_match_brute_force(spark):
     assert cws.fingerprint_edits(fx.empty(spark)).count() == 0
 
 
+def test_fingerprinting_edits_writes_the_texts_to_one_shuffle(spark):
+    from winnow.llm import cws
+
+    data = [(i, f"aa bb {i}", None, None, None, *([1] * 13)) for i in range(30)]
+    out = cws.fingerprint_edits(fx.docs(spark, data), samples=2)
+    assert len(out.collect()) == 30
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    written = [line for line in plan.splitlines() if "REPARTITION_BY_NUM" in line and "Reused" not in line]
+    assert len(written) == 1 and any("ReusedExchange" in line and "REPARTITION_BY_NUM" in line for line in plan.splitlines())
+
+
 def test_last_document_meets_the_first_and_one_meets_itself(spark):
     from winnow.llm import cws
 
