@@ -14,7 +14,7 @@ from os.path import commonprefix
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import row_key, same, scratch, shuffled, written
@@ -24,8 +24,13 @@ from .components import connected_components
 MAX_BITS = 3
 #: ... if the edit similarity, 1 - distance / longer length, is at least this.
 SIMILARITY = 0.8
-#: Words of lines gathered before a batch is hashed; bounds a worker's memory.
-BLOCK_WORDS = 1 << 16
+#: Bytes of texts gathered before their lines are hashed; bounds a worker's memory.
+BLOCK_BYTES = 1 << 21
+#: The hash of an end is a polynomial of its words' hashes at this odd number, modulo 2 ** 64; its inverse ...
+STEP = np.uint64(0x9E3779B97F4A7C15)
+UNSTEP = np.uint64(pow(int(STEP), -1, 1 << 64))
+#: ... and the number that keeps ends of different lengths and sides apart.
+KIND = np.uint64(0xC2B2AE3D27D4EB4F)
 
 #: Lines of at most so many words are also keyed by what is left without any two of their words ...
 FEW_WORDS = 9
@@ -47,22 +52,23 @@ _SIGNS = bytes(32 if c < 128 and not (chr(c).isalnum() or chr(c) in "_\n") else
 _LINES = "doc_id long, key long, line int, h1 long, h2 long, fp long, size int, ends array<long>"
 
 
-def _normal_lines(text: str) -> list[list[bytes]]:
-    """The words of each line: lower case, split at ASCII signs and white space; of a line of
-    signs only its non-blank characters, as one word; a blank line has none."""
-    out = [line.split() for line in text.lower().encode("utf-8", "replace").translate(_SIGNS).split(b"\n")]
-    if not all(out):
-        raw = text.split("\n")
-        for i, words in enumerate(out):
-            if not words:
-                signs = "".join(raw[i].split()).encode("utf-8", "replace")
-                out[i] = [signs] if signs else []
-    return out
+def _spaced_lines(text: str) -> bytes:
+    """The lines of a text as words with spaces between, before and after them: lower case, ASCII signs and
+    white space are spaces; of a line of signs only its non-blank characters, as one word."""
+    out = text.lower().encode("utf-8", "replace").translate(_SIGNS)
+    lines = out.split(b"\n")
+    bare = [i for i, line in enumerate(lines) if not line or line.isspace()]
+    if not bare:
+        return out
+    raw = text.split("\n")
+    for i in bare:
+        lines[i] = "".join(raw[i].split()).encode("utf-8", "replace")
+    return b"\n".join(lines)
 
 
 def normalise(line: str) -> str:
     """The normal form of one line: its words joined by one space."""
-    return b" ".join(_normal_lines(line.replace("\n", " "))[0]).decode("utf-8", "replace")
+    return b" ".join(_spaced_lines(line.replace("\n", " ")).split()).decode("utf-8", "replace")
 
 
 def _simhash(h: np.ndarray, counts: Sequence[int]) -> np.ndarray:
@@ -71,13 +77,14 @@ def _simhash(h: np.ndarray, counts: Sequence[int]) -> np.ndarray:
     The 64 counters of a run are bytes of eight integers, one for each bit of a byte, so
     that a word costs eight additions; runs are summed in pieces of at most 255 words.
     """
-    lanes = (h[:, None] >> np.arange(8, dtype=np.uint64)) & np.uint64(0x0101010101010101)
+    lanes = h >> np.arange(8, dtype=np.uint64)[:, None]
+    lanes &= np.uint64(0x0101010101010101)
     n = np.asarray(counts)
     pieces = -(-n // 255)
     first = np.concatenate(([0], np.cumsum(pieces)[:-1]))
     within = np.arange(pieces.sum()) - np.repeat(first, pieces)
     starts = np.repeat(np.cumsum(n) - n, pieces) + within * 255
-    part = np.add.reduceat(lanes, starts, axis=0).astype("<u8").view(np.uint8).reshape(-1, 8, 8)
+    part = np.ascontiguousarray(np.add.reduceat(lanes, starts, axis=1).T).astype("<u8").view(np.uint8).reshape(-1, 8, 8)
     ones = np.add.reduceat(part, first, axis=0, dtype=np.int32)  # run, bit of a byte, byte
     set_bits = (ones * 2 > n[:, None, None]).transpose(0, 2, 1)
     return np.packbits(set_bits, axis=2, bitorder="little").reshape(-1, 8).copy().view("<i8").ravel()
@@ -94,40 +101,80 @@ def _end_lengths(n: int, similarity: float) -> tuple[int, ...]:
     return tuple(sorted(out))
 
 
-def _without(words: list[bytes], most: int) -> set[tuple[bytes, ...]]:
-    """The words without any ``most`` or fewer of them, in order."""
-    at = range(len(words))
-    return {tuple(w for i, w in enumerate(words) if i not in gone) for k in range(most + 1) for gone in combinations(at, k)}
+def _char_ends(word: bytes, similarity: float) -> list[int]:
+    """Hashes of the first and the last characters of a line of one word."""
+    from xxhash import xxh3_64_intdigest
+
+    chars = word.decode("utf-8", "replace")
+    if len(chars) < 2:
+        return []
+    return [xxh3_64_intdigest(b"\0" + part.encode("utf-8", "replace"), seed)
+            for q in _end_lengths(len(chars), similarity) for seed, part in ((2 * q, chars[:q]), (2 * q + 1, chars[-q:]))]
 
 
 def _ends(words: list[bytes], similarity: float) -> list[int]:
-    """Hashes of a line's first words and of its last ones, at a few lengths that similar lines have in
-    common; of a single word its characters.  Lines that differ in one place share an end.
+    """The ends of one line, see ``_all_ends``."""
+    from xxhash import xxh64_intdigest
+
+    h = np.array([xxh64_intdigest(w) for w in words], dtype=np.uint64)
+    return _all_ends(h, np.zeros(1, np.int64), np.array([len(words)]), [b" ".join(words)], similarity)[0].tolist()
+
+
+def _all_ends(h: np.ndarray, starts: np.ndarray, n: np.ndarray, own: list[bytes], similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, how many a line): of a line's first words and of its last ones, at a few lengths that similar
+    lines have in common; of a single word its characters.  Lines that differ in one place share an end.
+    ``h`` has the hashes of all words, ``starts`` and ``n`` where those of a line begin and how many there are.
 
     Two edited words can spoil both ends of a short line.  Up to ``FEW_WORDS`` words, the line
     without any two or fewer of its words is a key as well; from there to below twice
     ``2 * END_WORDS``, each end of ``END_WORDS`` words without any one: of two edits, one end has one
     at most.  Replaced, added and lost words all count as one edit.
-    """
-    from xxhash import xxh3_64_intdigest
 
-    n, few = len(words), len(words) > 1
-    units = words if few else words[0].decode("utf-8", "replace")
-    if len(units) < 2:
-        return []
-    out = []
-    for q in _end_lengths(len(units), similarity):
-        for seed, part in ((2 * q, units[:q]), (2 * q + 1, units[-q:])):
-            joined = b" ".join(part) if few else b"\0" + part.encode("utf-8", "replace")
-            out.append(xxh3_64_intdigest(joined, seed) - (1 << 63))
-    more: list[tuple[int, set]] = []
-    if 4 <= n <= FEW_WORDS:
-        more.append((1 << 32, {w for w in _without(words, 2) if len(w) > 2}))
-    if FEW_WORDS <= n < 4 * END_WORDS:
-        more += [((1 << 32) + 1, _without(words[:END_WORDS], 1)), ((1 << 32) + 2, _without(words[-END_WORDS:], 1))]
-    for seed, parts in more:
-        out.extend(xxh3_64_intdigest(b" ".join(part), seed) - (1 << 63) for part in parts)
-    return out
+    Words hash to the sum of (hash of the word) * STEP ** (place), so that a running sum has those of all ends.
+    """
+    at = np.arange(len(h)) - np.repeat(starts, n)
+    power = np.concatenate((np.ones(1, np.uint64), np.multiply.accumulate(np.full(max(int(n.max()), FEW_WORDS), STEP, np.uint64))))
+    up, down = (np.concatenate((np.zeros(1, np.uint64), np.cumsum(h * power[x]))) for x in (at, np.repeat(n, n) - 1 - at))
+    stops = starts + n
+    found: list[tuple[np.ndarray, np.ndarray]] = []  # (which lines, their hashes), in the order of a line's ends
+
+    def of_kind(hashes: np.ndarray, kind: np.ndarray | int) -> np.ndarray:
+        return hashes ^ np.atleast_1d(kind).astype(np.uint64) * KIND
+
+    sizes, of = np.unique(n, return_inverse=True)
+    lengths = [_end_lengths(k, similarity) if k > 1 else () for k in sizes.tolist()]
+    for slot in range(max(map(len, lengths))):
+        q = np.array([x[slot] if slot < len(x) else 0 for x in lengths])[of]
+        lines = np.flatnonzero(q)
+        q = q[lines]
+        found.append((lines, of_kind(up[starts[lines] + q] - up[starts[lines]], 2 * q)))
+        found.append((lines, of_kind(down[stops[lines]] - down[stops[lines] - q], 2 * q + 1)))
+
+    single = np.flatnonzero(n == 1)
+    listed = [_char_ends(own[i], similarity) for i in single.tolist()]
+    found.append((np.repeat(single, np.array([len(x) for x in listed], dtype=np.int64)), np.array([e for x in listed for e in x], dtype=np.uint64)))
+
+    for k in range(4, FEW_WORDS + 1):
+        lines = np.flatnonzero(n == k)
+        words = h[starts[lines][:, None] + np.arange(k)]
+        left = [list(x) for size in range(max(k - 2, 3), k + 1) for x in combinations(range(k), size)]
+        hashes = [of_kind((words[:, x] * power[:len(x)]).sum(axis=1), (1 << 33) + len(x)) for x in left]
+        hashes = np.sort(np.stack(hashes, axis=1), axis=1)
+        row, column = np.nonzero(np.concatenate((np.ones((len(lines), 1), bool), hashes[:, 1:] != hashes[:, :-1]), axis=1))
+        found.append((lines[row], hashes[row, column]))
+
+    lines = np.flatnonzero((n >= FEW_WORDS) & (n < 4 * END_WORDS))
+    for side, running, first, sign in ((0, up, starts[lines], 1), (1, down, stops[lines], -1)):
+        # the hash of the first or last k words, for k from 0 to END_WORDS
+        part = [(running[first + sign * k] - running[first]) * np.uint64(1 if sign > 0 else (1 << 64) - 1) for k in range(END_WORDS + 1)]
+        without = [part[END_WORDS], *(part[k] + (part[END_WORDS] - part[k + 1]) * UNSTEP for k in range(END_WORDS))]
+        for k, hashes in enumerate(without):
+            new = np.all([hashes != x for x in without[:k]], axis=0) if k else np.ones(len(lines), bool)
+            # five words and four of them must not meet
+            found.append((lines[new], of_kind(hashes[new], (1 << 32) + 2 * side + (k > 0))))
+
+    which, hashes = (np.concatenate(x) for x in zip(*found))
+    return hashes[np.argsort(which, kind="stable")].view(np.int64), np.bincount(which, minlength=len(n))
 
 
 def _hash_lines(ends: float | None):
@@ -138,46 +185,97 @@ def _hashed(batches: Iterator[pa.RecordBatch], ends: float | None) -> Iterator[p
     """A row per non-blank line: where it stands, a 128-bit hash and the length of its normal
     form, the SimHash of its distinct words (a word that fills half of a line would else be
     the whole fingerprint), and the hashes of its ends for the similarity ``ends``, if given."""
-    from xxhash import xxh3_128_digest, xxh64_intdigest
-
     ids: list[int | None] = []
-    keys, at, sizes, counts, n_ends, end_hashes, hashes = (array(c) for c in "qiiiiqQ")
-    digests: list[bytes] = []
-
-    def flush() -> pa.RecordBatch:
-        halves = np.frombuffer(b"".join(digests), dtype=">i8").astype(np.int64).reshape(-1, 2)
-        fp = _simhash(np.array(hashes, dtype=np.uint64), counts)
-        offsets = np.concatenate(([0], np.cumsum(n_ends, dtype=np.int32))).astype(np.int32)
-        columns = [pa.array(ids, pa.int64()), np.array(keys, dtype=np.int64), np.array(at, dtype=np.int32), halves[:, 0], halves[:, 1], fp,
-                   np.array(sizes, dtype=np.int32), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.array(end_hashes, dtype=np.int64)))]
-        for held in (ids, keys, at, sizes, counts, n_ends, end_hashes, hashes, digests):
-            del held[:]
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["doc_id", "key", "line", "h1", "h2", "fp", "size", "ends"])
+    keys, skipped, lines = array("q"), array("q"), array("q")
+    texts: list[bytes] = []
+    held = 0
+
+    def flush() -> pa.RecordBatch | None:
+        out = _hashed_block(ids, keys, skipped, lines, b"\n".join(texts), ends)
+        for x in (ids, keys, skipped, lines, texts):
+            del x[:]
+        return out
 
     for batch in batches:
         for doc_id, key, text in zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("doc_id", "key", "text"))):
             if not text:
                 continue
-            for i, words in enumerate(_normal_lines(text)):
-                if not words:
-                    continue
-                own = b" ".join(words)
-                distinct = set(words)
+            for skip, own in _pieces(_spaced_lines(text)):
                 ids.append(doc_id)
                 keys.append(key)
-                at.append(i)
-                # code points: bytes that do not continue a character
-                sizes.append(len(own) if own.isascii() else len(own.decode("utf-8", "replace")))
-                digests.append(xxh3_128_digest(own))
-                hashes.extend(map(xxh64_intdigest, distinct))
-                counts.append(len(distinct))
-                found = () if ends is None else _ends(words, ends)
-                end_hashes.extend(found)
-                n_ends.append(len(found))
-                if len(hashes) >= BLOCK_WORDS:
-                    yield flush()
-    if ids:
-        yield flush()
+                skipped.append(skip)
+                lines.append(own.count(b"\n") + 1)
+                texts.append(own)
+                held += len(own)
+                if held >= BLOCK_BYTES:
+                    held = 0
+                    if (out := flush()) is not None:
+                        yield out
+    if texts and (out := flush()) is not None:
+        yield out
+
+
+def _pieces(text: bytes) -> Iterator[tuple[int, bytes]]:
+    """(lines before it, piece) of a text cut at ends of lines into pieces of about ``BLOCK_BYTES``."""
+    at = skip = 0
+    while len(text) - at > BLOCK_BYTES and (end := text.find(b"\n", at + BLOCK_BYTES)) >= 0:
+        yield skip, text[at:end]
+        skip += text.count(b"\n", at, end + 1)
+        at = end + 1
+    yield skip, text[at:]
+
+
+def _hashed_block(ids: list[int | None], keys: array, skipped: array, lines: array, joined: bytes, ends: float | None) -> pa.RecordBatch | None:
+    """The rows of ``_hashed`` of some pieces of documents, whose lines of words are ``joined``; of each one,
+    ``skipped`` has how many lines of the document stand before it and ``lines`` how many are in it."""
+    from xxhash import xxh3_128_digest, xxh64_intdigest
+
+    raw = np.frombuffer(joined + b"\n", dtype=np.uint8)
+    is_break = raw == 10
+    blank = is_break | (raw == 32)
+    after_blank = np.concatenate(([True], blank[:-1]))
+    first = np.flatnonzero(after_blank & ~blank)  # of each word
+    if not len(first):
+        return None
+    # how many words stand before the end of each line
+    before = np.searchsorted(first, np.flatnonzero(is_break))
+    n = np.diff(before, prepend=0)
+    number = np.arange(len(n)) - np.repeat(np.cumsum(lines) - lines - skipped, lines)
+    document = np.repeat(np.arange(len(lines)), lines)
+    full = np.flatnonzero(n)
+    n, number, document = n[full], number[full], document[full]
+    starts = np.cumsum(n) - n
+
+    # every word with one space after it, one after the other
+    tidy = raw[~(blank & after_blank)]
+    space = (tidy == 32) | (tidy == 10)
+    tidy[space] = 32
+    offsets = np.concatenate(([0], np.flatnonzero(space) + 1))
+    begin, end = offsets[starts], offsets[starts + n] - 1
+    size = end - begin
+    if not joined.isascii():  # code points: bytes that do not continue a character
+        points = np.concatenate(([0], np.cumsum((tidy & 0xC0) != 0x80)))
+        size = points[end] - points[begin]
+    whole = tidy.tobytes()
+    own = [whole[x:y] for x, y in zip(begin.tolist(), end.tolist())]
+    halves = np.frombuffer(b"".join(map(xxh3_128_digest, own)), dtype=">i8").astype(np.int64).reshape(-1, 2)
+
+    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(whole)])
+    words = words.dictionary_encode()
+    at = words.indices.to_numpy()
+    known, vocabulary = len(words.dictionary), words.dictionary.buffers()
+    cuts = np.frombuffer(vocabulary[1], dtype=np.int64, count=known + 1).tolist()
+    letters = vocabulary[2].to_pybytes()
+    h = np.fromiter((xxh64_intdigest(letters[x:y - 1]) for x, y in zip(cuts, cuts[1:])), dtype=np.uint64, count=known)
+    of_line = np.sort(np.repeat(np.arange(len(n)) * known, n) + at)
+    distinct = of_line[np.concatenate(([True], of_line[1:] != of_line[:-1]))]
+    line = distinct // known
+    fp = _simhash(h[distinct - line * known], np.bincount(line, minlength=len(n)))
+    end_hashes, n_ends = (np.zeros(0, np.int64), np.zeros(len(n), np.int64)) if ends is None else _all_ends(h[at], starts, n, own, ends)
+    columns = [pa.array(ids, pa.int64()).take(pa.array(document)), np.array(keys, dtype=np.int64)[document], number.astype(np.int32), halves[:, 0], halves[:, 1],
+               fp, size.astype(np.int32),
+               pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(n_ends))).astype(np.int32)), pa.array(end_hashes))]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["doc_id", "key", "line", "h1", "h2", "fp", "size", "ends"])
 
 
 def _blocks(fp: Column, max_bits: int) -> list[Column]:
@@ -197,6 +295,9 @@ def _near_fingerprints(classes: DataFrame, max_bits: int, similarity: float) ->
     keys = F.array(*[F.shiftleft(F.lit(k).cast("long"), 40).bitwiseOR(x) for k, x in enumerate(_blocks(F.col("fp"), max_bits))])
     sizes = F.shiftleft(F.col("low").cast("long"), 32).bitwiseOR(F.col("high").cast("long"))
     dealt = classes.select("fp", sizes.alias("sizes"), F.explode(keys).alias("block"))
+    # most blocks have one fingerprint: only the others are joined
+    met = dealt.withColumn("met", F.count(F.lit(1)).over(Window.partitionBy("block"))).filter("met > 1")
+    dealt = written(met.select("fp", "sizes", "block"), "line-blocks")
     # no column is renamed on either side: then one shuffle serves both
     x, y = (lambda c: F.col(f"x.{c}")), (lambda c: F.col(f"y.{c}"))
     shared = [a == b for a, b in zip(_blocks(x("fp"), max_bits), _blocks(y("fp"), max_bits))]
@@ -238,14 +339,18 @@ def _distance_within(a: str, b: str, limit: int) -> bool:
     wa, wb = a.split(" "), b.split(" ")
     if len(wa) == len(wb) and sum(max(len(x), len(y)) for x, y in zip(wa, wb) if x != y) <= limit:
         return True
+    # no edit of a word costs more than the longest one and its space
+    longest = 1 + max(map(len, wa + wb))
+    if abs(len(wa) - len(wb)) * longest <= limit and _distance(wa, wb, limit // longest) * longest <= limit:
+        return True
     ca, cb = Counter(a), Counter(b)
     if max((ca - cb).total(), (cb - ca).total()) > limit:
         return False
     return _distance(a, b, limit) <= limit
 
 
-def _distance(a: str, b: str, limit: int) -> int:
-    """The edit distance, or ``limit`` + 1 once it is known to be larger than ``limit``."""
+def _distance(a: Sequence[str], b: Sequence[str], limit: int) -> int:
+    """The edit distance of two texts or lists of words, or ``limit`` + 1 once it is known to be larger than ``limit``."""
     if not a:
         return len(b)
     # a column of the distance table as two bit vectors: where it rises and where it falls
@@ -300,10 +405,12 @@ def _free_shuffles(df: DataFrame) -> None:
 def _held_ends(groups: DataFrame, similarity: float) -> DataFrame:
     """(h1, size, k): the ends that a line shares with another one of about its length."""
     keys = groups.select("h1", "size", F.explode("ends").alias("k"))
-    # no column is renamed on either side: then one shuffle serves both
-    x, y = (lambda c: F.col(f"x.{c}")), (lambda c: F.col(f"y.{c}"))
-    on = (x("k") == y("k")) & (x("h1") != y("h1")) & _near_lengths(x("size"), y("size"), similarity)
-    return written(keys.alias("x").join(shuffled(keys).alias("y"), on, "left_semi"), "line-ends")
+    # most ends have one line; in order of length, if any other line is near enough, the one before or after is
+    met = keys.withColumn("lines", F.count(F.lit(1)).over(Window.partitionBy("k"))).filter("lines > 1")
+    along = Window.partitionBy("k").orderBy("size")
+    met = met.select("h1", "size", "k", F.lag("size").over(along).alias("shorter"), F.lead("size").over(along).alias("longer"))
+    near = [F.coalesce(_near_lengths(F.col("size"), F.col(c), similarity), F.lit(False)) for c in ("shorter", "longer")]
+    return written(met.filter(near[0] | near[1]).select("h1", "size", "k"), "line-ends")
 
 
 def _end_stars(held: DataFrame, similarity: float) -> DataFrame:
@@ -508,19 +615,20 @@ def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **o
         gone = written(gone, "lines-gone", lasting=True)
     _free_shuffles(gone)
 
-    @F.pandas_udf("text string, lines long, removed long")
-    def cut(texts: pd.Series, removed: pd.Series) -> pd.DataFrame:
+    @F.pandas_udf("string")
+    def cut(texts: pd.Series, removed: pd.Series) -> pd.Series:
         out = []
         for t, r in zip(texts, removed):
-            if t is None:
-                out.append((None, 0, 0))
-                continue
-            lines, drop = t.split("\n"), frozenset(r) if r is not None else frozenset()
-            out.append(("\n".join(x for i, x in enumerate(lines) if i not in drop) if drop else t, len(lines), len(drop)))
-        return pd.DataFrame(out, columns=["text", "lines", "removed"])
+            drop = frozenset(r) if t is not None else ()
+            out.append("\n".join(x for i, x in enumerate(t.split("\n")) if i not in drop) if drop else t)
+        return pd.Series(out, dtype=object)
 
     keyed = docs.withColumn("__row", row_key(docs))
     j = keyed.join(shuffled(gone), same([F.col(f"`{doc_id}`").cast("long"), F.col("__row")], [F.col("__id"), F.col("__key")]), "left")
-    j = j.withColumn("__cut", cut(F.col(f"`{text}`"), F.col("__gone")))
-    cols = [F.col("__cut.text").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns]
-    return j.select(*cols, F.col("__cut.lines").alias("__lines"), F.col("__cut.removed").alias("__removed"))
+    # only texts that lose lines go through Python
+    t, loses = F.col(f"`{text}`"), F.col("__gone").isNotNull()
+    n = F.coalesce(F.octet_length(t) - F.octet_length(F.replace(t, F.lit("\n"), F.lit(""))) + 1, F.lit(0))
+    j = j.withColumn("__cut", cut(F.when(loses, t), F.col("__gone")))
+    cols = [F.when(loses, F.col("__cut")).otherwise(t).alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns]
+    removed = F.when(t.isNotNull() & loses, F.size("__gone")).otherwise(F.lit(0))
+    return j.select(*cols, n.cast("long").alias("__lines"), removed.cast("long").alias("__removed"))
