@@ -26,6 +26,8 @@ def words(t):
 # ---------------------------------------------------------------- 1 sharding
 
 def xx(value, seed):
+    import random
+
     import xxhash
 
     return xxhash.xxh64_intdigest(value, seed=seed)
@@ -264,6 +266,38 @@ def test_lines_of_a_large_end_meet_in_tiles(spark, monkeypatch):
     assert len(near) > 1200 and len(set(got)) < 6 * len(lines)
 
 
+def test_blocks_of_lines_hash_as_single_lines_do(monkeypatch):
+    import random
+
+    import pyarrow as pa
+    import xxhash
+    from winnow.llm import line_dedup
+
+    rng = random.Random(4)
+    pieces = ["a", "Bb", "\u0130x", "d-e", "??", "  ", "\t", "\xdf_", "\xa0", "\x1c", "\u65e5\u672c", "\r", "x" * 31, "y" * 32, "z" * 70, "abcd1234", "abc"]
+    texts = ["".join(rng.choice(pieces) + rng.choice(["\n", "", *[" "] * 6]) for _ in range(rng.randrange(90))) for _ in range(150)]
+    texts += ["", None, "\n\n", "!!! ?\n\n ..", "one"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "key", "text"])
+    want = []
+    for i, t in enumerate(texts):
+        for at, line in enumerate((t or "").split("\n")):
+            if norm := line_dedup.normalise(line):
+                want.append((i, at, norm))
+    whole = []
+    for size in (1 << 21, 40):  # 40: texts are cut into pieces
+        monkeypatch.setattr(line_dedup, "BLOCK_BYTES", size)
+        got = [r for b in line_dedup._hashed(iter([batch]), 0.8) for r in b.to_pylist()]
+        assert [(r["doc_id"], r["line"]) for r in got] == [(i, at) for i, at, _ in want]
+        for r, (_, _, norm) in zip(got, want):
+            words = norm.encode().split()
+            digest = xxhash.xxh3_128_digest(norm.encode())
+            assert (r["h1"], r["h2"], r["size"]) == (*(int.from_bytes(digest[x:x + 8], "big", signed=True) for x in (0, 8)), len(norm))
+            assert r["fp"] & (1 << 64) - 1 == line_simhash(norm) & (1 << 64) - 1
+            assert len(set(r["ends"])) == len(r["ends"]) and r["ends"] == line_dedup._ends(words, 0.8)
+        whole.append(got)
+    assert whole[0] == whole[1] and len(want) > 500
+
+
 def test_tables_of_line_dedup_go_when_its_lines_are_known(spark):
     from winnow.llm.line_dedup import dedup_lines
     from winnow.session import shared_dir

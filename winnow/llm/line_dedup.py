@@ -44,6 +44,8 @@ FEW_LINES = 32
 TILE_LINES = (512, 2048)
 #: More lines of one group than that are met by way of one of them.
 MANY_OF_GROUP = 8
+#: Columns of a table of distances between two looks at all cells of one.
+LOOK_AT = 32
 #: Characters and pairs of characters are counted in so many classes for bounds of the edit distance.
 CHAR_CLASSES, PAIR_CLASSES = 64, 256
 
@@ -71,6 +73,36 @@ def normalise(line: str) -> str:
     return b" ".join(_spaced_lines(line.replace("\n", " ")).split()).decode("utf-8", "replace")
 
 
+def _xxh64(data: bytes, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """XXH64 (seed 0) of many words of ``data``: those of each length below 32 bytes at once, as the hash has one form for them."""
+    from xxhash import xxh64_intdigest
+
+    p1, p2, p3, p4, p5 = (np.uint64(x) for x in (11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579, 2870177450012600261))
+    turned = lambda x, bits: (x << np.uint64(bits)) | (x >> np.uint64(64 - bits))
+    padded = data + bytes(8)
+    eights, fours, ones = (np.ndarray((len(data),), kind, padded, strides=(1,)) for kind in ("<u8", "<u4", "u1"))  # from each byte on
+    out = np.empty(len(starts), dtype=np.uint64)
+    for size in np.unique(sizes).tolist():
+        which = np.flatnonzero(sizes == size)
+        at = starts[which]
+        if size >= 32:
+            out[which] = [xxh64_intdigest(data[x:x + size]) for x in at.tolist()]
+            continue
+        h = np.full(len(at), (int(p5) + size) % (1 << 64), dtype=np.uint64)
+        for k in range(0, size - 7, 8):
+            h = turned(h ^ turned(eights[at + k] * p2, 31) * p1, 27) * p1 + p4
+        k = size - size % 8
+        if size % 8 >= 4:
+            h = turned(h ^ fours[at + k].astype(np.uint64) * p1, 23) * p2 + p3
+            k += 4
+        for k in range(k, size):
+            h = turned(h ^ ones[at + k].astype(np.uint64) * p5, 11) * p1
+        h = (h ^ h >> np.uint64(33)) * p2
+        h = (h ^ h >> np.uint64(29)) * p3
+        out[which] = h ^ h >> np.uint64(32)
+    return out
+
+
 def _simhash(h: np.ndarray, counts: Sequence[int]) -> np.ndarray:
     """SimHash of consecutive runs of word hashes; ``counts`` has the length of each run.
 
@@ -228,7 +260,7 @@ def _pieces(text: bytes) -> Iterator[tuple[int, bytes]]:
 def _hashed_block(ids: list[int | None], keys: array, skipped: array, lines: array, joined: bytes, ends: float | None) -> pa.RecordBatch | None:
     """The rows of ``_hashed`` of some pieces of documents, whose lines of words are ``joined``; of each one,
     ``skipped`` has how many lines of the document stand before it and ``lines`` how many are in it."""
-    from xxhash import xxh3_128_digest, xxh64_intdigest
+    from xxhash import xxh3_128_digest
 
     raw = np.frombuffer(joined + b"\n", dtype=np.uint8)
     is_break = raw == 10
@@ -264,9 +296,8 @@ def _hashed_block(ids: list[int | None], keys: array, skipped: array, lines: arr
     words = words.dictionary_encode()
     at = words.indices.to_numpy()
     known, vocabulary = len(words.dictionary), words.dictionary.buffers()
-    cuts = np.frombuffer(vocabulary[1], dtype=np.int64, count=known + 1).tolist()
-    letters = vocabulary[2].to_pybytes()
-    h = np.fromiter((xxh64_intdigest(letters[x:y - 1]) for x, y in zip(cuts, cuts[1:])), dtype=np.uint64, count=known)
+    cuts = np.frombuffer(vocabulary[1], dtype=np.int64, count=known + 1)
+    h = _xxh64(vocabulary[2].to_pybytes(), cuts[:-1], np.diff(cuts) - 1)
     of_line = np.sort(np.repeat(np.arange(len(n)) * known, n) + at)
     distinct = of_line[np.concatenate(([True], of_line[1:] != of_line[:-1]))]
     line = distinct // known
@@ -325,23 +356,28 @@ def _texts(docs: DataFrame, places: DataFrame) -> DataFrame:
     return raw.select("h1", norm("raw").alias("norm"))
 
 
+def _unlike(a: str, b: str) -> tuple[str, str]:
+    """Two texts without what they have in common at either end, which adds nothing to their distance."""
+    p = len(commonprefix((a, b)))
+    a, b = a[p:], b[p:]
+    s = len(commonprefix((a[::-1], b[::-1])))
+    return a[:len(a) - s], b[:len(b) - s]
+
+
 def _distance_within(a: str, b: str, limit: int) -> bool:
     """Is the edit distance (Levenshtein, code points) at most ``limit``?  Exact: bounds settle
     most pairs, the others go through a bit-parallel computation (Myers, Hyyro)."""
     if abs(len(a) - len(b)) > limit:
         return False
-    p = len(commonprefix((a, b)))
-    a, b = a[p:], b[p:]
-    s = len(commonprefix((a[::-1], b[::-1])))
-    a, b = a[:len(a) - s], b[:len(b) - s]
+    a, b = _unlike(a, b)
     if max(len(a), len(b)) <= limit:
         return True
     wa, wb = a.split(" "), b.split(" ")
     if len(wa) == len(wb) and sum(max(len(x), len(y)) for x, y in zip(wa, wb) if x != y) <= limit:
         return True
     # no edit of a word costs more than the longest one and its space
-    longest = 1 + max(map(len, wa + wb))
-    if abs(len(wa) - len(wb)) * longest <= limit and _distance(wa, wb, limit // longest) * longest <= limit:
+    few = limit // (1 + max(map(len, wa + wb)))
+    if abs(len(wa) - len(wb)) <= few and len(set(wa).difference(wb)) <= few and _distance(wa, wb, few) <= few:
         return True
     ca, cb = Counter(a), Counter(b)
     if max((ca - cb).total(), (cb - ca).total()) > limit:
@@ -358,6 +394,8 @@ def _distance(a: Sequence[str], b: Sequence[str], limit: int) -> int:
     for i, c in enumerate(a):
         where[c] = where.get(c, 0) | 1 << i
     full, last = (1 << len(a)) - 1, 1 << len(a) - 1
+    # unlike texts are past the limit in every cell of a column soon after so many of them
+    look = limit + limit // 2 if len(a) > LOOK_AT else len(b)
     up, down, distance = full, 0, len(a)
     for at, c in enumerate(b):
         match = where.get(c, 0)
@@ -370,9 +408,20 @@ def _distance(a: Sequence[str], b: Sequence[str], limit: int) -> int:
         rises, falls = rises << 1 | 1, falls << 1
         up = (falls | ~(same_diagonal | rises)) & full
         down = rises & same_diagonal & full
+        if at == look:
+            if _least_distance(up, down, len(a), at + 1, len(b)) > limit:
+                return limit + 1
+            look += LOOK_AT
     return distance
 
 
+def _least_distance(up: int, down: int, size: int, done: int, whole: int) -> int:
+    """A lower bound of the distance from column ``done`` of its table: the least cell with what its lengths left differ by."""
+    bits = lambda x: np.unpackbits(np.frombuffer(x.to_bytes(-(-size // 8), "little"), np.uint8), count=size, bitorder="little").astype(np.int64)
+    column = np.concatenate(([done], done + np.cumsum(bits(up) - bits(down))))
+    return int((column + np.abs(np.arange(size, -1, -1) - (whole - done))).min())
+
+
 def _similar(similarity: float):
     """A column function of two normal forms: do they have at least the edit similarity?"""
 
@@ -457,10 +506,10 @@ def _linked_in_tiles(similarity: float):
             if len(left) <= MANY_OF_GROUP:
                 return left
             c = centres.setdefault(own[left[0][0]], left[0][0])
-            whole = _distance(norm[i], norm[c], 1 << 31)
+            whole = _distance(*_unlike(norm[i], norm[c]), 1 << 31)
             for j, _ in left:
                 if j not in to_centre:
-                    to_centre[j] = _distance(norm[j], norm[c], 1 << 31)
+                    to_centre[j] = _distance(*_unlike(norm[j], norm[c]), 1 << 31)
             return [(j, most) for j, most in left if abs(whole - to_centre[j]) <= most]
 
         for i in range(len(h1)):
