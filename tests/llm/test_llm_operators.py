@@ -266,6 +266,80 @@ def test_lines_of_a_large_end_meet_in_tiles(spark, monkeypatch):
     assert len(near) > 1200 and len(set(got)) < 6 * len(lines)
 
 
+def test_distances_of_many_pairs_are_exact(monkeypatch):
+    import random
+
+    from winnow.llm import line_dedup
+
+    rng = random.Random(5)
+    pairs, limits = [], []
+    for _ in range(600):
+        letters = rng.choice(["ab", "abcdefgh ", "abcdefghijklmnop \u65e5\u672c\xe9\U0001f600"])
+        a = "".join(rng.choice(letters) for _ in range(rng.randrange(70)))
+        b = list(a if rng.random() < 0.8 else rng.choices(letters, k=rng.randrange(70)))
+        for _ in range(rng.randrange(25)):
+            at = rng.randrange(len(b) + 1)
+            b[at:at + rng.randrange(2)] = rng.choices(letters, k=rng.randrange(2))
+        pairs.append((a, "".join(b)))
+        limits.append(rng.choice([max(map(len, pairs[-1])) // 5, rng.randrange(40)]))
+    want = [levenshtein(a, b) <= most for (a, b), most in zip(pairs, limits)]
+    assert 100 < sum(want) < 500
+    for chars, look, long in ((1 << 16, 16, 1024), (300, 3, 1024), (1 << 16, 16, 30)):
+        monkeypatch.setattr(line_dedup, "BATCH_CHARS", chars)
+        monkeypatch.setattr(line_dedup, "LOOK_EVERY", look)
+        monkeypatch.setattr(line_dedup, "LONG_TEXT", long)
+        assert line_dedup._distances_within(pairs, limits).tolist() == want
+    assert line_dedup._distances_within([], []).tolist() == []
+
+
+def test_unlike_lines_of_an_end_take_no_distance_each(monkeypatch):
+    import random
+
+    import pandas as pd
+    from winnow.llm import line_dedup
+
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcde") for _ in range(5))
+    lines = ["they all begin with " + " ".join(word() for _ in range(8)) for _ in range(150)]
+    lines += [x[:40] + "q" + x[41:] for x in lines[:5]]
+    counted = []
+    monkeypatch.setattr(line_dedup, "_distance", lambda *x, f=line_dedup._distance: counted.append(1) or f(*x))
+    rows = pd.DataFrame({"h1": range(len(lines)), "root": range(len(lines)), "tile": 0, "k": 7, "norm": lines, "lines": len(lines)})
+    rows["size"], rows["ends"] = rows["norm"].str.len(), [[7, 9 + i] for i in range(len(lines))]
+    rows["ends"] = rows["ends"].map(lambda x: pd.Series(x).to_numpy())
+    got = line_dedup._linked_in_tiles(0.8)(rows)
+    assert sorted(zip(got["a"], got["b"])) == [(i, 150 + i) for i in range(5)]
+    assert len(counted) < 20  # before: thousands
+
+
+@pytest.mark.parametrize("parts", [False, True])
+def test_shared_ends_and_near_fingerprints_match_brute_force(spark, monkeypatch, parts):
+    import random
+
+    from winnow.llm import line_dedup
+
+    if parts:  # a partition is sifted many times, and blocks are full at once
+        monkeypatch.setattr(line_dedup, "SIFT_ROWS", 40)
+        monkeypatch.setattr(line_dedup, "FEW_OF_BLOCK", 3)
+    rng = random.Random(3)
+    lines = [(i, rng.choice([5, 6, 9, 20, 26, 40, 300]), rng.sample([-1, -2, 5, *range(100, 400)], rng.randrange(6))) for i in range(300)]
+    held = line_dedup._held_ends(spark.createDataFrame(lines + lines[:90], "h1 long, size int, ends array<long>"), 0.8)
+    near = lambda x, y: abs(x - y) <= max(x, y) * 0.2 + 1e-9
+    want = [(i, n, k) for i, n, ends in lines for k in ends if any(j != i and k in e and near(n, m) for j, m, e in lines)]
+    assert sorted(tuple(r) for r in held.collect()) == sorted(want) and want
+
+    fps = {rng.getrandbits(64) for _ in range(80)}
+    fps |= {x ^ sum(1 << b for b in rng.sample(range(64), rng.randrange(1, 5))) for x in fps for _ in range(3)}
+    fps |= {x << 12 | 99 << 50 for x in range(40)}  # many of one block
+    fps = [x - (1 << 64) if x >> 63 else x for x in fps]
+    sizes = [rng.choice([(10, 10), (12, 14), (100, 100)]) for _ in fps]
+    classes = spark.createDataFrame([(x, *y, 1, 1) for x, y in zip(fps, sizes)], "fp long, low int, high int, head long, members long")
+    got = [tuple(r) for r in line_dedup._near_fingerprints(classes, 3, 0.8).collect()]
+    could = lambda x, y: x[1] + 0.5 >= y[0] * 0.8 and y[1] + 0.5 >= x[0] * 0.8
+    want = [(x, y) for (x, m), (y, n) in itertools.permutations(list(zip(fps, sizes)), 2) if x < y and ((x ^ y) & (1 << 64) - 1).bit_count() <= 3 and could(m, n)]
+    assert sorted(got) == sorted(want) and len(want) > 50
+
+
 def test_blocks_of_lines_hash_as_single_lines_do(monkeypatch):
     import random
 

@@ -6,7 +6,7 @@ from __future__ import annotations
 import math
 from array import array
 from collections import Counter, defaultdict
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 from itertools import combinations
 from os.path import commonprefix
@@ -14,10 +14,10 @@ from os.path import commonprefix
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import row_key, same, scratch, shuffled, written
+from .common import partitions, row_key, same, scratch, shuffled, written
 from .components import connected_components
 
 #: Fingerprints of lines link at this many differing bits or fewer ...
@@ -38,6 +38,10 @@ FEW_WORDS = 9
 END_WORDS = FEW_WORDS // 2 + 1
 #: Lines of at most so many characters are compared inside the join; longer ones have cheaper bounds outside.
 SHORT_LINE = 64
+#: Partitions of rows that Python gathers hold about so many, a line counted as so many ends, in so many buckets; more rows of one partition are sifted in parts.
+PARTITION_ROWS, ENDS_OF_LINE, BUCKETS, SIFT_ROWS = 500_000, 10, 4, 1_000_000
+#: Up to so many fingerprints of a block are compared before the join.
+FEW_OF_BLOCK = 64
 #: Up to so many lines of an end are compared in a join, so that its pairs grow with the lines ...
 FEW_LINES = 32
 #: ... and more in tiles of about an eighth of them, within these bounds, two tiles at a time.
@@ -46,6 +50,14 @@ TILE_LINES = (512, 2048)
 MANY_OF_GROUP = 8
 #: Columns of a table of distances between two looks at all cells of one.
 LOOK_AT = 32
+#: Texts of at most so many characters have their distances computed many pairs at once, up to so many characters at a time.
+LONG_TEXT, BATCH_CHARS, BATCH_PAIRS = 1024, 1 << 16, 1024
+#: Their diagonals between two looks at all cells of two.
+LOOK_EVERY = 16
+#: What stands for a distance beside the band.
+FAR = np.uint16(1 << 14)
+#: So many pairs of a tile are compared at once.
+TILE_PAIRS = 2048
 #: Characters and pairs of characters are counted in so many classes for bounds of the edit distance.
 CHAR_CLASSES, PAIR_CLASSES = 64, 256
 
@@ -309,26 +321,162 @@ def _hashed_block(ids: list[int | None], keys: array, skipped: array, lines: arr
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["doc_id", "key", "line", "h1", "h2", "fp", "size", "ends"])
 
 
+def _widest(edges: list[int]) -> int:
+    return max(b - a for a, b in zip(edges, edges[1:]))
+
+
 def _blocks(fp: Column, max_bits: int) -> list[Column]:
     """Keys of the pigeonhole blocks: within ``max_bits`` bits two of ``max_bits + 2`` blocks
     are equal, so a key for each pair of blocks."""
     m = max_bits + 2
     edges = [round(i * 64 / m) for i in range(m + 1)]
-    width = max(b - a for a, b in zip(edges, edges[1:]))
+    width = _widest(edges)
     block = [F.shiftrightunsigned(fp, a).bitwiseAND(F.lit((1 << (b - a)) - 1)) for a, b in zip(edges, edges[1:])]
     return [F.shiftleft(block[i], width).bitwiseOR(block[j]) for i, j in combinations(range(m), 2)]
 
 
+def _sifted(df: DataFrame, rows: int, table: Callable[[pa.RecordBatch], list[np.ndarray]], sift: Callable[[list[np.ndarray], np.ndarray], tuple[np.ndarray, np.ndarray]],
+            schema: str) -> DataFrame:
+    """The rows (of ``schema``; about ``rows`` in all) of ``table`` of ``df`` that ``sift`` takes, which gets those of a key, the first column, together.
+
+    Most keys have one row.  So rows cross the network as bytes, many rows of a bucket of keys at once, and only rows that
+    are taken become rows of the engine.  ``sift`` gets columns and which rows were taken before, and returns which rows are taken and which ones rows that
+    come later have to meet.  It is asked at the end of a partition, and each time that ``SIFT_ROWS`` more rows have come, so that a hot key needs no more memory.
+    """
+    kinds = [np.dtype({"long": "<i8", "int": "<i4"}[x.split()[1]]) for x in schema.split(", ")]
+    names = [x.split()[0] for x in schema.split(", ")]
+    width = sum(k.itemsize for k in kinds)
+    parts = max(partitions(df.sparkSession), math.ceil(rows / PARTITION_ROWS))
+    buckets = BUCKETS * parts
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[np.ndarray]] = []
+
+        def flush() -> pa.RecordBatch:
+            columns = [np.concatenate(x).astype(k, copy=False) for x, k in zip(zip(*held), kinds)]
+            held.clear()
+            bucket = (columns[0].view(np.uint64) * STEP >> np.uint64(32)) % np.uint64(buckets)
+            order = np.argsort(bucket.astype(np.min_scalar_type(buckets)), kind="stable")
+            found, first = np.unique(bucket[order], return_index=True)
+            columns = [c[order] for c in columns]
+            cuts = [*first.tolist(), len(order)]
+            return pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), pa.array([b"".join(c[x:y].tobytes() for c in columns) for x, y in zip(cuts, cuts[1:])], pa.binary())], names=["bucket", "packed"])
+
+        for batch in batches:
+            held.append(table(batch))
+            if sum(len(x[0]) for x in held) >= PARTITION_ROWS:
+                yield flush()
+        if held:
+            yield flush()
+
+    def sifted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: list[np.ndarray] = [np.zeros(0, k) for k in kinds]
+        done = np.zeros(0, dtype=bool)
+        new: list[list[np.ndarray]] = []
+
+        def taken() -> pa.RecordBatch:
+            nonlocal kept, done
+            columns = [np.concatenate(x) for x in zip(kept, *new)]
+            new.clear()
+            done = np.concatenate((done, np.zeros(len(columns[0]) - len(done), dtype=bool)))
+            take, stay = sift(columns, done)
+            out = pa.RecordBatch.from_arrays([pa.array(c[take & ~done]) for c in columns], names=names)
+            kept, done = [c[stay] for c in columns], (take | done)[stay]
+            return out
+
+        for batch in batches:
+            for x in batch.column(1):
+                at, n, columns = 0, x.as_buffer().size // width, []
+                for k in kinds:
+                    columns.append(np.frombuffer(x.as_buffer(), k, n, at))
+                    at += n * k.itemsize
+                new.append(columns)
+            if sum(len(x[0]) for x in new) >= SIFT_ROWS:
+                yield taken()
+        if new:
+            yield taken()
+
+    return df.mapInArrow(packed, "bucket int, packed binary").repartition(parts, "bucket").mapInArrow(sifted, schema)
+
+
+def _shared(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(rows that share their key with another row, in the order of the keys; the number of the key of each)."""
+    order = np.argsort(key)
+    key = key[order]
+    new = np.concatenate(([True], key[1:] != key[:-1]))
+    alone = new & np.concatenate((new[1:], [True]))
+    return order[~alone], np.cumsum(new)[~alone]
+
+
+def _near_in_block(max_bits: int):
+    """Rows (block, fp, ...) whose block has another fingerprint within ``max_bits`` bits, or so many rows that the join tells."""
+
+    def sift(columns: list[np.ndarray], done: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at, run = _shared(columns[0])
+        fp = columns[1][at].view(np.uint64)
+        near = np.zeros(len(at), dtype=bool)
+        full = np.bincount(run, minlength=1)[run] > FEW_OF_BLOCK
+        # pairs so many rows apart in the order of the blocks
+        first = np.flatnonzero(~full)
+        for gap in range(1, FEW_OF_BLOCK):
+            first = first[first + gap < len(at)]
+            first = first[run[first] == run[first + gap]]
+            if not len(first):
+                break
+            close = first[np.bitwise_count(fp[first] ^ fp[first + gap]) <= max_bits]
+            near[close] = near[close + gap] = True
+        take = np.zeros(len(done), dtype=bool)
+        take[at[near | full]] = True
+        # a full block needs only what shows that it is full, once its rows are taken
+        stay = np.ones(len(done), dtype=bool)
+        place = np.arange(len(at)) - np.searchsorted(run, run)
+        stay[at[full & (place > FEW_OF_BLOCK)]] = False
+        return take, stay
+
+    return sift
+
+
+def _near_on_end(similarity: float):
+    """Rows (k, size, h1) whose end ``k`` has another line of about that length, once each."""
+
+    def sift(columns: list[np.ndarray], done: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at, run = _shared(columns[0])
+        # in order of length, if any other line is near enough, the one before or after is; rows taken before come first
+        order = np.lexsort((~done[at], columns[2][at], columns[1][at], run))
+        at, run = at[order], run[order]
+        stay = np.ones(len(done), dtype=bool)
+        same_line = (run[1:] == run[:-1]) & (columns[1][at[1:]] == columns[1][at[:-1]]) & (columns[2][at[1:]] == columns[2][at[:-1]])
+        stay[at[1:][same_line]] = False
+        new = np.concatenate((np.ones(min(1, len(at)), bool), ~same_line))
+        at, run = at[new], run[new]
+        size = columns[1][at].astype(np.int64)
+        near = (run[1:] == run[:-1]) & (size[1:] - size[:-1] <= size[1:] * (1 - similarity) + 1e-9)
+        take = np.zeros(len(done), dtype=bool)
+        take[at[1:][near]] = True
+        take[at[:-1][near]] = True
+        return take, stay
+
+    return sift
+
+
 def _near_fingerprints(classes: DataFrame, max_bits: int, similarity: float) -> DataFrame:
     """(fa, fb), fa < fb: fingerprints within ``max_bits`` bits whose lines' lengths (``low`` to
     ``high`` in a class) allow the similarity, once a pair: a pair counts under the first key
     it shares, inside the join condition."""
-    keys = F.array(*[F.shiftleft(F.lit(k).cast("long"), 40).bitwiseOR(x) for k, x in enumerate(_blocks(F.col("fp"), max_bits))])
+    m = max_bits + 2
+    edges = [round(i * 64 / m) for i in range(m + 1)]
+
+    def dealt(batch: pa.RecordBatch) -> list[np.ndarray]:
+        fp, low, high = (batch.column(i).to_numpy() for i in range(3))
+        bits = fp.view(np.uint64)
+        block = [bits >> np.uint64(a) & np.uint64((1 << (b - a)) - 1) for a, b in zip(edges, edges[1:])]
+        keys = [np.uint64(k << 40) | block[i] << np.uint64(_widest(edges)) | block[j] for k, (i, j) in enumerate(combinations(range(m), 2))]
+        return [np.concatenate(keys).view(np.int64), *(np.tile(x, len(keys)) for x in (fp, low, high))]
+
+    # most blocks have no two near fingerprints: only the others are joined
+    near = _sifted(classes.select("fp", "low", "high"), math.comb(m, 2) * classes.count(), dealt, _near_in_block(max_bits), "block long, fp long, low int, high int")
     sizes = F.shiftleft(F.col("low").cast("long"), 32).bitwiseOR(F.col("high").cast("long"))
-    dealt = classes.select("fp", sizes.alias("sizes"), F.explode(keys).alias("block"))
-    # most blocks have one fingerprint: only the others are joined
-    met = dealt.withColumn("met", F.count(F.lit(1)).over(Window.partitionBy("block"))).filter("met > 1")
-    dealt = written(met.select("fp", "sizes", "block"), "line-blocks")
+    met = written(near.select("fp", sizes.alias("sizes"), "block"), "line-blocks")
     # no column is renamed on either side: then one shuffle serves both
     x, y = (lambda c: F.col(f"x.{c}")), (lambda c: F.col(f"y.{c}"))
     shared = [a == b for a, b in zip(_blocks(x("fp"), max_bits), _blocks(y("fp"), max_bits))]
@@ -338,7 +486,7 @@ def _near_fingerprints(classes: DataFrame, max_bits: int, similarity: float) ->
     lengths = (high(x("sizes")) + 0.5 >= low(y("sizes")) * F.lit(similarity)) & (high(y("sizes")) + 0.5 >= low(x("sizes")) * F.lit(similarity))
     on = ((x("block") == y("block")) & (x("fp") < y("fp")) & (F.bit_count(x("fp").bitwiseXOR(y("fp"))) <= max_bits)
           & lengths & (first == F.shiftright(x("block"), 40)))
-    return dealt.alias("x").join(shuffled(dealt).alias("y"), on).select(x("fp").alias("fa"), y("fp").alias("fb"))
+    return met.alias("x").join(shuffled(met).alias("y"), on).select(x("fp").alias("fa"), y("fp").alias("fb"))
 
 
 def _texts(docs: DataFrame, places: DataFrame) -> DataFrame:
@@ -364,6 +512,12 @@ def _unlike(a: str, b: str) -> tuple[str, str]:
     return a[:len(a) - s], b[:len(b) - s]
 
 
+def _word_for_word(a: str, b: str, limit: int) -> bool:
+    """Do texts of as many words come within the limit with each word replaced that differs?"""
+    wa, wb = a.split(" "), b.split(" ")
+    return len(wa) == len(wb) and sum(max(len(x), len(y)) for x, y in zip(wa, wb) if x != y) <= limit
+
+
 def _distance_within(a: str, b: str, limit: int) -> bool:
     """Is the edit distance (Levenshtein, code points) at most ``limit``?  Exact: bounds settle
     most pairs, the others go through a bit-parallel computation (Myers, Hyyro)."""
@@ -372,9 +526,9 @@ def _distance_within(a: str, b: str, limit: int) -> bool:
     a, b = _unlike(a, b)
     if max(len(a), len(b)) <= limit:
         return True
-    wa, wb = a.split(" "), b.split(" ")
-    if len(wa) == len(wb) and sum(max(len(x), len(y)) for x, y in zip(wa, wb) if x != y) <= limit:
+    if _word_for_word(a, b, limit):
         return True
+    wa, wb = a.split(" "), b.split(" ")
     # no edit of a word costs more than the longest one and its space
     few = limit // (1 + max(map(len, wa + wb)))
     if abs(len(wa) - len(wb)) <= few and len(set(wa).difference(wb)) <= few and _distance(wa, wb, few) <= few:
@@ -422,13 +576,119 @@ def _least_distance(up: int, down: int, size: int, done: int, whole: int) -> int
     return int((column + np.abs(np.arange(size, -1, -1) - (whole - done))).min())
 
 
+def _distances_within(pairs: Sequence[tuple[str, str]], limits: Sequence[int]) -> np.ndarray:
+    """``_distance_within`` of many pairs: what the lengths do not settle is computed for many pairs at once, long texts one by one."""
+    out = np.zeros(len(pairs), dtype=bool)
+    left: list[tuple[int, int, str, str]] = []  # (limit, pair, its texts)
+    for i, ((a, b), limit) in enumerate(zip(pairs, limits)):
+        if abs(len(a) - len(b)) > limit:
+            continue
+        if max(len(a), len(b)) > LONG_TEXT:
+            out[i] = _distance_within(a, b, limit)
+            continue
+        # a word of the end they share is in common: most texts differ later than that
+        p = next((q for q in (128, 64, 32, 16, 8) if a[:q] == b[:q]), 0)
+        a, b = a[p:], b[p:]
+        s = next((q for q in (128, 64, 32, 16, 8) if a[-q:] == b[-q:]), 0)
+        if s:
+            a, b = a[:-s], b[:-s]
+        if max(len(a), len(b)) <= limit or _word_for_word(a, b, limit):
+            out[i] = True
+        else:
+            left.append((limit, i, a, b))
+    if left:
+        limit, which, a, b = zip(*left)
+        out[list(which)] = _all_banded(*_codes(a), *_codes(b), np.array(limit))
+    return out
+
+
+def _codes(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(a row of character codes for each text, how many are of the text); what follows them is 0.  16 bits are compared
+    faster and are taken if they hold all characters."""
+    size = np.array([len(t) for t in texts], dtype=np.int64)
+    flat = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    out = np.zeros((len(texts), int(size.max(initial=0))), dtype=np.uint16 if flat.max(initial=0) < 1 << 16 else np.uint32)
+    out[np.arange(out.shape[1]) < size[:, None]] = flat
+    return out, size
+
+
+def _all_banded(x: np.ndarray, sx: np.ndarray, y: np.ndarray, sy: np.ndarray, limit: np.ndarray) -> np.ndarray:
+    """``_banded`` of many pairs, some at a time: those of about the same limit and length fill a table without much waste."""
+    out, longer = np.zeros(len(limit), dtype=bool), np.maximum(sx, sy)
+    kind = np.result_type(x, y)
+    order = np.lexsort((longer, limit))
+    at = 0
+    while at < len(order):
+        # as many as fit if all are as long as the longest among them
+        longest = np.maximum.accumulate(longer[order[at:at + BATCH_PAIRS]])
+        n = max(1, int(np.searchsorted(longest * np.arange(1, len(longest) + 1), BATCH_CHARS, "right")))
+        take = order[at:at + n]
+        at += n
+        part = [np.ascontiguousarray(t[take, :int(s[take].max())].T, dtype=kind) for t, s in ((x, sx), (y, sy))]
+        out[take] = _banded(*part, sx[take], sy[take], limit[take])
+    return out
+
+
+def _banded(x: np.ndarray, y: np.ndarray, la: np.ndarray, lb: np.ndarray, limit: np.ndarray) -> np.ndarray:
+    """Which pairs have an edit distance of at most their limit?  ``x`` and ``y`` have a column of characters for each text
+    and ``la`` and ``lb`` their lengths, which differ by the limit at most.  The tables of all pairs are filled together, from one
+    diagonal of cells with the same ``i + j`` to the next, as far from the main diagonal as the largest limit goes.
+
+    A path to the last cell goes through one of any two such diagonals that follow each other, and each step between
+    the others' main diagonals costs one: pairs that are past their limit in all cells of two of them go early.
+    """
+    high, wide, band, n = int(la.max()), int(lb.max()), int(limit.max()), len(limit)
+    # row 0 and row ``wide`` stand for what is before the first characters and are not looked at with a cost that counts
+    x, y = np.concatenate((np.zeros((1, n), x.dtype), x)), np.concatenate((y[::-1], np.zeros((1, n), y.dtype)))
+    # cell (i, d - i) of a diagonal stands in row i + 1; what is beside the band is far
+    older, last, now = (np.full((high + 3, n), FAR, dtype=np.uint16) for _ in range(3))
+    last[1] = 0
+    out, which, ends = np.zeros(n, dtype=bool), np.arange(n), la + lb
+    out[ends == 0] = True
+    at_end = set(ends.tolist())
+    other, ones = np.empty((high + 1) * n, dtype=np.uint16), np.ones((high + 1) * n, dtype=np.uint16)  # an array of ones is faster than the number
+    for d in range(1, int(ends.max()) + 1):
+        low, top = max(0, d - wide, -((band - d) // 2)), min(high, d, (d + band) // 2)
+        cell, mine, its = now[low + 1:top + 2], x[low:top + 1], y[wide - d + low:wide - d + top + 1]
+        # 1 where the characters differ
+        cost = other[:cell.size].reshape(cell.shape)
+        if x.dtype == np.uint16:
+            np.minimum(np.bitwise_xor(mine, its, out=cost), ones[:cell.size].reshape(cell.shape), out=cost)
+        else:
+            np.copyto(cost, mine != its)
+        cost += older[low:top + 1]
+        np.minimum(last[low:top + 1], last[low + 1:top + 2], out=cell)
+        cell += np.uint16(1)
+        np.minimum(cell, cost, out=cell)
+        now[low] = now[top + 2] = FAR
+        older, last, now = last, now, older
+        if d in at_end:
+            done = np.flatnonzero(ends == d)
+            out[which[done]] = last[la[done] + 1, done] <= limit[done]
+        if d % LOOK_EVERY == 0:
+            gap = (la - lb).astype(np.int16)
+            i = np.arange(low, top + 1, dtype=np.int16)[:, None]
+            least = (last[low + 1:top + 2].view(np.int16) + np.abs(2 * i - np.int16(d) - gap)).min(axis=0)
+            # the diagonal before may begin a cell earlier
+            i = np.arange(low - 1, top + 1, dtype=np.int16)[:, None]
+            least = np.minimum(least, (older[low:top + 2].view(np.int16) + np.abs(2 * i - np.int16(d - 1) - gap)).min(axis=0))
+            stay = np.flatnonzero((least <= limit) & (ends > d))
+            if not len(stay):
+                break
+            if len(stay) < 0.8 * len(ends):
+                x, y, older, last, now = (np.ascontiguousarray(t[:, stay]) for t in (x, y, older, last, now))
+                which, ends, limit, la, lb = (t[stay] for t in (which, ends, limit, la, lb))
+    return out
+
+
 def _similar(similarity: float):
     """A column function of two normal forms: do they have at least the edit similarity?"""
 
     @F.pandas_udf("boolean")
     def similar(x: pd.Series, y: pd.Series) -> pd.Series:
         # 1e-9: a product such as 0.2 * 35 may fall short of the whole number it stands for
-        return pd.Series([_distance_within(s, t, int(max(len(s), len(t)) * (1 - similarity) + 1e-9)) for s, t in zip(x, y)], dtype=bool)
+        pairs = list(zip(x, y))
+        return pd.Series(_distances_within(pairs, [int(max(len(s), len(t)) * (1 - similarity) + 1e-9) for s, t in pairs]))
 
     return similar
 
@@ -451,15 +711,15 @@ def _free_shuffles(df: DataFrame) -> None:
     df.sparkSession._jvm.System.gc()
 
 
-def _held_ends(groups: DataFrame, similarity: float) -> DataFrame:
-    """(h1, size, k): the ends that a line shares with another one of about its length."""
-    keys = groups.select("h1", "size", F.explode("ends").alias("k"))
-    # most ends have one line; in order of length, if any other line is near enough, the one before or after is
-    met = keys.withColumn("lines", F.count(F.lit(1)).over(Window.partitionBy("k"))).filter("lines > 1")
-    along = Window.partitionBy("k").orderBy("size")
-    met = met.select("h1", "size", "k", F.lag("size").over(along).alias("shorter"), F.lead("size").over(along).alias("longer"))
-    near = [F.coalesce(_near_lengths(F.col("size"), F.col(c), similarity), F.lit(False)) for c in ("shorter", "longer")]
-    return written(met.filter(near[0] | near[1]).select("h1", "size", "k"), "line-ends")
+def _held_ends(lines: DataFrame, similarity: float) -> DataFrame:
+    """(h1, size, k): the ends that a line shares with another one of about its length; lines may repeat."""
+    def dealt(batch: pa.RecordBatch) -> list[np.ndarray]:
+        h1, size, ends = (batch.column(i) for i in range(3))
+        n = ends.value_lengths().to_numpy()
+        return [ends.flatten().to_numpy(), *(np.repeat(x.to_numpy(), n) for x in (size, h1))]
+
+    near = _sifted(lines.select("h1", F.col("size").cast("int"), "ends"), ENDS_OF_LINE * lines.count(), dealt, _near_on_end(similarity), "k long, size int, h1 long")
+    return written(near.distinct().select("h1", "size", "k"), "line-ends", lasting=True)
 
 
 def _end_stars(held: DataFrame, similarity: float) -> DataFrame:
@@ -483,54 +743,87 @@ def _linked_in_tiles(similarity: float):
     One edit changes the counts of characters by two at most and those of pairs of characters by four.
     Of a group with many lines left, one is the centre: a line whose distance to it is above another's
     by more than the limit is too far from that other.  What these bounds leave gets the exact
-    distance.  A pair counts under the first end it shares.
+    distance, many pairs at once.  A pair counts under the least end it shares.
     """
 
     def linked(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["tile", "size", "h1"])
         h1, root, tile, key = rows["h1"].tolist(), rows["root"].tolist(), rows["tile"].to_numpy(), int(rows["k"].iloc[0])
-        norm, ends = rows["norm"].tolist(), [set(e) for e in rows["ends"]]
-        first = [{e: i for i, e in reversed([*enumerate(x)])} for x in rows["ends"]]
+        norm, ends = rows["norm"].tolist(), [set(e.tolist()) for e in rows["ends"]]
         size = np.array([len(t) for t in norm])
-        codes = [np.frombuffer(t.encode("utf-32-le", "replace"), dtype="<u4").astype(np.int64) for t in norm]
-        chars = _counted([c % CHAR_CLASSES for c in codes], CHAR_CLASSES)
-        pairs = _counted([(c[:-1] * 31 + c[1:]) % PAIR_CLASSES for c in codes], PAIR_CLASSES)
+        # what all lines have in common at either end adds nothing to a distance
+        p = len(commonprefix(norm))
+        norm = [t[p:] for t in norm]
+        s = len(commonprefix([t[::-1] for t in norm]))
+        norm = [t[:len(t) - s] for t in norm]
+        rest = size - p - s
+        long = rest > LONG_TEXT
+        codes = _codes([t[:LONG_TEXT] for t in norm])[0]
+        points = [np.frombuffer(t.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.int64) for t in norm]
+        chars = _counted([c % CHAR_CLASSES for c in points], CHAR_CLASSES)
+        pairs = _counted([(c[:-1] * 31 + c[1:]) % PAIR_CLASSES for c in points], PAIR_CLASSES)
         groups = {r: i for i, r in enumerate(dict.fromkeys(root))}
-        own = [groups[r] for r in root]
-        of = np.array(own)  # joined groups have one number
-        one_tile, out = tile[0] == tile[-1], []
+        own = np.array([groups[r] for r in root])
+        of = own.copy()  # joined groups have one number
+        second = int(np.searchsorted(tile, tile[0], "right"))
+        one_tile, out = second == len(h1), []
         centres: dict[int, int] = {}
         to_centre: dict[int, int] = {}
 
-        def not_far(i: int, left: list[tuple[int, int]]) -> list[tuple[int, int]]:
-            if len(left) <= MANY_OF_GROUP:
-                return left
-            c = centres.setdefault(own[left[0][0]], left[0][0])
-            whole = _distance(*_unlike(norm[i], norm[c]), 1 << 31)
-            for j, _ in left:
-                if j not in to_centre:
-                    to_centre[j] = _distance(*_unlike(norm[j], norm[c]), 1 << 31)
-            return [(j, most) for j, most in left if abs(whole - to_centre[j]) <= most]
-
-        for i in range(len(h1)):
-            at = np.arange(i + 1, len(h1)) if one_tile else np.flatnonzero(tile > tile[i])
+        def not_far(i: int, left: np.ndarray, most: np.ndarray) -> np.ndarray:
+            stay = np.ones(len(left), dtype=bool)
+            found, which, n = np.unique(own[left], return_inverse=True, return_counts=True)
+            for g in np.flatnonzero(n > MANY_OF_GROUP).tolist():
+                at = np.flatnonzero(which == g)
+                c = centres.setdefault(int(found[g]), int(left[at[0]]))
+                whole = _distance(*_unlike(norm[i], norm[c]), 1 << 31)
+                for j in left[at].tolist():
+                    if j not in to_centre:
+                        to_centre[j] = _distance(*_unlike(norm[j], norm[c]), 1 << 31)
+                stay[at] = np.abs(whole - np.array([to_centre[j] for j in left[at].tolist()])) <= most[at]
+            return stay
+
+        def link(found: list[tuple[int, np.ndarray, np.ndarray]]) -> None:
+            a = np.repeat([i for i, _, _ in found], [len(x) for _, x, _ in found])
+            b, most = (np.concatenate(x) for x in list(zip(*found))[1:])
+            left = of[a] != of[b]
+            a, b, most = a[left], b[left], most[left]
+            like = long[a] | long[b]
+            for i in np.flatnonzero(like).tolist():
+                like[i] = _distance_within(norm[a[i]], norm[b[i]], int(most[i]))
+            short = np.flatnonzero(~(long[a] | long[b]))
+            like[short] = _all_banded(codes[a[short]], rest[a[short]], codes[b[short]], rest[b[short]], most[short])
+            for i, j in zip(a[like].tolist(), b[like].tolist()):
+                if of[i] != of[j]:
+                    out.append((min(h1[i], h1[j]), max(h1[i], h1[j])))
+                    of[of == of[j]] = of[i]
+
+        found, waiting = [], 0
+        for i in range(len(h1) if one_tile else second):
+            # lines stand by their size
+            begin = i + 1 if one_tile else second
+            begin, stop = begin + np.searchsorted(size[begin:], [size[i] * similarity - 1, size[i] / similarity + 1])
+            at = np.arange(begin, stop)
             limit = (np.maximum(size[at], size[i]) * (1 - similarity) + 1e-9).astype(np.int64)
             gap = np.abs(size[at] - size[i])
             near = (gap <= limit) & (of[at] != of[i])
-            at, limit, gap = at[near], limit[near], gap[near]
-            near = np.abs(chars[at] - chars[i]).sum(axis=1) + gap <= 2 * limit
+            near &= np.abs(chars[begin:stop] - chars[i]).sum(axis=1) + gap <= 2 * limit
             at, limit = at[near], limit[near]
             near = np.abs(pairs[at] - pairs[i]).sum(axis=1) <= 4 * limit
-            left = defaultdict(list)
-            for j, most in zip(at[near].tolist(), limit[near].tolist()):
-                left[own[j]].append((j, most))
-            for j, most in (x for group in left.values() if of[group[0][0]] != of[i] for x in not_far(i, group)):
-                a, b = (i, j) if h1[i] < h1[j] else (j, i)
-                shared = ends[a] & ends[b]
-                if of[i] == of[j] or min(shared, key=first[a].__getitem__) != key or not _distance_within(norm[a], norm[b], most):
-                    continue
-                out.append((h1[a], h1[b]))
-                of[of == of[j]] = of[i]
+            at, limit = at[near], limit[near]
+            first = np.array([min(ends[i] & ends[j]) == key for j in at.tolist()], dtype=bool)
+            at, limit = at[first], limit[first]
+            if len(at) > MANY_OF_GROUP:
+                near = not_far(i, at, limit)
+                at, limit = at[near], limit[near]
+            if len(at):
+                found.append((i, at, limit))
+                waiting += len(at)
+            if waiting >= TILE_PAIRS:
+                link(found)
+                found, waiting = [], 0
+        if found:
+            link(found)
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
     return linked
@@ -540,14 +833,16 @@ def _apart_by_ends(held: DataFrame, rooted: DataFrame, groups: DataFrame, texts:
     """(a, b), a < b: pairs of similar lines that share an end, enough to link all groups of ``rooted`` that any
     such pair links.
 
-    A pair counts under the first end it shares.  Ends of a few lines are joined: short lines are
+    A pair counts under the least end it shares: similar lines with different roots share each of their ends in ``held``
+    and among those with several roots, so no other end is needed.  Ends of a few lines are joined: short lines are
     compared inside the join condition, longer ones as they leave the join, and no candidate is written.
     The lines of any other end are dealt into tiles that meet two at a time, so that a task's share is
     bounded, no pair is a row and no line is left out."""
     at = held.join(shuffled(rooted), "h1")
     split = at.groupBy("k").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("lines")).filter("low <> high")
-    open_ends = at.join(shuffled(split.select("k", "lines")), "k").join(shuffled(groups.select("h1", "ends")), "h1")
-    sides = written(open_ends.join(shuffled(texts), "h1"), "line-end-sides")
+    of_line = at.join(shuffled(split.select("k", "lines")), "k").groupBy("h1", "size", "root").agg(F.collect_list(F.struct("k", "lines")).alias("open"))
+    of_line = of_line.join(shuffled(texts), "h1").select("h1", "size", "root", "norm", F.array_sort("open.k").alias("ends"), F.explode("open").alias("end"))
+    sides = written(of_line.select("h1", "size", "root", "norm", "ends", "end.k", "end.lines"), "line-end-sides")
     few = sides.filter(F.col("lines") <= FEW_LINES)
     left, right = (few.select(F.col("k").alias(f"k{e}"), F.col("h1").alias(e), F.col("size").alias(f"s{e}"), F.col("ends").alias(f"e{e}"),
                               F.col("root").alias(f"r{e}"), F.col("norm").alias(f"n{e}")) for e in "ab")
@@ -583,11 +878,13 @@ def repeated_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     """
     base = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), row_key(docs).alias("key"), F.col(f"`{text}`").alias("text"))
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key", "line")
-    with scratch():  # the ends of a line are kept once a group, not once an occurrence
+    with scratch():  # of the ends only those that lines share are kept
         hashed = written(base.mapInArrow(_hash_lines(similarity if any_bits else None), _LINES), "lines")
-        groups = hashed.groupBy("h1", "h2", "fp", "size").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"), F.any_value("ends").alias("ends"))
-        groups = written(groups.select("h1", "h2", "fp", "size", "first.*", "n", "ends"), "line-groups", lasting=True)
+        groups = hashed.groupBy("h1", "h2", "fp", "size").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
+        groups = written(groups.select("h1", "h2", "fp", "size", "first.*", "n"), "line-groups", lasting=True)
         lines = written(hashed.select("doc_id", "key", "line", "h1", "h2"), "line-places", lasting=True)
+        held = _held_ends(hashed, similarity) if any_bits else None
+    _free_shuffles(docs)
     classes = groups.groupBy("fp").agg(F.min("size").alias("low"), F.max("size").alias("high"), F.min("h1").alias("head"), F.count(F.lit(1)).alias("members"))
     classes = written(classes, "line-classes")
     near = written(_near_fingerprints(classes, max_bits, similarity), "line-near")
@@ -597,8 +894,6 @@ def repeated_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     # the lines that any pair can have, with their texts
     touched = near.select(F.col("fa").alias("fp")).union(near.select("fb")).union(many.select("fp")).distinct()
     members = written(groups.join(shuffled(touched), "fp", "left_semi").select("fp", "h1", "doc_id", "key", "line"), "line-members")
-    held = _held_ends(groups, similarity) if any_bits else None
-    _free_shuffles(near)
     places = members.select("doc_id", "key", "line", "h1")
     if any_bits:
         at_ends = groups.join(shuffled(held.select("h1").distinct()), "h1", "left_semi")
@@ -606,7 +901,7 @@ def repeated_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     texts = written(_texts(base, places), "line-texts")
     _free_shuffles(near)
 
-    heads = classes.select("fp", "head")
+    heads = members.groupBy("fp").agg(F.min("h1").alias("head"))
     head_a, head_b = (heads.select(F.col("fp").alias(f"f{e}"), F.col("head").alias(e)) for e in "ab")
     stars = members.join(many, "fp").filter(F.col("h1") != F.col("head")).select(F.col("head").alias("a"), F.col("h1").alias("b"))
     pairs = stars.unionByName(near.join(head_a, "fa").join(head_b, "fb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
@@ -647,7 +942,8 @@ def repeated_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
                                F.col("keep.key").alias("k_key"), F.col("keep.line").alias("k_line")), "line-keep")
     j = lines.join(shuffled(kept), (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2")))
     first = same([F.col("doc_id"), F.col("key"), F.col("line")], [F.col("k_doc"), F.col("k_key"), F.col("k_line")])
-    return j.filter(~first).select("doc_id", "key", "line").distinct()
+    # dealt by document, so that its lines need not move again
+    return j.filter(~first).select("doc_id", "key", "line").repartition("doc_id", "key").distinct()
 
 
 def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:
