@@ -25,7 +25,7 @@ MAX_BITS = 3
 #: ... if the edit similarity, 1 - distance / longer length, is at least this.
 SIMILARITY = 0.8
 #: Bytes of texts gathered before their lines are hashed; bounds a worker's memory.
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 20
 #: The hash of an end is a polynomial of its words' hashes at this odd number, modulo 2 ** 64; its inverse ...
 STEP = np.uint64(0x9E3779B97F4A7C15)
 UNSTEP = np.uint64(pow(int(STEP), -1, 1 << 64))
@@ -51,15 +51,15 @@ MANY_OF_GROUP = 8
 #: Columns of a table of distances between two looks at all cells of one.
 LOOK_AT = 32
 #: Texts of at most so many characters have their distances computed many pairs at once, up to so many characters at a time.
-LONG_TEXT, BATCH_CHARS, BATCH_PAIRS = 1024, 1 << 16, 1024
+LONG_TEXT, BATCH_CHARS, BATCH_PAIRS = 1024, 1 << 18, 4096
 #: Their diagonals between two looks at all cells of two.
 LOOK_EVERY = 16
 #: What stands for a distance beside the band.
 FAR = np.uint16(1 << 14)
 #: So many pairs of a tile are compared at once.
-TILE_PAIRS = 2048
+TILE_PAIRS = 8192
 #: Characters and pairs of characters are counted in so many classes for bounds of the edit distance.
-CHAR_CLASSES, PAIR_CLASSES = 64, 256
+CHAR_CLASSES, PAIR_CLASSES, MOST_COUNTED = 64, 256, 1 << 13
 
 #: ASCII signs other than the underscore become spaces.
 _SIGNS = bytes(32 if c < 128 and not (chr(c).isalnum() or chr(c) in "_\n") else c for c in range(256))
@@ -364,7 +364,7 @@ def _sifted(df: DataFrame, rows: int, table: Callable[[pa.RecordBatch], list[np.
 
         for batch in batches:
             held.append(table(batch))
-            if sum(len(x[0]) for x in held) >= PARTITION_ROWS:
+            if sum(len(x[0]) for x in held) >= PARTITION_ROWS // 2:
                 yield flush()
         if held:
             yield flush()
@@ -646,14 +646,14 @@ def _banded(x: np.ndarray, y: np.ndarray, la: np.ndarray, lb: np.ndarray, limit:
     out, which, ends = np.zeros(n, dtype=bool), np.arange(n), la + lb
     out[ends == 0] = True
     at_end = set(ends.tolist())
-    other, ones = np.empty((high + 1) * n, dtype=np.uint16), np.ones((high + 1) * n, dtype=np.uint16)  # an array of ones is faster than the number
+    other, ones = np.empty((high + 1, n), dtype=np.uint16), np.ones((high + 1, n), dtype=np.uint16)  # an array of ones is faster than the number
     for d in range(1, int(ends.max()) + 1):
         low, top = max(0, d - wide, -((band - d) // 2)), min(high, d, (d + band) // 2)
         cell, mine, its = now[low + 1:top + 2], x[low:top + 1], y[wide - d + low:wide - d + top + 1]
         # 1 where the characters differ
-        cost = other[:cell.size].reshape(cell.shape)
+        cost = other[:len(cell)]
         if x.dtype == np.uint16:
-            np.minimum(np.bitwise_xor(mine, its, out=cost), ones[:cell.size].reshape(cell.shape), out=cost)
+            np.minimum(np.bitwise_xor(mine, its, out=cost), ones[:len(cell)], out=cost)
         else:
             np.copyto(cost, mine != its)
         cost += older[low:top + 1]
@@ -677,6 +677,7 @@ def _banded(x: np.ndarray, y: np.ndarray, la: np.ndarray, lb: np.ndarray, limit:
                 break
             if len(stay) < 0.8 * len(ends):
                 x, y, older, last, now = (np.ascontiguousarray(t[:, stay]) for t in (x, y, older, last, now))
+                other, ones = (t.ravel()[:len(t) * len(stay)].reshape(len(t), -1) for t in (other, ones))
                 which, ends, limit, la, lb = (t[stay] for t in (which, ends, limit, la, lb))
     return out
 
@@ -719,7 +720,7 @@ def _held_ends(lines: DataFrame, similarity: float) -> DataFrame:
         return [ends.flatten().to_numpy(), *(np.repeat(x.to_numpy(), n) for x in (size, h1))]
 
     near = _sifted(lines.select("h1", F.col("size").cast("int"), "ends"), ENDS_OF_LINE * lines.count(), dealt, _near_on_end(similarity), "k long, size int, h1 long")
-    return written(near.distinct().select("h1", "size", "k"), "line-ends", lasting=True)
+    return written(near.select("h1", "size", "k"), "line-ends")
 
 
 def _end_stars(held: DataFrame, similarity: float) -> DataFrame:
@@ -731,9 +732,9 @@ def _end_stars(held: DataFrame, similarity: float) -> DataFrame:
 
 
 def _counted(codes: list[np.ndarray], classes: int) -> np.ndarray:
-    """How often each of ``classes`` stands in each list of codes."""
+    """How often each of ``classes`` stands in each list of codes, up to a number: that makes no two lists differ by more."""
     at = np.repeat(np.arange(len(codes)), [len(c) for c in codes]) * classes + np.concatenate([*codes, np.zeros(0, np.int64)])
-    return np.bincount(at, minlength=len(codes) * classes).reshape(len(codes), classes).astype(np.int32)
+    return np.minimum(np.bincount(at, minlength=len(codes) * classes), MOST_COUNTED).reshape(len(codes), classes).astype(np.int16)
 
 
 def _linked_in_tiles(similarity: float):
@@ -807,9 +808,9 @@ def _linked_in_tiles(similarity: float):
             limit = (np.maximum(size[at], size[i]) * (1 - similarity) + 1e-9).astype(np.int64)
             gap = np.abs(size[at] - size[i])
             near = (gap <= limit) & (of[at] != of[i])
-            near &= np.abs(chars[begin:stop] - chars[i]).sum(axis=1) + gap <= 2 * limit
+            near &= np.abs(chars[begin:stop] - chars[i]).sum(axis=1, dtype=np.int32) + gap <= 2 * limit
             at, limit = at[near], limit[near]
-            near = np.abs(pairs[at] - pairs[i]).sum(axis=1) <= 4 * limit
+            near = np.abs(pairs[at] - pairs[i]).sum(axis=1, dtype=np.int32) <= 4 * limit
             at, limit = at[near], limit[near]
             first = np.array([min(ends[i] & ends[j]) == key for j in at.tolist()], dtype=bool)
             at, limit = at[first], limit[first]
@@ -878,12 +879,12 @@ def repeated_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     """
     base = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), row_key(docs).alias("key"), F.col(f"`{text}`").alias("text"))
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key", "line")
-    with scratch():  # of the ends only those that lines share are kept
-        hashed = written(base.mapInArrow(_hash_lines(similarity if any_bits else None), _LINES), "lines")
-        groups = hashed.groupBy("h1", "h2", "fp", "size").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
-        groups = written(groups.select("h1", "h2", "fp", "size", "first.*", "n"), "line-groups", lasting=True)
-        lines = written(hashed.select("doc_id", "key", "line", "h1", "h2"), "line-places", lasting=True)
-        held = _held_ends(hashed, similarity) if any_bits else None
+    # of the ends only those that lines share are kept
+    hashed = written(base.mapInArrow(_hash_lines(similarity if any_bits else None), _LINES), "lines")
+    groups = hashed.groupBy("h1", "h2", "fp", "size").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
+    groups = written(groups.select("h1", "h2", "fp", "size", "first.*", "n"), "line-groups")
+    lines = hashed.select("doc_id", "key", "line", "h1", "h2")
+    held = _held_ends(hashed, similarity) if any_bits else None
     _free_shuffles(docs)
     classes = groups.groupBy("fp").agg(F.min("size").alias("low"), F.max("size").alias("high"), F.min("h1").alias("head"), F.count(F.lit(1)).alias("members"))
     classes = written(classes, "line-classes")
